@@ -218,7 +218,7 @@ def repeated_spans(texts: DataFrame, length: int, most: int) -> DataFrame:
     places = texts.mapInArrow(lambda x: _hashes(x, length, True), "gram long, id binary, place long")
     places = places.join(repeated, "gram", "left_semi").groupBy("id").agg(F.collect_set("place").alias("places"))
     places = written(places, "repeat-places")
-    chosen = texts.join(small_or_not(places, places.agg(F.sum(F.size("places") + 4)).first()[0] or 0, most), "id")
+    chosen = texts.join(places, "id")
     segments = chosen.select("id", "text", "places").mapInArrow(lambda x: _segments(x, length), "gram long, id binary, start long, distance int, bytes binary")
     segments = written(segments, "repeat-segments")
     hot = written(segments.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > BUCKET).select("gram"), "repeat-hot")
@@ -233,23 +233,22 @@ def repeated_spans(texts: DataFrame, length: int, most: int) -> DataFrame:
     return found.groupBy("id").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, most: int = 4_000_000) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, most: int = 1_000_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left) of each document.
 
     Texts are UTF-8 bytes, null ones empty; those shorter than length lose nothing. Documents with equal texts of at
     least that length lose all. Repeated rows are documents with equal texts; an empty table gives an empty
-    result. ``most`` bounds what is broadcast, in values; beyond it Spark shuffles. Columns other than
-    doc_id and text are not read.
+    result. ``most`` bounds the rows of what is broadcast (texts with copies, very frequent anchors);
+    beyond it Spark shuffles. Columns other than doc_id and text are not read.
     """
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     d = d.withColumn("id", F.unhex(F.md5("text")))
     copies = d.groupBy("id").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep")).filter("copies > 1")
     copies = written(copies, "repeat-copies")
-    copies = small_or_not(copies, copies.count() * 4, most)
+    copies = small_or_not(copies, copies.count(), most)
     d = d.join(copies, "id", "left")
     one = d.filter(F.col("copies").isNull() | F.col("doc_id").eqNullSafe(F.col("rep"))).select("id", "text")
     spans = written(repeated_spans(one, length, most), "repeat-spans")
-    spans = small_or_not(spans, spans.agg(F.sum(2 * F.size("spans") + 4)).first()[0] or 0, most)
     d = d.withColumn("n_bytes", F.octet_length("text").cast("long"))
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     d = d.withColumn("whole", F.coalesce(whole, F.lit(False))).join(spans, "id", "left")
