@@ -4,9 +4,10 @@ A document's set is its distinct 5-word shingles; documents with equal sets are
 ``TREES`` sorted signature orders of ``DEPTH`` MinHash values. Each order is sorted over the cluster by range,
 and neighbours in it are those with the longest common prefixes, so dense regions are compared at a
 greater depth than sparse ones, down to ``SHALLOWEST``. First every class is compared with its best
-neighbour over all orders, which joins most of a large group at a cost in proportion to its size; then
-neighbours up to ``REACH`` places away that are still in different components are compared. Every link is confirmed on
-the full sets.
+neighbour over all orders, which joins most of a large group at a cost in proportion to its size. Only classes that
+share a prefix with a neighbour go on: those up to ``REACH`` places apart that are still in different
+components are compared, unless their whole signatures agree too seldom for a link (``UNLIKELY``). Every
+link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from .common import small_or_not, written
 from .graph import components
 
 WORDS, TREES, DEPTH, SHALLOWEST, REACH = 5, 24, 8, 3, 12
+#: The share of agreeing values below which a pair is no candidate. At the similarity of a link its standard
+#: deviation is 0.031 for all TREES * DEPTH values, so this is five of them below.
+UNLIKELY = 0.59
 #: A link: 100 * intersection >= SHARE * union.
 SHARE = 75
 _RANDOM = np.random.default_rng(20_240_229)
@@ -104,46 +108,50 @@ def _linked(batches):
 def _pairs(t: pa.Table, reach: int, fresh: int = 0, seam: bool = False) -> tuple[list, list, list]:
     """Neighbours in a sorted run, as nodes a < b and the length of their common prefix.
 
-    They are in one tree and in different components, and their sizes allow a link. At least one is at or
-    after fresh; at a seam, one on each side.
+    They are in one tree and in different components. At least one is at or after fresh; at a seam,
+    one on each side. Where rows have whole signatures, pairs that these or the sizes rule out are left out.
     """
     t = t.combine_chunks()
     tree, size = t.column("tree").to_numpy(), t.column("size").to_numpy()
     node, comp = t.column("node").to_pylist(), np.array(t.column("comp").to_pylist(), dtype=object)
     values = np.frombuffer(b"".join(t.column("key").to_pylist()), np.uint16).reshape(-1, DEPTH)
     head = np.array(t.column("head").to_pylist()) if seam else None
+    whole = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(len(node), -1) if len(node) else np.empty((0, 0), np.uint16)
     a, b, n = [], [], []
     for k in range(1, min(reach, len(node) - 1) + 1):
         prefix = np.cumprod(values[:-k] == values[k:], axis=1).sum(axis=1)
-        lo, hi = np.minimum(size[:-k], size[k:]), np.maximum(size[:-k], size[k:])
-        ok = (prefix >= SHALLOWEST) & (100 * lo >= SHARE * hi) & (tree[:-k] == tree[k:])
+        ok = (prefix >= SHALLOWEST) & (tree[:-k] == tree[k:])
         ok[: max(0, fresh - k)] = False
         if seam:
             ok &= head[:-k] != head[k:]
-        for i in np.flatnonzero(ok).tolist():
-            if comp[i] != comp[i + k]:
-                x, y = sorted((node[i], node[i + k]))
-                a.append(x)
-                b.append(y)
-                n.append(int(prefix[i]))
+        i = np.flatnonzero(ok)
+        i = i[comp[i] != comp[i + k]]
+        if whole.shape[1]:
+            i = i[100 * np.minimum(size[i], size[i + k]) >= SHARE * np.maximum(size[i], size[i + k])]
+            i = i[(whole[i] == whole[i + k]).mean(axis=1) >= UNLIKELY]
+        for x in i.tolist():
+            lesser, greater = sorted((node[x], node[x + k]))
+            a.append(lesser)
+            b.append(greater)
+            n.append(int(prefix[x]))
     return a, b, n
 
 
 def neighbours(forest: DataFrame, reach: int, rows: int) -> DataFrame:
-    """Pairs (a, b, lcp) of neighbours in the sorted orders of forest (tree, key, node, size, comp).
+    """Pairs (a, b, lcp) of neighbours in the sorted orders of forest (tree, key, node, size, comp, sig); sig may be empty.
 
     Each order is range-sorted with the node as the last key, so equal prefixes spread over partitions.
     The first and last rows of each partition also meet those of the partitions beside it.
     """
     parts = max(1, rows // 50_000)
-    names = ["tree", "key", "node", "size", "comp"]
+    names = ["tree", "key", "node", "size", "comp", "sig"]
     ordered = forest.select(*names).repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
 
     def inside(batches):
         from pyspark import TaskContext
 
         part, carry, seen, head = TaskContext.get().partitionId(), None, 0, []
-        schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("lcp", pa.int32()), ("at", pa.int32()), ("head", pa.bool_()), *[(c, k) for c, k in zip(names, [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary()], strict=True)]])
+        schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("lcp", pa.int32()), ("at", pa.int32()), ("head", pa.bool_()), *[(c, k) for c, k in zip(names, [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()], strict=True)]])
 
         def edge(t: pa.Table, at: int, is_head: bool):
             n = t.num_rows
@@ -168,7 +176,7 @@ def neighbours(forest: DataFrame, reach: int, rows: int) -> DataFrame:
         x, y, n = _pairs(t.take(pa.array(order)), reach, seam=True)
         return pa.table({"a": pa.array(x, pa.binary()), "b": pa.array(y, pa.binary()), "lcp": pa.array(n, pa.int32())})
 
-    found = written(ordered.mapInArrow(inside, "a binary, b binary, lcp int, at int, head boolean, tree int, key binary, node binary, size long, comp binary"), "forest-pairs")
+    found = written(ordered.mapInArrow(inside, "a binary, b binary, lcp int, at int, head boolean, tree int, key binary, node binary, size long, comp binary, sig binary"), "forest-pairs")
     # At most 2 * reach rows of two partitions meet in a group.
     seams = found.filter("a is null").groupBy("at").applyInArrow(across, "a binary, b binary, lcp int")
     return found.filter("a is not null").select("a", "b", "lcp").unionByName(seams)
@@ -198,15 +206,18 @@ def near_documents(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
     classes = written(base.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig")), "forest-classes")
     rows = classes.count() * TREES
     trees = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.expr("sig").substr(t * (2 * DEPTH) + 1, F.lit(2 * DEPTH))))
-    forest = classes.select(trees.alias("tree", "key"), "node", "size")
-    near = neighbours(forest.withColumn("comp", F.col("node")), 1, rows)
+    forest = classes.select(trees.alias("tree", "key"), "node", "size", F.col("node").alias("comp"), F.lit(b"").alias("sig"))
+    near = neighbours(forest, 1, rows)
     sides = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "lcp"))
-    best = sides.groupBy("a").agg(F.max(F.struct("lcp", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-    pairs = written(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "forest-best")
+    best = written(sides.groupBy("a").agg(F.max(F.struct("lcp", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "forest-best")
+    pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = written(confirmed(pairs, docs, classes, most), "forest-links")
     roots = components(links)
-    labelled = forest.join(small_or_not(roots, roots.count(), most), "node", "left").withColumn("comp", F.coalesce("root", "node"))
-    apart = written(neighbours(labelled, REACH, rows).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "forest-apart")
+    # Between any two that share a prefix in an order stand others that share it: both have a neighbour, and are in best.
+    members = classes.join(best.select(F.col("a").alias("node")), "node", "left_semi").join(roots, "node", "left")
+    members = written(members.withColumn("comp", F.coalesce("root", "node")), "forest-members")
+    near = neighbours(members.select(trees.alias("tree", "key"), "node", "size", "comp", "sig"), REACH, members.count() * TREES)
+    apart = written(near.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "forest-apart")
     more = confirmed(apart, docs, classes, most)
     roots = components(links.unionByName(more))
     classes = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
