@@ -1 +1 @@
-"""."""
+"""Column functions: sequences, codes, distances."""

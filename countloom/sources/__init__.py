@@ -1 +1 @@
-"""."""
+"""Readers of text formats, as lazily planned DataFrames."""
