@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, written
+from .common import let, small_or_not, written
 
 #: The rules: name -> (condition for a bad vote, condition for a good vote), on the measures of features(). Most
 #: rules look for one defect and abstain where it is missing: its absence says little of the others.
@@ -91,7 +91,7 @@ def fitted(patterns: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     The model: a rule that votes is right with its own accuracy, whatever the others say. The fold
     holds one row of at most 3 ** rules patterns.
     """
-    rules, n_all = len(RULES), "aggregate(ps, 0D, (a, x) -> a + x.n)"
+    rules, n_all = len(RULES), "greatest(1e-9D, aggregate(ps, 0D, (a, x) -> a + x.n))"
     like = lambda right, wrong: f"aggregate(zip_with(x.votes, s.accuracy, (v, q) -> case v when 0 then 1D when {right} then q when {wrong} then 1D - q end), 1D, (a, b) -> a * b)"
     posterior = let(f"s.share * {like(1, -1)}", let(f"(1D - s.share) * {like(-1, 1)}", "g / (g + b)", "b"), "g")
     weighed = f"transform(ps, x -> named_struct('votes', x.votes, 'n', x.n, 'p', {posterior}))"
@@ -123,9 +123,13 @@ def judged(d: DataFrame, threshold: float) -> DataFrame:
     return d.join(F.broadcast(model.drop("accuracy")), "votes").withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))
 
 
-def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that quality() keeps, with their columns as they are."""
-    names = docs.columns
-    own = docs.select(F.struct(*names).alias("row"), "text")
-    d = with_votes(features(own)).select("row", "votes", "base_failed")
-    return judged(d, threshold).filter("kept").select("row.*")
+def keep_good(docs: DataFrame, threshold: float = 0.5, most: int = 1_000_000) -> DataFrame:
+    """The documents that quality() keeps, with their columns as they are.
+
+    The verdict depends on the text alone, so the measures are written once with the text's digest, and the
+    digests of rejected texts are taken out of docs: by broadcast up to ``most`` of them, else by a shuffle.
+    """
+    key = F.md5(F.coalesce("text", F.lit("")))
+    d = written(with_votes(features(docs.select("text"))).select(key.alias("digest"), "votes", "base_failed"), "quality-votes")
+    gone = written(judged(d, threshold).filter("not kept").select(F.col("digest").alias("gone")).distinct(), "quality-gone")
+    return docs.join(small_or_not(gone, gone.count(), most), key == F.col("gone"), "left_anti")
