@@ -32,5 +32,5 @@ def phred_probability(q: Column) -> Column:
 
 
 def kmers(text: Column, k: int) -> Column:
-    """The distinct strings of k characters in text."""
-    return F.when(F.length(text) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (k - 1)), lambda i: F.substring(text, i, F.lit(k))))).otherwise(F.array().cast("array<string>"))
+    """The distinct strings of k characters in text; a lookahead reads them in one pass, however long the text."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)))
