@@ -6,8 +6,9 @@ and neighbours in it are those with the longest common prefixes, so dense region
 greater depth than sparse ones, down to ``SHALLOWEST``. First every class is compared with its best
 neighbour over all orders, which joins most of a large group at a cost in proportion to its size. Only classes that
 share a prefix with a neighbour go on: those up to ``REACH`` places apart that are still in different
-components are compared, unless their whole signatures agree too seldom for a link (``UNLIKELY``). Every
-link is confirmed on the full sets.
+components are candidates, unless their whole signatures agree too seldom for a link (``UNLIKELY``). In
+``ROUNDS`` rounds each component's best candidate is tested and joins it to others; then all candidates that
+still lie between components are tested. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import small_or_not, written
 from .graph import components
 
-WORDS, TREES, DEPTH, SHALLOWEST, REACH = 5, 24, 8, 3, 12
+WORDS, TREES, DEPTH, SHALLOWEST, REACH, ROUNDS = 5, 24, 8, 3, 12, 2
 #: The share of agreeing values below which a pair is no candidate. At the similarity of a link its standard
 #: deviation is 0.031 for all TREES * DEPTH values, so this is five of them below.
 UNLIKELY = 0.59
@@ -194,6 +195,23 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, most: int)
     return both.select("a", "b", "set_a", "set_b").mapInArrow(_linked, "a binary, b binary")
 
 
+def joined_best(apart: DataFrame, docs: DataFrame, classes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Confirm the best pair of each component in apart (a, b, lcp, and their components ca and cb).
+
+    Returns the pairs not yet tried that still lie in different components, and the links found. Pairs inside
+    a component need no test, since they can't change the result.
+    """
+    at = F.struct("lcp", "a", "b", "ca", "cb")
+    sides = apart.select(F.col("ca").alias("comp"), at.alias("x")).unionByName(apart.select(F.col("cb").alias("comp"), at.alias("x")))
+    best = written(sides.groupBy("comp").agg(F.max("x").alias("x")).select("x.*").distinct(), "forest-best")
+    links = written(confirmed(best.select("a", "b"), docs, classes, most), "forest-links")
+    roots = components(best.join(links, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    left = apart.join(best.select("a", "b"), ["a", "b"], "left_anti")
+    for c in ("ca", "cb"):
+        left = left.join(roots.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("root", c)).drop("root")
+    return written(left.filter("ca != cb"), "forest-apart"), links
+
+
 def near_documents(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document.
 
@@ -217,9 +235,14 @@ def near_documents(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
     members = classes.join(best.select(F.col("a").alias("node")), "node", "left_semi").join(roots, "node", "left")
     members = written(members.withColumn("comp", F.coalesce("root", "node")), "forest-members")
     near = neighbours(members.select(trees.alias("tree", "key"), "node", "size", "comp", "sig"), REACH, members.count() * TREES)
-    apart = written(near.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "forest-apart")
-    more = confirmed(apart, docs, classes, most)
-    roots = components(links.unionByName(more))
+    sides = [members.select(F.col("node").alias(n), F.col("comp").alias(c)) for n, c in (("a", "ca"), ("b", "cb"))]
+    apart = near.groupBy("a", "b").agg(F.max("lcp").alias("lcp")).join(pairs, ["a", "b"], "left_anti")
+    apart = written(apart.join(sides[0], "a").join(sides[1], "b"), "forest-apart")
+    for _ in range(ROUNDS):
+        apart, more = joined_best(apart, docs, classes, most)
+        links = links.unionByName(more)
+    rest = confirmed(apart.select("a", "b"), docs, classes, most)
+    roots = components(links.unionByName(rest))
     classes = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = classes.join(least, "root").select("node", "component_id")
