@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -31,3 +31,66 @@ def matrix(spark: SparkSession, path: str, missing: float = 0.0, sep: str = "\t"
     key, *columns = wide.columns
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"`{c}`").try_cast("double"), F.lit(missing)).alias("value")) for c in columns]))
     return wide.select(F.col(f"`{key}`").alias("row_key"), cells.alias("c")).select("row_key", "c.*")
+
+
+def fasta(spark: SparkSession, path: str) -> DataFrame:
+    """id, description and seq of each record; sequences of several lines are joined. Files split between records."""
+    record = F.regexp_replace(F.regexp_replace("value", r"\r", ""), "^>", "")
+    d = spark.read.option("lineSep", "\n>").text(path).select(F.split(record, "\n", 2).alias("x")).select(F.split(F.col("x")[0], r"\s+", 2).alias("h"), F.get("x", F.lit(1)).alias("s"))
+    d = d.select(F.col("h")[0].alias("id"), F.coalesce(F.get("h", F.lit(1)), F.lit("")).alias("description"), F.regexp_replace(F.coalesce("s", F.lit("")), r"\s", "").alias("seq"))
+    return d.filter("id != ''")
+
+
+def fastq(spark: SparkSession, path: str) -> DataFrame:
+    """file, record, read_id, seq and qual of each four-line record; records that are not well formed are left out.
+
+    A line's number is its place in its block of the file, plus the lines of the blocks before it, so files
+    are read in blocks and each record is put together after one shuffle.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
+    lines = lines.join(blocks, ["file", "block"]).select("file", "value", (F.col("before") + F.col("at") - F.col("first")).alias("line"))
+    part = lambda k: F.max(F.when(F.col("line") % 4 == k, F.rtrim("value")))
+    d = lines.groupBy("file", F.floor(F.col("line") / 4).alias("record")).agg(part(0).alias("h"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual"))
+    d = d.filter(F.col("h").startswith("@") & F.col("plus").startswith("+") & (F.length("seq") == F.length("qual")))
+    return d.select("file", "record", F.split(F.regexp_replace("h", "^@", ""), r"\s", 2)[0].alias("read_id"), "seq", "qual")
+
+
+def quality_base(reads: DataFrame) -> DataFrame:
+    """One row with base: 33 if some quality code is below 64, else 0 as both bases fit."""
+    codes = reads.select(F.explode(F.split("qual", "")).alias("c")).filter("c != ''")
+    return codes.agg(F.when(F.min(F.ascii("c")) < 64, 33).otherwise(0).alias("base"))
+
+
+def gff3(spark: SparkSession, path: str) -> DataFrame:
+    """Features of a GFF3 or GVF file with their attributes as a map; comments and short lines are left out."""
+    c = F.split("value", "\t")
+    d = spark.read.text(path).filter(~F.col("value").startswith("#")).filter(F.size(c) >= 9)
+    attributes = F.str_to_map(F.regexp_replace(F.rtrim(c[8]), ";$", ""), F.lit(";"), F.lit("="))
+    return d.select(c[0].alias("chr"), c[1].alias("source"), c[2].alias("type"), c[3].try_cast("long").alias("start"), c[4].try_cast("long").alias("end"), c[5].try_cast("double").alias("score"), c[6].alias("strand"), attributes.alias("attributes"))
+
+
+def ref_flat(spark: SparkSession, path: str) -> DataFrame:
+    """Gene models: exons are structs (s, e) of 0-based inclusive places in genome order."""
+    c = F.split("value", "\t")
+    numbers = lambda x: F.transform(F.filter(F.split(x, ","), lambda v: v != ""), lambda v: v.cast("long"))
+    exons = F.zip_with(numbers(c[9]), numbers(c[10]), lambda s, e: F.struct(s.alias("s"), (e - 1).alias("e")))
+    d = spark.read.text(path).filter(~F.col("value").startswith("#")).filter(F.size(c) >= 11)
+    return d.select(c[0].alias("gene"), c[1].alias("transcript"), F.regexp_replace(c[2], "^chr", "").alias("chr"), c[3].alias("strand"), c[4].cast("long").alias("start"), (c[5].cast("long") - 1).alias("end"), exons.alias("exons"))
+
+
+def ontology(spark: SparkSession, path: str) -> DataFrame:
+    """id, name and parents (is_a) of the terms of an OBO file. Files split between stanzas."""
+    d = spark.read.option("lineSep", "\n[").text(path).filter(F.col("value").startswith("Term]"))
+    one = lambda key: F.regexp_extract("value", rf"\n{key}: ([^\n\r]*)", 1)
+    return d.select(one("id").alias("id"), one("name").alias("name"), F.regexp_extract_all("value", F.lit(r"\nis_a: (\S+)"), F.lit(1)).alias("parents"))
+
+
+def barcodes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The directives (key, value) and the codes (id, seq) of a barcode file."""
+    d, c = spark.read.text(path), F.split(F.rtrim("value"), "\t")
+    part = lambda k: F.regexp_extract("value", r"^#(\w+)=(.*?)\s*$", k)
+    keys = d.select(part(1).alias("key"), part(2).alias("value")).filter("key != ''")
+    return keys, d.filter(~F.col("value").startswith("#")).filter(F.size(c) >= 2).select(c[0].alias("id"), c[1].alias("seq"))
