@@ -56,9 +56,9 @@ def genotype_calls(spark, sf_dir):
     return profiles.genotypes(table(spark, sf_dir, "lineitem"), ["l_suppkey"], F.col("l_returnflag") == "R")
 
 
-@query("SELECT event_type, lane, count(*) AS n_reads FROM (SELECT event_type, user_id % 4 AS lane FROM events) GROUP BY CUBE (event_type, lane)")
+@query("SELECT event_type, lane, count(*) AS n_reads FROM (SELECT event_type, CAST(user_id % 4 AS VARCHAR) AS lane FROM events) GROUP BY CUBE (event_type, lane)")
 def hit_marginals(spark, sf_dir):
-    return profiles.marginals(table(spark, sf_dir, "events").select("event_type", (F.col("user_id") % 4).alias("lane")), ["event_type", "lane"])
+    return profiles.marginals(table(spark, sf_dir, "events").select("event_type", (F.col("user_id") % 4).cast("string").alias("lane")), ["event_type", "lane"])
 
 
 @query(f"{TAGS} SELECT user_id, CAST(sum(n) AS BIGINT) AS n_reads, count(*) AS n_unique, CAST(sum(n) - count(*) AS BIGINT) AS n_duplicate FROM tags GROUP BY ALL")
