@@ -17,10 +17,16 @@ def sample_kurtosis(x: Column) -> Column:
     return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(x) + 6))
 
 
-def nearest_rank(x: Column, p: float) -> Column:
-    """The value at place int(n * p) of the sorted values, without interpolation; the last one for p = 1."""
-    s = F.array_sort(F.collect_list(x))
-    return F.element_at(s, F.least((F.size(s) * p).cast("int") + 1, F.size(s)))
+def nearest_rank(d: DataFrame, keys: list[str], x: str, p: float) -> DataFrame:
+    """keys and value: that at place int(n * p) of each group's sorted values, without interpolation; the last one for p = 1.
+
+    Equal values are counted before the window, which runs over distinct values. Nulls are left out.
+    """
+    n = d.filter(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*keys)
+    upto, total = F.sum("_n").over(w.orderBy(x)), F.sum("_n").over(w)
+    n = n.withColumn("_upto", upto).withColumn("_place", F.least(F.floor(total * p) + 1, total))
+    return n.filter("_upto >= _place and _upto - _n < _place").select(*keys, F.col(x).alias("value"))
 
 
 def describe(d: DataFrame, keys: list[str], x: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from countloom.functions import distance, sequence
 from countloom.operators import intervals, matrix, relational, stats, umi
-from countloom.plans import profiles
+from countloom.plans import groups, profiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -315,5 +315,5 @@ def cv_by_feature(spark, sf_dir):
     return matrix.cv_by_feature(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity").select("l_suppkey", F.round("mean", 6).alias("mean"), F.round("cv", 6).alias("cv"))
 
 
-for _f, _sql in [*relational.QUERIES, *profiles.QUERIES]:
+for _f, _sql in [*relational.QUERIES, *profiles.QUERIES, *groups.QUERIES]:
     query(_sql)(_f)
