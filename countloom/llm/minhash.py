@@ -7,8 +7,8 @@ greater depth than sparse ones, down to ``SHALLOWEST``. First every class is com
 neighbour over all orders, which joins most of a large group at a cost in proportion to its size. Only classes that
 share a prefix with a neighbour go on: those up to ``REACH`` places apart that are still in different
 components are candidates, unless their whole signatures agree too seldom for a link (``UNLIKELY``). In
-``ROUNDS`` rounds each component's best candidate is tested and joins it to others; then all candidates that
-still lie between components are tested. Every link is confirmed on the full sets.
+``ROUNDS`` rounds each component's best candidate, by the agreement of whole signatures, is tested and joins it
+to others; then all candidates that still lie between components are tested. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -107,7 +107,7 @@ def _linked(batches):
 
 
 def _pairs(t: pa.Table, reach: int, fresh: int = 0, seam: bool = False) -> tuple[list, list, list]:
-    """Neighbours in a sorted run, as nodes a < b and the length of their common prefix.
+    """Neighbours in a sorted run, as nodes a < b and how near they are: their common prefix, or the agreeing values of whole signatures.
 
     They are in one tree and in different components. At least one is at or after fresh; at a seam,
     one on each side. Where rows have whole signatures, pairs that these or the sizes rule out are left out.
@@ -129,17 +129,20 @@ def _pairs(t: pa.Table, reach: int, fresh: int = 0, seam: bool = False) -> tuple
         i = i[comp[i] != comp[i + k]]
         if whole.shape[1]:
             i = i[100 * np.minimum(size[i], size[i + k]) >= SHARE * np.maximum(size[i], size[i + k])]
-            i = i[(whole[i] == whole[i + k]).mean(axis=1) >= UNLIKELY]
-        for x in i.tolist():
+            agree = (whole[i] == whole[i + k]).sum(axis=1)
+            i, near = i[agree >= UNLIKELY * whole.shape[1]], agree[agree >= UNLIKELY * whole.shape[1]]
+        else:
+            near = prefix[i]
+        for x, y in zip(i.tolist(), near.tolist(), strict=True):
             lesser, greater = sorted((node[x], node[x + k]))
             a.append(lesser)
             b.append(greater)
-            n.append(int(prefix[x]))
+            n.append(y)
     return a, b, n
 
 
 def neighbours(forest: DataFrame, reach: int, rows: int) -> DataFrame:
-    """Pairs (a, b, lcp) of neighbours in the sorted orders of forest (tree, key, node, size, comp, sig); sig may be empty.
+    """Pairs (a, b, near) of neighbours in the sorted orders of forest (tree, key, node, size, comp, sig); sig may be empty.
 
     Each order is range-sorted with the node as the last key, so equal prefixes spread over partitions.
     The first and last rows of each partition also meet those of the partitions beside it.
@@ -152,7 +155,7 @@ def neighbours(forest: DataFrame, reach: int, rows: int) -> DataFrame:
         from pyspark import TaskContext
 
         part, carry, seen, head = TaskContext.get().partitionId(), None, 0, []
-        schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("lcp", pa.int32()), ("at", pa.int32()), ("head", pa.bool_()), *[(c, k) for c, k in zip(names, [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()], strict=True)]])
+        schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("near", pa.int32()), ("at", pa.int32()), ("head", pa.bool_()), *[(c, k) for c, k in zip(names, [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()], strict=True)]])
 
         def edge(t: pa.Table, at: int, is_head: bool):
             n = t.num_rows
@@ -175,12 +178,12 @@ def neighbours(forest: DataFrame, reach: int, rows: int) -> DataFrame:
     def across(t: pa.Table) -> pa.Table:
         order = np.argsort(t.column("head").to_numpy(), kind="stable")  # the tail of one partition, then the head of the next
         x, y, n = _pairs(t.take(pa.array(order)), reach, seam=True)
-        return pa.table({"a": pa.array(x, pa.binary()), "b": pa.array(y, pa.binary()), "lcp": pa.array(n, pa.int32())})
+        return pa.table({"a": pa.array(x, pa.binary()), "b": pa.array(y, pa.binary()), "near": pa.array(n, pa.int32())})
 
-    found = written(ordered.mapInArrow(inside, "a binary, b binary, lcp int, at int, head boolean, tree int, key binary, node binary, size long, comp binary, sig binary"), "forest-pairs")
+    found = written(ordered.mapInArrow(inside, "a binary, b binary, near int, at int, head boolean, tree int, key binary, node binary, size long, comp binary, sig binary"), "forest-pairs")
     # At most 2 * reach rows of two partitions meet in a group.
-    seams = found.filter("a is null").groupBy("at").applyInArrow(across, "a binary, b binary, lcp int")
-    return found.filter("a is not null").select("a", "b", "lcp").unionByName(seams)
+    seams = found.filter("a is null").groupBy("at").applyInArrow(across, "a binary, b binary, near int")
+    return found.filter("a is not null").select("a", "b", "near").unionByName(seams)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
@@ -196,12 +199,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, most: int)
 
 
 def joined_best(apart: DataFrame, docs: DataFrame, classes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """Confirm the best pair of each component in apart (a, b, lcp, and their components ca and cb).
+    """Confirm the best pair of each component in apart (a, b, near, and their components ca and cb).
 
     Returns the pairs not yet tried that still lie in different components, and the links found. Pairs inside
     a component need no test, since they can't change the result.
     """
-    at = F.struct("lcp", "a", "b", "ca", "cb")
+    at = F.struct("near", "a", "b", "ca", "cb")
     sides = apart.select(F.col("ca").alias("comp"), at.alias("x")).unionByName(apart.select(F.col("cb").alias("comp"), at.alias("x")))
     best = written(sides.groupBy("comp").agg(F.max("x").alias("x")).select("x.*").distinct(), "forest-best")
     links = written(confirmed(best.select("a", "b"), docs, classes, most), "forest-links")
@@ -226,8 +229,8 @@ def near_documents(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
     trees = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.expr("sig").substr(t * (2 * DEPTH) + 1, F.lit(2 * DEPTH))))
     forest = classes.select(trees.alias("tree", "key"), "node", "size", F.col("node").alias("comp"), F.lit(b"").alias("sig"))
     near = neighbours(forest, 1, rows)
-    sides = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "lcp"))
-    best = written(sides.groupBy("a").agg(F.max(F.struct("lcp", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "forest-best")
+    sides = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "near"))
+    best = written(sides.groupBy("a").agg(F.max(F.struct("near", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "forest-best")
     pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = written(confirmed(pairs, docs, classes, most), "forest-links")
     roots = components(links)
@@ -236,7 +239,7 @@ def near_documents(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
     members = written(members.withColumn("comp", F.coalesce("root", "node")), "forest-members")
     near = neighbours(members.select(trees.alias("tree", "key"), "node", "size", "comp", "sig"), REACH, members.count() * TREES)
     sides = [members.select(F.col("node").alias(n), F.col("comp").alias(c)) for n, c in (("a", "ca"), ("b", "cb"))]
-    apart = near.groupBy("a", "b").agg(F.max("lcp").alias("lcp")).join(pairs, ["a", "b"], "left_anti")
+    apart = near.groupBy("a", "b").agg(F.max("near").alias("near")).join(pairs, ["a", "b"], "left_anti")
     apart = written(apart.join(sides[0], "a").join(sides[1], "b"), "forest-apart")
     for _ in range(ROUNDS):
         apart, more = joined_best(apart, docs, classes, most)
