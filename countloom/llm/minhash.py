@@ -8,7 +8,10 @@ neighbour over all orders, which joins most of a large group at a cost in propor
 share a prefix with a neighbour go on: those up to ``REACH`` places apart that are still in different
 components are candidates, unless their whole signatures agree too seldom for a link (``UNLIKELY``). In
 ``ROUNDS`` rounds each component's best candidate, by the agreement of whole signatures, is tested and joins it
-to others; then all candidates that still lie between components are tested. Every link is confirmed on the full sets.
+to others; then all candidates that still lie between components are tested. Where more classes share a prefix of
+``SHALLOWEST`` values than ``REACH`` lets meet, and they are not all one component, all of them are compared by whole signatures
+in blocks: first the best of each join components, then all pairs that are left between components are tested. So reach bounds
+no group. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from .common import small_or_not, written
 from .graph import components
 
 WORDS, TREES, DEPTH, SHALLOWEST, REACH, ROUNDS = 5, 24, 8, 3, 12, 2
+#: Classes of a crowded prefix that meet in one task, and how many of a class's best pairs a task of the first sweep gives.
+BLOCK, FEW = 1024, 2
 #: The share of agreeing values below which a pair is no candidate. At the similarity of a link its standard
 #: deviation is 0.031 for all TREES * DEPTH values, so this is five of them below.
 UNLIKELY = 0.59
@@ -215,6 +220,66 @@ def joined_best(apart: DataFrame, docs: DataFrame, classes: DataFrame, most: int
     return written(left.filter("ca != cb"), "forest-apart"), links
 
 
+def _blocks(few: int | None):
+    """All pairs of a block, or of two, that lie in different components and that sizes and whole signatures leave possible.
+
+    A pair is given in the first tree where it shares a prefix only. With few, a pair must be among so many best ones of one of its classes.
+    """
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        tree, size, block = t.column("tree")[0].as_py(), t.column("size").to_numpy(), t.column("block").to_numpy()
+        node, comp = t.column("node").to_pylist(), t.column("comp").to_pylist()
+        code = np.unique(np.array(comp, dtype=object), return_inverse=True)[1]
+        whole = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(len(node), -1)
+        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        one = len(left) == len(node)
+        if one and t.column("i")[0].as_py() != t.column("j")[0].as_py():  # the other block has no rows; this one meets itself elsewhere
+            left = left[:0]
+        xs, ys, ns = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for x in left:
+            y = right[right > x] if one else right
+            y = y[(code[y] != code[x]) & (100 * np.minimum(size[y], size[x]) >= SHARE * np.maximum(size[y], size[x]))]
+            agree = (whole[y] == whole[x]).sum(axis=1)
+            y, agree = y[agree >= UNLIKELY * whole.shape[1]], agree[agree >= UNLIKELY * whole.shape[1]]
+            same = (whole[y] == whole[x]).reshape(len(y), TREES, DEPTH)[:, :, :SHALLOWEST].all(axis=2)
+            y, agree = y[same.argmax(axis=1) == tree], agree[same.argmax(axis=1) == tree]
+            xs.append(np.full(len(y), x))
+            ys.append(y)
+            ns.append(agree)
+        x, y, n = np.concatenate(xs), np.concatenate(ys), np.concatenate(ns)
+        if few is not None and len(x):
+            side, pair = np.concatenate([x, y]), np.tile(np.arange(len(x)), 2)
+            order = np.lexsort((-n[pair], side))
+            first = np.searchsorted(side[order], side[order])
+            keep = np.unique(pair[order][np.arange(len(order)) - first < few])
+            x, y, n = x[keep], y[keep], n[keep]
+        swap = [node[p] > node[q] for p, q in zip(x, y, strict=True)]
+        a, b = (np.where(swap, y, x), np.where(swap, x, y)) if len(x) else (x, y)
+        pick = lambda of, at: pa.array([of[k] for k in at], pa.binary())
+        return pa.table({"a": pick(node, a), "b": pick(node, b), "near": pa.array(n, pa.int32()), "ca": pick(comp, a), "cb": pick(comp, b)})
+
+    return run
+
+
+def crowded(members: DataFrame, trees, few: int | None, most: int) -> DataFrame | None:
+    """Pairs (a, b, near, ca, cb) of different components whose shared prefix is crowded; None where there is no such prefix.
+
+    members has node, size, comp and sig. A prefix of n classes is cut into blocks by hash, and each two blocks meet in one group.
+    Prefixes that no more than REACH + 1 classes share are left out: there, neighbours have met all.
+    """
+    place = F.col("key").substr(1, 2 * SHALLOWEST).alias("place")
+    spots = members.select(trees.alias("tree", "key"), "comp").groupBy("tree", place).agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    spots = written(spots.filter((F.col("n") > REACH + 1) & (F.col("low") != F.col("high"))).select("tree", "place", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "forest-crowded")
+    rows = spots.count()
+    if not rows:
+        return None
+    dealt = members.select(trees.alias("tree", "key"), "node", "size", "comp", "sig").select("tree", place, "node", "size", "comp", "sig").join(small_or_not(spots, rows, most), ["tree", "place"])
+    dealt = dealt.withColumn("block", F.expr("cast(pmod(xxhash64(node, tree), parts) as int)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    return dealt.drop("parts", "other").groupBy("tree", "place", "i", "j").applyInArrow(_blocks(few), "a binary, b binary, near int, ca binary, cb binary")
+
+
 def near_documents(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document.
 
@@ -244,8 +309,21 @@ def near_documents(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
     for _ in range(ROUNDS):
         apart, more = joined_best(apart, docs, classes, most)
         links = links.unionByName(more)
-    rest = confirmed(apart.select("a", "b"), docs, classes, most)
-    roots = components(links.unionByName(rest))
+    links = links.unionByName(written(confirmed(apart.select("a", "b"), docs, classes, most), "forest-links"))
+    roots = components(links)
+    for few in (FEW, None):
+        members = members.select("node", "size", "sig").join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+        members = written(members, "forest-members")
+        apart = crowded(members, trees, few, most)
+        if apart is None:
+            break
+        apart = written(apart, "forest-apart")
+        for _ in range(ROUNDS):
+            apart, more = joined_best(apart, docs, classes, most)
+            links = links.unionByName(more)
+        if few is None:
+            links = links.unionByName(written(confirmed(apart.select("a", "b"), docs, classes, most), "forest-links"))
+        roots = components(links)
     classes = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = classes.join(least, "root").select("node", "component_id")

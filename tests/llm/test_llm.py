@@ -79,6 +79,24 @@ def test_near_documents(spark, docs):
     assert all(r.n_shingles == len(sets[r.doc_id]) and r.kept == (want[r.doc_id] == r.doc_id) for r in got)
 
 
+def test_star_of_copies(spark):
+    """One text and more variants of it than neighbours can meet; no variant links with another."""
+    rng = np.random.default_rng(3)
+    base, rows = [f"v{i}" for i in range(400)], []
+    for k in range(700):
+        w = list(base)
+        for i in rng.choice(79, 10, replace=False):
+            w[5 * i + 2] = f"new{k}x{i}"
+        rows.append((k + 1, " ".join(w)))
+    rows.insert(350, (1000, " ".join(base)))
+    sets = {i: shingles(t) for i, t in rows}
+    ids = sorted(sets)
+    pairs = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert pairs == [(k + 1, 1000) for k in range(700)]
+    got = minhash.near_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict.fromkeys(ids, 1)
+
+
 def test_repeats(docs):
     texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
     n = collections.Counter(x[i : i + 200] for x in texts.values() for i in range(len(x) - 199))
