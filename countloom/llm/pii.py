@@ -2,7 +2,8 @@
 
 Base spans come from four patterns. A protected entity is a value that a base pattern finds. Terms
 (runs of three or more letters, case folded) within a few words of an entity are counted over all documents: a
-term's disclosure of an entity is the share of the term's occurrences that stand beside that entity.
+term's disclosure of an entity is the share of the term's occurrences that stand beside that entity, counted over all rows
+on both sides, so that copies of a document don't change it.
 Terms that stand beside one entity in two or more different contexts, and whose disclosure reaches
 the threshold, are spans of kind ``term`` wherever they occur, and are generalised like the base spans.
 """
@@ -62,22 +63,32 @@ def listed(spans: str) -> Column:
 
 
 def near_terms(d: DataFrame, words: int) -> DataFrame:
-    """Rows (entity, term, context) for the terms within so many words of a base span in d (text, base)."""
+    """Rows (entity, term, context, at) for the terms within so many words of a base span in d (text, base).
+
+    A row has a context, or else the place of one occurrence of the term in one text, which is given once for an entity.
+    """
     cut = 24 * words
-    e = d.select("text", F.explode("base").alias("e"))
-    left = F.expr(f"substring(text, greatest(e.start - {cut}, 0) + 1, least(e.start, {cut}))")
-    right = F.expr(f"substring(text, e.end + 1, {cut})")
-    e = e.select(F.concat("e.kind", F.lit(":"), F.lower("e.value")).alias("entity"), F.lower(left).alias("left"), F.lower(right).alias("right"))
-    before = F.expr(let(f"regexp_extract_all(left, r'{TERM}', 0)", f"slice(w, greatest(size(w) - {words - 1}, 1), {words})", "w"))
-    after = F.expr(f"slice(regexp_extract_all(right, r'{TERM}', 0), 1, {words})")
-    e = e.withColumn("before", before).withColumn("after", after)
-    return e.select("entity", F.xxhash64("before", "after").alias("context"), F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"))
+    start = "length(array_join(slice(ps, 1, i + 1), '')) + length(array_join(slice(ms, 1, i), ''))"
+
+    def placed(window: str, base: str, keep: str) -> str:
+        found = f"filter(transform(ms, (m, i) -> named_struct('term', m, 'at', {base} + {start}, 'i', i)), x -> {keep})"
+        return let(f"lower({window})", let(f"regexp_extract_all(w, r'{TERM}', 0)", let(f"split(w, r'{TERM}', -1)", found, "ps"), "ms"), "w")
+
+    before = placed(f"substring(text, greatest(e.start - {cut}, 0) + 1, least(e.start, {cut}))", "e.start - length(w)", f"x.i >= size(ms) - {words}")
+    after = placed(f"substring(text, e.end + 1, {cut})", "e.end", f"x.i < {words}")
+    near = F.expr(f"transform(base, e -> named_struct('entity', concat(e.kind, ':', lower(e.value)), 'before', {before}, 'after', {after}))")
+    # As text, since array_distinct hashes texts and compares structs one by one. Terms hold no space.
+    contexts = "flatten(transform(near, x -> transform(array_distinct(concat(x.before.term, x.after.term)), t -> concat('c ', t, ' ', xxhash64(x.before.term, x.after.term), ' ', x.entity))))"
+    places = "array_distinct(flatten(transform(near, x -> transform(concat(x.before, x.after), t -> concat('o ', t.term, ' ', t.at, ' ', x.entity)))))"
+    rows = d.select(near.alias("near")).select(F.explode(F.expr(f"concat({contexts}, {places})")).alias("row")).select(F.split("row", " ", 4).alias("row"))
+    value = lambda kind: F.when(F.col("row")[0] == kind, F.col("row")[2])
+    return rows.select(F.col("row")[3].alias("entity"), F.col("row")[1].alias("term"), value("c").alias("context"), value("o").alias("at"))
 
 
 def disclosing_terms(d: DataFrame, words: int, least: int, threshold: float, most: int) -> DataFrame:
     """Terms of d (text, base) whose disclosure of one entity reaches the threshold: term, disclosure."""
-    near = near_terms(d.filter("size(base) > 0"), words).groupBy("entity", "term").agg(F.countDistinct("context").alias("n"))
-    near = written(near.filter(F.col("n") >= least).groupBy("term").agg(F.max("n").alias("n_near")), "pii-near")
+    near = near_terms(d.filter("size(base) > 0"), words).groupBy("entity", "term").agg(F.countDistinct("context").alias("n"), F.count("at").alias("n_near"))
+    near = written(near.filter(F.col("n") >= least).groupBy("term").agg(F.max("n_near").alias("n_near")), "pii-near")
     terms = small_or_not(near, near.count(), most)
     # lower() may change letters beyond the pattern's; terms are matched on the folded text throughout.
     all_words = d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))

@@ -193,6 +193,15 @@ def test_disclosing_terms(spark):
     assert {r.text for r in pii.mask_pii(d).collect()} >= {"call <TERM> at <EMAIL> today", "only <TERM>"}
 
 
+def test_disclosing_terms_in_copies(spark):
+    """Copies count on both sides, and a term between two spans of one entity once."""
+    texts = ["call zanzibar at a@b.co today"] * 3 + ["mister zanzibar has a@b.co here"] * 40 + ["c@d.org kwantum c@d.org"] * 2 + ["big kwantum c@d.org", "kwantum", "kwantum", "kwantum", "kwantum"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_pii(d).collect()}
+    assert got[0] == got[2] == "term:5:13,email:17:23" and got[3] == got[42] == "term:7:15,email:20:26"
+    assert pii.disclosing_terms(d.withColumn("base", pii.base_spans()), 4, 2, 0.0, 100).filter("term = 'kwantum'").first().disclosure == 3 / 7
+
+
 def test_html(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     got = {r.page_id: r for r in html.extract_text(pages).collect()}
