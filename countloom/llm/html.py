@@ -109,6 +109,13 @@ class Lines(HTMLParser):
             while self.open.pop()[0] != tag:
                 pass
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """An unknown section is a comment up to its next angle bracket, as in browsers; the library raises there."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i + 3) + 1 or -1
+
     def handle_data(self, data: str) -> None:
         if not self.state()[1]:
             self.parts.append(data)
@@ -125,11 +132,8 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     if not html:
         return ""
     parser = Lines()
-    try:
-        parser.feed(html)
-        parser.close()
-    except AssertionError:  # the parser's own limit on malformed declarations: what came before it counts
-        pass
+    parser.feed(html)
+    parser.close()
     parser.cut()
     lines = parser.lines
     if not lines:

@@ -214,6 +214,11 @@ def test_html(spark):
     assert [html.main_text(x) for x in (None, "", "<", "<p>", "<script>x", "plain text")] == ["", "", "<", "", "", "plain text"]
 
 
+def test_html_unknown_sections():
+    for odd in ("<![foo[x]]>", "<![ x>", "<![>", "<![1[>", "<!x y>", "<![CDATA[x]]>"):
+        assert html.main_text(f"<article><p>a</p>{odd}<p>b</p></article>") == "a b", odd
+
+
 def test_rollup(spark, hard):
     state = rollup.Rollups(spark, f"{queries.shared_folder(spark)}/t-{uuid.uuid4().hex}")
     counts = rollup.with_tokens(hard)
