@@ -2,11 +2,12 @@
 
 The standard library's streaming parser gives events; block elements cut the page into lines. Each
 line has its text, the number of its tags and the section it stands in. Lines in menus, headers,
-footers, sidebars, notices, adverts, forms and comments (by element, or by the words of class, id and
-role) are never content. The rest have a text-to-tag ratio, which is smoothed by a Gaussian; lines
-above the threshold form clusters, and these choose the content region: the innermost of article,
-main or body that holds most of the clusters' text. The lines of that region, in page order, are the
-text; in a page without article and main the clusters themselves are.
+footers, sidebars, notices, adverts, forms and comments (by element, by role, or by the words of a class or id, other than
+forms such as has-sidebar) are no content. A main inside those marks by class or id is content again, and so is an article there
+where the page has no other content region with clusters. The rest have a text-to-tag ratio, which is smoothed by a Gaussian; lines above the threshold
+form clusters, and these choose the content: the outermost articles and mains that hold clusters, each whole with all that is
+nested in it; or the whole body, where no article or main holds clusters or the body's own clusters have more text than theirs.
+All lines of the content, in page order, are the text.
 """
 
 from __future__ import annotations
@@ -34,6 +35,13 @@ OUTSIDE_WORDS = frozenset(
 )
 OUTSIDE_ROLES = frozenset(["navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"])
 _WORDS = re.compile(r"[a-z]+")
+#: Tokens that say what a page or its layout has, not what the element is.
+_ABOUT = re.compile(r"(has|have|no|not|with|without|hide|show)[-_]|.*[-_](with|without|has|no)[-_]")
+
+
+def marked(value: str) -> bool:
+    """Whether a class or id names a part that is no content."""
+    return any(not OUTSIDE_WORDS.isdisjoint(_WORDS.findall(x)) for x in value.lower().split() if not _ABOUT.match(x))
 
 
 class Lines(HTMLParser):
@@ -43,7 +51,10 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int]] = []  # text, tags, region
         self.regions: list[str] = ["body"]
+        self.tops: list[int] = [0]  # the outermost article or main around each region
+        self.again: set[int] = set()  # articles inside parts marked by class or id
         self.open: list[tuple[str, bool, bool, int]] = []  # name, outside, silent, region
+        self.firm: list[bool] = []  # for each of open: outside by element, role or hidden
         self.parts: list[str] = []
         self.tags = 0
 
@@ -71,21 +82,28 @@ class Lines(HTMLParser):
             return
         outside, silent, region = self.state()
         silent = silent or tag in SILENT
+        firm, again = bool(self.open) and self.firm[len(self.open) - 1], False
+        if tag in ("article", "main") and outside and not firm and not any(v and k in ("class", "id") and marked(v) for k, v in attrs):
+            outside, again = False, tag == "article"
         if tag not in ("html", "body", "article", "main"):
-            outside = outside or (tag in OUTSIDE and not (tag == "header" and self.regions[region] == "article"))
+            firm = firm or (tag in OUTSIDE and not (tag == "header" and self.regions[region] == "article"))
             for name, value in attrs:
                 if value and name in ("class", "id"):
-                    outside = outside or not OUTSIDE_WORDS.isdisjoint(_WORDS.findall(value.lower()))
+                    outside = outside or marked(value)
                 elif name == "role" and value:
-                    outside = outside or value.lower() in OUTSIDE_ROLES
+                    firm = firm or value.lower() in OUTSIDE_ROLES
                 elif name == "hidden":
-                    outside = True
-        if tag in REGIONS and not outside and tag != self.regions[region]:
-            self.regions.append(tag)
-            region = len(self.regions) - 1
-        elif tag == "article" and not outside:
+                    firm = True
+        outside = outside or firm
+        if tag in ("article", "main") and not outside:
             self.regions.append(tag)
+            top = self.tops[region]
             region = len(self.regions) - 1
+            self.tops.append(top or region)
+            if again:
+                self.again.add(region)
+        del self.firm[len(self.open) :]
+        self.firm.append(firm)
         self.open.append((tag, outside, silent, region))
 
     def end_open(self, names: set[str], until: frozenset | set) -> None:
@@ -143,13 +161,18 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     chosen = ratio >= min(float(ratio.std()), float(ratio.max()))
     weight: dict[int, float] = {}
     for x, size, take in zip(lines, sizes, chosen, strict=True):
-        if take:
-            weight[x[2]] = weight.get(x[2], 0.0) + size
-    inner = {k: v for k, v in weight.items() if parser.regions[k] != "body"}
-    if not inner:
-        return " ".join(x[0] for x, take in zip(lines, chosen, strict=True) if take)
-    region = max(inner, key=lambda k: (inner[k], -k))
-    return " ".join(x[0] for x in lines if x[2] == region)
+        if take and x[2] not in parser.again:
+            weight[parser.tops[x[2]]] = weight.get(parser.tops[x[2]], 0.0) + size
+    body = weight.pop(0, 0.0)
+    if not weight and parser.again:  # no other region: articles in marked parts are the content
+        for x, size, take in zip(lines, sizes, chosen, strict=True):
+            if take and x[2] in parser.again:
+                weight[parser.tops[x[2]]] = weight.get(parser.tops[x[2]], 0.0) + size
+    elif parser.again:
+        lines = [x for x in lines if x[2] not in parser.again]
+    if body > sum(weight.values()):
+        return " ".join(x[0] for x in lines)
+    return " ".join(x[0] for x in lines if parser.tops[x[2]] in weight)
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:

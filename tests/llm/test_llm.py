@@ -214,6 +214,17 @@ def test_html(spark):
     assert [html.main_text(x) for x in (None, "", "<", "<p>", "<script>x", "plain text")] == ["", "", "<", "", "", "plain text"]
 
 
+def test_html_regions():
+    long, more = "A paragraph that is long enough to stand in a cluster of the page, it says.", "Another one of those, which also has many words between only two tags."
+    assert html.main_text(f"<article><p>{long}</p></article><article><p>{more}</p></article>") == f"{long} {more}"
+    assert html.main_text(f"<main><p>Intro.</p><article><p>{long}</p><article><p>Inner.</p></article></article><p>End.</p></main>") == f"Intro. {long} Inner. End."
+    items = "".join(f"<li>i{k}</li>" for k in range(9))
+    assert html.main_text(f"<body><p>{long}</p><ul>{items}</ul><p>{more}</p></body>") == " ".join([long, *(f"i{k}" for k in range(9)), more])
+    for mark in ("layout has-sidebar", "page-with-sidebar", "no-menu", "sidebar"):
+        assert html.main_text(f"<div class='{mark}'><article><p>{long}</p></article></div>") == long, mark
+    assert html.main_text(f"<article><p>{long}</p></article><div class='related'><article><p>{more}</p></article></div><aside><article>{more}</article></aside>") == long
+
+
 def test_html_unknown_sections():
     for odd in ("<![foo[x]]>", "<![ x>", "<![>", "<![1[>", "<!x y>", "<![CDATA[x]]>"):
         assert html.main_text(f"<article><p>a</p>{odd}<p>b</p></article>") == "a b", odd
