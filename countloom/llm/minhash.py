@@ -1,17 +1,19 @@
 """Near-duplicate documents by a MinHash LSH forest.
 
 A document's set is its distinct 5-word shingles; documents with equal sets are one class. Each class gets
-``TREES`` sorted signature orders of ``DEPTH`` MinHash values. Each order is sorted over the cluster by range,
-and neighbours in it are those with the longest common prefixes, so dense regions are compared at a
-greater depth than sparse ones, down to ``SHALLOWEST``. First every class is compared with its best
-neighbour over all orders, which joins most of a large group at a cost in proportion to its size. Only classes that
-share a prefix with a neighbour go on: those up to ``REACH`` places apart that are still in different
-components are candidates, unless their whole signatures agree too seldom for a link (``UNLIKELY``). In
-``ROUNDS`` rounds each component's best candidate, by the agreement of whole signatures, is tested and joins it
-to others; then all candidates that still lie between components are tested. Where more classes share a prefix of
-``SHALLOWEST`` values than ``REACH`` lets meet, and they are not all one component, all of them are compared by whole signatures
-in blocks: first the best of each join components, then all pairs that are left between components are tested. So reach bounds
-no group. Every link is confirmed on the full sets.
+``TREES`` sorted signature orders of ``DEPTH`` MinHash values, range-sorted over the cluster. A run of classes
+that share their first ``SHALLOWEST`` values is a region. Regions are cut into pieces of up to ``PIECE``
+neighbours: where a region holds more, it is cut where neighbours share the fewest values, so that depth adapts to how dense it is.
+Inside a piece whole signatures give a maximum spanning forest of the likely pairs, which is fewer pairs than classes
+however many are alike; these pairs are confirmed on the full sets, and the links join components.
+
+What the pieces left open is then settled for whole regions: in each region that still holds more than
+one component, all classes outside its largest component meet all classes of other components, tile by tile. First each class gives
+its ``FEW`` best pairs, which are confirmed. Classes with more pairs than these meet once more with their full sets, and every pair that is left
+between components is tested inside the tile, which gives no pairs but the links that join components. So neither pieces nor ``FEW`` bound any
+group, and classes of one component are never compared with each other. A pair with links is missed only where no order gives it a common
+region (2e-6 at the similarity of a link) or its signatures agree five standard deviations too seldom
+(``UNLIKELY``).
 """
 
 from __future__ import annotations
@@ -23,12 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_or_not, written
-from .graph import components
+from .common import let, small_or_not, written
+from .graph import components, least_labels, node_key, rep_of
 
-WORDS, TREES, DEPTH, SHALLOWEST, REACH, ROUNDS = 5, 24, 8, 3, 12, 2
-#: Classes of a crowded prefix that meet in one task, and how many of a class's best pairs a task of the first sweep gives.
-BLOCK, FEW = 1024, 2
+WORDS, TREES, DEPTH, SHALLOWEST = 5, 24, 8, 3
+#: Classes in a piece, and classes on each side of a tile.
+PIECE, TILE = 512, 1024
+#: Pairs that a class gives in the first sweep over a tile.
+FEW = 4
+#: Rows of the sorted orders in one range.
+RANGE = 200_000
 #: The share of agreeing values below which a pair is no candidate. At the similarity of a link its standard
 #: deviation is 0.031 for all TREES * DEPTH values, so this is five of them below.
 UNLIKELY = 0.59
@@ -39,21 +45,6 @@ _STEPS = _RANDOM.integers(1, 2**63, WORDS, np.uint64) * np.uint64(2) + np.uint64
 _TURNS = (_RANDOM.integers(1, 2**31, TREES * DEPTH, np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
 
 
-class _Hashes(dict):
-    """Hashes of the words met by this Python worker, up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
-            self[word] = h
-        return h
-
-
-_HASHES = _Hashes()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -62,10 +53,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: bytes | None) -> np.ndarray:
     """The sorted distinct 64-bit fingerprints of a text's shingles."""
+    from xxhash import xxh3_64_intdigest
+
     words = (text or b"").lower().split()  # bytes: A-Z only, and the white space of the word pattern
     if not words:
         return np.empty(0, np.uint64)
-    h = np.array([_HASHES[w] for w in words], np.uint64)
+    h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
     n = min(WORDS, len(h))
     s = np.zeros(len(h) - n + 1, np.uint64)
     for k in range(n):
@@ -84,255 +77,360 @@ def signature(s: np.ndarray) -> bytes:
 
 def _described(batches):
     for b in batches:
-        sets = [shingles(x) for x in b.column("text").cast(pa.binary()).to_pylist()]
-        keys = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
-        sigs = [signature(s) if len(s) else None for s in sets]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "node", "sig"])
+        for lo in range(0, b.num_rows, 256):
+            part = b.slice(lo, 256)
+            rows = []
+            for x in part.column("text").cast(pa.binary()).to_pylist():
+                s = shingles(x)
+                rows.append((len(s), hashlib.md5(x or b"").hexdigest(), *((hashlib.md5(s.tobytes()).digest(), signature(s)) if len(s) else (None, None))))
+            n, digest, node, sig = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest), pa.array(node, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "digest", "node", "sig"])
 
 
 def _whole_sets(batches):
     for b in batches:
         for lo in range(0, b.num_rows, 256):
-            sets = [shingles(x).tobytes() for x in b.column("text").slice(lo, 256).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(s).digest() for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["node", "shingles"])
-
-
-def _linked(batches):
-    """The pairs whose full sets reach the share."""
+            sets = [shingles(x) for x in b.column("text").slice(lo, 256).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "shingles"])
+
+
+def _rows(t: pa.Table, column: str, kind, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column(column).to_pylist()), kind).reshape(t.num_rows, width)
+
+
+def cut(common: np.ndarray, lo: int, hi: int, depth: int = SHALLOWEST) -> list[tuple[int, int]]:
+    """The pieces of the sorted rows lo to hi, where common[i] is the prefix that row i shares with the next one."""
+    if hi - lo <= PIECE:
+        return [(lo, hi)]
+    if depth == DEPTH:
+        return [(k, min(hi, k + PIECE)) for k in range(lo, hi, PIECE)]
+    ends = [lo, *(lo + 1 + np.flatnonzero(common[lo : hi - 1] <= depth)).tolist(), hi]
+    out: list[tuple[int, int]] = []
+    for a, b in zip(ends, ends[1:], strict=False):
+        for x, y in cut(common, a, b, depth + 1):
+            if out and y - out[-1][0] <= PIECE:  # neighbours in the order that fit into one piece
+                out[-1] = (out[-1][0], y)
+            else:
+                out.append((x, y))
+    return out
+
+
+def _regions(batches):
+    """Of a sorted range: the rows that share a region with another, and those of its first and last region, each with its place and piece."""
+    from pyspark import TaskContext
+
+    parts = [pa.Table.from_batches([b]) for b in batches]
+    if not parts:
+        return
+    part, t = TaskContext.get().partitionId(), pa.concat_tables(parts).combine_chunks()
+    n = t.num_rows
+    tree, key = t.column("tree").to_numpy(), _rows(t, "key", ">u2", DEPTH)
+    common = np.cumprod(key[1:] == key[:-1], axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
+    start = np.flatnonzero(np.concatenate([[True], common < SHALLOWEST]))
+    end = np.concatenate([start[1:], [n]])
+    wide = (end - start > 1) | (start == 0) | (end == n)
+    start, end = start[wide], end[wide]
+    take = np.concatenate([np.arange(a, b) for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+    piece = np.repeat(start, end - start)
+    for a, b in zip(start[end - start > PIECE].tolist(), end[end - start > PIECE].tolist(), strict=True):
+        at = int(np.searchsorted(take, a))
+        for x, y in cut(common, a, b):
+            piece[at + x - a : at + y - a] = x
+    node = t.column("node").combine_chunks()
+    for lo in range(0, len(take), 10_000):
+        rows = take[lo : lo + 10_000]
+        place = pa.array([x.tobytes() for x in key[rows, :SHALLOWEST].astype(">u2")], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(tree[rows], pa.int32()), place, pa.array(piece[lo : lo + 10_000] + (part << 32), pa.int64()), node.take(pa.array(rows))], ["tree", "place", "piece", "node"])
+
+
+def regions(classes: DataFrame, rows: int) -> DataFrame:
+    """tree, place, piece and node of the classes (node, sig) that share a region. A region that a range's border cuts has one place and several pieces."""
+    tree = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.expr("sig").substr(t * (2 * DEPTH) + 1, F.lit(2 * DEPTH)))).alias("tree", "key")
+    order = ["tree", "key", "node"]
+    ordered = classes.select(tree, "node").repartitionByRange(max(1, -(-rows * TREES // RANGE)), *order).sortWithinPartitions(*order)
+    return ordered.mapInArrow(_regions, "tree int, place binary, piece long, node binary")
+
+
+def _groups(batches, keys: list[str], work):
+    """Calls work with tables of whole groups; rows come sorted by keys."""
+    carry = None
     for b in batches:
-        a, c = (b.column(k).to_pylist() for k in ("set_a", "set_b"))
-        take = []
-        for x, y in zip(a, c, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate([x, y])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            take.append(100 * shared >= SHARE * (len(both) - shared))
-        yield b.select(["a", "b"]).filter(pa.array(take, pa.bool_()))
-
-
-def _pairs(t: pa.Table, reach: int, fresh: int = 0, seam: bool = False) -> tuple[list, list, list]:
-    """Neighbours in a sorted run, as nodes a < b and how near they are: their common prefix, or the agreeing values of whole signatures.
-
-    They are in one tree and in different components. At least one is at or after fresh; at a seam,
-    one on each side. Where rows have whole signatures, pairs that these or the sizes rule out are left out.
+        t = pa.Table.from_batches([b])
+        t = (pa.concat_tables([carry, t]) if carry is not None else t).combine_chunks()
+        if not t.num_rows:
+            continue
+        new = _borders(t, keys)
+        carry = t.slice(new[-1])
+        if new[-1]:
+            yield from work(t.slice(0, new[-1]).combine_chunks())
+    if carry is not None and carry.num_rows:
+        yield from work(carry.combine_chunks())
+
+
+def _borders(t: pa.Table, keys: list[str]) -> np.ndarray:
+    """The first row of each group of neighbours with equal keys."""
+    import pyarrow.compute as pc
+
+    new = np.zeros(t.num_rows, bool)
+    new[0] = True
+    for k in keys:
+        c = t.column(k).combine_chunks()
+        new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def likely(t: pa.Table, keys: list[str], comp: np.ndarray, side: np.ndarray | None = None):
+    """Yields arrays (x, y, near) of the pairs of rows of one group that lie in different components, on different sides, and that sizes and whole signatures leave possible.
+
+    near is the number of agreeing values. Distances within the groups are looked at one by one, over all groups at once.
     """
-    t = t.combine_chunks()
-    tree, size = t.column("tree").to_numpy(), t.column("size").to_numpy()
-    node, comp = t.column("node").to_pylist(), np.array(t.column("comp").to_pylist(), dtype=object)
-    values = np.frombuffer(b"".join(t.column("key").to_pylist()), np.uint16).reshape(-1, DEPTH)
-    head = np.array(t.column("head").to_pylist()) if seam else None
-    whole = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(len(node), -1) if len(node) else np.empty((0, 0), np.uint16)
-    a, b, n = [], [], []
-    for k in range(1, min(reach, len(node) - 1) + 1):
-        prefix = np.cumprod(values[:-k] == values[k:], axis=1).sum(axis=1)
-        ok = (prefix >= SHALLOWEST) & (tree[:-k] == tree[k:])
-        ok[: max(0, fresh - k)] = False
-        if seam:
-            ok &= head[:-k] != head[k:]
-        i = np.flatnonzero(ok)
-        i = i[comp[i] != comp[i + k]]
-        if whole.shape[1]:
-            i = i[100 * np.minimum(size[i], size[i + k]) >= SHARE * np.maximum(size[i], size[i + k])]
-            agree = (whole[i] == whole[i + k]).sum(axis=1)
-            i, near = i[agree >= UNLIKELY * whole.shape[1]], agree[agree >= UNLIKELY * whole.shape[1]]
-        else:
-            near = prefix[i]
-        for x, y in zip(i.tolist(), near.tolist(), strict=True):
-            lesser, greater = sorted((node[x], node[x + k]))
-            a.append(lesser)
-            b.append(greater)
-            n.append(y)
-    return a, b, n
-
-
-def neighbours(forest: DataFrame, reach: int, rows: int) -> DataFrame:
-    """Pairs (a, b, near) of neighbours in the sorted orders of forest (tree, key, node, size, comp, sig); sig may be empty.
-
-    Each order is range-sorted with the node as the last key, so equal prefixes spread over partitions.
-    The first and last rows of each partition also meet those of the partitions beside it.
+    start = _borders(t, keys)
+    end = np.repeat(np.concatenate([start[1:], [t.num_rows]]), np.diff(np.concatenate([start, [t.num_rows]])))
+    whole, size = _rows(t, "sig", np.uint16, TREES * DEPTH), t.column("size").to_numpy()
+    at = np.arange(t.num_rows)
+    k = 1
+    while len(at := at[at + k < end[at]]):
+        x = at[comp[at] != comp[at + k]]
+        if side is not None:
+            x = x[(side[x] != side[x + k]) | (side[x] == 2)]
+        x = x[100 * np.minimum(size[x], size[x + k]) >= SHARE * np.maximum(size[x], size[x + k])]
+        if len(x):
+            near = np.concatenate([(whole[x[i : i + 4096]] == whole[x[i : i + 4096] + k]).sum(axis=1) for i in range(0, len(x), 4096)])
+            x, near = x[near >= UNLIKELY * TREES * DEPTH], near[near >= UNLIKELY * TREES * DEPTH]
+            if len(x):
+                yield x, x + k, near
+        k += 1
+
+
+def _codes(column) -> np.ndarray:
+    """Numbers in the order of a binary column's values."""
+    return np.unique(np.array(column.to_pylist(), dtype=object), return_inverse=True)[1]
+
+
+def _pair_batches(t: pa.Table, x: np.ndarray, y: np.ndarray, _near: np.ndarray):
+    node = np.array(t.column("node").to_pylist(), dtype=object)
+    for lo in range(0, len(x), 10_000):
+        p, q = node[x[lo : lo + 10_000]], node[y[lo : lo + 10_000]]
+        swap = p > q
+        a, b = np.where(swap, q, p), np.where(swap, p, q)
+        yield pa.RecordBatch.from_arrays([pa.array(a.tolist(), pa.binary()), pa.array(b.tolist(), pa.binary())], ["a", "b"])
+
+
+def _joined(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(np.concatenate([np.empty(0, np.int64), *[p[i] for p in parts]]) for i in range(3))
+
+
+def spanning(t: pa.Table):
+    """The maximum spanning forest of the likely pairs of each piece; of equally near pairs the one of the least nodes goes first, so that orders agree."""
+    n, rank = t.num_rows, _codes(t.column("node"))
+    x, y, near = _joined(list(likely(t, ["piece"], rank)))
+    order = np.lexsort((np.maximum(rank[x], rank[y]), np.minimum(rank[x], rank[y]), -near))
+    x, y, near = x[order], y[order], near[order]
+    root, open_, chosen = np.arange(n), np.arange(len(x)), [np.empty(0, np.int64)]
+    while len(open_):
+        a, b = root[x[open_]], root[y[open_]]
+        open_, a, b = open_[a != b], a[a != b], b[a != b]
+        best = np.full(n, len(open_))
+        np.minimum.at(best, a, np.arange(len(open_)))
+        np.minimum.at(best, b, np.arange(len(open_)))
+        pick = np.unique(best[best < len(open_)])
+        chosen.append(open_[pick])
+        p, q = a[pick], b[pick]
+        while (apart := root[p] != root[q]).any():
+            p, q = p[apart], q[apart]
+            u, v = root[p], root[q]
+            np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+            while (root[root] != root).any():
+                root = root[root]
+    take = np.concatenate(chosen)
+    yield from _pair_batches(t, x[take], y[take], near[take])
+
+
+def _best(few: int, x: np.ndarray, y: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Which pairs are among the few nearest ones of one of their rows."""
+    side, pair = np.concatenate([x, y]), np.tile(np.arange(len(x)), 2)
+    order = np.lexsort((-near[pair], side))
+    first = np.searchsorted(side[order], side[order])
+    keep = np.zeros(len(x), bool)
+    keep[pair[order][np.arange(len(order)) - first < few]] = True
+    return keep
+
+
+def nearest(t: pa.Table):
+    """Of each tile the FEW best likely pairs of each class between components. Classes with further pairs come as rows without b."""
+    comp, side, held = _codes(t.column("comp")), t.column("side").to_numpy(), np.zeros(t.num_rows, bool)
+    parts, rows = [], 0
+
+    def best():
+        x, y, near = _joined(parts)
+        keep = _best(FEW, x, y, near)
+        held[x[~keep]] = held[y[~keep]] = True
+        return x[keep], y[keep], near[keep]
+
+    for part in likely(t, TILES, comp, side):
+        parts.append(part)
+        rows += len(part[0])
+        if rows > 500_000:
+            parts = [best()]
+            rows = len(parts[0][0])
+    yield from _pair_batches(t, *best())
+    left = t.column("node").combine_chunks().filter(pa.array(held))
+    yield pa.RecordBatch.from_arrays([left, pa.nulls(len(left), pa.binary())], ["a", "b"])
+
+
+def settled(t: pa.Table):
+    """The links between components in each tile, on full sets, as a star for each component that they join; no pair leaves the task.
+
+    A pair is tested in the first order that gives it a common region.
     """
-    parts = max(1, rows // 50_000)
-    names = ["tree", "key", "node", "size", "comp", "sig"]
-    ordered = forest.select(*names).repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-
-    def inside(batches):
-        from pyspark import TaskContext
-
-        part, carry, seen, head = TaskContext.get().partitionId(), None, 0, []
-        schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("near", pa.int32()), ("at", pa.int32()), ("head", pa.bool_()), *[(c, k) for c, k in zip(names, [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()], strict=True)]])
-
-        def edge(t: pa.Table, at: int, is_head: bool):
-            n = t.num_rows
-            cols = [pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()), pa.array([at] * n, pa.int32()), pa.array([is_head] * n), *[t.column(c).combine_chunks().cast(schema.field(c).type) for c in names]]
-            return pa.RecordBatch.from_arrays(cols, schema=schema)
-
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            if seen < reach:
-                head.append(t.slice(0, reach - seen))
-            seen += t.num_rows
-            whole = pa.concat_tables([carry, t]) if carry is not None else t
-            x, y, n = _pairs(whole, reach, carry.num_rows if carry is not None else 0)
-            carry = whole.slice(max(0, whole.num_rows - reach))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary()), pa.array(n, pa.int32()), *[pa.nulls(len(x), k) for k in schema.types[3:]]], schema=schema)
-        if carry is not None:
-            yield edge(pa.concat_tables(head), part - 1, True)
-            yield edge(carry, part, False)
-
-    def across(t: pa.Table) -> pa.Table:
-        order = np.argsort(t.column("head").to_numpy(), kind="stable")  # the tail of one partition, then the head of the next
-        x, y, n = _pairs(t.take(pa.array(order)), reach, seam=True)
-        return pa.table({"a": pa.array(x, pa.binary()), "b": pa.array(y, pa.binary()), "near": pa.array(n, pa.int32())})
-
-    found = written(ordered.mapInArrow(inside, "a binary, b binary, near int, at int, head boolean, tree int, key binary, node binary, size long, comp binary, sig binary"), "forest-pairs")
-    # At most 2 * reach rows of two partitions meet in a group.
-    seams = found.filter("a is null").groupBy("at").applyInArrow(across, "a binary, b binary, near int")
-    return found.filter("a is not null").select("a", "b", "near").unionByName(seams)
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
-    """The pairs (a, b) that are links. Sets are made anew from the texts of the documents that stand for the classes in pairs."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    reps = written(nodes.join(classes.select("node", "rep"), "node"), "forest-reps")
-    reps = reps.select(F.col("rep")).distinct()
-    texts = docs.select("doc_id", "text").join(small_or_not(reps, reps.count(), most), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    sets = texts.select("text").mapInArrow(_whole_sets, "node binary, shingles binary").dropDuplicates(["node"])
-    sets = written(sets, "forest-sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(_linked, "a binary, b binary")
-
+    comp, side = _codes(t.column("comp")), t.column("side").to_numpy()
+    shingles = t.column("shingles").combine_chunks()
+    ends, values = shingles.offsets.to_numpy(), shingles.values.to_numpy()
+    whole, tree = _rows(t, "sig", np.uint16, TREES * DEPTH).reshape(-1, TREES, DEPTH)[:, :, :SHALLOWEST], t.column("tree").to_numpy()
+    node = _codes(t.column("node"))
+    found_x, found_y = [], []
+    for x, y, _ in likely(t, TILES, comp, side):
+        for lo in range(0, len(x), 4096):
+            p, q = x[lo : lo + 4096], y[lo : lo + 4096]
+            first = (whole[p] == whole[q]).all(axis=2).argmax(axis=1) == tree[p]
+            for i, j in zip(p[first].tolist(), q[first].tolist(), strict=True):
+                a, b = values[ends[i] : ends[i + 1]], values[ends[j] : ends[j + 1]]
+                both = np.concatenate([a, b])
+                both.sort()
+                n = int((both[1:] == both[:-1]).sum())
+                if 100 * n >= SHARE * (len(both) - n):
+                    found_x.append(node[i])
+                    found_y.append(node[j])
+    names = np.unique(np.array(t.column("node").to_pylist(), dtype=object))
+    root = least_labels(np.array(found_x, np.int64), np.array(found_y, np.int64), len(names))
+    own = np.flatnonzero(root != np.arange(len(names)))
+    yield pa.RecordBatch.from_arrays([pa.array(names[root[own]].tolist(), pa.binary()), pa.array(names[own].tolist(), pa.binary())], ["a", "b"])
+
+
+def tiles(shared: DataFrame, classes: DataFrame, roots: DataFrame, most: int) -> DataFrame | None:
+    """The classes of regions that hold several components, dealt to tiles (tree, place, i, j); None where there is no such region.
+
+    The classes outside a region's largest component are cut into j parts, and all classes into i parts. Rows have side 0 (of all),
+    1 (outside) or, where a region is one tile, 2.
+    """
+    d = shared.select("tree", "place", "node").join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    d = written(d, "forest-members")
+    sizes = d.groupBy("tree", "place", "comp").agg(F.count("*").alias("n")).groupBy("tree", "place").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
+    sizes = sizes.filter("top.n < n").select("tree", "place", F.col("top.comp").alias("main"), F.ceil(F.col("n") / TILE).cast("int").alias("ni"), F.ceil((F.col("n") - F.col("top.n")) / TILE).cast("int").alias("nj"))
+    sizes = written(sizes, "forest-open")
+    rows = sizes.count()
+    if not rows:
+        return None
+    d = d.join(small_or_not(sizes, rows, most), ["tree", "place"]).join(classes.select("node", "size", "sig"), "node")
+    part = lambda n: F.expr(f"cast(pmod(xxhash64(node, tree), {n}) as int)")
+    own = F.struct(part("ni").alias("i"), F.lit(0).alias("side"), F.lit(-1).alias("j"))
+    all_of = F.transform(F.sequence(F.lit(0), F.col("nj") - 1), lambda j: F.struct(part("ni").alias("i"), j.alias("j"), F.lit(0).alias("side")))
+    outside = F.transform(F.sequence(F.lit(0), F.col("ni") - 1), lambda i: F.struct(i.alias("i"), part("nj").alias("j"), F.lit(1).alias("side")))
+    one = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(2).alias("side")))
+    at = F.when(F.col("ni") == 1, one).when(F.col("comp") == F.col("main"), all_of).otherwise(F.concat(all_of, outside))
+    d = d.select("tree", "place", F.explode(at).alias("at"), "node", "comp", "size", "sig")
+    return d.select("tree", "place", "at.i", "at.j", "at.side", "node", "comp", "size", "sig")
 
-def joined_best(apart: DataFrame, docs: DataFrame, classes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """Confirm the best pair of each component in apart (a, b, near, and their components ca and cb).
 
-    Returns the pairs not yet tried that still lie in different components, and the links found. Pairs inside
-    a component need no test, since they can't change the result.
-    """
-    at = F.struct("near", "a", "b", "ca", "cb")
-    sides = apart.select(F.col("ca").alias("comp"), at.alias("x")).unionByName(apart.select(F.col("cb").alias("comp"), at.alias("x")))
-    best = written(sides.groupBy("comp").agg(F.max("x").alias("x")).select("x.*").distinct(), "forest-best")
-    links = written(confirmed(best.select("a", "b"), docs, classes, most), "forest-links")
-    roots = components(best.join(links, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    left = apart.join(best.select("a", "b"), ["a", "b"], "left_anti")
-    for c in ("ca", "cb"):
-        left = left.join(roots.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("root", c)).drop("root")
-    return written(left.filter("ca != cb"), "forest-apart"), links
+PAIRS = "a binary, b binary"
+#: What deals rows to tiles.
+TILES = ["tree", "place", "i", "j"]
 
 
-def _blocks(few: int | None):
-    """All pairs of a block, or of two, that lie in different components and that sizes and whole signatures leave possible.
+def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+    """plain (the 16 bytes that a class's key ends in) and shingles, made anew from the texts of the documents that stand for the classes in nodes. Rows of other classes with the same id may come along."""
+    reps = written(nodes.join(classes.select("node", "rep"), "node").select("rep").distinct(), "forest-reps")
+    texts = docs.select("doc_id", "text").join(small_or_not(reps, reps.count(), most), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    return written(texts.select("text").mapInArrow(_whole_sets, "plain binary, shingles array<bigint>").dropDuplicates(["plain"]), "forest-sets")
 
-    A pair is given in the first tree where it shares a prefix only. With few, a pair must be among so many best ones of one of its classes.
-    """
 
-    def run(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks()
-        tree, size, block = t.column("tree")[0].as_py(), t.column("size").to_numpy(), t.column("block").to_numpy()
-        node, comp = t.column("node").to_pylist(), t.column("comp").to_pylist()
-        code = np.unique(np.array(comp, dtype=object), return_inverse=True)[1]
-        whole = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(len(node), -1)
-        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
-        one = len(left) == len(node)
-        if one and t.column("i")[0].as_py() != t.column("j")[0].as_py():  # the other block has no rows; this one meets itself elsewhere
-            left = left[:0]
-        xs, ys, ns = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for x in left:
-            y = right[right > x] if one else right
-            y = y[(code[y] != code[x]) & (100 * np.minimum(size[y], size[x]) >= SHARE * np.maximum(size[y], size[x]))]
-            agree = (whole[y] == whole[x]).sum(axis=1)
-            y, agree = y[agree >= UNLIKELY * whole.shape[1]], agree[agree >= UNLIKELY * whole.shape[1]]
-            same = (whole[y] == whole[x]).reshape(len(y), TREES, DEPTH)[:, :, :SHALLOWEST].all(axis=2)
-            y, agree = y[same.argmax(axis=1) == tree], agree[same.argmax(axis=1) == tree]
-            xs.append(np.full(len(y), x))
-            ys.append(y)
-            ns.append(agree)
-        x, y, n = np.concatenate(xs), np.concatenate(ys), np.concatenate(ns)
-        if few is not None and len(x):
-            side, pair = np.concatenate([x, y]), np.tile(np.arange(len(x)), 2)
-            order = np.lexsort((-n[pair], side))
-            first = np.searchsorted(side[order], side[order])
-            keep = np.unique(pair[order][np.arange(len(order)) - first < few])
-            x, y, n = x[keep], y[keep], n[keep]
-        swap = [node[p] > node[q] for p, q in zip(x, y, strict=True)]
-        a, b = (np.where(swap, y, x), np.where(swap, x, y)) if len(x) else (x, y)
-        pick = lambda of, at: pa.array([of[k] for k in at], pa.binary())
-        return pa.table({"a": pick(node, a), "b": pick(node, b), "near": pa.array(n, pa.int32()), "ca": pick(comp, a), "cb": pick(comp, b)})
-
-    return run
-
-
-def crowded(members: DataFrame, trees, few: int | None, most: int) -> DataFrame | None:
-    """Pairs (a, b, near, ca, cb) of different components whose shared prefix is crowded; None where there is no such prefix.
-
-    members has node, size, comp and sig. A prefix of n classes is cut into blocks by hash, and each two blocks meet in one group.
-    Prefixes that no more than REACH + 1 classes share are left out: there, neighbours have met all.
-    """
-    place = F.col("key").substr(1, 2 * SHALLOWEST).alias("place")
-    spots = members.select(trees.alias("tree", "key"), "comp").groupBy("tree", place).agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    spots = written(spots.filter((F.col("n") > REACH + 1) & (F.col("low") != F.col("high"))).select("tree", "place", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "forest-crowded")
-    rows = spots.count()
-    if not rows:
-        return None
-    dealt = members.select(trees.alias("tree", "key"), "node", "size", "comp", "sig").select("tree", place, "node", "size", "comp", "sig").join(small_or_not(spots, rows, most), ["tree", "place"])
-    dealt = dealt.withColumn("block", F.expr("cast(pmod(xxhash64(node, tree), parts) as int)"))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    return dealt.drop("parts", "other").groupBy("tree", "place", "i", "j").applyInArrow(_blocks(few), "a binary, b binary, near int, ca binary, cb binary")
+def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+    """The pairs (a, b) that are links."""
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, classes, most)
+    both = pairs.select("a", "b")
+    for c in ("a", "b"):
+        both = both.join(sets.select(F.col("plain").alias(f"plain_{c}"), F.col("shingles").alias(f"set_{c}")), F.substring(c, -16, 16) == F.col(f"plain_{c}"))
+    shared = let("cast(size(array_intersect(set_a, set_b)) as bigint)", f"100 * n >= {SHARE} * (size(set_a) + size(set_b) - n)", "n")
+    return written(both.filter(F.expr(shared)).select("a", "b"), "forest-links")
+
+
+def linked_classes(docs: DataFrame, base: DataFrame, most: int) -> DataFrame:
+    """node and root of the classes of base that link with others; keys as of node_key, so that a root has its component's least id."""
+    kind = docs.schema["doc_id"].dataType
+    classes = base.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"))
+    classes = written(classes.withColumn("node", node_key("rep", "node", kind)), "forest-classes")
+    shared = written(regions(classes, classes.count()), "forest-regions")
+    members = shared.join(classes.select("node", "size", "sig"), "node").repartition("piece").sortWithinPartitions("piece", "node")
+    tried = written(members.mapInArrow(lambda x: _groups(x, ["piece"], spanning), PAIRS).distinct(), "forest-pairs")
+    links = confirmed(tried, docs, classes, most)
+    roots = components(links)
+    dealt = tiles(shared, classes, roots, most)
+    if dealt is None:
+        return roots
+    found = written(dealt.repartition(*TILES).sortWithinPartitions(*TILES).mapInArrow(lambda x: _groups(x, TILES, nearest), PAIRS).distinct(), "forest-pairs")
+    more = confirmed(found.filter("b is not null").join(tried, ["a", "b"], "left_anti"), docs, classes, most)
+    if more.count():
+        links = links.unionByName(more)
+        roots = components(links)
+    held = written(found.filter("b is null").select(F.col("a").alias("node")).distinct(), "forest-held")
+    if not held.count():
+        return roots
+    # A pair is held back only if both of its classes have more than FEW.
+    dealt = tiles(shared.join(held, "node", "left_semi"), classes, roots, most)
+    if dealt is None:
+        return roots
+    sets = full_sets(held, docs, classes, most)
+    dealt = dealt.join(sets, F.substring("node", -16, 16) == F.col("plain")).drop("plain")
+    more = written(dealt.repartition(*TILES).sortWithinPartitions(*TILES).mapInArrow(lambda x: _groups(x, TILES, settled), PAIRS).distinct(), "forest-links")
+    return components(links.unionByName(more)) if more.count() else roots
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, digest (of the text), node (of the set; null without words) and signature of each document, written."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return written(docs.select("doc_id", "text").mapInArrow(_described, f"doc_id {kind}, n_shingles long, digest string, node binary, sig binary"), "forest-base")
 
 
-def near_documents(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
+def near_documents(docs: DataFrame, most: int = 200_000) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document.
 
-    Documents without words have an empty set and link with nothing. Documents with equal sets link,
-    also if rows repeat an id; a null id never names a component of others. An empty table gives an empty result. ``most`` bounds what is
-    broadcast; beyond it Spark shuffles. Columns other than doc_id and text are not read.
+    Null and empty texts and texts without words have an empty set and link with nothing. Documents with equal sets link,
+    also if rows repeat an id; a null id never names a component of others. Repeated rows each get a row, and a tie of equal
+    ids names the component alike. Texts of any length are taken whole. An empty table gives an empty result. ``most`` bounds the rows of what is
+    broadcast (ids, or 16 bytes and an id); beyond it Spark shuffles. Columns other than doc_id and text are not read.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    base = written(docs.select("doc_id", "text").mapInArrow(_described, f"doc_id {kind}, n_shingles long, node binary, sig binary"), "forest-base")
-    classes = written(base.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig")), "forest-classes")
-    rows = classes.count() * TREES
-    trees = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.expr("sig").substr(t * (2 * DEPTH) + 1, F.lit(2 * DEPTH))))
-    forest = classes.select(trees.alias("tree", "key"), "node", "size", F.col("node").alias("comp"), F.lit(b"").alias("sig"))
-    near = neighbours(forest, 1, rows)
-    sides = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "near"))
-    best = written(sides.groupBy("a").agg(F.max(F.struct("near", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "forest-best")
-    pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = written(confirmed(pairs, docs, classes, most), "forest-links")
-    roots = components(links)
-    # Between any two that share a prefix in an order stand others that share it: both have a neighbour, and are in best.
-    members = classes.join(best.select(F.col("a").alias("node")), "node", "left_semi").join(roots, "node", "left")
-    members = written(members.withColumn("comp", F.coalesce("root", "node")), "forest-members")
-    near = neighbours(members.select(trees.alias("tree", "key"), "node", "size", "comp", "sig"), REACH, members.count() * TREES)
-    sides = [members.select(F.col("node").alias(n), F.col("comp").alias(c)) for n, c in (("a", "ca"), ("b", "cb"))]
-    apart = near.groupBy("a", "b").agg(F.max("near").alias("near")).join(pairs, ["a", "b"], "left_anti")
-    apart = written(apart.join(sides[0], "a").join(sides[1], "b"), "forest-apart")
-    for _ in range(ROUNDS):
-        apart, more = joined_best(apart, docs, classes, most)
-        links = links.unionByName(more)
-    links = links.unionByName(written(confirmed(apart.select("a", "b"), docs, classes, most), "forest-links"))
-    roots = components(links)
-    for few in (FEW, None):
-        members = members.select("node", "size", "sig").join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-        members = written(members, "forest-members")
-        apart = crowded(members, trees, few, most)
-        if apart is None:
-            break
-        apart = written(apart, "forest-apart")
-        for _ in range(ROUNDS):
-            apart, more = joined_best(apart, docs, classes, most)
-            links = links.unionByName(more)
-        if few is None:
-            links = links.unionByName(written(confirmed(apart.select("a", "b"), docs, classes, most), "forest-links"))
-        roots = components(links)
-    classes = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = classes.join(least, "root").select("node", "component_id")
+    kind = docs.schema["doc_id"].dataType
+    base = described(docs)
+    roots = linked_classes(docs, base, most)
+    copies = base.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
+    named = copies.join(roots.select(F.substring("node", -16, 16).alias("node"), rep_of(F.col("root"), kind).alias("least")), "node", "left")
+    named = written(named.filter("n > 1 or least is not null").select("node", F.coalesce("least", "rep").alias("component_id")), "forest-named")
     component = F.coalesce("component_id", "doc_id")
-    out = base.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
+    out = base.select("doc_id", "n_shingles", "node").join(small_or_not(named, named.count(), most), "node", "left")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """docs without the documents that near_documents does not keep."""
-    gone = written(near_documents(docs, most).filter("not kept").select(F.col("doc_id").alias("gone")).distinct(), "near-copies")
-    return docs.join(small_or_not(gone, gone.count(), most), F.col("doc_id") == F.col("gone"), "left_anti")
+def drop_near_copies(docs: DataFrame, most: int = 200_000) -> DataFrame:
+    """docs with one document of each group of linked ones: that with the least id (null last), then the least digest of its text.
+
+    Rows are told apart by id and text, so that documents with repeated ids are judged one by one; of rows that are equal in both, one stays.
+    Texts without words link with nothing and stay. Columns are as they were, whatever their names; an empty table
+    stays empty.
+    """
+    kind, names = docs.schema["doc_id"].dataType, docs.columns
+    base = described(docs)
+    roots = linked_classes(docs, base, most)
+    own = base.filter("node is not null").groupBy("doc_id", "digest", "node").agg(F.count("*").alias("n"))
+    own = own.join(roots.select(F.substring("node", -16, 16).alias("node"), "root"), "node", "left").withColumn("group", F.coalesce(F.substring("root", -16, 16), "node"))
+    order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "digest")
+    own = written(own.select("group", order.alias("at"), "n"), "near-own")
+    first = own.groupBy("group").agg(F.min("at").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    gone = own.join(first, "group").filter("at != first").select("at").unionByName(own.filter("n > 1").select("at")).distinct()
+    gone = written(gone.select(F.col("at.doc_id").alias("id"), F.col("at.digest").alias("digest")), "near-gone")
+    again = written(own.filter("n > 1").join(first, "group", "left").filter("first is null or at = first").select(F.col("at.doc_id").alias("id"), F.col("at.digest").alias("digest")), "near-again")
+    d = docs.select(F.struct(*names).alias("row"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("own_digest"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("own_digest") == F.col("digest"))
+    out = d.join(small_or_not(gone, gone.count(), most), same, "left_anti")
+    if n := again.count():
+        out = out.unionByName(d.join(small_or_not(again, n, most), same).dropDuplicates(["id", "digest"]).select("row", "own_digest"))
+    return out.select(*[F.col("row")[c].alias(c) for c in names])

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_or_not, written
-from .graph import components
+from .graph import components, least_labels, node_key, rep_of
 
 #: Covers the rounding of the estimate itself, which is computed in single precision.
 SLACK = 2e-6
@@ -67,47 +67,42 @@ def tile(part: pa.Table, threshold: float) -> pa.Table:
         j = j if same else j + first
         np.add.at(count, i, weight[j])
         np.add.at(count, j, weight[i])
-        while len(i):  # least labels over the links, until no link joins two
-            x, y = root[i], root[j]
-            apart = x != y
-            if not apart.any():
-                break
-            i, j, x, y = i[apart], j[apart], x[apart], y[apart]
-            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-            while (root[root] != root).any():
-                root = root[root]
+        heads = least_labels(root[i], root[j], n)
+        root = heads[root]
     found = np.flatnonzero(count)
     ids = part.column("class_id").combine_chunks().take(pa.array(order))
     return pa.table({"class_id": ids.take(pa.array(found)), "links": pa.array(count[found]), "parent": ids.take(pa.array(root[found]))})
 
 
-def near_vectors(embeddings: DataFrame, threshold: float = 0.98, block: int = 2048) -> DataFrame:
+def near_vectors(embeddings: DataFrame, threshold: float = 0.98, block: int = 4096, most: int = 200_000) -> DataFrame:
     """vec_id, n_links, component_id and kept of each vector.
 
     Vectors are compared within labels (and lengths). A null label, a null or empty vector, null or
     non-finite components and zero vectors link with nothing. Rows with equal vectors link, also if
-    they repeat a vec_id; null ids count as links but never name a component of others. An empty table
-    gives an empty result. Columns other than vec_id, label and embedding are not read.
+    they repeat a vec_id; null ids count as links but never name a component of others. A pair at the threshold itself is a link;
+    vectors of any length are taken whole. An empty table
+    gives an empty result. Columns other than vec_id, label and embedding are not read. ``block`` is the number of classes on each side of a tile;
+    ``most`` bounds the rows that are broadcast, beyond which Spark shuffles.
     """
     sound = "label is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(embedding, x -> x != 0)"
-    key = F.md5(F.concat_ws(",", F.col("label").cast("string"), F.col("embedding").cast("array<string>")))
-    d = embeddings.select("vec_id", "label", "embedding", F.when(F.expr(sound), key).alias("class_id"))
-    classes = d.filter("class_id is not null").groupBy("class_id", "label").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("embedding").alias("embedding"))
-    classes = written(classes.withColumn("dim", F.size("embedding")), "vector-classes")
+    kind = embeddings.schema["vec_id"].dataType
+    key = F.unhex(F.md5(F.concat_ws(",", F.col("label").cast("string"), F.col("embedding").cast("array<string>"))))
+    d = embeddings.select("vec_id", "label", "embedding", F.when(F.expr(sound), key).alias("own"))
+    classes = d.filter("own is not null").groupBy("own", "label").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("embedding").alias("embedding"))
+    classes = written(classes.withColumn("dim", F.size("embedding")).withColumn("class_id", node_key("rep", "own", kind)), "vector-classes")
     sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     sizes = small_or_not(sizes, sizes.count(), 100_000)
-    dealt = classes.join(sizes, ["label", "dim"]).withColumn("b", F.pmod(F.conv(F.substring("class_id", 1, 8), 16, 10).cast("long"), F.col("blocks")).cast("int"))
+    dealt = classes.join(sizes, ["label", "dim"]).withColumn("b", F.pmod(F.conv(F.hex(F.substring("own", 1, 4)), 16, 10).cast("long"), F.col("blocks")).cast("int"))
     tiles = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = tiles.select("label", "dim", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), F.when(F.col("b") <= F.col("o"), 0).otherwise(1).alias("side"), "class_id", "weight", "embedding")
-    found = tiles.groupBy("label", "dim", "i", "j").applyInArrow(lambda part: tile(part, threshold), "class_id string, links long, parent string")
+    found = tiles.groupBy("label", "dim", "i", "j").applyInArrow(lambda part: tile(part, threshold), "class_id binary, links long, parent binary")
     found = written(found, "vector-links")
     roots = components(found.select(F.col("class_id").alias("a"), F.col("parent").alias("b")))
     links = found.groupBy("class_id").agg(F.sum("links").alias("links"))
-    classes = classes.select("class_id", "rep", "weight").join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
-    least = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = classes.join(least, "root").join(links, "class_id", "left").select("class_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
-    out = d.select("vec_id", "class_id").join(classes, "class_id", "left")
+    named = classes.select("own", "class_id", "weight", "rep").join(links, "class_id", "left").join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
+    named = named.select("own", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce(rep_of(F.col("root"), kind), "rep").alias("component_id"))
+    # Only classes that link, or that several vectors share, differ from what a vector has by itself.
+    named = written(named.filter("n_links > 0"), "vector-named")
+    out = d.select("vec_id", "own").join(small_or_not(named, named.count(), most), "own", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
-
-
