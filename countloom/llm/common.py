@@ -14,9 +14,11 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, set here only where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a local session (tests) gets one of its own; a cluster must set it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="countloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -36,6 +38,12 @@ def small_or_not(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def small_bytes_or_not(df: DataFrame, most: int) -> DataFrame:
+    """df, a written table, marked for broadcast if its texts and binaries, and 16 bytes for each column, come to no more bytes than the bound."""
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) if t in ("string", "binary") else F.lit(0)) + 16 for c, t in df.dtypes)
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= most else df
+
+
 def let(value: Column | str, body: str, name: str) -> str:
     """SQL that evaluates value once and binds it to name in body (which may stand in a lambda)."""
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"

@@ -123,13 +123,16 @@ def judged(d: DataFrame, threshold: float) -> DataFrame:
     return d.join(F.broadcast(model.drop("accuracy")), "votes").withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))
 
 
-def keep_good(docs: DataFrame, threshold: float = 0.5, most: int = 1_000_000) -> DataFrame:
-    """The documents that quality() keeps, with their columns as they are.
+def keep_good(docs: DataFrame, threshold: float = 0.5, most: int = 200_000) -> DataFrame:
+    """The documents that quality() keeps, with their columns as they are, whatever their names.
 
-    The verdict depends on the text alone, so the measures are written once with the text's digest, and the
-    digests of rejected texts are taken out of docs: by broadcast up to ``most`` of them, else by a shuffle.
+    Null and empty texts fail and go; very long texts are read whole; repeated rows and equal texts have one verdict, and each row
+    counts in the fit; an empty table stays empty. The verdict depends on the text alone, so the measures are written once with the text's digest, and the
+    digests of rejected texts are taken out of docs: by broadcast up to ``most`` of them (32 bytes each), else by a shuffle.
     """
-    key = F.md5(F.coalesce("text", F.lit("")))
+    names, key = docs.columns, F.md5(F.coalesce("text", F.lit("")))
     d = written(with_votes(features(docs.select("text"))).select(key.alias("digest"), "votes", "base_failed"), "quality-votes")
-    gone = written(judged(d, threshold).filter("not kept").select(F.col("digest").alias("gone")).distinct(), "quality-gone")
-    return docs.join(small_or_not(gone, gone.count(), most), key == F.col("gone"), "left_anti")
+    gone = written(judged(d, threshold).filter("not kept").select("digest").distinct(), "quality-gone")
+    rows = docs.select(F.struct(*names).alias("row"), key.alias("digest"))
+    rows = rows.join(small_or_not(gone, gone.count(), most), "digest", "left_anti")
+    return rows.select(*[F.col("row")[c].alias(c) for c in names])
