@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, written
 
 
 def word_count(text: Column) -> Column:
@@ -55,9 +55,15 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: i
     their size; an empty table gives an empty result. Columns other than doc_id, text and source
     are not read.
     """
+    d = placed(docs, weights, most, seed, [])
+    return d.select("doc_id", "size", "source", "source_size", "target", "taken")
+
+
+def placed(docs: DataFrame, weights: tuple[float, ...], most: int, seed: str, extra: list) -> DataFrame:
+    """The rows of mix_sources() with further columns of docs, made from (doc_id, text, source). Words are counted once and written."""
     key = F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"|{seed}"))), 1, 16)
-    d = docs.select("doc_id", F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("source"), word_count(F.col("text")).alias("size"), key.alias("key"))
-    d = d.withColumn("bucket", F.substring("key", 1, 3))
+    d = docs.select("doc_id", F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("source"), word_count(F.col("text")).alias("size"), key.alias("key"), *extra)
+    d = written(d.withColumn("bucket", F.substring("key", 1, 3)), "mix-sizes")
     buckets = d.groupBy("no_source", "source", "bucket").agg(F.sum("size").alias("words"))
     targets = source_targets(buckets.groupBy("no_source", "source").agg(F.sum("words").alias("source_size")), weights, most)
     before = Window.partitionBy("no_source", "source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -68,14 +74,23 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: i
     d = d.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0))
     rest = budget - F.col("epochs") * F.col("source_size") - F.col("before") - F.col("inside")
     taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return d.select("doc_id", "size", F.when(~F.col("no_source"), F.col("source")).alias("source"), "source_size", "target", taken.cast("long").alias("taken"))
+    return d.withColumn("taken", taken.cast("long")).withColumn("source", F.when(~F.col("no_source"), F.col("source")))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """docs as the mix takes them: a row for each epoch of a document, none where nothing is taken. The document at the cut comes whole."""
-    taken = mix_sources(docs, **options).filter("taken > 0").groupBy("doc_id").agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("copies_taken"))
-    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["doc_id"]), "inner").drop(taken["doc_id"])
-    return rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("copies_taken")))).drop("epoch", "copies_taken")
+def mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
+    """docs as the mix takes them: a row for each epoch of a document, none where nothing is taken. The document at the cut comes whole.
+
+    Columns stay as they are, whatever their names. Null and empty texts have no words and are not taken; the null source is one of its own;
+    documents with one id are told apart by source and text, and rows equal in all three are taken alike, as often as the most taken
+    of them; very long texts are counted whole; an empty table stays empty.
+    """
+    names, digest = docs.columns, F.md5("text")
+    taken = placed(docs, weights, most, seed, [digest.alias("digest")]).filter("taken > 0")
+    taken = taken.groupBy(F.col("doc_id").alias("id"), F.col("source").alias("of"), "digest").agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("copies_taken"))
+    rows = docs.select(F.struct(*names).alias("row"), digest.alias("own_digest"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & F.col("row.source").eqNullSafe(F.col("of")) & (F.col("own_digest") == F.col("digest"))
+    rows = rows.join(taken, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies_taken"))))
+    return rows.select(*[F.col("row")[c].alias(c) for c in names])
 
 
 #: DuckDB SQL for mix_sources(documents).
