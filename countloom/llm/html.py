@@ -1,12 +1,13 @@
 """Main text of web pages.
 
-The standard library's streaming parser gives events; block elements cut the page into lines. Each
-line has its text, the number of its tags and the section it stands in. Lines in menus, headers,
-footers, sidebars, notices, adverts, forms and comments (by element, by role, or by the words of a class or id, other than
-forms such as has-sidebar) are no content. A main inside those marks by class or id is content again, and so is an article there
-where the page has no other content region with clusters. The rest have a text-to-tag ratio, which is smoothed by a Gaussian; lines above the threshold
-form clusters, and these choose the content: the outermost articles and mains that hold clusters, each whole with all that is
-nested in it; or the whole body, where no article or main holds clusters or the body's own clusters have more text than theirs.
+The standard library's streaming parser gives events; block elements cut the page into lines. Text counts by the state in which it
+arrives: that in menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader comments (by element, by role, or by the
+tokens of a class or id) is no content. An article or main inside a part that is marked by class or id only is content again, such an
+article where the page has no other content region with clusters. Each line has its text, how much of it is links, the number of its tags and the region it stands in.
+The text-to-tag ratio of the lines is smoothed by a Gaussian; lines above the threshold form clusters, and these choose the content,
+whatever tag holds them: the outermost articles and mains that hold clusters, each whole with all that is nested in it; and the body, where
+no article or main holds clusters or the body's own clusters have more text than theirs. Of the body the lines between its first and
+last cluster count, and the lines around these up to a run of links; runs of ``LINKS`` or more lines that are all links are menus without a mark.
 All lines of the content, in page order, are the text.
 """
 
@@ -27,92 +28,117 @@ OUTSIDE = frozenset("nav header footer aside form dialog menu".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-REGIONS = frozenset(["article", "main", "body"])
+REGIONS = frozenset(["article", "main"])
 #: An open p ends where one of these begins; li, dd, dt, tr, td and th end their own kind.
 ENDS_P = BLOCKS - {"br", "html", "body"}
-OUTSIDE_WORDS = frozenset(
-    "nav navbar navigation menu header masthead footer sidebar aside widget ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent notice notices alert popup modal newsletter subscribe share sharing social related recommended breadcrumb breadcrumbs comment comments disqus reply replies login signup search pagination pager copyright".split()
+ENDS_OWN = {"li": ("li",), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "dd": ("dd", "dt"), "dt": ("dd", "dt")}
+LISTS = frozenset("ul ol dl table".split())
+#: Tokens of a class or id that mark a part as no content, alone or as the first or last word of a token.
+MARKS = frozenset(
+    "nav navbar navigation footer sidebar aside widget ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent notice notices newsletter breadcrumb breadcrumbs comment comments disqus reply replies login signup pagination popup modal".split()
 )
+#: Such tokens that also stand for content: alone, as the first token of several, or joined with one of the words of PARTS.
+WEAK = frozenset("share sharing social related recommended search subscribe promo alert menu pager copyright banner".split())
+PARTS = frozenset("bar bars box block button buttons links link list icons items item posts articles panel section container wrapper area tools main top bottom left right mobile site page".split())
+#: The same for what heads a page; inside an article or main these are its title.
+HEADS = frozenset("header masthead".split())
 OUTSIDE_ROLES = frozenset(["navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"])
 _WORDS = re.compile(r"[a-z]+")
 #: Tokens that say what a page or its layout has, not what the element is.
-_ABOUT = re.compile(r"(has|have|no|not|with|without|hide|show)[-_]|.*[-_](with|without|has|no)[-_]")
+_ABOUT = re.compile(r"(has|have|no|not|non|with|without|hide|show)[-_]|.*[-_](with|without|has|no)[-_]|.*[-_](free|less)$")
+#: Lines in a row that are all links, from which on they are a menu.
+LINKS = 3
 
 
-def marked(value: str) -> bool:
-    """Whether a class or id names a part that is no content."""
-    return any(not OUTSIDE_WORDS.isdisjoint(_WORDS.findall(x)) for x in value.lower().split() if not _ABOUT.match(x))
+def marked(value: str, inside: bool) -> bool:
+    """Whether a class or id names a part that is no content; inside tells of an article or main around it."""
+    for k, token in enumerate(value.lower().split()):
+        if _ABOUT.match(token):
+            continue
+        words = _WORDS.findall(token)
+        if not words:
+            continue
+        first, last, alone = words[0], words[-1], len(words) == 1
+        if first in MARKS or last in MARKS:
+            return True
+        if not inside and (first in HEADS or last in HEADS):
+            return True
+        if (first in WEAK or last in WEAK) and (k == 0 if alone else first in PARTS or last in PARTS or first in WEAK and last in WEAK):
+            return True
+    return False
 
 
 class Lines(HTMLParser):
-    """Collects lines (text, tags, outside, region) from the parser's events."""
+    """Collects lines (text, link characters, tags, region) from the parser's events."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []  # text, tags, region
-        self.regions: list[str] = ["body"]
-        self.tops: list[int] = [0]  # the outermost article or main around each region
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.tops: list[int] = [0]  # the outermost article or main around each region; region 0 is the body
+        self.articles: list[bool] = [False]
         self.again: set[int] = set()  # articles inside parts marked by class or id
-        self.open: list[tuple[str, bool, bool, int]] = []  # name, outside, silent, region
-        self.firm: list[bool] = []  # for each of open: outside by element, role or hidden
+        self.open: list[tuple[str, bool, bool, bool, int, bool]] = [("", False, False, False, 0, False)]  # name, outside, firm (outside by element, role or hidden), silent, region, link
+        self.where: dict[str, list[int]] = {}  # places in open, by name
+        self.blocks: list[int] = [0]
+        self.lists: list[int] = [0]
         self.parts: list[str] = []
-        self.tags = 0
-
-    def state(self) -> tuple[bool, bool, int]:
-        return self.open[-1][1:] if self.open else (False, False, 0)
+        self.region = self.linked = self.tags = 0
+        self.closing = False
 
     def cut(self) -> None:
-        outside, silent, region = self.state()
         text = " ".join("".join(self.parts).split())
-        if text and not outside and not silent:
-            self.lines.append((text, self.tags, region))
         if text:
+            self.lines.append((text, self.linked, self.tags, self.region))
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked = [], 0
+
+    def drop(self, at: int) -> None:
+        """Close the open elements from a place on."""
+        while len(self.open) > at:
+            name = self.open.pop()[0]
+            self.where[name].pop()
+        for places in (self.blocks, self.lists):
+            while places[-1] >= at:
+                places.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.cut()
-            if tag in ENDS_P:
-                self.end_open({"p"}, until=BLOCKS - {"p"})
-            if tag in ("li", "tr", "td", "th", "dd", "dt"):
-                self.end_open({"dd", "dt"} if tag in ("dd", "dt") else {"td", "th"} if tag in ("td", "th") else {tag}, until={"ul", "ol", "dl", "table"})
+            if tag in ENDS_P and (p := self.where.get("p")) and p[-1] > self.blocks[-1]:
+                self.drop(p[-1])
+            if tag in ENDS_OWN and (last := max((x[-1] for n in ENDS_OWN[tag] if (x := self.where.get(n))), default=0)) > self.lists[-1]:
+                self.drop(last)
         self.tags += 1
         if tag in VOID:
             return
-        outside, silent, region = self.state()
-        silent = silent or tag in SILENT
-        firm, again = bool(self.open) and self.firm[len(self.open) - 1], False
-        if tag in ("article", "main") and outside and not firm and not any(v and k in ("class", "id") and marked(v) for k, v in attrs):
+        _, outside, firm, silent, region, link = self.open[-1]
+        silent, link, inside = silent or tag in SILENT, link or tag == "a", region > 0
+        again = False
+        if tag in REGIONS and outside and not firm and not any(v and k in ("class", "id") and marked(v, True) for k, v in attrs):
             outside, again = False, tag == "article"
         if tag not in ("html", "body", "article", "main"):
-            firm = firm or (tag in OUTSIDE and not (tag == "header" and self.regions[region] == "article"))
+            firm = firm or (tag in OUTSIDE and not (tag == "header" and self.articles[region]))
             for name, value in attrs:
                 if value and name in ("class", "id"):
-                    outside = outside or marked(value)
+                    outside = outside or marked(value, inside)
                 elif name == "role" and value:
                     firm = firm or value.lower() in OUTSIDE_ROLES
                 elif name == "hidden":
                     firm = True
         outside = outside or firm
-        if tag in ("article", "main") and not outside:
-            self.regions.append(tag)
-            top = self.tops[region]
-            region = len(self.regions) - 1
+        if tag in REGIONS and not outside:
+            top, region = self.tops[region], len(self.tops)
             self.tops.append(top or region)
+            self.articles.append(tag == "article")
             if again:
                 self.again.add(region)
-        del self.firm[len(self.open) :]
-        self.firm.append(firm)
-        self.open.append((tag, outside, silent, region))
-
-    def end_open(self, names: set[str], until: frozenset | set) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in names:
-                del self.open[i:]
-                return
-            if self.open[i][0] in until:
-                return
+        at = len(self.open)
+        self.where.setdefault(tag, []).append(at)
+        if tag in BLOCKS and tag != "p":
+            self.blocks.append(at)
+            if tag in LISTS:
+                self.lists.append(at)
+        self.open.append((tag, outside, firm, silent, region, link))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -123,9 +149,17 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self.cut()
         self.tags += 1
-        if any(x[0] == tag for x in self.open):
-            while self.open.pop()[0] != tag:
-                pass
+        if places := self.where.get(tag):
+            self.drop(places[-1])
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        """A comment that nothing ends goes on to the page's end, as in browsers."""
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 and self.closing else end
+
+    def close(self) -> None:
+        self.closing = True
+        super().close()
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         """An unknown section is a comment up to its next angle bracket, as in browsers; the library raises there."""
@@ -135,8 +169,16 @@ class Lines(HTMLParser):
             return self.rawdata.find(">", i + 3) + 1 or -1
 
     def handle_data(self, data: str) -> None:
-        if not self.state()[1]:
-            self.parts.append(data)
+        _, outside, _, silent, region, link = self.open[-1]
+        if outside or silent:
+            if data and not data.isspace():
+                self.tags = 0  # the tags of other parts are not the next line's
+            return
+        if not self.parts:
+            self.region = region
+        self.parts.append(data)
+        if link:
+            self.linked += len("".join(data.split()))
 
 
 def smoothed(x: np.ndarray, sigma: float) -> np.ndarray:
@@ -146,33 +188,75 @@ def smoothed(x: np.ndarray, sigma: float) -> np.ndarray:
     return full / np.convolve(np.ones(len(x)), kernel)[reach : reach + len(x)]
 
 
+def between(chosen: np.ndarray, menu: np.ndarray) -> np.ndarray:
+    """Of the body's lines: those from the first to the last chosen one and on to the menus beside them, without the menus."""
+    at = np.flatnonzero(chosen & ~menu)
+    if not len(at):
+        return ~menu
+    first, last = at[0], at[-1]
+    while first > 0 and not menu[first - 1]:
+        first -= 1
+    while last + 1 < len(menu) and not menu[last + 1]:
+        last += 1
+    keep = ~menu
+    keep[:first] = keep[last + 1 :] = False
+    return keep
+
+
+def runs(x: np.ndarray, least: int) -> np.ndarray:
+    """x where it holds so many times in a row."""
+    out = x.copy()
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], x, [False]]).astype(np.int8)))
+    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+        if b - a < least:
+            out[a:b] = False
+    return out
+
+
+def weights(top: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> dict[int, float]:
+    """The text of the chosen lines of each region."""
+    out: dict[int, float] = {}
+    for t, n in zip(top[chosen].tolist(), sizes[chosen].tolist(), strict=True):
+        out[t] = out.get(t, 0.0) + n
+    return out
+
+
+def parsed(html: str) -> Lines:
+    """The page's lines. Behind the last angle bracket no tag can end: an open one there is left out, as in browsers, and other text stays."""
+    parser, end = Lines(), html.rfind(">") + 1
+    tail = re.split(r"<(?=[A-Za-z/!?])", html[end:], maxsplit=1)[0]
+    parser.feed(html[:end])
+    parser.feed(tail.replace("<", "&lt;"))
+    parser.close()
+    parser.cut()
+    return parser
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
     if not html:
         return ""
-    parser = Lines()
-    parser.feed(html)
-    parser.close()
-    parser.cut()
+    parser = parsed(html)
     lines = parser.lines
     if not lines:
         return ""
     sizes = np.array([len(x[0]) for x in lines], dtype=float)
-    ratio = smoothed(sizes / np.maximum(1, [x[1] for x in lines]), sigma)
+    ratio = smoothed(sizes / np.maximum(1, [x[2] for x in lines]), sigma)
     chosen = ratio >= min(float(ratio.std()), float(ratio.max()))
-    weight: dict[int, float] = {}
-    for x, size, take in zip(lines, sizes, chosen, strict=True):
-        if take and x[2] not in parser.again:
-            weight[parser.tops[x[2]]] = weight.get(parser.tops[x[2]], 0.0) + size
-    body = weight.pop(0, 0.0)
-    if not weight and parser.again:  # no other region: articles in marked parts are the content
-        for x, size, take in zip(lines, sizes, chosen, strict=True):
-            if take and x[2] in parser.again:
-                weight[parser.tops[x[2]]] = weight.get(parser.tops[x[2]], 0.0) + size
-    elif parser.again:
-        lines = [x for x in lines if x[2] not in parser.again]
-    if body > sum(weight.values()):
-        return " ".join(x[0] for x in lines)
-    return " ".join(x[0] for x in lines if parser.tops[x[2]] in weight)
+    region = np.array([x[3] for x in lines])
+    top = np.array(parser.tops)[region]
+    again = np.isin(region, list(parser.again))
+    own = weights(top, sizes, chosen & ~again & (top > 0))
+    if own:
+        take = np.isin(top, list(own)) & ~again
+    else:  # articles in marked parts only where there is nothing else
+        own = weights(top, sizes, chosen & again)
+        take = np.isin(top, list(own))
+    body = top == 0
+    if sizes[chosen & body].sum() > sum(own.values()) or not own:
+        full = np.array([len(x[0].replace(" ", "")) for x in lines])
+        menu = runs(np.array([x[1] for x in lines])[body] >= 0.9 * full[body], LINKS)
+        take[np.flatnonzero(body)[between(chosen[body], menu)]] = True
+    return " ".join(x[0] for x, t in zip(lines, take.tolist(), strict=True) if t)
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
