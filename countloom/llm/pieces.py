@@ -5,8 +5,9 @@ what follows it. No piece has a mark after another character, so pieces never cr
 distinct words of a batch, sorted, form a trie in depth-first order: each word keeps the
 forward states of the prefix it shares with the word before and extends only the rest.
 
-For a unigram model the forward state of a prefix is the best score and its last piece, the usual Viterbi
-recurrence. A BPE model's result is not the best sum of scores; its forward state is the last piece of
+For a unigram model the forward state of a prefix is its best score and the last piece of that, the usual Viterbi
+recurrence; a character that no piece covers is unknown, at the least score less ``UNKNOWN``. A BPE model (its scores are the negative
+ranks of its merges, whole numbers) is told apart by its scores. Its result is not the best sum of scores; its forward state is the last piece of
 the prefix's own merge result, and a piece may follow another if merging the two of them
 gives back just these two. If all neighbours may follow each other, no merge of the whole word crosses a
 piece's border: the first that did would also be the best one within its two pieces. So each prefix has
@@ -28,25 +29,42 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Distinct words whose pieces a task keeps at once, and the longest of them; others are encoded when they come.
-KEEP, LONG = 800_000, 64
+KEEP, LONG = 300_000, 64
+#: Fixed value: how far an unknown character lies below the least score of a unigram model.
+UNKNOWN = 10.0
 
 
 class Vocabulary:
-    def __init__(self, path: str) -> None:
-        import sentencepiece
-
-        p = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.pieces = [p.id_to_piece(i) for i in range(p.get_piece_size())]
-        self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(len(self.pieces)) if p.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.unknown = p.unk_id()
-        plain = [i for i in range(len(self.pieces)) if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i) or p.is_unused(i))]
-        self.ids = {self.pieces[i]: i for i in plain}
-        self.score = {self.pieces[i]: p.get_score(i) for i in plain}
+    """Pieces with their scores; pieces of single bytes, control pieces and the unknown piece by their ids."""
+
+    def __init__(self, pieces: list[str], scores: list[float], byte_of: dict[int, int], control: set[int], unknown: int, unused: set[int] = frozenset()) -> None:
+        self.byte_of, self.unknown = byte_of, unknown
+        self.bytes = {b: i for i, b in byte_of.items()}
+        plain = [i for i in range(len(pieces)) if i not in byte_of and i not in control and i != unknown and i not in unused]
+        self.ids = {pieces[i]: i for i in plain}
+        self.score = {pieces[i]: scores[i] for i in plain}
         self.longest = max(map(len, self.ids))
+        self.bpe = all(x <= 0 and x == int(x) for x in self.score.values())
+        self.lowest = min(self.score.values()) - UNKNOWN
+        ending: dict[str, set[int]] = {}
+        for x in self.ids:
+            if len(x) > 1:
+                ending.setdefault(x[-2:], set()).add(len(x))
+        #: The lengths of the pieces that end in two characters, longest first.
+        self.ending = {x: sorted(n, reverse=True) for x, n in ending.items()}
         self.follows: dict[str, dict[str, bool]] = {}
         self.n_follows = 0
-        self.raw = [b"" if p.is_control(i) else bytes([self.byte_of[i]]) if i in self.byte_of else x.encode() for i, x in enumerate(self.pieces)]
+        self.raw = [b"" if i in control else bytes([byte_of[i]]) if i in byte_of else x.encode() for i, x in enumerate(pieces)]
+
+    @classmethod
+    def read(cls, path: str) -> Vocabulary:
+        import sentencepiece
+
+        p = sentencepiece.SentencePieceProcessor(model_file=path)
+        every = range(p.get_piece_size())
+        pieces = [p.id_to_piece(i) for i in every]
+        byte_of = {i: int(pieces[i][3:5], 16) for i in every if p.is_byte(i)}
+        return cls(pieces, [p.get_score(i) for i in every], byte_of, {i for i in every if p.is_control(i)}, p.unk_id(), {i for i in every if p.is_unused(i)})
 
     def merged(self, word: str) -> list[str]:
         """BPE: join the neighbours whose joint piece has the best score, the leftmost of equals, until none is left."""
@@ -91,38 +109,58 @@ class Vocabulary:
                 out.append(i)
             elif self.bytes:
                 out += [self.bytes[b] for b in x.encode("utf-8", "surrogatepass")]
-            else:
+            elif out[-1:] != [self.unknown]:  # a run of unknown characters is one piece
                 out.append(self.unknown)
         return out
 
     def encode_sorted(self, words: list[str]) -> dict[str, list[int]]:
         """The ids of distinct sorted words: one depth-first pass over their trie."""
-        out, before, last = {}, "", [""]  # last[i]: the last piece of the first i characters
-        ids, follows, longest, none = self.ids, self.follows, self.longest, {}
+        out, before = {}, ""
+        last, best = [""], [0.0]  # of the first i characters: the last piece, and the score (of a unigram model)
+        extend = self.extend_bpe if self.bpe else self.extend_unigram
         for word in words:
-            size = len(word)
-            shared, most = 0, min(size, len(before))
+            shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del last[shared + 1 :]
-            for end in range(shared + 1, size + 1):
-                for start in range(end - longest if end > longest else 0, end):
-                    piece = word[start:end]
-                    if piece in ids or end - start == 1:
-                        if start == 0:
-                            break
-                        ok = follows.get(last[start], none).get(piece)
-                        if ok if ok is not None else self.may_follow(last[start], piece):
-                            break
-                last.append(piece)
+            del last[shared + 1 :], best[shared + 1 :]
+            extend(word, shared, last, best)
             before = word
-            parts, end = [], size
+            parts, end = [], len(word)
             while end:
                 parts.append(last[end])
                 end -= len(last[end])
             out[word] = self.id_list(parts[::-1])
         return out
 
+    def extend_bpe(self, word: str, shared: int, last: list[str], best: list[float]) -> None:
+        ids, follows, ending, none = self.ids, self.follows, self.ending, {}
+        for end in range(shared + 1, len(word) + 1):
+            for n in ending.get(word[end - 2 : end], ()) if end > 1 else ():
+                start = end - n
+                if start < 0:
+                    continue
+                piece = word[start:end]
+                if piece in ids:
+                    if start == 0:
+                        break
+                    ok = follows.get(last[start], none).get(piece)
+                    if ok if ok is not None else self.may_follow(last[start], piece):
+                        break
+            else:
+                piece = word[end - 1]
+            last.append(piece)
+
+    def extend_unigram(self, word: str, shared: int, last: list[str], best: list[float]) -> None:
+        score, ending = self.score, self.ending
+        for end in range(shared + 1, len(word) + 1):
+            piece = word[end - 1]
+            top = best[end - 1] + score.get(piece, self.lowest)
+            for n in ending.get(word[end - 2 : end], ()) if end > 1 else ():
+                if n <= end and (s := score.get(word[end - n : end])) is not None and best[end - n] + s > top:
+                    top, piece = best[end - n] + s, word[end - n : end]
+            last.append(piece)
+            best.append(top)
+
     def decode(self, ids) -> str:
         raw = self.raw
         return b"".join([raw[i] for i in ids]).decode("utf-8", "replace").replace(MARK, " ")[1:]
@@ -144,7 +182,7 @@ _KNOWN: dict[str, dict[str, bytes]] = {}
 
 def encode_batch(texts: list[str], model: str) -> tuple[list[bytes], list[bool]]:
     """The ids (int32, as bytes) of each text, and whether they decode to it."""
-    v = _VOCABULARIES.setdefault(model, None) or _VOCABULARIES.update({model: Vocabulary(model)}) or _VOCABULARIES[model]
+    v = _VOCABULARIES.setdefault(model, None) or _VOCABULARIES.update({model: Vocabulary.read(model)}) or _VOCABULARIES[model]
     known = _KNOWN.setdefault(model, {})
     words = [marked_words(x) for x in texts]
     distinct = set().union(*words)
@@ -188,7 +226,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """encoded with text, the decoded ids (null ids: null)."""
 
     def run(batches):
-        v = Vocabulary(model)
+        v = Vocabulary.read(model)
         for b in batches:
             texts = [None if x is None else v.decode(x) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "text"])
