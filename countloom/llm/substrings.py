@@ -215,8 +215,10 @@ def repeated_spans(texts: DataFrame, length: int, most: int) -> DataFrame:
     texts = texts.filter(F.octet_length("text") >= length)
     grams = texts.mapInArrow(lambda x: _hashes(x, length, False), "gram long, occurrence long")
     repeated = grams.groupBy("gram").agg(F.min("occurrence").alias("x"), F.max("occurrence").alias("y")).filter("x != y").select("gram")
+    repeated = written(repeated, "repeat-grams")
+    # Up to the bound the places are filtered where they arise; beyond it both sides are plain shuffles, which Spark splits where a hash is frequent.
     places = texts.mapInArrow(lambda x: _hashes(x, length, True), "gram long, id binary, place long")
-    places = places.join(repeated, "gram", "left_semi").groupBy("id").agg(F.collect_set("place").alias("places"))
+    places = places.join(small_or_not(repeated, repeated.count(), most), "gram", "left_semi").groupBy("id").agg(F.collect_set("place").alias("places"))
     places = written(places, "repeat-places")
     chosen = texts.join(places, "id")
     segments = chosen.select("id", "text", "places").mapInArrow(lambda x: _segments(x, length), "gram long, id binary, start long, distance int, bytes binary")
