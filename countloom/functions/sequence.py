@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def umi_code(umi: Column) -> Column:
-    """The base-4 number of a barcode, A=0, C=1, G=2, T=3, first base highest."""
-    return F.conv(F.translate(umi, "ACGT", "0123"), 4, 10).cast("long")
+    """The base-4 number of a barcode, A=0, C=1, G=2, T=3, first base highest; null where it holds another letter."""
+    return F.when(umi.rlike("^[ACGT]+$"), F.conv(F.translate(umi, "ACGT", "0123"), 4, 10).cast("long"))
 
 
 def umi_text(code: Column, length: int) -> Column:

@@ -41,18 +41,27 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], at: str, since: st
     return out.select("_row.*", F.col("_v.since").alias(since), F.col("_v.value").alias(value))
 
 
-def merged(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """Unions of overlapping or touching integer intervals, whatever order they come in."""
-    w = Window.partitionBy(*keys).orderBy(start, end)
+def _islands(d: DataFrame, within: list[str], keys: list[str], start: str, end: str) -> DataFrame:
+    w = Window.partitionBy(*within).orderBy(start, end)
     reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    d = intervals.withColumn("_new", F.coalesce((F.col(start) > reach + 1).cast("int"), F.lit(1)))
-    return d.withColumn("_island", F.sum("_new").over(w)).groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+    d = d.withColumn("_new", F.coalesce((F.col(start) > reach + 1).cast("int"), F.lit(1)))
+    return d.withColumn("_island", F.sum("_new").over(w)).groupBy(*within, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).select(*keys, start, end)
 
 
-def gaps(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+def merged(intervals: DataFrame, keys: list[str], start: str, end: str, block: int = 1 << 20) -> DataFrame:
+    """Unions of overlapping or touching integer intervals, whatever order they come in.
+
+    Intervals are merged first among those that begin in the same block of positions, so that a key's rows spread over its blocks, and then what is left
+    of a key is merged over its blocks.
+    """
+    d = intervals.select(*keys, start, end).withColumn("_block", F.floor(F.col(start) / block))
+    return _islands(_islands(d, [*keys, "_block"], keys, start, end), keys, keys, start, end)
+
+
+def gaps(intervals: DataFrame, keys: list[str], start: str, end: str, block: int = 1 << 20) -> DataFrame:
     """What lies between the merged intervals of a key."""
     before = F.lag(end).over(Window.partitionBy(*keys).orderBy(start))
-    d = merged(intervals, keys, start, end).withColumn("_before", before).filter("_before is not null")
+    d = merged(intervals, keys, start, end, block).withColumn("_before", before).filter("_before is not null")
     return d.select(*keys, (F.col("_before") + 1).alias("gap_start"), (F.col(start) - 1).alias("gap_end"))
 
 

@@ -29,22 +29,38 @@ def nearest_rank(d: DataFrame, keys: list[str], x: str, p: float) -> DataFrame:
     return n.filter("_upto >= _place and _upto - _n < _place").select(*keys, F.col(x).alias("value"))
 
 
+def medians(d: DataFrame, keys: list[str], x: str) -> DataFrame:
+    """keys and median. Equal values are counted before the window, so no task holds the rows of a group."""
+    n = d.filter(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*keys)
+    n = n.withColumn("_upto", F.sum("_n").over(w.orderBy(x))).withColumn("_all", F.sum("_n").over(w))
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
+    holds = lambda k: (F.col("_upto") >= k) & (F.col("_upto") - F.col("_n") < k)
+    return n.groupBy(*keys).agg(((F.max(F.when(holds(low), F.col(x))) + F.max(F.when(holds(high), F.col(x)))) / 2).alias("median"))
+
+
 def describe(d: DataFrame, keys: list[str], x: str) -> DataFrame:
     c = F.col(x)
-    return d.groupBy(*keys).agg(
+    moments = d.groupBy(*keys).agg(
         F.count(c).alias("n"), F.avg(c).alias("mean"), F.var_samp(c).alias("variance"), F.stddev_samp(c).alias("sd"), (F.stddev_samp(c) / F.sqrt(F.count(c))).alias("sem"),
-        (F.stddev_samp(c) / F.avg(c)).alias("cv"), F.median(c).alias("median"), sample_skewness(c).alias("skewness"), sample_kurtosis(c).alias("kurtosis"),
+        (F.stddev_samp(c) / F.avg(c)).alias("cv"), sample_skewness(c).alias("skewness"), sample_kurtosis(c).alias("kurtosis"),
     )
+    return moments.join(medians(d, keys, x), keys, "left")
 
 
 def robust_mean(d: DataFrame, keys: list[str], x: str, c: float = 5.0, epsilon: float = 1e-4) -> DataFrame:
-    """One step of Tukey's biweight about the median, in units of c times the median absolute deviation."""
-    med = d.groupBy(*keys).agg(F.median(x).alias("_m"))
-    e = d.join(med, keys).withColumn("_a", F.abs(F.col(x) - F.col("_m")))
-    mad = e.groupBy(*keys).agg(F.median("_a").alias("_mad"))
-    u = (F.col(x) - F.col("_m")) / (c * F.col("_mad") + epsilon)
-    w = F.when(F.abs(u) < 1, F.pow(1 - u * u, 2)).otherwise(0.0)
-    return e.join(mad, keys).withColumn("_w", w).groupBy(*keys).agg((F.sum(F.col("_w") * F.col(x)) / F.sum("_w")).alias("robust_mean"))
+    """One step of Tukey's biweight about the median, in units of c times the median absolute deviation. All steps run on counted values."""
+    n = d.filter(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count("*").alias("_times"))
+    e = n.join(medians(d, keys, x), keys).withColumn("_a", F.abs(F.col(x) - F.col("median")))
+    far = e.groupBy(*keys, "_a").agg(F.sum("_times").alias("_n"))
+    w = Window.partitionBy(*keys)
+    far = far.withColumn("_upto", F.sum("_n").over(w.orderBy("_a"))).withColumn("_all", F.sum("_n").over(w))
+    holds = lambda k: (F.col("_upto") >= k) & (F.col("_upto") - F.col("_n") < k)
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
+    mad = far.groupBy(*keys).agg(((F.max(F.when(holds(low), F.col("_a"))) + F.max(F.when(holds(high), F.col("_a")))) / 2).alias("_mad"))
+    u = (F.col(x) - F.col("median")) / (c * F.col("_mad") + epsilon)
+    weight = F.when(F.abs(u) < 1, F.pow(1 - u * u, 2)).otherwise(0.0) * F.col("_times")
+    return e.join(mad, keys).withColumn("_w", weight).groupBy(*keys).agg((F.sum(F.col("_w") * F.col(x)) / F.sum("_w")).alias("robust_mean"))
 
 
 def histogram(d: DataFrame, x: str, low: float, width: float, bins: int) -> DataFrame:
@@ -54,10 +70,11 @@ def histogram(d: DataFrame, x: str, low: float, width: float, bins: int) -> Data
 
 
 def ranks(d: DataFrame, keys: list[str], x: str, alias: str) -> DataFrame:
-    """Ranks with the mean rank for ties."""
-    ties = F.count("*").over(Window.partitionBy(*keys, x))
-    first = F.rank().over(Window.partitionBy(*keys).orderBy(x))
-    return d.withColumn(alias, first + (ties - 1) / 2)
+    """d with ranks, the mean rank for ties. The window runs over counted values, which are joined back by value."""
+    n = d.groupBy(*keys, x).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(x))
+    n = n.select(*keys, x, (upto - (F.col("_n") - 1) / 2).alias(alias))
+    return d.join(n, [*keys, x])
 
 
 def correlation(x: str, y: str) -> Column:
@@ -66,7 +83,8 @@ def correlation(x: str, y: str) -> Column:
 
 
 def spearman(d: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    return ranks(ranks(d, keys, x, "_rx"), keys, y, "_ry").groupBy(*keys).agg(correlation("_rx", "_ry").alias("rho"))
+    both = d.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return ranks(ranks(both, keys, x, "_rx"), keys, y, "_ry").groupBy(*keys).agg(correlation("_rx", "_ry").alias("rho"))
 
 
 def z_scores(d: DataFrame, keys: list[str], x: str) -> DataFrame:

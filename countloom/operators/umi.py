@@ -23,7 +23,7 @@ THRESHOLDS = {
 
 
 def molecule_counts(counts: DataFrame, keys: list[str], rule: str = "none", param: int = 1) -> DataFrame:
-    """Reads and molecules of each key, counting codes with more reads than the rule's threshold; one pass over the window of a key."""
+    """Reads and molecules of each key, counting codes with more reads than the rule's threshold. Three rules aggregate the threshold first and join it back by key."""
     limits = counts.groupBy(*keys).agg(THRESHOLDS[rule](param).cast("long").alias("limit"))
     d = counts.join(limits, keys) if rule not in ("none", "lowpass") else counts.withColumn("limit", F.lit(0 if rule == "none" else param).cast("long"))
     return d.groupBy(*keys).agg(F.sum("n_reads").alias("n_reads"), F.count("*").alias("n_umis"), F.count_if(F.col("n_reads") > F.col("limit")).alias("n_molecules"))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from countloom.functions import distance, sequence
 from countloom.operators import intervals, matrix, relational, stats, umi
-from countloom.plans import groups, profiles
+from countloom.plans import cells, genes, groups, profiles
+from countloom.plans import reads as extraction
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -181,12 +182,12 @@ ISLANDS = f"""WITH {ORDER_DAYS}, n AS (SELECT *, CASE WHEN s <= max(e) OVER (PAR
 
 @query(f"{ISLANDS} SELECT o_orderpriority, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM i")
 def merge_intervals(spark, sf_dir):
-    return intervals.merged(_order_days(spark, sf_dir), ["o_orderpriority"], "s", "e")
+    return intervals.merged(_order_days(spark, sf_dir), ["o_orderpriority"], "s", "e", 50)
 
 
 @query(f"{ISLANDS} SELECT o_orderpriority, CAST(b + 1 AS BIGINT) AS gap_start, CAST(s - 1 AS BIGINT) AS gap_end FROM (SELECT *, lag(e) OVER (PARTITION BY o_orderpriority ORDER BY s) AS b FROM i) WHERE b IS NOT NULL")
 def interval_gaps(spark, sf_dir):
-    return intervals.gaps(_order_days(spark, sf_dir), ["o_orderpriority"], "s", "e")
+    return intervals.gaps(_order_days(spark, sf_dir), ["o_orderpriority"], "s", "e", 50)
 
 
 @query(f"""WITH {ORDER_DAYS}, x AS (SELECT o_orderpriority, s AS pos, 1 AS w FROM d UNION ALL SELECT o_orderpriority, e + 1, -1 FROM d), y AS (SELECT o_orderpriority, pos, sum(w) AS w FROM x GROUP BY ALL),
@@ -290,9 +291,9 @@ def complexity_per_lane(spark, sf_dir):
     return d.groupBy("event_type").agg(F.round(F.countDistinct("user_id") / F.count("*"), 6).alias("complexity"))
 
 
-@query("SELECT l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) = 1")
+@query("SELECT l_orderkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_suppkey) = 1")
 def barcode_unique_positions(spark, sf_dir):
-    d = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.min("l_suppkey").alias("l_suppkey"), F.max("l_suppkey").alias("top"))
+    d = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("l_suppkey"), F.max("l_suppkey").alias("top"))
     return d.filter("l_suppkey = top").drop("top")
 
 
@@ -315,5 +316,5 @@ def cv_by_feature(spark, sf_dir):
     return matrix.cv_by_feature(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity").select("l_suppkey", F.round("mean", 6).alias("mean"), F.round("cv", 6).alias("cv"))
 
 
-for _f, _sql in [*relational.QUERIES, *profiles.QUERIES, *groups.QUERIES]:
+for _f, _sql in [*relational.QUERIES, *profiles.QUERIES, *groups.QUERIES, *extraction.QUERIES, *genes.QUERIES, *cells.QUERIES]:
     query(_sql)(_f)
