@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -61,6 +61,58 @@ def not_in(d: DataFrame, key: str, other: DataFrame) -> DataFrame:
     return e.join(o.distinct(), F.col(key) == F.col("_o"), "left_anti").drop("_rows", "_nulls")
 
 
+def filtered(d: DataFrame, tests: list) -> DataFrame:
+    """Rows that pass all tests, each applied to what the ones before it left."""
+    for t in tests:
+        d = d.filter(t)
+    return d
+
+
+def transposed(d: DataFrame, row: str, column: str) -> DataFrame:
+    """A matrix in long form with its axes swapped."""
+    swap = {row: column, column: row}
+    return d.select(*[F.col(c).alias(swap.get(c, c)) for c in d.columns])
+
+
+def group_mapping(d: DataFrame, group: str, taxon: str, gene: str, first: int, second: int) -> DataFrame:
+    """first, second and group: the genes of two taxa in the same group."""
+    of = lambda t, name: d.filter(F.col(taxon) == t).select(group, F.col(gene).alias(name))
+    return of(first, "first").join(of(second, "second"), group).select("first", "second", group)
+
+
+def fallback_lookup(d: DataFrame, key: str, names: str, gene: str, note: str, notes: DataFrame) -> DataFrame:
+    """d with empty notes filled: from the first of the ;-separated names that has one, else by the gene. notes: key, value; keys are unique."""
+    n = d.select(key, F.posexplode(F.split(names, ";")).alias("_k", "key")).join(notes, "key").groupBy(key).agg(F.min_by("value", "_k").alias("_by_name"))
+    g = notes.select(F.col("key").alias(gene), F.col("value").alias("_by_gene"))
+    out = d.join(n, key, "left").join(g, gene, "left")
+    filled = F.coalesce(F.when(F.col(note) != "", F.col(note)), "_by_name", "_by_gene", F.lit(""))
+    return out.withColumn(note, filled).drop("_by_name", "_by_gene")
+
+
+def genomic_order(d: DataFrame, chromosome: str, first: list[str], start: str, length: str, tie: str) -> DataFrame:
+    """Rows by chromosome (those of first before the others), start, and the longer ones first."""
+    return d.orderBy(F.when(F.col(chromosome).isin(first), 0).otherwise(1), chromosome, start, F.desc(length), tie)
+
+
+def numbered(d: DataFrame, chromosome: str, first: list[str], start: str, tie: str, lengths: DataFrame) -> DataFrame:
+    """A page of rows in genomic order with their place (from 1). The window runs over the page."""
+    w = Window.orderBy(F.when(F.col(chromosome).isin(first), 0).otherwise(1), chromosome, start, F.desc(lengths.columns[1]), tie)
+    return d.join(lengths, tie).withColumn("place", F.row_number().over(w)).drop(lengths.columns[1])
+
+
+def chromosome_places(names: DataFrame, name: str) -> DataFrame:
+    """Distinct names with their place: numbers by value, then the rest by text. There are as many rows as chromosomes."""
+    return names.withColumn("place", F.row_number().over(Window.orderBy(F.expr(f"try_cast({name} as int)").asc_nulls_last(), name)))
+
+
+def term_filter(d: DataFrame, key: str, terms: str, ancestors: DataFrame, listed: list) -> DataFrame:
+    """Rows of which any ;-separated term is a listed one or a descendant of one."""
+    below = ancestors.filter(F.col("ancestor").isin(listed)).select(F.col("child").cast("string").alias("_t")).distinct()
+    own = d.sparkSession.createDataFrame([(str(x),) for x in listed], "_t string")
+    hits = d.select(key, F.explode(F.split(terms, ";")).alias("_t")).join(below.unionByName(own).distinct(), "_t").select(key).distinct()
+    return d.join(hits, key, "left_semi")
+
+
 def lims_rollup_list(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
     c = _t(spark, sf_dir, "customer").join(_t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
