@@ -44,4 +44,14 @@ def jaccard(a: Column, b: Column) -> Column:
     return 1 / (F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)) + 1e-9)
 
 
-METRICS = {f.__name__: f for f in (euclidean, sq_euclidean, manhattan, chebyshev, minkowski, canberra, bray_curtis, jaccard)}
+def error_sum(a: Column, b: Column) -> Column:
+    """The error sum of squares of two points about their mean."""
+    return sq_euclidean(a, b) / 2
+
+
+def chi_square(a: Column, b: Column) -> Column:
+    """The root of the sum of both arrays of transformed values; places where a value is missing are left out."""
+    return F.sqrt(_sum(a, b, lambda x, y: F.coalesce(F.nanvl(x + y, F.lit(0.0)), F.lit(0.0))))
+
+
+METRICS = {f.__name__: f for f in (euclidean, sq_euclidean, manhattan, chebyshev, minkowski, canberra, bray_curtis, jaccard, error_sum, chi_square)}

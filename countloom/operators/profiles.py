@@ -83,6 +83,12 @@ def welch(d: DataFrame, keys: list[str], x: str, first: Column, second: Column)
     return m.select(*keys, ((F.col("ma") - F.col("mb")) / F.sqrt(p + q)).alias("t"), df.alias("df"))
 
 
+def one_sample(d: DataFrame, keys: list[str], x: str, reference: float) -> DataFrame:
+    """t and degrees of freedom of each group's mean against a reference."""
+    m = d.groupBy(*keys).agg(((F.avg(x) - reference) / (F.stddev_samp(x) / F.sqrt(F.count(x)))).alias("t"), (F.count(x) - 1).alias("df"))
+    return m.select(*keys, "t", "df")
+
+
 def fitted_line(d: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """Least squares through the mean y of each distinct x."""
     means = d.groupBy(*keys, x).agg(F.avg(y).alias(y))
