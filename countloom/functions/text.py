@@ -89,5 +89,5 @@ def path_safe(moment: Column) -> Column:
 
 
 def phred(p: Column) -> Column:
-    """The quality of an error probability, rounded."""
-    return F.bround(-10 * F.log10(p), 0).cast("int")
+    """The quality of an error probability, cut to a whole number."""
+    return (-10 * F.log10(p)).cast("int")

@@ -262,11 +262,11 @@ def path_safe_dates(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", text.path_safe(F.col("o_orderdate")).alias("name"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_discount, CAST(round_even(-10 * log10(l_discount + 0.001), 0) AS INTEGER) AS q, round(10 ** (-round_even(-10 * log10(l_discount + 0.001), 0) / 10), 6) AS p FROM lineitem WHERE l_orderkey % 7 = 0")
+@query("SELECT l_orderkey, l_linenumber, l_discount, CAST(trunc(-10 * log10(l_discount + 0.0011)) AS INTEGER) AS q, round(10 ** (-trunc(-10 * log10(l_discount + 0.0011)) / 10), 6) AS p FROM lineitem WHERE l_orderkey % 7 = 0")
 def phred_scores(spark, sf_dir):
     from countloom.functions import sequence
 
-    d = table(spark, sf_dir, "lineitem").filter("l_orderkey % 7 = 0").select("l_orderkey", "l_linenumber", "l_discount", text.phred(F.col("l_discount") + 0.001).alias("q"))
+    d = table(spark, sf_dir, "lineitem").filter("l_orderkey % 7 = 0").select("l_orderkey", "l_linenumber", "l_discount", text.phred(F.col("l_discount") + 0.0011).alias("q"))
     return d.withColumn("p", F.round(sequence.phred_probability(F.col("q")), 6))
 
 

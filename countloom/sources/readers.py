@@ -59,9 +59,144 @@ def fastq(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quality_base(reads: DataFrame) -> DataFrame:
-    """One row with base: 33 if some quality code is below 64, else 0 as both bases fit."""
-    codes = reads.select(F.explode(F.split("qual", "")).alias("c")).filter("c != ''")
-    return codes.agg(F.when(F.min(F.ascii("c")) < 64, 33).otherwise(0).alias("base"))
+    """One row with base: 33 where only that one fits, 0 where 64 fits too; fails where a code is below 33 or above 126.
+
+    Codes from 64 on fit both bases, so 64 alone is never the answer.
+    """
+    codes = reads.select(F.explode(F.split("qual", "")).alias("c")).filter("c != ''").agg(F.min(F.ascii("c")).alias("low"), F.max(F.ascii("c")).alias("high"))
+    none = F.raise_error(F.concat(F.lit("quality codes from "), "low", F.lit(" to "), "high")).cast("int")
+    return codes.select(F.when((F.col("low") < 33) | (F.col("high") > 126), none).when(F.col("low") < 64, 33).otherwise(0).alias("base"))
+
+
+def typed(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
+    """A table of the given columns; a value that doesn't fit its type fails the job. Lines that begin with # are left out."""
+    return spark.read.csv(path, schema=schema, sep="\t", header=header, mode="FAILFAST", comment="#", enforceSchema=not header)
+
+
+def mapped(spark: SparkSession, path: str, columns: dict, header: bool = False) -> DataFrame:
+    """Lines of a tab-separated file through expressions over their fields: name -> function of the array of fields. Blank lines are left out, and a header line where there is one."""
+    d = spark.read.text(path).filter(F.trim("value") != "")
+    if header:
+        d = d.filter(F.col("_metadata.file_block_start") + F.monotonically_increasing_id() % (1 << 33) > 0)
+    return d.select(F.split("value", "\t").alias("_f")).select(*[f(F.col("_f")).alias(name) for name, f in columns.items()])
+
+
+def expression(spark: SparkSession, path: str) -> DataFrame:
+    """A table of counts in long form (gene, sample, value): the line with the cell "Sample:" names the samples, the columns behind it hold their counts.
+
+    Spikes, repeats and single-molecule rows are left out; gene names are in lower case.
+    """
+    d = spark.read.text(path).select(F.split(F.rtrim("value"), "\t").alias("f"))
+    head = F.broadcast(d.filter(F.array_contains("f", "Sample:")).select(F.col("f").alias("h"), F.array_position("f", "Sample:").cast("int").alias("at")).limit(1))
+    rows = d.filter(~F.array_contains("f", "Sample:") & (F.size("f") > 1) & ~F.col("f")[0].rlike("(?i)^(RNA_SPIKE|r_|SingleMol)")).join(head, F.size("f") >= F.size("h"))
+    cells = F.explode(F.transform(F.sequence(F.col("at"), F.size("h") - 1), lambda i: F.struct(F.get("h", i).alias("sample"), F.get("f", i).try_cast("double").alias("value"))))
+    return rows.select(F.lower(F.col("f")[0]).alias("gene"), cells.alias("c")).select("gene", "c.*").filter("value is not null")
+
+
+def colour_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """id, annotations (a map of the header's /key=value) and seq; lines that begin with # are left out. Files split between records."""
+    d = fasta_records(spark, path)
+    pairs = F.regexp_extract_all("header", F.lit(r"/(\w+=[^\s/]*)"), F.lit(1))
+    return d.select(F.regexp_extract("header", r"^(\S+)", 1).alias("id"), F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.split(p, "=")[0], F.split(p, "=")[1]))).alias("annotations"), "seq")
+
+
+def fasta_records(spark: SparkSession, path: str) -> DataFrame:
+    """header and seq of records, without lines that begin with #."""
+    text = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", r"\r", ""), r"(?m)^#.*\n?", ""), "^>", "")
+    d = spark.read.option("lineSep", "\n>").text(path).select(F.split(text, "\n", 2).alias("x"))
+    return d.select(F.col("x")[0].alias("header"), F.regexp_replace(F.coalesce(F.get("x", F.lit(1)), F.lit("")), r"\s", "").alias("seq")).filter("header != ''")
+
+
+def sequence_lines(spark: SparkSession, path: str) -> DataFrame:
+    """read_id, seq, qual and pf of a file with one read a line: 11 columns whose last is the filter's flag, bases . read as N."""
+    c = F.split("value", "\t")
+    d = spark.read.text(path).filter(F.size(c) >= 11)
+    return d.select(F.concat_ws(":", c[0], c[2], c[3], c[4], c[5]).alias("read_id"), F.replace(c[8], F.lit("."), F.lit("N")).alias("seq"), c[9].alias("qual"), (F.trim(c[10]) == "1").alias("pf"))
+
+
+def multi_mappings(spark: SparkSession, path: str) -> DataFrame:
+    """read_id, n_other and mappings (structs in the order of the file's places) of a map file, one row a read."""
+    d = bowtie_map(spark, path).withColumn("_k", F.monotonically_increasing_id())
+    one = F.struct("_k", "strand", "chr", "pos", "mismatches")
+    g = d.groupBy("read_id").agg(F.max("n_other").alias("n_other"), F.array_sort(F.collect_list(one)).alias("m"))
+    return g.select("read_id", "n_other", F.transform("m", lambda x: F.struct(x["strand"].alias("strand"), x["chr"].alias("chr"), x["pos"].alias("pos"), x["mismatches"].alias("mismatches"))).alias("mappings"))
+
+
+def plate_layout(spark: SparkSession, path: str) -> DataFrame:
+    """well, species, merge and annotations (a map of the other columns) of a layout table; a row without Merge merges with none."""
+    wide = spark.read.csv(path, sep="\t", header=True, comment="#")
+    well, species, *rest = wide.columns
+    notes = [x for c in rest if c != "Merge" for x in (F.lit(c), F.col(f"`{c}`"))]
+    merge = F.coalesce(F.col("Merge"), F.lit("")) if "Merge" in rest else F.lit("")
+    return wide.select(F.col(f"`{well}`").alias("well"), F.col(f"`{species}`").alias("species"), merge.alias("merge"), F.create_map(*notes).alias("annotations") if notes else F.create_map().alias("annotations"))
+
+
+def repeat_masker(spark: SparkSession, path: str) -> DataFrame:
+    """chr, start, end, strand and name (with the prefix r_) of repeats, 0-based and inclusive: of an .out file (columns apart by blanks) or a database table (by tabs, with a bin before)."""
+    d = spark.read.text(path).select(F.col("value"), F.split(F.trim("value"), r"\s+").alias("o"), F.split("value", "\t").alias("t"))
+    table = (F.size("t") >= 13) & F.col("t")[6].rlike("^[0-9]+$")
+    out = ~table & (F.size("o") >= 11) & F.col("o")[5].rlike("^[0-9]+$")
+    pick = lambda a, b: F.when(table, a).otherwise(b)
+    strand = F.when(pick(F.get("t", F.lit(9)), F.get("o", F.lit(8))) == "+", "+").otherwise("-")
+    return d.filter(table | out).select(
+        F.regexp_replace(pick(F.get("t", F.lit(5)), F.get("o", F.lit(4))), "^chr", "").alias("chr"),
+        pick(F.get("t", F.lit(6)).try_cast("long"), F.get("o", F.lit(5)).try_cast("long") - 1).alias("start"), (pick(F.get("t", F.lit(7)), F.get("o", F.lit(6))).try_cast("long") - 1).alias("end"),
+        strand.alias("strand"), F.concat(F.lit("r_"), pick(F.get("t", F.lit(10)), F.get("o", F.lit(9)))).alias("name"),
+    )
+
+
+def psl(spark: SparkSession, path: str) -> DataFrame:
+    """Alignments of a PSL file: query, strand, target, start and end (0-based, end exclusive), matches, mismatches and blocks (structs size, q, t); header and short lines are left out."""
+    c = F.split("value", "\t")
+    numbers = lambda x: F.transform(F.filter(F.split(x, ","), lambda v: v != ""), lambda v: v.cast("long"))
+    blocks = F.transform(F.arrays_zip(numbers(c[18]).alias("size"), numbers(c[19]).alias("q"), numbers(c[20]).alias("t")), lambda z: z)
+    d = spark.read.text(path).filter((F.size(c) >= 21) & c[0].rlike("^[0-9]+$"))
+    return d.select(c[9].alias("query"), c[8].alias("strand"), c[13].alias("target"), c[15].cast("long").alias("start"), c[16].cast("long").alias("end"), c[0].cast("long").alias("matches"), c[1].cast("long").alias("mismatches"), blocks.alias("blocks"))
+
+
+def gene_association(spark: SparkSession, path: str) -> DataFrame:
+    """gene and term of an association file, without those marked NOT; lines that begin with ! are left out."""
+    c = F.split("value", "\t")
+    d = spark.read.text(path).filter(~F.col("value").startswith("!") & (F.size(c) >= 5) & ~c[3].contains("NOT"))
+    return d.select(c[2].alias("gene"), c[4].alias("term")).distinct()
+
+
+def spikes(spark: SparkSession, path: str) -> DataFrame:
+    """name and fraction of a spike table."""
+    return spark.read.csv(path, sep="\t", comment="#", schema="name string, fraction double").filter("fraction is not null")
+
+
+def known_gene(spark: SparkSession, path: str) -> DataFrame:
+    """Gene models of a knownGene table, with the columns of ref_flat; the transcript's name stands for the gene's."""
+    c = F.split("value", "\t")
+    numbers = lambda x: F.transform(F.filter(F.split(x, ","), lambda v: v != ""), lambda v: v.cast("long"))
+    exons = F.zip_with(numbers(c[8]), numbers(c[9]), lambda s, e: F.struct(s.alias("s"), (e - 1).alias("e")))
+    d = spark.read.text(path).filter(~F.col("value").startswith("#")).filter(F.size(c) >= 10)
+    return d.select(c[0].alias("gene"), c[0].alias("transcript"), F.regexp_replace(c[1], "^chr", "").alias("chr"), c[2].alias("strand"), c[3].cast("long").alias("start"), (c[4].cast("long") - 1).alias("end"), exons.alias("exons"))
+
+
+def lanes(d: DataFrame, pattern: str) -> DataFrame:
+    """run, lane and index of patterns like run:12[:ACGT,TTGA]: a row for each lane digit, with the index of its place where there are any."""
+    p = F.split(pattern, ":")
+    d = d.select("*", p[0].alias("run"), F.posexplode(F.filter(F.split(p[1], ""), lambda x: x != "")).alias("_k", "lane"), F.split(F.coalesce(F.get(p, F.lit(2)), F.lit("")), ",").alias("_i"))
+    return d.withColumn("index", F.coalesce(F.get("_i", F.col("_k")), F.lit(""))).drop("_k", "_i")
+
+
+def lifted(features: DataFrame, contigs: DataFrame, label: str) -> DataFrame:
+    """features (contig, pos) on chromosomes: start + pos - 1 of the contigs (contig, chr, start, orientation, label) of a label that lie forward. The contigs are a small table."""
+    c = contigs.filter((F.col("label") == label) & (F.col("orientation") == "+")).select("contig", "chr", F.col("start").alias("_start"))
+    return features.join(F.broadcast(c), "contig").withColumn("pos", F.col("_start") + F.col("pos") - 1).drop("_start")
+
+
+def spatial_matrix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """cells (cell, x, y) and counts (gene, cell, value) of a matrix whose first line names the cells and whose lines X and Y hold their places."""
+    d = spark.read.text(path).select(F.split(F.rtrim("value"), "\t").alias("f")).withColumn("_k", F.monotonically_increasing_id())
+    names = d.filter("_k = 0").select(F.posexplode("f").alias("i", "cell")).filter("i > 0")
+    place = lambda n: d.filter(F.upper(F.col("f")[0]) == n).select(F.posexplode("f").alias("i", "_v")).select("i", F.col("_v").try_cast("int").alias(n.lower()))
+    cells = names.join(place("X"), "i").join(place("Y"), "i").select("i", "cell", "x", "y")
+    rows = d.filter(~F.upper(F.col("f")[0]).isin("X", "Y") & (F.col("_k") > 0)).select(F.col("f")[0].alias("gene"), F.posexplode("f").alias("i", "value")).filter("i > 0")
+    counts = rows.join(F.broadcast(names), "i").select("gene", "cell", F.col("value").try_cast("double").alias("value"))
+    return cells.drop("i"), counts
 
 
 def gff3(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,3 +42,59 @@ def wide(cells: DataFrame, path: str, row: str, column: str, value: str, columns
     extra = extra or {}
     d = cells.groupBy(row).agg(F.sum(value).alias("total"), *[c.alias(k) for k, c in extra.items()], *[F.coalesce(F.sum(F.when(F.col(column) == x, F.col(value))), F.lit(0)).alias(str(x)) for x in columns])
     d.orderBy(row).write.csv(path, sep="\t", header=True)
+
+
+def fixed_wiggle(depths: DataFrame, path: str) -> None:
+    """Depths (chr, pos 0-based, depth) as fixedStep blocks: a header where places are not next to each other, then a depth a line, in genome order."""
+    w = Window.partitionBy("chr").orderBy("pos")
+    new = F.coalesce(F.lag("pos").over(w) + 1 != F.col("pos"), F.lit(True))
+    head = F.concat(F.lit("fixedStep chrom=chr"), "chr", F.lit(" start="), (F.col("pos") + 1).cast("string"), F.lit(" step=1"))
+    line = F.concat_ws("\n", F.when(new, head), F.col("depth").cast("string"))
+    depths.select("chr", "pos", line.alias("value")).orderBy("chr", "pos").select("value").write.text(path)
+
+
+def with_moments(cells: DataFrame, path: str, row: str, column: str, value: str, columns: list) -> None:
+    """A long matrix as a table with the mean and coefficient of variation of each row over the named columns; absent cells are 0."""
+    v, n = F.coalesce(F.col(value), F.lit(0.0)), len(columns)
+    mean = F.sum(v) / n
+    sd = F.sqrt(F.greatest((F.sum(v * v) - F.sum(v) * F.sum(v) / n) / max(1, n - 1), F.lit(0.0)))
+    wide(cells.filter(F.col(column).isin(columns)), path, row, column, value, columns, {"mean": mean, "cv": F.when(mean > 0, sd / mean)})
+
+
+def cef(cells: DataFrame, path: str, rows: DataFrame, row: str, column: str, value: str, columns: dict[str, dict[str, str]]) -> None:
+    """A matrix in CEF text: a line of counts, a line for each attribute of the columns, the names of the row attributes, and a line a row.
+
+    rows: row and its attributes; columns: name -> attributes, the same for each. The lines are put in order over the part files.
+    """
+    spark, notes = cells.sparkSession, [c for c in rows.columns if c != row]
+    marks = list(next(iter(columns.values())))
+    n = rows.count()
+    pad = "\t" * (len(notes) + 1)
+    head = ["\t".join(["CEF", "0", str(len(notes) + 1), str(len(marks) + 1), str(n), str(len(columns))])]
+    head += [pad + "\t".join([m, *[columns[c][m] for c in columns]]) for m in [*marks]]
+    head += [pad + "\t".join([column, *columns]), "\t".join([row, *notes])]
+    values = [F.coalesce(F.sum(F.when(F.col(column) == c, F.col(value))), F.lit(0)).alias(f"_v{i}") for i, c in enumerate(columns)]
+    body = rows.join(cells.groupBy(row).agg(*values), row, "left")
+    line = F.concat_ws("\t", row, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in notes], F.lit(""), *[F.coalesce(F.col(f"_v{i}").cast("string"), F.lit("0")) for i in range(len(columns))])
+    top = spark.createDataFrame([(i, "", x) for i, x in enumerate(head)], "k int, name string, value string")
+    body = body.select(F.lit(len(head)).alias("k"), F.col(row).cast("string").alias("name"), line.alias("value"))
+    top.unionByName(body).orderBy("k", "name").select("value").write.text(path)
+
+
+def r_table(cells: DataFrame, path: str, row: str, column: str, value: str, columns: list) -> None:
+    """A table for R or MATLAB: the header names the columns only, so it is one cell shorter than the rows."""
+    values = [F.coalesce(F.sum(F.when(F.col(column) == c, F.col(value))), F.lit(0)).cast("string").alias(f"_v{i}") for i, c in enumerate(columns)]
+    body = cells.groupBy(row).agg(*values).select(F.lit(1).alias("k"), F.col(row).cast("string").alias("name"), F.concat_ws("\t", row, *[f"_v{i}" for i in range(len(columns))]).alias("value"))
+    top = cells.sparkSession.createDataFrame([(0, "", "\t".join(map(str, columns)))], "k int, name string, value string")
+    top.unionByName(body).orderBy("k", "name").select("value").write.text(path)
+
+
+def newick(merges: list[tuple], names: dict | None = None) -> str:
+    """The Newick text of a merge list (first, second, height, merged), as agglomeration gives it: one line a merge, of a bounded number of clusters."""
+    text, height = dict(names or {}), {}
+    part = lambda c, h: f"{text.get(c, c)}:{h - height.get(c, 0.0):g}"
+    top = ""
+    for first, second, h, merged in merges:
+        top = text[merged] = f"({part(first, h)},{part(second, h)})"
+        height[merged] = h
+    return top + ";"
