@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .storage import kept
+
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,19 +30,16 @@ def spread(d: DataFrame, keys: list[str], name: str, columns: dict[str, str]) ->
 def closure(edges: DataFrame, child: str, parent: str, depth: int = 64) -> DataFrame:
     """Strict ancestors (child, ancestor) over edges, until a pass finds nothing new; cycles end too.
 
-    Only the pairs of the last pass join with the edges. Where the session has a checkpoint folder each pass is written there, so that neither its plan nor
-    its work grows.
+    Only the pairs of the last pass join with the edges, and each pass is a checkpoint, so that neither its plan nor its work grows.
     """
-    spark = edges.sparkSession
-    keep = lambda d: d.checkpoint() if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() else d.cache()
-    up = keep(edges.select(F.col(child).alias("ancestor"), F.col(parent).alias("above")).distinct())
+    up = kept(edges.select(F.col(child).alias("ancestor"), F.col(parent).alias("above")).distinct())
     known = new = up.select(F.col("ancestor").alias("child"), F.col("above").alias("ancestor"))
     for _ in range(depth):
         found = new.join(up, "ancestor").select("child", F.col("above").alias("ancestor")).distinct()
-        new = keep(found.join(known, ["child", "ancestor"], "left_anti"))
+        new = kept(found.join(known, ["child", "ancestor"], "left_anti"))
         if new.isEmpty():
             break
-        known = keep(known.unionByName(new))
+        known = kept(known.unionByName(new))
     return known
 
 

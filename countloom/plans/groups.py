@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from countloom.functions import sequence
-from countloom.operators import linkage, stats
+from countloom.operators import cells, clusters, linkage, stats
 
 from .profiles import rounded, table
 
@@ -46,3 +46,29 @@ _ranked("percentile_last", 1.0)
 @query("SELECT p_partkey, reverse(translate(upper(p_name), 'ACGTRYKMBDHV', 'TGCAYRMKVHDB')) AS revcomp FROM part")
 def revcomp(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", sequence.reverse_complement(F.upper("p_name")).alias("revcomp"))
+
+
+def _nation_points(spark, sf_dir):
+    """Nations as points: their customers' mean balance in each segment, 0 where there is none."""
+    c = table(spark, sf_dir, "customer")
+    names = c.select("c_mktsegment").distinct()
+    means = c.groupBy("c_nationkey", "c_mktsegment").agg(F.avg("c_acctbal").alias("v"))
+    every = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey")).crossJoin(F.broadcast(names))  # 25 nations by 5 segments
+    return every.join(means, ["c_nationkey", "c_mktsegment"], "left").select("c_nationkey", "c_mktsegment", F.round(F.coalesce("v", F.lit(0.0)), 6).alias("v"))
+
+
+def hac_clusters(spark, sf_dir):
+    """The merges of nations by average linkage."""
+    pairs = clusters.point_distances(_nation_points(spark, sf_dir), "c_nationkey", "c_mktsegment", "v")
+    return spark.createDataFrame(clusters.agglomerated(pairs), "first int, second int, height double")
+
+
+def spatial_hac(spark, sf_dir):
+    """The merges of nations by complete linkage where only touching clusters merge; nations lie on a grid of five columns."""
+    pairs = clusters.point_distances(_nation_points(spark, sf_dir), "c_nationkey", "c_mktsegment", "v")
+    grid = table(spark, sf_dir, "nation").select("n_nationkey", (F.col("n_nationkey") % 5).alias("x"), F.floor(F.col("n_nationkey") / 5).alias("y"))
+    near = cells.neighbours(grid, "n_nationkey", "x", "y", True)
+    return spark.createDataFrame(clusters.agglomerated(pairs, "complete", near, 15), "first int, second int, height double")
+
+
+QUERIES += [(hac_clusters, None), (spatial_hac, None)]
