@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding by a shared-prefix forward pass.
 
 Text is marked (a leading mark, a mark for each space) and cut into marked words: a run of marks with
-what follows it. No piece has a mark after another character, so pieces never cross words. The
-distinct words of a batch, sorted, form a trie in depth-first order: each word keeps the
-forward states of the prefix it shares with the word before and extends only the rest.
+what follows it. No piece has a mark after another character, so pieces never cross words; nor do they cross two characters that stand next
+to each other in no piece at all, and words are cut there once more. The
+distinct parts of a batch, sorted, form a trie in depth-first order: each part keeps the
+forward states of the prefix it shares with the part before and extends only the rest.
 
 For a unigram model the forward state of a prefix is its best score and the last piece of that, the usual Viterbi
 recurrence; a character that no piece covers is unknown, at the least score less ``UNKNOWN``. A BPE model (its scores are the negative
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Distinct words whose pieces a task keeps at once, and the longest of them; others are encoded when they come.
-KEEP, LONG = 300_000, 64
+#: Distinct words, and parts of words, whose pieces a task keeps at once, and the longest of them; others are encoded when they come.
+KEEP, LONG = 200_000, 64
 #: Fixed value: how far an unknown character lies below the least score of a unigram model.
 UNKNOWN = 10.0
 
@@ -48,10 +49,19 @@ class Vocabulary:
         self.lowest = min(self.score.values()) - UNKNOWN
         ending: dict[str, set[int]] = {}
         for x in self.ids:
-            if len(x) > 1:
-                ending.setdefault(x[-2:], set()).add(len(x))
-        #: The lengths of the pieces that end in two characters, longest first.
+            if len(x) > 2:
+                ending.setdefault(x[-3:], {2}).add(len(x))
+        #: The lengths of the pieces that end in three characters, longest first; pieces of two are always looked for.
         self.ending = {x: sorted(n, reverse=True) for x, n in ending.items()}
+        beside = {x[i : i + 2] for x in self.ids for i in range(len(x) - 1)}
+        self.first, self.second = np.zeros(0x110000, np.uint16), np.zeros(0x110000, np.uint16)
+        for table, k in ((self.first, 0), (self.second, 1)):
+            for i, c in enumerate(sorted({x[k] for x in beside}), 1):
+                table[ord(c)] = i
+        #: Whether two characters, by their numbers in first and second, stand next to each other in a piece.
+        self.beside = np.zeros((int(self.first.max()) + 1, int(self.second.max()) + 1), bool)
+        for x in beside:
+            self.beside[self.first[ord(x[0])], self.second[ord(x[1])]] = True
         self.follows: dict[str, dict[str, bool]] = {}
         self.n_follows = 0
         self.raw = [b"" if i in control else bytes([byte_of[i]]) if i in byte_of else x.encode() for i, x in enumerate(pieces)]
@@ -105,7 +115,8 @@ class Vocabulary:
     def id_list(self, parts: list[str]) -> list[int]:
         out: list[int] = []
         for x in parts:
-            if (i := self.ids.get(x)) is not None:
+            i = self.ids.get(x)
+            if i is not None:
                 out.append(i)
             elif self.bytes:
                 out += [self.bytes[b] for b in x.encode("utf-8", "surrogatepass")]
@@ -113,29 +124,45 @@ class Vocabulary:
                 out.append(self.unknown)
         return out
 
+    def cut(self, words: list[str]) -> tuple[list[str], list[int]]:
+        """The parts of words that no piece crosses, one word's after the other, and how many each word has."""
+        text = "".join(words)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.cumsum([len(w) for w in words])
+        border = ~self.beside[self.first[codes[:-1]], self.second[codes[1:]]]
+        border = np.append(border, True) if len(codes) else np.zeros(0, bool)
+        border[ends - 1] = True
+        at = np.flatnonzero(border) + 1
+        n = np.diff(np.searchsorted(at, ends, "right"), prepend=0)
+        return [text[a:b] for a, b in zip([0, *at[:-1].tolist()], at.tolist(), strict=True)] if len(at) else [], n.tolist()
+
     def encode_sorted(self, words: list[str]) -> dict[str, list[int]]:
         """The ids of distinct sorted words: one depth-first pass over their trie."""
         out, before = {}, ""
         last, best = [""], [0.0]  # of the first i characters: the last piece, and the score (of a unigram model)
-        extend = self.extend_bpe if self.bpe else self.extend_unigram
+        extend, ids = self.extend_bpe if self.bpe else self.extend_unigram, self.ids
         for word in words:
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
             del last[shared + 1 :], best[shared + 1 :]
             extend(word, shared, last, best)
-            before = word
-            parts, end = [], len(word)
+            before, parts, end = word, [], len(word)
             while end:
-                parts.append(last[end])
-                end -= len(last[end])
-            out[word] = self.id_list(parts[::-1])
+                piece = last[end]
+                parts.append(piece)
+                end -= len(piece)
+            parts.reverse()
+            try:
+                out[word] = [ids[x] for x in parts]
+            except KeyError:  # characters without a piece of their own
+                out[word] = self.id_list(parts)
         return out
 
     def extend_bpe(self, word: str, shared: int, last: list[str], best: list[float]) -> None:
-        ids, follows, ending, none = self.ids, self.follows, self.ending, {}
+        ids, follows, ending, two, none = self.ids, self.follows, self.ending, (2,), {}
         for end in range(shared + 1, len(word) + 1):
-            for n in ending.get(word[end - 2 : end], ()) if end > 1 else ():
+            for n in ending.get(word[end - 3 : end], two) if end > 2 else two if end == 2 else ():
                 start = end - n
                 if start < 0:
                     continue
@@ -151,11 +178,11 @@ class Vocabulary:
             last.append(piece)
 
     def extend_unigram(self, word: str, shared: int, last: list[str], best: list[float]) -> None:
-        score, ending = self.score, self.ending
+        score, ending, two = self.score, self.ending, (2,)
         for end in range(shared + 1, len(word) + 1):
             piece = word[end - 1]
             top = best[end - 1] + score.get(piece, self.lowest)
-            for n in ending.get(word[end - 2 : end], ()) if end > 1 else ():
+            for n in ending.get(word[end - 3 : end], two) if end > 2 else two if end == 2 else ():
                 if n <= end and (s := score.get(word[end - n : end])) is not None and best[end - n] + s > top:
                     top, piece = best[end - n] + s, word[end - n : end]
             last.append(piece)
@@ -175,26 +202,41 @@ def marked_words(text: str) -> list[str]:
     return _WORDS.findall(MARK + text.replace(" ", MARK))
 
 
-#: The vocabularies and words that this Python worker has met, for the tasks that follow.
+#: The vocabularies that this Python worker has met, and the words and parts of words with their ids (int32, as bytes), for the tasks that follow.
 _VOCABULARIES: dict[str, Vocabulary] = {}
-_KNOWN: dict[str, dict[str, bytes]] = {}
+_WORDS_KNOWN: dict[str, dict[str, bytes]] = {}
+_PARTS_KNOWN: dict[str, dict[str, bytes]] = {}
 
 
 def encode_batch(texts: list[str], model: str) -> tuple[list[bytes], list[bool]]:
     """The ids (int32, as bytes) of each text, and whether they decode to it."""
-    v = _VOCABULARIES.setdefault(model, None) or _VOCABULARIES.update({model: Vocabulary.read(model)}) or _VOCABULARIES[model]
-    known = _KNOWN.setdefault(model, {})
+    if model not in _VOCABULARIES:
+        _VOCABULARIES[model] = Vocabulary.read(model)
+    v, known, parts = _VOCABULARIES[model], _WORDS_KNOWN.setdefault(model, {}), _PARTS_KNOWN.setdefault(model, {})
     words = [marked_words(x) for x in texts]
-    distinct = set().union(*words)
-    if len(known) + len(distinct) > KEEP:
+    new = list(set().union(*words).difference(known))
+    if len(known) + len(new) > KEEP:
         known.clear()
-    new = sorted(distinct.difference(known))
-    known.update((w, array("i", x).tobytes()) for w, x in v.encode_sorted(new).items())
+        new = list(set().union(*words))
+    cut, n = v.cut(new)
+    missing = sorted(set(cut).difference(parts))
+    if len(parts) + len(missing) > KEEP:
+        parts.clear()
+        missing = sorted(set(cut))
+    parts.update((w, array("i", x).tobytes()) for w, x in v.encode_sorted(missing).items())
+    at = 0
+    for w, k in zip(new, n, strict=True):
+        known[w] = parts[cut[at]] if k == 1 else b"".join([parts[x] for x in cut[at : at + k]])
+        at += k
     ids = [b"".join([known[w] for w in ws]) for ws in words]
+    if not v.bytes:  # a run of unknown characters is one piece, over the borders of parts too
+        every = [np.frombuffer(x, np.int32) for x in ids]
+        ids = [x[np.append(True, (x[1:] != v.unknown) | (x[:-1] != v.unknown))].tobytes() if len(x) else b"" for x in every]
     same = [v.decode(np.frombuffer(x, np.int32).tolist()) == t if x else not t for x, t in zip(ids, texts, strict=True)]
-    for w in new:
-        if len(w) > LONG:
-            del known[w]
+    for store, names in ((known, new), (parts, missing)):
+        for w in names:
+            if len(w) > LONG:
+                del store[w]
     return ids, same
 
 
