@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -33,6 +34,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+@contextlib.contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000):
+    """Jobs started inside hand so many rows at once to Python, so that batches of whole texts stay small on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small_or_not(df: DataFrame, rows: int, most: int) -> DataFrame:
     """df marked for broadcast if its counted rows are within the bound; beyond it Spark shuffles."""
     return F.broadcast(df) if rows <= most else df

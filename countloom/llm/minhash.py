@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, small_or_not, written
+from .common import let, short_batches, small_or_not, written
 from .graph import components, least_labels, node_key, rep_of
 
 WORDS, TREES, DEPTH, SHALLOWEST = 5, 24, 8, 3
@@ -341,7 +341,8 @@ def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, most: int)
     """plain (the 16 bytes that a class's key ends in) and shingles, made anew from the texts of the documents that stand for the classes in nodes. Rows of other classes with the same id may come along."""
     reps = written(nodes.join(classes.select("node", "rep"), "node").select("rep").distinct(), "forest-reps")
     texts = docs.select("doc_id", "text").join(small_or_not(reps, reps.count(), most), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    return written(texts.select("text").mapInArrow(_whole_sets, "plain binary, shingles array<bigint>").dropDuplicates(["plain"]), "forest-sets")
+    with short_batches(docs.sparkSession):
+        return written(texts.select("text").mapInArrow(_whole_sets, "plain binary, shingles array<bigint>").dropDuplicates(["plain"]), "forest-sets")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
@@ -381,14 +382,16 @@ def linked_classes(docs: DataFrame, base: DataFrame, most: int) -> DataFrame:
         return roots
     sets = full_sets(held, docs, classes, most)
     dealt = dealt.join(sets, F.substring("node", -16, 16) == F.col("plain")).drop("plain")
-    more = written(dealt.repartition(*TILES).sortWithinPartitions(*TILES).mapInArrow(lambda x: _groups(x, TILES, settled), PAIRS).distinct(), "forest-links")
+    with short_batches(docs.sparkSession):
+        more = written(dealt.repartition(*TILES).sortWithinPartitions(*TILES).mapInArrow(lambda x: _groups(x, TILES, settled), PAIRS).distinct(), "forest-links")
     return components(links.unionByName(more)) if more.count() else roots
 
 
 def described(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, digest (of the text), node (of the set; null without words) and signature of each document, written."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return written(docs.select("doc_id", "text").mapInArrow(_described, f"doc_id {kind}, n_shingles long, digest string, node binary, sig binary"), "forest-base")
+    with short_batches(docs.sparkSession):
+        return written(docs.select("doc_id", "text").mapInArrow(_described, f"doc_id {kind}, n_shingles long, digest string, node binary, sig binary"), "forest-base")
 
 
 def near_documents(docs: DataFrame, most: int = 200_000) -> DataFrame:
@@ -424,7 +427,8 @@ def drop_near_copies(docs: DataFrame, most: int = 200_000) -> DataFrame:
     own = own.join(roots.select(F.substring("node", -16, 16).alias("node"), "root"), "node", "left").withColumn("group", F.coalesce(F.substring("root", -16, 16), "node"))
     order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "digest")
     own = written(own.select("group", order.alias("at"), "n"), "near-own")
-    first = own.groupBy("group").agg(F.min("at").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    first = written(own.groupBy("group").agg(F.min("at").alias("first"), F.count("*").alias("rows")).filter("rows > 1"), "near-first")
+    first = small_or_not(first, first.count(), most)
     gone = own.join(first, "group").filter("at != first").select("at").unionByName(own.filter("n > 1").select("at")).distinct()
     gone = written(gone.select(F.col("at.doc_id").alias("id"), F.col("at.digest").alias("digest")), "near-gone")
     again = written(own.filter("n > 1").join(first, "group", "left").filter("first is null or at = first").select(F.col("at.doc_id").alias("id"), F.col("at.digest").alias("digest")), "near-again")

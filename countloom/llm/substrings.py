@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_or_not, written
+from .common import short_batches, small_or_not, written
 
 LENGTH, GRAM = 200, 32
 #: Window starts looked at together in one text, and segments of a bucket that one task sorts at most.
@@ -250,7 +250,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, most: int = 1_000_000
     copies = small_or_not(copies, copies.count(), most)
     d = d.join(copies, "id", "left")
     one = d.filter(F.col("copies").isNull() | F.col("doc_id").eqNullSafe(F.col("rep"))).select("id", "text")
-    spans = written(repeated_spans(one, length, most), "repeat-spans")
+    with short_batches(docs.sparkSession, 4000):
+        spans = written(repeated_spans(one, length, most), "repeat-spans")
     d = d.withColumn("n_bytes", F.octet_length("text").cast("long"))
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     d = d.withColumn("whole", F.coalesce(whole, F.lit(False))).join(spans, "id", "left")
