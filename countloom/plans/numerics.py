@@ -155,3 +155,21 @@ def lagrange_values(spark, sf_dir):
 def spline_values(spark, sf_dir):
     y = algebra.natural_spline(F.col("p_size") % 31 / 10.0, [0.0, 1.0, 2.0, 3.0], [0.0, 1.0, 0.0, 1.0])
     return table(spark, sf_dir, "part").select("p_partkey", F.round(y, 6).alias("y"))
+
+
+def _dcov(x: str, y: str) -> str:
+    """SQL for the doubly centred form."""
+    each = "list_sum(list_transform(range(1, 17), lambda i: {}))"
+    d = lambda v: f"abs({v}[i] - {v}[j])"
+    row = lambda v, i: each.replace("lambda i", "lambda k").format(f"abs({v}[{i}] - {v}[k])") + " / 16"
+    grand = lambda v: each.replace("lambda i", "lambda p").format(each.replace("lambda i", "lambda q").format(f"abs({v}[p] - {v}[q])")) + " / 256"
+    centred = lambda v: f"({d(v)} - {row(v, 'i')} - {row(v, 'j')} + g{v})"
+    return each.format(each.replace("lambda i", "lambda j").format(f"{centred(x)} * {centred(y)}")) + " / 256"
+
+
+@query(f"""WITH e AS (SELECT vec_id, CAST(embedding[1:16] AS DOUBLE[]) AS a, CAST(embedding[17:32] AS DOUBLE[]) AS b FROM embeddings),
+    g AS (SELECT *, list_sum(list_transform(range(1, 17), lambda p: list_sum(list_transform(range(1, 17), lambda q: abs(a[p] - a[q]))))) / 256 AS ga, list_sum(list_transform(range(1, 17), lambda p: list_sum(list_transform(range(1, 17), lambda q: abs(b[p] - b[q]))))) / 256 AS gb FROM e),
+    c AS (SELECT vec_id, {_dcov("a", "b")} AS ab, {_dcov("a", "a")} AS aa, {_dcov("b", "b")} AS bb FROM g) SELECT vec_id, round(sqrt(greatest(ab, 0) / sqrt(aa * bb)), 6) AS dcor FROM c""")
+def distance_correlation(spark, sf_dir):
+    a, b = (F.slice(F.col("embedding").cast("array<double>"), k, 16) for k in (1, 17))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(distance.distance_correlation(a, b), 6).alias("dcor"))
