@@ -32,6 +32,8 @@ ITERATIONS = 30
 #: estimate, as a share of all documents; and the least and largest accuracy.
 START_ACCURACY, START_SHARE, PRIOR, LEAST, LARGEST = 0.8, 0.8, 0.02, 0.55, 0.99
 
+#: A word of letters, of any script, with sentence marks at its end; scripts without spaces have them inside too.
+PLAIN = r"^[\p{L}\p{M}]+(?:[，、。；：！？][\p{L}\p{M}]+)*[.,;:，、。；：！？]?$"
 #: Positions in 3-word windows found twice or more: windows are hashed, sorted with their positions,
 #: and the union of the repeated windows is measured on their sorted positions.
 _COVERED = let(
@@ -50,7 +52,7 @@ _REPEATS = let(
 )
 _WORDS = let(
     r"regexp_extract_all(text, r'[^\x20\x09-\x0D]+', 0)",
-    f"named_struct('n_words', cast(size(w) as bigint), 'n_types', cast(size(array_distinct(w)) as bigint), 'n_plain', cast(size(filter(w, x -> x rlike r'^\\p{{L}}+[.,;:]?$')) as bigint), 'n_repeat_words', {_REPEATS})",
+    f"named_struct('n_words', cast(size(w) as bigint), 'n_types', cast(size(array_distinct(w)) as bigint), 'n_plain', cast(size(filter(w, x -> x rlike r'{PLAIN}')) as bigint), 'n_repeat_words', {_REPEATS})",
     "w",
 )
 _LINES = let(
@@ -72,7 +74,7 @@ def features(docs: DataFrame) -> DataFrame:
         F.expr(r"cast(length(regexp_replace(text, r'[\x20\x09-\x0D]+', '')) as bigint)").alias("word_chars"),
         gone("[#*$%&|<>]+").alias("n_symbols"),
         gone(r"\p{Lu}+").alias("n_upper"),
-        gone(r"\p{Ll}+").alias("n_lower"),
+        gone(r"[\p{Ll}\p{Lo}\p{M}]+").alias("n_lower"),
         gone("[0-9]+").alias("n_digits"),
         gone("!+").alias("n_shouts"),
     ).select("*", "w.*", "l.*").drop("w", "l")

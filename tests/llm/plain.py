@@ -47,9 +47,9 @@ def measures(t):
         at[tuple(w[i : i + 3])].append(i)
     lines = [x for x in t.split("\n") if WORD.search(x)]
     return {
-        "n_words": len(w), "n_types": len(set(w)), "n_plain": sum(bool(regex.fullmatch(r"\p{L}+[.,;:]?", x)) for x in w), "word_chars": sum(map(len, w)),
+        "n_words": len(w), "n_types": len(set(w)), "n_plain": sum(bool(regex.search(rules.PLAIN, x)) for x in w), "word_chars": sum(map(len, w)),
         "n_repeat_words": len({i + k for v in at.values() if len(v) > 1 for i in v for k in range(3)}), "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)),
-        "n_symbols": n("[#*$%&|<>]"), "n_upper": n(r"\p{Lu}"), "n_lower": n(r"\p{Ll}"), "n_digits": n("[0-9]"), "n_shouts": n("!"),
+        "n_symbols": n("[#*$%&|<>]"), "n_upper": n(r"\p{Lu}"), "n_lower": n(r"[\p{Ll}\p{Lo}\p{M}]"), "n_digits": n("[0-9]"), "n_shouts": n("!"),
     }
 
 

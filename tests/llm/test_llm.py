@@ -200,6 +200,15 @@ def test_quality_verdict(spark):
     assert np.mean(clean) > 0.99 and np.mean(junk) < 0.2
 
 
+def test_quality_of_other_scripts(spark, docs):
+    """Letters without case count as plain ones, with the marks of scripts that write no spaces."""
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(chr(0x4E00 + int(i)) for i in rng.integers(0, 3000, 6))
+    d = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(10**6, " ".join(f"{word()}，{word()}。" for _ in range(80)))], "doc_id long, text string"))
+    r = quality.quality(d).filter("doc_id = 1000000").first()
+    assert r.kept and r.p_good > 0.5
+
+
 def test_personal_data(spark, docs):
     odd = ["a@b.com_x@y.org..z@q", "@@ a@b@c.d 1.2.3.4.5.6.7.8 01.002.0003.255", "4111 1111-1111 1111 22 1234567890123", "+1 (20) 555-0100 x +4 +12345678901234567", "😀 a@b.co", "a" * 50_000 + "@", "12-" * 5000]
     d = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(odd)], "doc_id long, text string"))
