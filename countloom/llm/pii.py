@@ -155,7 +155,7 @@ def _term_spans() -> str:
 
 
 def find_pii(docs: DataFrame, **limits) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_term of each document.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term and n_base (all base spans) of each document.
 
     Places are code points, ends exclusive. Null and empty texts have no spans; repeated rows each
     get a row; an empty table gives an empty result. Columns other than doc_id and text are not
@@ -163,7 +163,7 @@ def find_pii(docs: DataFrame, **limits) -> DataFrame:
     """
     d = with_spans(docs.select("doc_id", "text"), **limits)
     n = lambda kind, of: F.expr(f"cast(size(filter({of}, x -> x.kind = '{kind}')) as bigint)").alias(f"n_{kind}")
-    return d.select("row.doc_id", *[n(k, "base") for k in KINDS], F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"), n("term", "spans"))
+    return d.select("row.doc_id", *[n(k, "base") for k in KINDS], F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"), n("term", "spans"), F.size("base").cast("long").alias("n_base"))
 
 
 def mask_pii(docs: DataFrame, **limits) -> DataFrame:
