@@ -143,3 +143,37 @@ def variant_profiles(counts: DataFrame, keys: list[str], umi: str, length: int,
     near = counts.join(o, keys).filter((F.col(umi) != F.col("_o")) & (code_distance(F.col(umi), F.col("_o")) < distance))
     bad = near.filter((F.col("_n") > F.col("n_reads")) | ((F.col("_n") == F.col("n_reads")) & (F.col("_o") < F.col(umi)))).select(*keys, umi).distinct()
     return counts.join(bad, [*keys, umi], "left_anti")
+
+
+def pivoted(d: DataFrame, key: str, attribute: str, value: str, names: dict[str, str]) -> DataFrame:
+    """One column for each named attribute with its greatest value of a key, null where it has none."""
+    return d.groupBy(key).agg(*[F.max(F.when(F.col(attribute) == a, F.col(value))).alias(c) for a, c in names.items()])
+
+
+def set_members(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """The union of two sets of keys, with where each key is found: both, first or second."""
+    x = a.select(key).withColumn("_side", F.lit(1)).unionByName(b.select(key).withColumn("_side", F.lit(2))).groupBy(key).agg(F.sum(F.col("_side")).alias("_n"), F.max("_side").alias("_m"), F.min("_side").alias("_l"))
+    return x.select(key, F.when(F.col("_m") != F.col("_l"), "both").when(F.col("_m") == 1, "first").otherwise("second").alias("found"))
+
+
+def limited(reads: DataFrame, order: list[str], most: int, valid: Column | None = None) -> DataFrame:
+    """The first reads up to ``most``, of all, or until so many valid ones are found; the order is total."""
+    if valid is None:
+        return reads.orderBy(*order).limit(most)
+    last = reads.filter(valid).orderBy(*order).limit(most).agg(F.max(F.struct(*order)).alias("_last"), F.count("*").alias("_n"))
+    return reads.join(F.broadcast(last)).filter((F.col("_n") < most) | (F.struct(*order) <= F.col("_last"))).drop("_last", "_n")
+
+
+def block_index(mappings: DataFrame, chromosome: str) -> DataFrame:
+    """Where each chromosome's mappings begin in the file sorted by chromosome and position. The window runs over one row a chromosome."""
+    n = mappings.groupBy(chromosome).agg(F.count("*").alias("n"))
+    return n.withColumn("first", F.coalesce(F.sum("n").over(Window.orderBy(chromosome).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+
+
+def threshold_rule(rule: str, param: int) -> tuple[str, int]:
+    """The rule that a dense counter applies: it keeps no counts above one, so a low pass at 1 is the singleton rule at 0, and rules on fractions have no such form."""
+    if rule == "lowpass" and param == 1:
+        return "singleton", 0
+    if rule in ("fraction_of_max", "fraction_of_mean"):
+        raise ValueError(f"{rule} needs read counts")
+    return rule, param

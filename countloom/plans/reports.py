@@ -148,3 +148,36 @@ def fragments_per_region(spark, sf_dir):
     f = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 3).alias("a"), (F.col("l_partkey") * 3 + 4).alias("b"))
     inside = intervals.stab_join(f, r, "a", "s", "e", bin_width=100).filter(F.col("b") <= F.col("e"))
     return inside.groupBy("region").agg(F.count("*").alias("n_fragments"))
+
+
+@query("SELECT o_custkey, max(o_orderkey) FILTER (o_orderstatus = 'F') AS f, max(o_orderkey) FILTER (o_orderstatus = 'O') AS o FROM orders GROUP BY ALL")
+def eav_values(spark, sf_dir):
+    return reports.pivoted(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", "o_orderkey", {"F": "f", "O": "o"})
+
+
+@query("""WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 1), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 2)
+    SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'second' WHEN b.k IS NULL THEN 'first' ELSE 'both' END AS found FROM a FULL JOIN b ON a.k = b.k""")
+def set_members(spark, sf_dir):
+    d = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "k")
+    return reports.set_members(d.filter("l_returnflag = 'A' and l_linenumber = 1"), d.filter("l_returnflag = 'R' and l_linenumber = 2"), "k")
+
+
+@query("""SELECT p_partkey, concat_ws('-', p_brand, p_type) AS joined, coalesce(nullif(p_type, 'PROMO'), 'none') AS kind, CASE WHEN p_size > 25 THEN 'big' ELSE 'small' END AS size, split_part(p_name, ' ', 1) AS first, left(p_brand, 5) AS start, reverse(p_name) AS back, CAST(floor(p_retailprice) AS BIGINT) AS price FROM part""")
+def sql_scalars(spark, sf_dir):
+    t = table(spark, sf_dir, "part")
+    return t.selectExpr("p_partkey", "concat_ws('-', p_brand, p_type) as joined", "ifnull(nullif(p_type, 'PROMO'), 'none') as kind", "if(p_size > 25, 'big', 'small') as size", "substring_index(p_name, ' ', 1) as first", "left(p_brand, 5) as start", "reverse(p_name) as back", "floor(p_retailprice) as price")
+
+
+@query("SELECT event_id, user_id FROM events ORDER BY event_id LIMIT 200")
+def total_limiter(spark, sf_dir):
+    return reports.limited(table(spark, sf_dir, "events").select("event_id", "user_id"), ["event_id"], 200)
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id <= (SELECT max(event_id) FROM (SELECT event_id FROM events WHERE event_type = 'click' ORDER BY event_id LIMIT 50))")
+def valid_limiter(spark, sf_dir):
+    return reports.limited(table(spark, sf_dir, "events").select("event_id", "event_type"), ["event_id"], 50, F.col("event_type") == "click")
+
+
+@query("WITH n AS (SELECT p_brand AS chr, count(*) AS n FROM part GROUP BY ALL) SELECT chr, n, CAST(coalesce(sum(n) OVER (ORDER BY chr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first FROM n")
+def block_index(spark, sf_dir):
+    return reports.block_index(table(spark, sf_dir, "part").withColumnRenamed("p_brand", "chr"), "chr")
