@@ -30,7 +30,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Distinct words, and parts of words, whose pieces a task keeps at once, and the longest of them; others are encoded when they come.
-KEEP, LONG = 200_000, 64
+KEEP, LONG = 200_000, 64  # twice as many parts, which are shorter
 #: Fixed value: how far an unknown character lies below the least score of a unigram model.
 UNKNOWN = 10.0
 
@@ -220,7 +220,7 @@ def encode_batch(texts: list[str], model: str) -> tuple[list[bytes], list[bool]]
         new = list(set().union(*words))
     cut, n = v.cut(new)
     missing = sorted(set(cut).difference(parts))
-    if len(parts) + len(missing) > KEEP:
+    if len(parts) + len(missing) > 2 * KEEP:
         parts.clear()
         missing = sorted(set(cut))
     parts.update((w, array("i", x).tobytes()) for w, x in v.encode_sorted(missing).items())
