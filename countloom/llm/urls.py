@@ -4,7 +4,7 @@ A rule (host, path) holds for its host and all subdomains when the URL's path st
 Hosts are canonicalised by reversing their labels (www.example.com is com.example.www), so each
 host suffix of a URL is a prefix of its key; within one reversed host a path prefix p is the interval
 [p, p + 0xFF) of path bytes, since 0xFF never occurs in UTF-8. Intervals of prefixes nest. A sweep over the sorted
-interval ends keeps the stack of open rules and leaves segments that carry the innermost rule; URLs
+interval ends follows the stack of open rules and leaves segments that carry the innermost rule; URLs
 and segments are then sorted together by (reversed host, path) and each URL takes the last
 segment before it.
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import UPPER
+from .common import UPPER, written
 
 #: The rules of the registered query.
 RULES = [
@@ -42,41 +42,41 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def rule_segments(rules: DataFrame) -> DataFrame:
     """The sweep over the rules: rows (rhost, at, best) where best is the innermost rule from at on, or null.
 
-    Rules of one host meet in one row, as sorted interval ends; the fold keeps the stack. Equal
-    rules collapse, and then block wins over allow. Rules with a null field are left out.
+    Where a rule's interval opens, it is the top of the stack of open rules; where it closes, the rule below it is, and as the intervals nest, that is
+    the rule with the longest proper prefix of its path. Each rule looks its prefixes up among the rules of its host, so the stack needs no task that
+    holds a host. Equal rules collapse, and then block wins over allow. Rules with a null field are left out.
     """
     rules = rules.dropna(subset=["host", "path", "verdict"]).groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-    rule = F.struct(F.concat("host", "path").alias("rule"), "verdict", F.length("host").alias("host_length"))
-    start = F.struct(F.encode("path", "UTF-8").alias("at"), F.lit(1).alias("opens"), rule.alias("best"))
-    end = F.struct(F.concat(F.encode("path", "UTF-8"), F.unhex(F.lit("FF"))).alias("at"), F.lit(0).alias("opens"), rule.alias("best"))
-    ends = rules.select(reversed_host(F.col("host")).alias("rhost"), F.explode(F.array(start, end)).alias("e"))
-    kind = "struct<rule:string,verdict:string,host_length:int>"
-    swept = f"""aggregate(events,
-        named_struct('stack', cast(array() as array<{kind}>), 'out', cast(array() as array<struct<at:binary,best:{kind}>>)),
-        (s, e) -> element_at(transform(array(if(e.opens = 1, concat(s.stack, array(e.best)), slice(s.stack, 1, size(s.stack) - 1))), open ->
-            named_struct('stack', open, 'out', concat(s.out, array(named_struct('at', e.at, 'best', get(open, size(open) - 1)))))), 1),
-        s -> s.out)"""
-    return ends.groupBy("rhost").agg(F.sort_array(F.collect_list("e")).alias("events")).select("rhost", F.explode(F.expr(swept)).alias("g")).select("rhost", "g.at", "g.best")
+    best = F.struct(F.concat("host", "path").alias("rule"), "verdict", F.length("host").alias("host_length"))
+    rules = rules.select(reversed_host(F.col("host")).alias("rhost"), "path", best.alias("best"))
+    prefix = F.explode(F.transform(F.sequence(F.lit(0), F.length("path") - 1), lambda k: F.substring("path", F.lit(1), k)))
+    below = rules.filter("path != ''").select("rhost", F.col("path").alias("inner"), prefix.alias("path")).join(rules, ["rhost", "path"])
+    below = below.groupBy("rhost", "inner").agg(F.max_by("best", F.length("path")).alias("below")).withColumnRenamed("inner", "path")
+    opened = rules.select("rhost", F.encode("path", "UTF-8").alias("at"), "best")
+    closed = rules.select("rhost", "path").join(below, ["rhost", "path"], "left").select("rhost", F.concat(F.encode("path", "UTF-8"), F.unhex(F.lit("FF"))).alias("at"), F.col("below").alias("best"))
+    return opened.unionByName(closed)
 
 
 def reversed_host(host: Column) -> Column:
     return F.array_join(F.reverse(F.split(host, r"\.")), ".")
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", salts: int = 32) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", salts: int = 32, run: int = 200_000) -> DataFrame:
     """page_id, host, path, rule and verdict of each page.
 
     The longest fitting rule wins, the longer host among equally long ones. Without a fitting rule,
     rule is null and the verdict is ``default``. A null URL or one without :// has an empty host
-    and path and fits no rule. Equal URLs are judged once. A frequent
-    host is dealt over ``salts`` sorted runs, each with its own copy of the host's segments.
+    and path and fits no rule. Equal URLs are judged once, and repeated rows each get a row; very long URLs are taken whole; an empty table gives an empty
+    result, and without rules every page has the default. A frequent
+    host is dealt over at least ``salts`` sorted runs, and one for every ``run`` different URLs, each with its own copy of the host's segments.
     Columns other than page_id and url are not read.
     """
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     segments = rule_segments(rules)
     depth = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("n")).first()["n"] or 0
-    keys = urls.filter("host != ''").distinct()
+    keys = written(urls.filter("host != ''").select("host", "path").distinct(), "url-keys")
+    salts = max(salts, -(-keys.count() // run))
     labels = F.split("host", r"\.")
     level = F.explode(F.sequence(F.lit(1), F.least(F.size("labels"), F.lit(depth))))
     points = keys.withColumn("labels", labels).select("*", level.alias("level")) if depth else keys.withColumn("labels", labels).withColumn("level", F.lit(1))

@@ -464,6 +464,22 @@ def test_hard_rows_in_full(spark, hard):
     assert sorted(str((r.doc_id, r.n_bytes, r.n_removed)) for r in substrings.without_repeats(hard).collect()) == sorted(want)
 
 
+def test_nested_rules(spark):
+    """Many nested rules of a few hosts against a look at every rule."""
+    rng = np.random.default_rng(8)
+    step = lambda: "".join(rng.choice(["a/", "b/", "ä"], rng.integers(0, 5)))
+    rules = sorted({(str(rng.choice(["com", "x.com", "y.x.com", "net"])), "/" * int(rng.integers(0, 2)) + step()) for _ in range(60)})
+    rules = [(h, p, ["allow", "block"][k % 2]) for k, (h, p) in enumerate(rules)]
+    urls_ = [(k, f"http://{rng.choice(['com', 'x.com', 'z.y.x.com', 'ax.com', 'net', 'q.net', 'org'])}/{step()}{step()}?q") for k in range(300)]
+    want = {}
+    for k, u in urls_:
+        host, path = re.match(r"http://([^/]*)([^?]*)", u).groups()
+        fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        want[k] = max(fits)[2:] if fits else (None, "allow")
+    got = urls.filter_urls(spark.createDataFrame(urls_, "page_id long, url string"), urls.rule_table(spark, rules), run=20)
+    assert {r.page_id: (r.rule, r.verdict) for r in got.collect()} == want
+
+
 def test_mix_totals(docs):
     rows = mixing.mix_sources(docs).collect()
     taken, target = collections.Counter(), {}
