@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import html, minhash, mixing, pieces, pii, quality, rollup, substrings, urls, vectors
-from .common import shared_folder
+from .common import shared_folder, short_batches, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,7 +81,8 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode(docs, keep=["doc_id", "source", "lang"])
+    with short_batches(spark):
+        return written(pieces.encode(docs, keep=["doc_id", "source", "lang"]), "pieces")
 
 
 QUERIES = {
