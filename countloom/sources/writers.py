@@ -98,3 +98,8 @@ def newick(merges: list[tuple], names: dict | None = None) -> str:
         top = text[merged] = f"({part(first, h)},{part(second, h)})"
         height[merged] = h
     return top + ";"
+
+
+def xml(d: DataFrame, path: str, root: str = "summary", row: str = "point") -> None:
+    """Rows as elements of XML files; structs and arrays become nested elements."""
+    d.write.format("xml").option("rootTag", root).option("rowTag", row).save(path)

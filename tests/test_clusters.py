@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from countloom.functions import distributions, sequence
-from countloom.operators import clusters, intervals, relational, stats
+from countloom.operators import alignment, clusters, intervals, relational, stats
 
 
 def merged_one_by_one(points, how, near=None, keep=1):
@@ -91,3 +91,21 @@ def test_distributions(spark):
     t = 0.5 - sum(pdf((k + 0.5) * 1.5 / steps, 7.5) for k in range(steps)) * 1.5 / steps
     b = sum(math.comb(33, k) * 0.2**k * 0.8 ** (33 - k) for k in range(30, 34))
     assert abs(r.g - math.lgamma(0.3)) < 1e-9 and abs(r.t - t) < 1e-8 and abs(r.b - b) < 1e-12 and abs(r.e - math.erf(-0.5)) < 1e-12
+
+
+def test_local_alignment(spark):
+    rng = random.Random(5)
+    pairs = [(k, "".join(rng.choices("ACGT", k=rng.randrange(0, 25))), "".join(rng.choices("ACGT", k=rng.randrange(0, 25)))) for k in range(60)] + [(60, None, "ACGT"), (61, "AACGTT", "AACGTT")]
+    want = {}
+    for k, a, b in pairs:
+        a, b = a or "", b or ""
+        h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        best = (0, 0, 0)
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                h[i][j] = max(0, h[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -4), h[i - 1][j] - 2, h[i][j - 1] - 2)
+                if h[i][j] > best[0]:
+                    best = (h[i][j], i, j)
+        want[k] = best
+    d = spark.createDataFrame(pairs, "k int, a string, b string")
+    assert {r.k: (r.score, r.query_end, r.target_end) for r in alignment.local_scores(d, "k", "a", "b").collect()} == want

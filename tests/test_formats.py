@@ -128,3 +128,10 @@ def test_matrix_sinks(spark, tmp_path):
     writers.cef(cells, str(tmp_path / "cef"), genes, "gene", "cell", "n", {"a": {"age": "3"}, "b": {"age": "4"}})
     assert text("cef") == ["CEF\t0\t2\t2\t2\t2", "\t\tage\t3\t4", "\t\tcell\ta\tb", "gene\tchr", "g\t1\t\t1.0\t3.0", "h\t2\t\t0.0\t3.0"]
     assert writers.newick([("a", "b", 1.0, "x"), ("x", "c", 2.5, "y")]) == "((a:1,b:1):1.5,c:2.5);"
+
+
+def test_xml(spark, tmp_path):
+    d = spark.createDataFrame([("a", [1, 2]), ("b", [3])], "x string, y array<int>")
+    writers.xml(d, str(tmp_path / "x"))
+    back = spark.read.format("xml").option("rowTag", "point").schema("x string, y array<int>").load(str(tmp_path / "x"))
+    assert sorted((r.x, r.y) for r in back.collect()) == [("a", [1, 2]), ("b", [3])]
