@@ -126,15 +126,17 @@ class Vocabulary:
 
     def cut(self, words: list[str]) -> tuple[list[str], list[int]]:
         """The parts of words that no piece crosses, one word's after the other, and how many each word has."""
+        if not words:
+            return [], []
         text = "".join(words)
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.cumsum([len(w) for w in words])
         border = ~self.beside[self.first[codes[:-1]], self.second[codes[1:]]]
-        border = np.append(border, True) if len(codes) else np.zeros(0, bool)
+        border = np.append(border, True)
         border[ends - 1] = True
         at = np.flatnonzero(border) + 1
         n = np.diff(np.searchsorted(at, ends, "right"), prepend=0)
-        return [text[a:b] for a, b in zip([0, *at[:-1].tolist()], at.tolist(), strict=True)] if len(at) else [], n.tolist()
+        return [text[a:b] for a, b in zip([0, *at[:-1].tolist()], at.tolist(), strict=True)], n.tolist()
 
     def encode_sorted(self, words: list[str]) -> dict[str, list[int]]:
         """The ids of distinct sorted words: one depth-first pass over their trie."""
