@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, minhash, mixing, pieces, pii, quality, rollup, substrings, urls, vectors
+from . import html, minhash, mixing, pieces, pii, quality, rollup, spelling, substrings, urls, vectors
 from .common import shared_folder, short_batches, written
 
 
@@ -56,6 +56,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,6 +91,6 @@ def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_near_documents, op2_main_text, op3_mix_sources, op4_filter_urls, op5_token_rollup, op6_without_repeats, op7_near_vectors, op8_pieces, op9_quality, op10_personal_data, pipeline)
+    for f in (op1_near_documents, op2_main_text, op3_mix_sources, op4_filter_urls, op5_token_rollup, op6_without_repeats, op7_near_vectors, op8_pieces, op9_quality, op10_personal_data, op11_spelling_groups, pipeline)
 }
-ORACLES = {"op3_mix_sources": mixing.ORACLE, "op4_filter_urls": urls.ORACLE}
+ORACLES = {"op3_mix_sources": mixing.ORACLE, "op4_filter_urls": urls.ORACLE, "op11_spelling_groups": spelling.ORACLE}
