@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, lexical, minhash, mixing, pieces, pii, quality, rollup, spelling, substrings, urls, vectors
+from . import html, lexical, minhash, mixing, pieces, pii, quality, rollup, spelling, substrings, urls, vectors, warc
 from .common import shared_folder, short_batches, written
 
 
@@ -60,6 +60,10 @@ def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
 
 
+def op12_page_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_archive(_table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/page-archive-{uuid.uuid4().hex}")
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(lexical.impact_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
 
@@ -95,6 +99,6 @@ def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_near_documents, op2_main_text, op3_mix_sources, op4_filter_urls, op5_token_rollup, op6_without_repeats, op7_near_vectors, op8_pieces, op9_quality, op10_personal_data, op11_spelling_groups, op13_ranked_search, pipeline)
+    for f in (op1_near_documents, op2_main_text, op3_mix_sources, op4_filter_urls, op5_token_rollup, op6_without_repeats, op7_near_vectors, op8_pieces, op9_quality, op10_personal_data, op11_spelling_groups, op12_page_archive, op13_ranked_search, pipeline)
 }
-ORACLES = {"op3_mix_sources": mixing.ORACLE, "op4_filter_urls": urls.ORACLE, "op11_spelling_groups": spelling.ORACLE, "op13_ranked_search": lexical.ORACLE}
+ORACLES = {"op3_mix_sources": mixing.ORACLE, "op4_filter_urls": urls.ORACLE, "op11_spelling_groups": spelling.ORACLE, "op12_page_archive": warc.ORACLE, "op13_ranked_search": lexical.ORACLE}
