@@ -35,15 +35,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def short_batches(spark: SparkSession, rows: int = 1000):
-    """Jobs started inside hand so many rows at once to Python, so that batches of whole texts stay small on both sides."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def short_batches(spark: SparkSession, rows: int = 1000, size: int = 1 << 23):
+    """Jobs started inside hand so many rows and bytes at most at once to Python (a longer row by itself), so that batches of whole texts stay small on both sides."""
+    asked = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {key: spark.conf.get(key) for key in asked}
     try:
+        for key, value in asked.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def small_or_not(df: DataFrame, rows: int, most: int) -> DataFrame:
