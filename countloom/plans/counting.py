@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from countloom.operators import counting
+from countloom.operators import counting, suffixes
 
 from .profiles import _tags, rounded, table
 from .reads import BARCODES, BASES, HEX, READS, barcodes, raw
@@ -73,7 +73,12 @@ def mismatch_search(spark, sf_dir):
     part = lambda a, n: F.expr(f"substr(text, cast({a} + contig % 40 as int), {n})")
     seq = F.concat(part(1, 5), F.when(F.col("contig") % 3 == 0, "A").otherwise(part(6, 1)), part(7, 9), F.when(F.col("contig") % 2 == 0, "C").otherwise(part(16, 1)))
     reads = c.select(F.col("contig").alias("id"), seq.alias("seq"))
-    return counting.seeded_matches(reads, c, "id", "seq", "contig", "text", 5, 2)
+    return suffixes.mismatch_hits(reads, c, "id", "seq", "contig", "text", 2)
+
+
+@query(f"WITH {CONTIGS}, s AS (SELECT contig, CAST(i - 1 AS INTEGER) AS pos, substr(text, i) AS t FROM (SELECT contig, text, unnest(range(1, 65)) AS i FROM c)) SELECT contig, pos, rank() OVER (ORDER BY t) - 1 AS rank FROM s")
+def suffix_ranks(spark, sf_dir):
+    return suffixes.suffix_order(_contigs(spark, sf_dir), "contig", "text")
 
 
 @query("""WITH b AS (SELECT CAST(greatest(0, least(9, floor((l_quantity - 5) * 10 / 40))) AS BIGINT) AS bin, count(*) FILTER (l_returnflag = 'R') AS p, count(*) FILTER (l_returnflag <> 'R') AS q FROM lineitem GROUP BY ALL)
