@@ -157,3 +157,68 @@ def poisson_cdf(k: Column, mean: Column) -> Column:
 def p_value(t: Column, df: Column, tails: str = "two") -> Column:
     """Of a t statistic: the probability of more (right), of less (left), or of a value as far from 0 (two)."""
     return {"right": 1 - t_cdf(t, df), "left": t_cdf(t, df), "two": 2 * (1 - t_cdf(F.abs(t), df))}[tails]
+
+
+def gamma_pdf(x: Column, shape: Column, scale: Column) -> Column:
+    return F.when(x <= 0, 0.0).otherwise(F.exp((shape - 1) * F.log(x / scale) - x / scale - ln_gamma(shape)) / scale)
+
+
+def chi_square_pdf(x: Column, df: Column) -> Column:
+    return gamma_pdf(x, df / 2, F.lit(2.0))
+
+
+def exponential_pdf(x: Column, rate: Column) -> Column:
+    return F.when(x < 0, 0.0).otherwise(rate * F.exp(-rate * x))
+
+
+def f_pdf(x: Column, d1: Column, d2: Column) -> Column:
+    inside = F.exp(d1 / 2 * F.log(d1 * x) + d2 / 2 * F.log(d2) - (d1 + d2) / 2 * F.log(d1 * x + d2) - ln_beta(d1 / 2, d2 / 2)) / x
+    return F.when(x <= 0, 0.0).otherwise(inside)
+
+
+def mixture(parts: list[tuple[float, Column]]) -> Column:
+    """The density or distribution function of a mixture, from (weight, its part's value at the same place); weights are divided by their sum."""
+    total = sum(w for w, _ in parts)
+    out = F.lit(0.0)
+    for w, c in parts:
+        out = out + c * (w / total)
+    return out
+
+
+def uniform_draw(seed: str, *keys: str) -> Column:
+    """A number strictly between 0 and 1 by the hash of the seed and the keys (nulls count as empty), so that every run, on any cluster, draws the same."""
+    text = F.concat_ws("|", F.lit(seed), *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
+    return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / 2.0**52
+
+
+def quantile(cdf, u: Column, low: Column, high: Column, grow: int = 40, steps: int = 60) -> Column:
+    """The x with cdf(x) = u (a function from Column to Column), by bracketing: while an end does not hold u, it moves out by the bracket's doubled width, up to ``grow`` times; then the bracket is halved ``steps`` times.
+
+    Where the distribution has a least value, low should be that. With u from ``uniform_draw`` this is a sample.
+    """
+    pair = lambda a, b: F.struct(a.cast("double").alias("a"), b.cast("double").alias("b"))
+
+    def out(s, _):
+        width = s["b"] - s["a"]
+        return pair(F.when(cdf(s["a"]) > u, s["a"] - width).otherwise(s["a"]), F.when(cdf(s["b"]) < u, s["b"] + width).otherwise(s["b"]))
+
+    def half(s, _):
+        middle = (s["a"] + s["b"]) / 2
+        below = cdf(middle) < u
+        return pair(F.when(below, middle).otherwise(s["a"]), F.when(below, s["b"]).otherwise(middle))
+
+    wide = F.aggregate(F.sequence(F.lit(1), F.lit(grow)), pair(low, high), out)
+    ends = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), wide, half)
+    return (ends["a"] + ends["b"]) / 2
+
+
+def discrete_quantile(cdf, u: Column, most: int) -> Column:
+    """The least whole number from 0 to ``most`` with cdf(k) >= u; ``most`` if there is none."""
+    pair = lambda a, b: F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
+
+    def half(s, _):
+        middle = F.floor((s["a"] + s["b"]) / 2)
+        enough = cdf(middle) >= u
+        return F.when(s["a"] >= s["b"], s).otherwise(pair(F.when(enough, s["a"]).otherwise(middle + 1), F.when(enough, middle).otherwise(s["b"])))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(most.bit_length() + 1)), pair(F.lit(0), F.lit(most)), half)["a"]

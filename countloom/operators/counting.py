@@ -23,15 +23,44 @@ def code_distances(counts: DataFrame, keys: list[str], umi: str, length: int) ->
     return pairs.join(same).join(total).select("distance", "n_pairs", expected.alias("expected"))
 
 
-def depth_curves(reads: DataFrame, group: str, order: list[str], place: list[str], umi: str, every: int) -> DataFrame:
-    """After each so many reads of a group: how many codes, places and codes seen once it has met. The windows hold the reads of a group and of a molecule."""
+def one_and_two_off(length: int) -> tuple[list[int], list[int]]:
+    """The masks that change one base of a code of so many bases, and those that change two."""
+    one = [[v << 2 * i for v in (1, 2, 3)] for i in range(length)]
+    return [m for x in one for m in x], [m | n for i, x in enumerate(one) for y in one[i + 1 :] for m in x for n in y]
+
+
+def arrivals(reads: DataFrame, group: str, order: list[str], place: list[str], umi: str, length: int) -> DataFrame:
+    """The first read of each code at a place, with _near1 and _near2: whether a code one base off, or up to two bases off, had come to the place before it.
+
+    Each arrival asks for the codes off by one or two bases, so the join is by equality and grows with the arrivals, not with their square.
+    """
+    first = reads.groupBy(group, *place, umi).agg(F.min(F.struct(*order)).alias("_at"))
+    one, two = one_and_two_off(length)
+    masks = F.array(*(F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k).alias("k")) for k, ms in ((1, one), (2, two)) for m in ms))
+    asks = first.withColumn("_m", F.explode(masks)).select(group, *place, F.col(umi).alias("_code"), F.col("_at").alias("_mine"), F.col(umi).cast("long").bitwiseXOR(F.col("_m.mask")).alias("_other"), F.col("_m.k").alias("_k"))
+    met = asks.join(first.select(group, *place, F.col(umi).cast("long").alias("_other"), "_at"), [group, *place, "_other"]).filter(F.col("_at") < F.col("_mine"))
+    met = met.groupBy(group, *place, F.col("_code").alias(umi)).agg((F.min("_k") == 1).alias("_near1"))
+    d = first.join(met, [group, *place, umi], "left")
+    return d.select(group, *place, umi, "_at.*", F.coalesce("_near1", F.lit(False)).alias("_near1"), F.col("_near1").isNotNull().alias("_near2"))
+
+
+def depth_curves(reads: DataFrame, group: str, order: list[str], place: list[str], umi: str, every: int, length: int) -> DataFrame:
+    """After each so many reads of a group: how many codes, places and codes seen once it has met, and how many codes had no code one base off, or up to two bases off, at their place before them.
+
+    order names a read within its group. The windows hold the reads of a group and of a molecule.
+    """
     by = Window.partitionBy(group).orderBy(*order)
     molecule, spot = Window.partitionBy(group, *place, umi).orderBy(*order), Window.partitionBy(group, *place).orderBy(*order)
     k = F.row_number().over(molecule)
-    d = reads.withColumn("_new", (k == 1).cast("int")).withColumn("_again", (k == 2).cast("int")).withColumn("_place", (F.row_number().over(spot) == 1).cast("int")).withColumn("n_read", F.row_number().over(by))
+    near = arrivals(reads, group, order, place, umi, length).select(group, *order, "_near1", "_near2")
+    d = reads.join(near, [group, *order], "left")
+    d = d.withColumn("_new", (k == 1).cast("int")).withColumn("_again", (k == 2).cast("int")).withColumn("_place", (F.row_number().over(spot) == 1).cast("int")).withColumn("n_read", F.row_number().over(by))
     run = by.rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("n_molecules", F.sum("_new").over(run)).withColumn("n_places", F.sum("_place").over(run)).withColumn("n_singletons", F.col("n_molecules") - F.sum("_again").over(run))
-    return d.filter(F.col("n_read") % every == 0).select(group, F.col("n_read").cast("long").alias("n_read"), "n_molecules", "n_places", "n_singletons")
+    so_far = lambda c: F.sum(c).over(run)
+    far = lambda c: F.coalesce((~F.col(c)).cast("int"), F.lit(0))
+    d = d.withColumn("n_molecules", so_far("_new")).withColumn("n_places", so_far("_place")).withColumn("n_singletons", F.col("n_molecules") - so_far("_again"))
+    d = d.withColumn("n_not_one_off", so_far(far("_near1"))).withColumn("n_not_two_off", so_far(far("_near2")))
+    return d.filter(F.col("n_read") % every == 0).select(group, F.col("n_read").cast("long").alias("n_read"), "n_molecules", "n_places", "n_singletons", "n_not_one_off", "n_not_two_off")
 
 
 def repeat_totals(hits: DataFrame, name: str, value: str, by: list[str] = ()) -> DataFrame:
@@ -49,23 +78,6 @@ def lengths(reads: DataFrame, seq: str) -> DataFrame:
     return reads.groupBy(F.length(seq).alias("length")).agg(F.count("*").alias("n"))
 
 
-def seeded_matches(reads: DataFrame, contigs: DataFrame, read: str, seq: str, contig: str, text: str, k: int, mismatches: int) -> DataFrame:
-    """read, contig, pos and n_mismatches: the places of contigs where a read stands with the fewest mismatches, up to a number.
-
-    A read with at most m mismatches holds one of its m + 1 parts whole, so parts join with the contigs' words of the same length and only those places are compared.
-    Reads of one length; matches never cross contigs. A frequent word meets the reads that hold it, so words should be long.
-    """
-    r = reads.select(F.col(read).alias("read"), F.col(seq).alias("seq"), F.posexplode(F.array(*[F.substring(seq, i * k + 1, k) for i in range(mismatches + 1)])).alias("_i", "_word"))
-    words = contigs.select(F.col(contig).alias("contig"), F.posexplode(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))).alias("_at", "_word"))
-    places = r.join(words, "_word").select("read", "seq", "contig", (F.col("_at") - F.col("_i") * k).alias("pos")).filter("pos >= 0").distinct()
-    c = contigs.select(F.col(contig).alias("contig"), F.col(text).alias("_text"))
-    d = places.join(c, "contig").withColumn("_window", F.substring("_text", F.col("pos") + 1, F.length("seq"))).filter(F.length("_window") == F.length("seq"))
-    differ = F.aggregate(F.zip_with(F.split("seq", ""), F.split("_window", ""), lambda a, b: (a != b).cast("int")), F.lit(0), lambda s, x: s + x)
-    d = d.withColumn("n_mismatches", differ).filter(F.col("n_mismatches") <= mismatches)
-    best = F.min("n_mismatches").over(Window.partitionBy("read"))
-    return d.withColumn("_best", best).filter("n_mismatches = _best").select("read", "contig", "pos", "n_mismatches")
-
-
 def resampled_correlation(pairs: DataFrame, keys: list[str], x: str, y: str, times: int, seed: str) -> DataFrame:
     """Mean and variance of Pearson's r over resamples of each group's pairs with replacement: each pair gets a Poisson weight by a hash, so that no resample is made row by row."""
     at = F.explode(F.sequence(F.lit(1), F.lit(times))).alias("_t")

@@ -17,8 +17,8 @@ def running_totals(d: DataFrame, order: list[str], value: str, name: str) -> Dat
     ranges = kept(d.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
     own = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     totals = ranges.groupBy("_range").agg(F.sum(value).alias("_total"))
-    before = totals.select("_range", F.coalesce(F.sum("_total").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row for each range
-    return ranges.join(F.broadcast(before), "_range").withColumn(name, (F.col("_before") + F.coalesce(F.sum(value).over(own), F.lit(0))).cast("long")).drop("_range", "_before")
+    before = totals.select("_range", F.coalesce(F.sum("_total").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_earlier"))  # a row for each range
+    return ranges.join(F.broadcast(before), "_range").withColumn(name, (F.col("_earlier") + F.coalesce(F.sum(value).over(own), F.lit(0))).cast("long")).drop("_range", "_earlier")
 
 
 def ranked(d: DataFrame, order: list[str], name: str = "rank") -> DataFrame:

@@ -30,12 +30,16 @@ def code_distances_expected(spark, sf_dir):
     return counting.code_distances(_tags(spark, sf_dir), ["user_id", "event_type"], "umi", 2).withColumn("expected", F.round("expected", 4))
 
 
-@query("""WITH r AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n_read, row_number() OVER (PARTITION BY user_id, event_type, event_id % 16 ORDER BY event_id) AS k, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS f FROM events),
-    s AS (SELECT user_id, n_read, CAST(sum(CASE WHEN k = 1 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_molecules, CAST(sum(CASE WHEN f = 1 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_places, CAST(sum(CASE k WHEN 1 THEN 1 WHEN 2 THEN -1 ELSE 0 END) OVER w AS BIGINT) AS n_singletons FROM r WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+@query("""WITH e AS (SELECT user_id, event_type, event_id, event_id * 37 % 256 AS umi FROM events), f AS (SELECT user_id, event_type, umi, min(event_id) AS t FROM e GROUP BY ALL),
+    o AS (SELECT a.user_id, a.t, count(*) FILTER (bit_count(((xor(a.umi, b.umi)) | (xor(a.umi, b.umi) >> 1)) & 85) = 1) AS one, count(*) FILTER (bit_count(((xor(a.umi, b.umi)) | (xor(a.umi, b.umi) >> 1)) & 85) <= 2) AS two FROM f a JOIN f b ON a.user_id = b.user_id AND a.event_type = b.event_type AND b.t < a.t GROUP BY ALL),
+    r AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n_read, row_number() OVER (PARTITION BY user_id, event_type, umi ORDER BY event_id) AS k, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS f FROM e),
+    s AS (SELECT r.user_id, n_read, CAST(sum(CASE WHEN k = 1 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_molecules, CAST(sum(CASE WHEN f = 1 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_places, CAST(sum(CASE k WHEN 1 THEN 1 WHEN 2 THEN -1 ELSE 0 END) OVER w AS BIGINT) AS n_singletons,
+      CAST(sum(CASE WHEN k = 1 AND coalesce(one, 0) = 0 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_not_one_off, CAST(sum(CASE WHEN k = 1 AND coalesce(two, 0) = 0 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_not_two_off
+      FROM r LEFT JOIN o ON o.user_id = r.user_id AND o.t = r.event_id WINDOW w AS (PARTITION BY r.user_id ORDER BY event_id))
     SELECT * FROM s WHERE n_read % 10 = 0""")
 def depth_curves(spark, sf_dir):
-    d = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", (F.col("event_id") % 16).alias("umi"))
-    return counting.depth_curves(d, "user_id", ["event_id"], ["event_type"], "umi", 10)
+    d = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", (F.col("event_id") * 37 % 256).alias("umi"))
+    return counting.depth_curves(d, "user_id", ["event_id"], ["event_type"], "umi", 10, 4)
 
 
 @query("SELECT p_type AS name, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total, count(*) AS n_hits FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from countloom.functions import distance, sequence
 from countloom.operators import intervals, matrix, relational, stats, umi
-from countloom.plans import cells, counting, genes, groups, numerics, profiles, reports, variants
+from countloom.plans import cells, counting, estimates, genes, groups, numerics, profiles, reports, variants
 from countloom.plans import reads as extraction
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -319,5 +319,5 @@ def cv_by_feature(spark, sf_dir):
     return matrix.cv_by_feature(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity").select("l_suppkey", F.round("mean", 6).alias("mean"), F.round("cv", 6).alias("cv"))
 
 
-for _f, _sql in [*relational.QUERIES, *profiles.QUERIES, *groups.QUERIES, *extraction.QUERIES, *genes.QUERIES, *cells.QUERIES, *variants.QUERIES, *numerics.QUERIES, *counting.QUERIES, *reports.QUERIES]:
+for _f, _sql in [*relational.QUERIES, *profiles.QUERIES, *groups.QUERIES, *extraction.QUERIES, *genes.QUERIES, *cells.QUERIES, *variants.QUERIES, *numerics.QUERIES, *counting.QUERIES, *reports.QUERIES, *estimates.QUERIES]:
     query(_sql)(_f)
