@@ -114,7 +114,7 @@ def simplex_lines(spark, sf_dir):
 
     found = simplex.minimised(m, ["l_suppkey"], ["a", "b"], ["r"], squares).join(m.drop("a", "b"), "l_suppkey")
     slope = F.col("x")[1] * F.col("sy") / F.col("sx")
-    return found.select("l_suppkey", F.round(slope, 2).alias("slope"), F.round(F.col("my") + F.col("x")[0] * F.col("sy") - slope * F.col("mx"), 1).alias("intercept"))
+    return found.select("l_suppkey", (F.round(slope, 2) + 0.0).alias("slope"), (F.round(F.col("my") + F.col("x")[0] * F.col("sy") - slope * F.col("mx"), 1) + 0.0).alias("intercept"))
 
 
 def _normal_equations(spark, sf_dir):
