@@ -1,7 +1,7 @@
 """Mappings of reads against transcripts and repeats: matches, and what becomes of reads with several mappings.
 
-Mappings have pos and strand; genes have gene, start, end and strand; repeats have start and end. Joins are binned (``stab_join``), so
-a mapping meets only the intervals of its own bin.
+Mappings have pos and strand; genes have gene, strand and exons (s and e, both inclusive, in genome order and apart); repeats have start and end. A mapping between
+the exons of a gene isn't in its transcript, and distances count along the transcript. Joins are binned (``stab_join``), so a mapping meets only the intervals of its own bin.
 """
 
 from __future__ import annotations
@@ -10,18 +10,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .intervals import stab_join
+from .profiles import transcript_position
+
+
+def _exons(genes: DataFrame) -> DataFrame:
+    return genes.select("gene", F.col("strand").alias("_strand"), F.col("exons").alias("_exons"), F.explode("exons").alias("_x")).select("gene", "_strand", "_exons", F.col("_x.s").alias("_s"), F.col("_x.e").alias("_e"))
 
 
 def _sense(mappings: DataFrame, genes: DataFrame, keys: list[str], bins: int) -> DataFrame:
-    """Mappings with the genes that hold them on their strand, and the distance from the gene's 5' end."""
-    g = genes.select("gene", F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("strand").alias("_strand"))
-    hits = stab_join(mappings.select(*keys, "pos", "strand"), g, "pos", "_s", "_e", bin_width=bins).filter(F.col("strand") == F.col("_strand"))
-    distance = F.when(F.col("_strand") == "+", F.col("pos") - F.col("_s")).otherwise(F.col("_e") - F.col("pos"))
+    """Mappings with the genes that have an exon there on their strand, and the distance from the transcript's 5' end."""
+    hits = stab_join(mappings.select(*keys, "pos", "strand"), _exons(genes), "pos", "_s", "_e", bin_width=bins).filter(F.col("strand") == F.col("_strand"))
+    distance = transcript_position(F.col("_exons"), F.col("pos"), F.col("_strand") == "+")
     return hits.select(*keys, "pos", "strand", "gene", distance.alias("distance"))
 
 
 def nearest_match(mappings: DataFrame, genes: DataFrame, keys: list[str], bins: int) -> DataFrame:
-    """Each mapping's gene with the nearest 5' end (the least of equally near ones), and whether there were others."""
+    """Each mapping's gene with the nearest 5' end of the transcript (the least of equally near ones), and whether there were others."""
     hits = _sense(mappings, genes, keys, bins).groupBy(*keys).agg(F.min(F.struct("distance", "gene")).alias("x"), F.count("*").alias("n"))
     return hits.select(*keys, "x.gene", "x.distance", (F.col("n") > 1).alias("has_variants"))
 
@@ -71,12 +75,10 @@ def shared_genes(mappings: DataFrame, genes: DataFrame, repeats: DataFrame, read
 
 
 def other_features(mappings: DataFrame, genes: DataFrame, layers: dict[str, DataFrame], keys: list[str], bins: int) -> DataFrame:
-    """The mappings outside transcripts with what they lie in: a gene's other strand (antisense) first, then the layers in order, else null."""
+    """The mappings outside transcripts with what they lie in: an exon's other strand (antisense) first, then the layers in order, else null."""
     sense = _sense(mappings, genes, keys, bins).select(*keys).distinct()
     d = mappings.join(sense, keys, "left_anti")
-    hits = None
-    g = genes.select(F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("strand").alias("_strand"))
-    hits = stab_join(d.select(*keys, "pos", "strand"), g, "pos", "_s", "_e", bin_width=bins).filter("strand != _strand").select(*keys, F.lit(0).alias("_rank"), F.lit("antisense").alias("layer"))
+    hits = stab_join(d.select(*keys, "pos", "strand"), _exons(genes).select("_s", "_e", "_strand"), "pos", "_s", "_e", bin_width=bins).filter("strand != _strand").select(*keys, F.lit(0).alias("_rank"), F.lit("antisense").alias("layer"))
     for rank, (name, layer) in enumerate(layers.items(), 1):
         x = layer.select(F.col("start").alias("_s"), F.col("end").alias("_e"))
         hits = hits.unionByName(stab_join(d.select(*keys, "pos"), x, "pos", "_s", "_e", bin_width=bins).select(*keys, F.lit(rank).alias("_rank"), F.lit(name).alias("layer")))

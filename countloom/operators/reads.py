@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Sequences that tell artefacts, in the order of their tests.
 ARTEFACTS = (("P1", "AATGATACGGCGACC"), ("PHIX", "TAGTCACACAGTCCTTGACG"), ("RNA45S", "ACCTCAGATCAGACGTGGCGACCCGCTGAA"))
+#: Fixed value: the transposase's sequence.
+TN5 = "CTGTCTCTTATACAC"
 #: Pairs of bases whose repeats are no insert.
 PAIRS = ("AC", "AG", "AT", "CG", "CT", "GT")
 
@@ -67,9 +69,15 @@ def pair_repeat(insert: Column) -> Column:
     return F.when(times > 0, reduce(Column.__or__, [insert.contains(F.repeat(F.lit(p), times)) for p in PAIRS])).otherwise(F.length(insert) >= 0)
 
 
-def artefact(seq: Column, prefix: str, tests=ARTEFACTS, run: int = 20) -> Column:
-    """The artefact that a read without barcode (or switch sequence) is: a known sequence, or mostly one base. A run of ``run`` equal bases counts as all of them."""
-    out = F.when(F.lit(False), "")
+def holds_start(seq: Column, whole: str, least: int = 12) -> Column:
+    """Whether the first ``least`` bases of a sequence stand in the read, and where they first do the read goes on as the sequence does, to the end of either."""
+    at = F.instr(seq, whole[:least])
+    return (at > 0) & F.lit(whole).startswith(F.substring(seq, at, F.lit(len(whole))))
+
+
+def artefact(seq: Column, prefix: str, tests=ARTEFACTS, run: int = 20, transposase: str = TN5) -> Column:
+    """The artefact that a read without barcode (or switch sequence) is: the transposase's sequence, also at the read's end, a known sequence, or mostly one base. A run of ``run`` equal bases counts as all of them."""
+    out = F.when(holds_start(seq, transposase), f"{prefix}_TN5")
     for name, s in tests:
         out = out.when(seq.contains(s), f"{prefix}_{name}")
     for base in "ACGT":
@@ -116,7 +124,7 @@ def extracted(reads: DataFrame, seq: str, qual: str, layout: dict, least: int, p
     status = (
         F.when(F.col("_trimmed") <= least, "SEQ_QUALITY_ERROR")
         .when(F.col("index") == -1, artefact(s, "NO_BC"))
-        .when(F.col("_start").isNull(), artefact(s, "NO_TSSEQ"))
+        .when(F.col("_start").isNull(), artefact(s, "NO_TSSEQ", ARTEFACTS[:1]))
         .when(F.col("_tail.status") != "VALID", F.col("_tail.status"))
         .when(umi_ok != "VALID", umi_ok)
         .when(~complex_enough(F.col("_insert"), layout["least_bases"]), "COMPLEXITY_ERROR")
@@ -135,10 +143,14 @@ def status_counts(reads: DataFrame, by: list[str]) -> DataFrame:
 
 
 def zipped(first: DataFrame, second: DataFrame, key: str, header: str) -> DataFrame:
-    """Records of two files by their place in the file, where their headers agree up to the first space."""
+    """Records of two files by their place in the file. The job fails where a record has no partner, or their headers differ before the first space."""
     name = lambda c: F.substring_index(c, " ", 1)
-    b = second.select(key, *[F.col(c).alias(f"{c}_2") for c in second.columns if c != key])
-    return first.join(b, key).filter(name(F.col(header)) == name(F.col(f"{header}_2")))
+    b = second.select(key, *[F.col(c).alias(f"{c}_2") for c in second.columns if c != key], F.lit(True).alias("_right"))
+    d = first.withColumn("_left", F.lit(True)).join(b, key, "full")
+    at = F.col(key).cast("string")
+    wrong = F.when(F.col("_left").isNull() | F.col("_right").isNull(), F.raise_error(F.concat(F.lit("no partner for record "), at)).cast("boolean"))
+    wrong = wrong.when(~name(F.col(header)).eqNullSafe(name(F.col(f"{header}_2"))), F.raise_error(F.concat(F.lit("headers differ at record "), at)).cast("boolean")).otherwise(True)
+    return d.filter(wrong).drop("_left", "_right")
 
 
 def max_mappings(mappings: DataFrame, read: str, most: int) -> DataFrame:

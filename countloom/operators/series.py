@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,16 +31,31 @@ def peaks(d: DataFrame, keys: list[str], order: str, x: str, width: int) -> Data
     return runs.filter((F.col("_sign") == -1) & (F.col("_rise") >= width) & (F.col("_steps") >= width)).select(*keys, f"_at.{order}", f"_at.{x}")
 
 
-def spaced_top(d: DataFrame, keys: list[str], pos: str, n: str, most: int, apart: int) -> DataFrame:
-    """The places with the largest counts that lie at least so far apart: a place counts if no larger one (or equal one before it) is nearer than that. Of these the first most of each key.
+def spaced(d: DataFrame, keys: list[str], pos: str, apart: int) -> DataFrame:
+    """The rows that count when places are taken in order and each must lie at least so far behind the last one that counts. Places are whole numbers, one row for each of a key.
 
-    A place looks only at the rows within its distance, by a range window.
+    Behind a gap of that size the first place always counts, so stretches between such gaps are walked by themselves; a task holds the places of one stretch.
     """
-    near = Window.partitionBy(*keys).orderBy(pos).rangeBetween(-(apart - 1), apart - 1)
-    best = F.max(F.struct(F.col(n).alias("n"), (-F.col(pos)).alias("p"))).over(near)
-    top = d.withColumn("_best", best).filter((F.col("_best.n") == F.col(n)) & (F.col("_best.p") == -F.col(pos))).drop("_best")
+    w = Window.partitionBy(*keys).orderBy(pos)
+    gap = (F.col(pos) - F.lag(pos).over(w) >= apart).cast("int")
+    d = d.withColumn("_stretch", F.sum(F.coalesce(gap, F.lit(0))).over(w))
+
+    def walk(t: pa.Table) -> pa.Table:
+        order = np.argsort(t.column(pos).to_numpy(), kind="stable")
+        keep, last = [], None
+        for i, p in zip(order.tolist(), t.column(pos).to_numpy()[order].tolist(), strict=True):
+            if last is None or p - last >= apart:
+                keep.append(i)
+                last = p
+        return t.take(keep)
+
+    return d.groupBy(*keys, "_stretch").applyInArrow(walk, d.schema).drop("_stretch")
+
+
+def spaced_top(d: DataFrame, keys: list[str], pos: str, n: str, most: int, apart: int) -> DataFrame:
+    """Of the places that ``spaced`` leaves, those with the first most largest counts of each key; of equal counts the first places."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(n), pos))
-    return top.withColumn("_k", rank).filter(F.col("_k") <= most).drop("_k")
+    return spaced(d, keys, pos, apart).withColumn("_k", rank).filter(F.col("_k") <= most).drop("_k")
 
 
 def log_histogram(d: DataFrame, x: str, base: float = 2.0) -> DataFrame:

@@ -102,19 +102,18 @@ def smoothed_log_odds(spark, sf_dir):
     return rounded(logodds.smoothed_log_odds(table(spark, sf_dir, "lineitem"), "l_extendedprice", F.col("l_returnflag") == "R", 1000.0, 101000.0, 200), "log_odds")
 
 
-@query("SELECT l_suppkey, round(regr_slope(l_extendedprice, l_quantity), 2) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 1) AS intercept FROM lineitem GROUP BY ALL HAVING var_samp(l_quantity) > 0 AND var_samp(l_extendedprice) > 0")
+@query("SELECT l_suppkey, round(corr(l_extendedprice, l_quantity), 4) AS slope, round(1 - corr(l_extendedprice, l_quantity) ** 2, 6) AS rest FROM lineitem GROUP BY ALL HAVING var_samp(l_quantity) > 0 AND var_samp(l_extendedprice) > 0")
 def simplex_lines(spark, sf_dir):
-    """A line for each supplier, found by stepping down the sum of squares, which is had from sums."""
+    """A line through each supplier's scaled quantities and prices, found by stepping down the mean square, which is had from sums: its slope, and the share of the variance that it leaves."""
     d = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").cast("double").alias("x"), F.col("l_extendedprice").cast("double").alias("y"))
-    m = d.groupBy("l_suppkey").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"), F.corr("x", "y").alias("r")).filter("sx > 0 and sy > 0")
+    m = d.groupBy("l_suppkey").agg(F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"), F.corr("x", "y").alias("r")).filter("sx > 0 and sy > 0")
     m = m.withColumn("a", F.lit(0.5)).withColumn("b", F.lit(0.5))
 
-    def squares(p, held):  # of the scaled values: y = a + b x
+    def squares(p, held):  # of y = a + b x with means 0 and variances 1
         return 1 - 2 * p[:, 1] * held["r"] + p[:, 1] ** 2 + p[:, 0] ** 2
 
-    found = simplex.minimised(m, ["l_suppkey"], ["a", "b"], ["r"], squares).join(m.drop("a", "b"), "l_suppkey")
-    slope = F.col("x")[1] * F.col("sy") / F.col("sx")
-    return found.select("l_suppkey", (F.round(slope, 2) + 0.0).alias("slope"), (F.round(F.col("my") + F.col("x")[0] * F.col("sy") - slope * F.col("mx"), 1) + 0.0).alias("intercept"))
+    found = simplex.minimised(m, ["l_suppkey"], ["a", "b"], ["r"], squares)
+    return found.select("l_suppkey", (F.round(F.col("x")[1], 4) + 0.0).alias("slope"), F.round("value", 6).alias("rest"))
 
 
 def _normal_equations(spark, sf_dir):

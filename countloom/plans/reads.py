@@ -94,16 +94,18 @@ def insert_complexity(spark, sf_dir):
     return raw(spark, sf_dir).select("event_id", reads.complex_enough(i, 18).alias("complex_enough"), reads.pair_repeat(i).alias("pair_repeat"))
 
 
-def _artefact(prefix: str, s: str) -> str:
-    tests = " ".join(f"WHEN contains({s}, '{x}') THEN '{prefix}_{n}'" for n, x in reads.ARTEFACTS)
+def _artefact(prefix: str, s: str, tests=reads.ARTEFACTS) -> str:
+    start = f"instr({s}, '{reads.TN5[:12]}')"
+    first = f"WHEN {start} > 0 AND starts_with('{reads.TN5}', substr({s}, {start}, {len(reads.TN5)})) THEN '{prefix}_TN5'"
+    tests = " ".join(f"WHEN contains({s}, '{x}') THEN '{prefix}_{n}'" for n, x in tests)
     many = " ".join(f"WHEN length({s}) - length(replace({s}, '{b}', '')) > length({s}) // 2 OR contains({s}, repeat('{b}', 20)) THEN '{prefix}_MANY_{b}'" for b in "ACGT")
-    return f"CASE {tests} {many} ELSE '{prefix}_OTHER' END"
+    return f"CASE {first} {tests} {many} ELSE '{prefix}_OTHER' END"
 
 
-@query(f"""WITH {READS}, x AS (SELECT event_id, CASE event_id % 9 WHEN 0 THEN seq || 'AATGATACGGCGACC' WHEN 1 THEN 'TAGTCACACAGTCCTTGACG' || seq WHEN 2 THEN repeat('T', 20) || seq WHEN 3 THEN repeat('CG', 30) || 'C' ELSE seq END AS s FROM reads)
+@query(f"""WITH {READS}, x AS (SELECT event_id, CASE event_id % 9 WHEN 0 THEN seq || 'AATGATACGGCGACC' WHEN 1 THEN 'TAGTCACACAGTCCTTGACG' || seq WHEN 2 THEN repeat('T', 20) || seq WHEN 3 THEN repeat('CG', 30) || 'C' WHEN 4 THEN seq || 'CTGTCTCTTATAC' WHEN 5 THEN 'CTGTCTCTTATAGGG' || seq ELSE seq END AS s FROM reads)
     SELECT event_id, {_artefact('NO_BC', 's')} AS status FROM x""")
 def artefact_class(spark, sf_dir):
-    s = F.expr("case event_id % 9 when 0 then seq || 'AATGATACGGCGACC' when 1 then 'TAGTCACACAGTCCTTGACG' || seq when 2 then repeat('T', 20) || seq when 3 then repeat('CG', 30) || 'C' else seq end")
+    s = F.expr("case event_id % 9 when 0 then seq || 'AATGATACGGCGACC' when 1 then 'TAGTCACACAGTCCTTGACG' || seq when 2 then repeat('T', 20) || seq when 3 then repeat('CG', 30) || 'C' when 4 then seq || 'CTGTCTCTTATAC' when 5 then 'CTGTCTCTTATAGGG' || seq else seq end")
     return raw(spark, sf_dir).select("event_id", reads.artefact(s, "NO_BC").alias("status"))
 
 
@@ -136,7 +138,7 @@ def second_read_prefix(spark, sf_dir):
 
 EXTRACTED = f"""{READS}, {BARCODES}, {MUTANTS}, {_TAIL}, j AS (SELECT tail.*, coalesce(index, -1) AS index, CASE WHEN substr(seq, 9, 1) = 'G' THEN 9 + length(regexp_extract(substr(seq, 10, 3), '^G*')) END AS ins FROM tail LEFT JOIN t ON code = match),
     k AS (SELECT *, substr(seq, ins + 1, tail_len - ins) AS i FROM j),
-    x AS (SELECT *, CASE WHEN length(rtrim(qual, 'B')) <= {LEAST} THEN 'SEQ_QUALITY_ERROR' WHEN index = -1 THEN {_artefact('NO_BC', 'seq')} WHEN ins IS NULL THEN {_artefact('NO_TSSEQ', 'seq')}
+    x AS (SELECT *, CASE WHEN length(rtrim(qual, 'B')) <= {LEAST} THEN 'SEQ_QUALITY_ERROR' WHEN index = -1 THEN {_artefact('NO_BC', 'seq')} WHEN ins IS NULL THEN {_artefact('NO_TSSEQ', 'seq', reads.ARTEFACTS[:1])}
       WHEN tail_status <> 'VALID' THEN tail_status WHEN contains(seq, 'TTTTTT') THEN 'FORBIDDEN_INTERNAL_SEQ' {_UMI} WHEN length(regexp_replace(i, '[AaNn]', '', 'g')) < 8 THEN 'COMPLEXITY_ERROR' WHEN contains(seq, 'AATGATACGGCGACC') THEN 'P1_IN_READ'
       WHEN {_PAIR} THEN 'COMPLEXITY_ERROR' ELSE 'VALID' END AS status FROM k)"""
 
@@ -156,35 +158,38 @@ def status_counts(spark, sf_dir):
     return reads.status_counts(extracted(spark, sf_dir).withColumn("pf", F.col("event_id") % 5 != 0), ["index"])
 
 
-@query(f"""WITH {READS} SELECT a.event_id AS place, a.seq, b.seq AS seq_2 FROM reads a JOIN reads b ON a.event_id = b.event_id - 1 WHERE a.event_id % 10 <> 3""")
+@query(f"WITH {READS} SELECT event_id AS place, seq, reverse(translate(seq, 'ACGT', 'TGCA')) AS seq_2 FROM reads")
 def mate_zip(spark, sf_dir):
     d = raw(spark, sf_dir)
     first = d.select(F.col("event_id").alias("place"), F.concat(F.lit("r"), "event_id", F.lit(" 1:N")).alias("header"), "seq")
-    header = F.concat(F.lit("r"), F.col("event_id") - 1, F.when((F.col("event_id") - 1) % 10 == 3, "x").otherwise(""), F.lit(" 2:N"))
-    second = d.select((F.col("event_id") - 1).alias("place"), header.alias("header"), "seq")
+    second = d.select(F.col("event_id").alias("place"), F.concat(F.lit("r"), "event_id", F.lit(" 2:N")).alias("header"), F.reverse(F.translate("seq", "ACGT", "TGCA")).alias("seq"))
     return reads.zipped(first, second, "place", "header").select("place", "seq", "seq_2")
 
 
-MAPPINGS = "m AS (SELECT l_orderkey AS read_id, l_linenumber AS k, min(l_partkey) AS pos, CASE WHEN min(l_returnflag) = 'A' THEN '-' ELSE '+' END AS strand FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY ALL)"
-GENES = "g AS (SELECT p_partkey AS gene, p_partkey AS s, p_partkey + p_size % 7 AS e, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS gs FROM part WHERE p_type IN ('PROMO', 'SMALL', 'LARGE'))"
+MAPPINGS = "m AS (SELECT l_orderkey AS read_id, l_linenumber AS k, min(l_partkey) AS pos, CASE WHEN min(l_returnflag) = 'A' THEN '-' ELSE '+' END AS strand FROM lineitem GROUP BY ALL)"
+#: Exons of two blocks with an intron whose length depends on the gene: s and e of each, b the transcript's length before it, and len that of all.
+GENES = """g0 AS (SELECT p_partkey AS gene, p_partkey AS s1, p_partkey + 1 + p_partkey % 2 AS e1, p_partkey + 4 + p_partkey % 3 * 40 AS s2, p_partkey + 4 + p_partkey % 3 * 40 + p_size % 7 AS e2, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS gs FROM part WHERE p_type IN ('PROMO', 'SMALL', 'LARGE')),
+    g AS (SELECT gene, gs, s1 AS s, e1 AS e, 0 AS b, e1 - s1 + e2 - s2 + 2 AS len FROM g0 UNION ALL SELECT gene, gs, s2, e2, e1 - s1 + 1, e1 - s1 + e2 - s2 + 2 FROM g0)"""
 REPEATS = "r AS (SELECT p_partkey AS s, p_partkey + 2 AS e FROM part WHERE p_size < 8)"
 
 
 def _mappings(spark, sf_dir):
-    d = table(spark, sf_dir, "lineitem").filter("l_orderkey % 3 = 0").groupBy(F.col("l_orderkey").alias("read_id"), F.col("l_linenumber").alias("k"))
+    d = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("read_id"), F.col("l_linenumber").alias("k"))
     return d.agg(F.min("l_partkey").alias("pos"), F.when(F.min("l_returnflag") == "A", "-").otherwise("+").alias("strand"))
 
 
 def _genes(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter("p_type in ('PROMO', 'SMALL', 'LARGE')")
-    return p.select(F.col("p_partkey").alias("gene"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size") % 7).alias("end"), F.when(F.col("p_partkey") % 2 == 0, "+").otherwise("-").alias("strand"))
+    p, gene = table(spark, sf_dir, "part").filter("p_type in ('PROMO', 'SMALL', 'LARGE')"), F.col("p_partkey")
+    second = gene + 4 + gene % 3 * 40
+    exons = F.array(F.struct(gene.alias("s"), (gene + 1 + gene % 2).alias("e")), F.struct(second.alias("s"), (second + F.col("p_size") % 7).alias("e")))
+    return p.select(gene.alias("gene"), F.when(gene % 2 == 0, "+").otherwise("-").alias("strand"), exons.alias("exons"))
 
 
 def _repeats(spark, sf_dir):
     return table(spark, sf_dir, "part").filter("p_size < 8").select(F.col("p_partkey").alias("start"), (F.col("p_partkey") + 2).alias("end"))
 
 
-DISTANCE = "CASE WHEN gs = '+' THEN pos - s ELSE e - pos END"
+DISTANCE = "CASE WHEN gs = '+' THEN b + pos - s ELSE len - 1 - b - pos + s END"
 FLAGGED = f"""{MAPPINGS}, {GENES}, {REPEATS}, h AS (SELECT read_id, k, pos, strand, gene, {DISTANCE} AS dist FROM m JOIN g ON pos BETWEEN s AND e AND strand = gs),
     f AS (SELECT m.*, EXISTS (SELECT 1 FROM g WHERE pos BETWEEN s AND e AND strand = gs) AS tr, EXISTS (SELECT 1 FROM r WHERE pos BETWEEN s AND e) AS rep, count(*) OVER (PARTITION BY read_id) AS n FROM m),
     b AS (SELECT read_id, min(k) FILTER (rep AND NOT tr AND n > 1) AS bad, min(k) AS first, bool_or(tr) AS any_tr FROM f GROUP BY ALL)"""

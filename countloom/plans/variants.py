@@ -173,11 +173,11 @@ def peak_maxima(spark, sf_dir):
     return series.peaks(_hours(spark, sf_dir), ["event_type"], "t", "n", 2)
 
 
-@query("""WITH d AS (SELECT event_type, user_id AS pos, count(*) AS n FROM events GROUP BY ALL), t AS (SELECT * FROM d a WHERE NOT EXISTS (SELECT 1 FROM d b WHERE a.event_type = b.event_type AND abs(a.pos - b.pos) < 5 AND (b.n > a.n OR b.n = a.n AND b.pos < a.pos)))
-    SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY n DESC, pos) <= 10""")
+@query("""WITH RECURSIVE d AS (SELECT event_type, user_id AS pos, count(*) AS n FROM events GROUP BY ALL), t AS (SELECT event_type, min(pos) AS pos FROM d GROUP BY ALL UNION ALL SELECT * FROM (SELECT t.event_type, min(d.pos) AS pos FROM t JOIN d ON d.event_type = t.event_type AND d.pos >= t.pos + 3 GROUP BY t.event_type, t.pos))
+    SELECT event_type, pos, n FROM t JOIN d USING (event_type, pos) QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY n DESC, pos) <= 10""")
 def top_hotspots(spark, sf_dir):
     d = table(spark, sf_dir, "events").groupBy("event_type", F.col("user_id").alias("pos")).agg(F.count("*").alias("n"))
-    return series.spaced_top(d, ["event_type"], "pos", "n", 10, 5)
+    return series.spaced_top(d, ["event_type"], "pos", "n", 10, 3)
 
 
 @query("SELECT CAST(floor(ln(l_extendedprice) / ln(2) + 1e-12) AS BIGINT) AS bin, count(*) AS n FROM lineitem WHERE l_extendedprice > 0 GROUP BY ALL")

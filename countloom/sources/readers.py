@@ -74,10 +74,11 @@ def typed(spark: SparkSession, path: str, schema: str, header: bool = True) -> D
 
 
 def mapped(spark: SparkSession, path: str, columns: dict, header: bool = False) -> DataFrame:
-    """Lines of a tab-separated file through expressions over their fields: name -> function of the array of fields. Blank lines are left out, and a header line where there is one."""
-    d = spark.read.text(path).filter(F.trim("value") != "")
-    if header:
-        d = d.filter(F.col("_metadata.file_block_start") + F.monotonically_increasing_id() % (1 << 33) > 0)
+    """Lines of tab-separated files through expressions over their fields: name -> function of the array of fields. Blank lines are left out, and with a header the first line of each file.
+
+    A line is read as a table of one column, so that Spark itself drops the header wherever a file begins; a line may not hold the character U+0001.
+    """
+    d = spark.read.csv(path, schema="value string", sep="\x01", quote="", header=header).filter(F.trim("value") != "")
     return d.select(F.split("value", "\t").alias("_f")).select(*[f(F.col("_f")).alias(name) for name, f in columns.items()])
 
 

@@ -90,11 +90,12 @@ def r_table(cells: DataFrame, path: str, row: str, column: str, value: str, colu
 
 
 def newick(merges: list[tuple], names: dict | None = None) -> str:
-    """The Newick text of a merge list (first, second, height, merged), as agglomeration gives it: one line a merge, of a bounded number of clusters."""
+    """The Newick text of a merge list (first, second, height), as agglomeration gives it, of a bounded number of clusters. The merged cluster goes by its first part's name, or by a fourth entry."""
     text, height = dict(names or {}), {}
     part = lambda c, h: f"{text.get(c, c)}:{h - height.get(c, 0.0):g}"
     top = ""
-    for first, second, h, merged in merges:
+    for first, second, h, *named in merges:
+        merged = named[0] if named else first
         top = text[merged] = f"({part(first, h)},{part(second, h)})"
         height[merged] = h
     return top + ";"
@@ -103,3 +104,14 @@ def newick(merges: list[tuple], names: dict | None = None) -> str:
 def xml(d: DataFrame, path: str, root: str = "summary", row: str = "point") -> None:
     """Rows as elements of XML files; structs and arrays become nested elements."""
     d.write.format("xml").option("rootTag", root).option("rowTag", row).save(path)
+
+
+def phylip(pairs: DataFrame, path: str, items: list) -> None:
+    """The square table of distances (first, second, distance; each pair once) of a bounded number of items in the PHYLIP format: their number, then a line for each with its name, ten letters wide, and its distances to all. Absent pairs are at distance 0."""
+    both = pairs.select(F.col("first").alias("a"), F.col("second").alias("b"), "distance").unionByName(pairs.select(F.col("second").alias("a"), F.col("first").alias("b"), "distance"))
+    d = both.groupBy("a").pivot("b", items).agg(F.first("distance"))
+    name = F.rpad(F.col("a").cast("string"), 10, " ")
+    order = F.array_position(F.array(*map(F.lit, items)), F.col("a"))
+    body = d.select(order.alias("k"), F.concat_ws(" ", name, *[F.format_string("%.6f", F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).cast("double")) for c in items]).alias("value"))
+    top = pairs.sparkSession.createDataFrame([(0, str(len(items)))], "k long, value string")
+    top.unionByName(body).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
