@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import running_totals
+from .storage import kept
+
 
 def kept_cells(d: DataFrame, cell: str, value: str, part: float = 100.0) -> DataFrame:
     """Rows of cells whose total is at least the mean total over part. One row with the mean is broadcast."""
@@ -149,3 +153,72 @@ def shuffled_within(d: DataFrame, group: list[str], value: str, order: list[str]
 def saturated_labels(n_seen: Column, n_labels: int, efficiency: float) -> Column:
     """The number of molecules behind so many seen labels, where a share of them is caught."""
     return F.log(1 - n_seen / n_labels) / F.log(F.lit(1 - efficiency / n_labels))
+
+
+def count_bins(values: DataFrame, count: str, least: int) -> DataFrame:
+    """count, n, bin (from 0): the different counts in order, gathered into bins of at least so many values each; what is left at the end is a bin too.
+
+    A bin's start depends on where the one before it ended, so one task walks over the different counts, a row each, not over the values.
+    """
+    n = values.groupBy(count).agg(F.count("*").alias("n"))
+
+    def walk(t: pa.Table) -> pa.Table:
+        t = t.sort_by(count)
+        bins, k, held = [], 0, 0
+        for x in t.column("n").to_pylist():
+            bins.append(k)
+            held += x
+            if held >= least:
+                k, held = k + 1, 0
+        return t.append_column("bin", pa.array(bins, pa.int64()))
+
+    kind = n.schema[count].dataType.simpleString()
+    return n.groupBy(F.lit(0).alias("_g")).applyInArrow(lambda t: walk(t.select([count, "n"])), f"`{count}` {kind}, n long, bin long")
+
+
+def drawn_correlations(d: DataFrame, feature: str, cell: str, count: str, pairs: DataFrame, least: int, times: int, seed: str) -> DataFrame:
+    """first, second, mean and variance of Pearson's r of pairs over so many rounds, in which every count stands for the mean of a feature drawn from its bin of counts.
+
+    A bin holds the means of the features that have a count in it, one for each such value. Its values are numbered over ranges of their order, so that the many values of a frequent count are no one task's;
+    a draw is a number by the hash of seed, round, feature and cell, and finds its value by an equality join. Pairs without variation count as 0.
+    """
+    d = d.select(feature, cell, F.col(count).alias("_count"))
+    means = d.groupBy(feature).agg(F.avg("_count").alias("_mean"))
+    bins = kept(count_bins(d, "_count", least))  # a row for each different count
+    v = d.join(bins.select("_count", "bin"), "_count").join(means, feature)
+    numbered = running_totals(v.select("bin", feature, cell, "_mean", F.lit(1).cast("long").alias("_one")), ["bin", feature, cell], "_one", "_before")
+    sizes = bins.groupBy("bin").agg(F.sum("n").alias("_size"))
+    starts = sizes.select("bin", "_size", F.coalesce(F.sum("_size").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))  # a row for each bin
+    numbered = numbered.join(F.broadcast(starts), "bin").select("bin", (F.col("_before") - F.col("_start")).alias("_k"), F.col("_mean").alias("_value"))
+    rounds = v.join(F.broadcast(starts), "bin").withColumn("_t", F.explode(F.sequence(F.lit(1), F.lit(times))))
+    hashed = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("_t").cast("string"), F.col(feature).cast("string"), F.col(cell).cast("string"))), 1, 12), 16, 10).cast("long")
+    drawn = kept(rounds.withColumn("_k", hashed % F.col("_size")).join(numbered, ["bin", "_k"]).select(F.col(feature).alias("_f"), F.col(cell).alias("_c"), "_t", "_value"))
+    a = pairs.select("first", "second").join(drawn.select(F.col("_f").alias("first"), "_c", "_t", F.col("_value").alias("_a")), "first")
+    both = a.join(drawn.select(F.col("_f").alias("second"), "_c", "_t", F.col("_value").alias("_b")), ["second", "_c", "_t"])
+    s = lambda c, n: F.sum(c).alias(n)
+    x, y = F.col("_a"), F.col("_b")
+    m = both.groupBy("first", "second", "_t").agg(F.count("*").alias("n"), s(x, "sx"), s(y, "sy"), s(x * x, "sxx"), s(y * y, "syy"), s(x * y, "sxy"))
+    spread = (F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")) * (F.col("syy") - F.col("sy") * F.col("sy") / F.col("n"))
+    r = F.when(spread > 1e-9, (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / F.sqrt(spread)).otherwise(0.0)
+    return m.withColumn("_r", r).groupBy("first", "second").agg(F.avg("_r").alias("mean"), F.var_samp("_r").alias("variance"))
+
+
+def class_correlations(pairs: DataFrame, r: str, same: Column, bins: int) -> DataFrame:
+    """bin, n and n_background, and their shares: how many pairs of one class, and how many others, have a correlation of that size; a correlation of 1 falls in the last bin."""
+    k = F.least(F.floor(F.abs(F.col(r)) * bins), F.lit(bins - 1)).cast("long")
+    n = pairs.groupBy(k.alias("bin")).agg(F.count_if(same).alias("n"), F.count_if(~same).alias("n_background"))
+    total = F.broadcast(n.agg(F.sum("n").alias("_n"), F.sum("n_background").alias("_b")))
+    share = lambda c, a: F.coalesce(F.try_divide(F.col(c), F.col(a)), F.lit(0.0))
+    return n.join(total).select("bin", "n", "n_background", share("n", "_n").alias("share"), share("n_background", "_b").alias("share_background"))
+
+
+def aligned_grids(a: DataFrame, b: DataFrame, features: DataFrame, reach: int) -> DataFrame:
+    """dx, dy, score and n: the shift of grid b, each way from -reach up to but without reach, whose values times a's at the features (x, y) are greatest on average; of equal ones the least shift. Grids have x, y and value.
+
+    Every feature asks for the place that a shift brings over it, so the join is by equality and has features times shifts rows.
+    """
+    step = F.sequence(F.lit(-reach), F.lit(reach - 1))
+    f = features.select("x", "y").join(a.select("x", "y", F.col("value").alias("_a")), ["x", "y"]).withColumn("dx", F.explode(step)).withColumn("dy", F.explode(step))
+    f = f.select("dx", "dy", "_a", (F.col("x") - F.col("dx")).alias("x"), (F.col("y") - F.col("dy")).alias("y"))
+    s = f.join(b, ["x", "y"]).groupBy("dx", "dy").agg(F.avg(F.col("_a") * F.col("value")).alias("score"), F.count("*").alias("n"))
+    return s.orderBy(F.desc("score"), "dx", "dy").limit(1)

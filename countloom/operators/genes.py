@@ -77,6 +77,16 @@ def masked_introns(genes: DataFrame, bins: int) -> DataFrame:
     return hits.select("gene", "intron").distinct()
 
 
+def masked_flanks(genes: DataFrame, flank: int, bins: int) -> DataFrame:
+    """gene and side (upstream or downstream) of the flanks, so many bases on each side, into which an exon of another gene reaches, whatever its strand."""
+    e = genes.select("gene", F.explode("exons").alias("x")).select("gene", F.col("x.s").alias("start"), F.col("x.e").alias("end"))
+    start, end = span(F.col("exons"))
+    side = lambda left: F.when((F.col("strand") == "+") == F.lit(left), "upstream").otherwise("downstream")
+    sides = F.array(F.struct(side(True).alias("side"), (start - flank).alias("start"), start.alias("end")), F.struct(side(False).alias("side"), end.alias("start"), (end + flank).alias("end")))
+    f = genes.select("gene", F.explode(sides).alias("f")).select("gene", "f.*")
+    return overlapping(f, e, 1, bins).filter("gene != gene_b").select("gene", "side").distinct()
+
+
 def joined_exons(exons: Column, gap: int = 10, least: int = 1) -> Column:
     """Exons with neighbours that are no more than gap apart joined, if that removes at least so many exons; else as they are."""
     kind = "array<struct<s:bigint,e:bigint>>"

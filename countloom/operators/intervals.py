@@ -22,13 +22,14 @@ def stab_join(points: DataFrame, intervals: DataFrame, point: str, start: str, e
 
 
 def cascade(points: DataFrame, layers: list[tuple[str, DataFrame]], key: str, point: str, start: str, end: str, bin_width: int = BIN) -> DataFrame:
-    """Each point's first layer with an interval that holds it, by one join over all layers and a minimum; null where none does."""
+    """Each point's first layer with an interval that holds it and how many of that layer do, by one join over all layers and a minimum; null and 0 where none does."""
     both = None
     for k, (name, layer) in enumerate(layers):
         x = layer.select(F.col(start), F.col(end), F.lit(k).alias("_k"), F.lit(name).alias("_layer"))
         both = x if both is None else both.unionByName(x)
-    hits = stab_join(points.select(key, point), both, point, start, end, bin_width=bin_width).groupBy(key).agg(F.min_by("_layer", "_k").alias("layer"))
-    return points.join(hits, key, "left")
+    hits = stab_join(points.select(key, point), both, point, start, end, bin_width=bin_width).groupBy(key, "_k", "_layer").agg(F.count("*").alias("n_hits"))
+    first = hits.groupBy(key).agg(F.min(F.struct("_k", F.col("_layer").alias("layer"), "n_hits")).alias("_x"))
+    return points.join(first.select(key, "_x.layer", "_x.n_hits"), key, "left").withColumn("n_hits", F.coalesce("n_hits", F.lit(0)))
 
 
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], at: str, since: str, value: str) -> DataFrame:

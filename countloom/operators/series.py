@@ -31,6 +31,22 @@ def peaks(d: DataFrame, keys: list[str], order: str, x: str, width: int) -> Data
     return runs.filter((F.col("_sign") == -1) & (F.col("_rise") >= width) & (F.col("_steps") >= width)).select(*keys, f"_at.{order}", f"_at.{x}")
 
 
+def inflections(d: DataFrame, keys: list[str], order: str, x: str, width: int) -> DataFrame:
+    """Where the slope has a peak of that width: rows of the place and its slope, see ``peaks``."""
+    slopes = derivative(d, keys, order, x).select(*keys, order, F.col("slope").alias("_bend"))
+    return peaks(slopes, keys, order, "_bend", width).withColumnRenamed("_bend", "slope")
+
+
+def run_peaks(d: DataFrame, keys: list[str], order: str, x: str, width: int) -> DataFrame:
+    """Rows between a run of at least width steps that don't go down and a run of at least width steps that do. Here every single step the other way ends a run, as suits whole numbers."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    s = derivative(d, keys, order, x).withColumn("_down", F.col("slope") < 0)
+    s = s.withColumn("_run", F.sum(F.coalesce((F.lag("_down").over(w) != F.col("_down")).cast("int"), F.lit(0))).over(w))
+    runs = s.groupBy(*keys, "_run", "_down").agg(F.count("*").alias("_steps"), F.min(F.struct(order, x)).alias("_at"))
+    runs = runs.withColumn("_rise", F.lag("_steps").over(Window.partitionBy(*keys).orderBy("_run")))
+    return runs.filter(F.col("_down") & (F.col("_rise") >= width) & (F.col("_steps") >= width)).select(*keys, f"_at.{order}", f"_at.{x}")
+
+
 def spaced(d: DataFrame, keys: list[str], pos: str, apart: int) -> DataFrame:
     """The rows that count when places are taken in order and each must lie at least so far behind the last one that counts. Places are whole numbers, one row for each of a key.
 

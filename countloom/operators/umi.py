@@ -61,8 +61,10 @@ def cross_barcode_filter(counts: DataFrame, place: list[str], ratio: float) -> D
 
 
 def leakage(counts: DataFrame, place: list[str], barcode: str, ratio: float) -> DataFrame:
-    """Places where the top barcode has more than ratio times the reads of the second."""
+    """Places where the top barcode has more than ratio times the reads of the second, with the reads per molecule of both. counts: place, barcode, n_reads, n_mols."""
     order = Window.partitionBy(*place).orderBy(F.desc("n_reads"), barcode)
     ranked = counts.withColumn("k", F.row_number().over(order)).filter("k <= 2")
-    two = ranked.groupBy(*place).agg(F.max(F.when(F.col("k") == 1, F.col(barcode))).alias("top"), F.max(F.when(F.col("k") == 1, F.col("n_reads"))).alias("n_top"), F.max(F.when(F.col("k") == 2, F.col("n_reads"))).alias("n_second"))
+    of = lambda k, c: F.max(F.when(F.col("k") == k, c))
+    each = F.col("n_reads") / F.col("n_mols")
+    two = ranked.groupBy(*place).agg(of(1, F.col(barcode)).alias("top"), of(1, F.col("n_reads")).alias("n_top"), of(2, F.col("n_reads")).alias("n_second"), of(1, each).alias("per_molecule_top"), of(2, each).alias("per_molecule_second"))
     return two.filter(F.col("n_top") > ratio * F.col("n_second"))

@@ -118,3 +118,20 @@ def block_consensus(d: DataFrame, block: str, text: str, length: int) -> DataFra
     n = d.groupBy(block, F.substring(text, 1, length).alias("word")).agg(F.count("*").alias("_n"))
     best = n.groupBy(block).agg(F.min(F.struct((-F.col("_n")).alias("less"), "word")).alias("x"), F.sum("_n").alias("n_reads"))
     return best.select(block, "x.word", (-F.col("x.less")).alias("n_word"), "n_reads")
+
+
+def block_corrected(d: DataFrame, block: str, text: str, length: int, most: int) -> DataFrame:
+    """d with word and n_changed: a read's first letters, replaced by its block's commonest letter at each place (the least of equally common ones) if that changes no more than ``most`` of them.
+
+    Letters are counted by block and place before they meet, so a block of very many reads is ``length`` times its letters; shorter reads stay as they are.
+    """
+    place = F.explode(F.sequence(F.lit(1), F.lit(length)))
+    long = F.length(text) >= length
+    n = d.filter(long).select(block, F.col(text).alias("_t"), place.alias("_i")).groupBy(block, "_i", F.expr("substr(_t, _i, 1)").alias("_c")).agg(F.count("*").alias("_n"))
+    letters = n.groupBy(block, "_i").agg(F.min(F.struct((-F.col("_n")).alias("n"), F.col("_c").alias("c"))).alias("_x"))
+    words = letters.groupBy(block).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x.c"))), lambda x: x["c"]), "").alias("_common"))
+    d = d.withColumn("word", F.substring(text, 1, length)).join(words, block, "left")
+    differ = F.aggregate(F.sequence(F.lit(1), F.lit(length)), F.lit(0), lambda s, i: s + F.when(F.substring(F.col("word"), i, F.lit(1)) != F.substring(F.col("_common"), i, F.lit(1)), 1).otherwise(0))
+    d = d.withColumn("_d", F.when(long, differ))
+    near = F.coalesce(F.col("_d") <= most, F.lit(False))
+    return d.withColumn("word", F.when(near, F.col("_common")).otherwise(F.col("word"))).withColumn("n_changed", F.when(near, F.col("_d")).otherwise(0)).drop("_common", "_d")

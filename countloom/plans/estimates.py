@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from countloom.functions import distributions as dist
 from countloom.functions import sequence
-from countloom.operators import algebra, alignment, assembly, elimination, logodds, posterior, qt, simplex
+from countloom.operators import algebra, alignment, assembly, cells, elimination, logodds, posterior, qt, simplex
 
+from .cells import MATRIX, matrix
 from .profiles import TAGS, _tags, rounded, table
 from .variants import oligos
 
@@ -145,6 +146,44 @@ def tridiagonal_systems(spark, sf_dir):
     return rounded(elimination.tridiagonal(c, ["c_nationkey"], "i", "a", "b", "c", "d"), "x")
 
 
+GREEDY = f"""{MATRIX}, c0 AS (SELECT n AS count, count(*) AS n FROM m GROUP BY m.n), c AS (SELECT *, row_number() OVER (ORDER BY count) AS i FROM c0), w AS (SELECT count, n, i, CAST(0 AS BIGINT) AS bin, n AS held FROM c WHERE i = 1
+    UNION ALL SELECT c.count, c.n, c.i, CASE WHEN w.held >= 40 THEN w.bin + 1 ELSE w.bin END, CASE WHEN w.held >= 40 THEN c.n ELSE w.held + c.n END FROM w JOIN c ON c.i = w.i + 1)"""
+
+
+@query(f"WITH RECURSIVE {GREEDY} SELECT count, n, bin FROM w")
+def count_bins(spark, sf_dir):
+    return cells.count_bins(matrix(spark, sf_dir).select(F.col("n").alias("count")), "count", 40)
+
+
+@query(f"""WITH RECURSIVE {GREEDY}, f AS (SELECT feature, avg(n) AS mean FROM m GROUP BY ALL), v AS (SELECT feature, cell, bin, mean FROM m JOIN w ON w.count = m.n JOIN f USING (feature)), k AS (SELECT *, row_number() OVER (PARTITION BY bin ORDER BY feature, cell) - 1 AS k, count(*) OVER (PARTITION BY bin) AS size FROM v),
+    d AS (SELECT a.feature, a.cell, t, b.mean AS x FROM k a, (SELECT unnest(range(1, 6)) AS t) JOIN k b ON b.bin = a.bin AND b.k = ('0x' || substr(md5('s|' || t || '|' || a.feature || '|' || a.cell), 1, 12))::BIGINT % a.size),
+    p AS (SELECT a.feature AS first, b.feature AS second, a.t, count(*) AS n, sum(a.x) AS sx, sum(b.x) AS sy, sum(a.x * a.x) AS sxx, sum(b.x * b.x) AS syy, sum(a.x * b.x) AS sxy FROM d a JOIN d b ON a.cell = b.cell AND a.t = b.t AND b.feature = a.feature + 1 GROUP BY ALL),
+    r AS (SELECT first, second, CASE WHEN (sxx - sx * sx / n) * (syy - sy * sy / n) > 1e-9 THEN (sxy - sx * sy / n) / sqrt((sxx - sx * sx / n) * (syy - sy * sy / n)) ELSE 0 END AS r FROM p) SELECT first, second, round(avg(r), 5) AS mean, round(var_samp(r), 5) AS variance FROM r GROUP BY ALL""")
+def drawn_correlations(spark, sf_dir):
+    m = matrix(spark, sf_dir)
+    pairs = m.select(F.col("feature").alias("first"), (F.col("feature") + 1).alias("second")).distinct()
+    d = cells.drawn_correlations(m, "feature", "cell", "n", pairs, 40, 5, "s")
+    return d.select("first", "second", F.round("mean", 5).alias("mean"), F.round("variance", 5).alias("variance"))
+
+
+@query(f"""WITH {MATRIX}, r AS (SELECT a.feature AS a, b.feature AS b, corr(a.n, b.n) AS r FROM m a JOIN m b ON a.cell = b.cell AND a.feature < b.feature GROUP BY ALL), k AS (SELECT CAST(least(floor(abs(r) * 20), 19) AS BIGINT) AS bin, a % 5 = b % 5 AS same FROM r WHERE r IS NOT NULL AND NOT isnan(r)),
+    n AS (SELECT bin, count(*) FILTER (same) AS n, count(*) FILTER (NOT same) AS n_background FROM k GROUP BY ALL) SELECT bin, n, n_background, round(n / (SELECT sum(n) FROM n), 6) AS share, round(n_background / (SELECT sum(n_background) FROM n), 6) AS share_background FROM n""")
+def class_correlations(spark, sf_dir):
+    """Pairs of suppliers by the rest of their keys as classes; all pairs by definition."""
+    m = matrix(spark, sf_dir)
+    a, b = m.select(F.col("feature").alias("a"), "cell", F.col("n").alias("x")), m.select(F.col("feature").alias("b"), "cell", F.col("n").alias("y"))
+    r = a.join(b, "cell").filter("a < b").groupBy("a", "b").agg(F.corr("x", "y").alias("r")).filter("r is not null and not isnan(r)")
+    return rounded(cells.class_correlations(r, "r", F.col("a") % 5 == F.col("b") % 5, 20), "share", "share_background")
+
+
+@query("""WITH g AS (SELECT CAST(p_partkey % 40 AS BIGINT) AS x, CAST(p_partkey // 40 AS BIGINT) AS y, CAST(p_size AS BIGINT) AS v FROM part), h AS (SELECT x - 2 AS x, y + 1 AS y, v FROM g), f AS (SELECT x, y, v FROM g WHERE v >= 40), o AS (SELECT unnest(range(-3, 3)) AS dx),
+    s AS (SELECT dx, dy, avg(f.v * h.v) AS score, count(*) AS n FROM f, o, (SELECT dx AS dy FROM o) JOIN h ON h.x = f.x - dx AND h.y = f.y - dy GROUP BY ALL) SELECT CAST(dx AS INTEGER) AS dx, CAST(dy AS INTEGER) AS dy, round(score, 6) AS score, n FROM s ORDER BY score DESC, dx, dy LIMIT 1""")
+def aligned_grids(spark, sf_dir):
+    """A grid and its own shifted copy, aligned at the places of great values."""
+    g = table(spark, sf_dir, "part").select((F.col("p_partkey") % 40).alias("x"), F.expr("p_partkey div 40").alias("y"), F.col("p_size").cast("long").alias("value"))
+    return rounded(cells.aligned_grids(g, g.select((F.col("x") - 2).alias("x"), (F.col("y") + 1).alias("y"), "value"), g.filter("value >= 40"), 3), "score")
+
+
 @query(None)
 def quality_clusters(spark, sf_dir):
     """Parts' brands by how the sizes and prices of their types correlate; no SQL."""

@@ -76,6 +76,12 @@ def intron_mask(spark, sf_dir):
     return genes.masked_introns(models(spark, sf_dir), 200)
 
 
+@query(f"""WITH {GENES}, {EACH}, f AS (SELECT gene, CASE strand WHEN '+' THEN 'upstream' ELSE 'downstream' END AS side, lo - 60 AS s, lo AS e FROM b UNION ALL SELECT gene, CASE strand WHEN '+' THEN 'downstream' ELSE 'upstream' END, hi, hi + 60 FROM b)
+    SELECT DISTINCT f.gene, side FROM f JOIN x ON x.gene <> f.gene AND x.s < f.e AND x.e > f.s""")
+def flank_mask(spark, sf_dir):
+    return genes.masked_flanks(models(spark, sf_dir), 60, 200)
+
+
 @query(f"""WITH {GENES}, j AS (SELECT gene, exons, exons[1].e + 10 >= exons[2].s AS a, exons[2].e + 10 >= exons[3].s AS c FROM g)
     SELECT gene, CASE WHEN a AND c THEN 1 WHEN a OR c THEN 2 ELSE 3 END AS n_exons, CASE WHEN a AND c THEN exons[3].e WHEN a THEN exons[2].e ELSE exons[1].e END AS first_end FROM j""")
 def joined_exons(spark, sf_dir):

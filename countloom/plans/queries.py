@@ -113,10 +113,14 @@ def size_factor_matrix(spark, sf_dir):
     return matrix.size_factors(molecules(spark, sf_dir), "user_id", "n_molecules").withColumn("factor", F.round("factor", 6))
 
 
-@query("""WITH t AS (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, user_id) AS k FROM t)
-    SELECT event_type, max(user_id) FILTER (k = 1) AS top, max(n) FILTER (k = 1) AS n_top, max(n) FILTER (k = 2) AS n_second FROM r WHERE k <= 2 GROUP BY ALL HAVING max(n) FILTER (k = 1) > 1.01 * max(n) FILTER (k = 2)""")
+@query("""WITH t AS (SELECT event_type, user_id, count(*) AS n, count(DISTINCT event_id * 37 % 256) AS m FROM events GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, user_id) AS k FROM t)
+    SELECT event_type, max(user_id) FILTER (k = 1) AS top, max(n) FILTER (k = 1) AS n_top, max(n) FILTER (k = 2) AS n_second, round(max(n / m) FILTER (k = 1), 6) AS per_molecule_top, round(max(n / m) FILTER (k = 2), 6) AS per_molecule_second
+    FROM r WHERE k <= 2 GROUP BY ALL HAVING max(n) FILTER (k = 1) > 1.01 * max(n) FILTER (k = 2)""")
 def leakage_top2(spark, sf_dir):
-    return umi.leakage(umi.read_counts(reads(spark, sf_dir), ["event_type"], "user_id"), ["event_type"], "user_id", 1.01)
+    d = table(spark, sf_dir, "events").groupBy("event_type", "user_id", (F.col("event_id") * 37 % 256).alias("umi")).agg(F.count("*").alias("n"))
+    d = d.groupBy("event_type", "user_id").agg(F.sum("n").alias("n_reads"), F.count("*").alias("n_mols"))
+    out = umi.leakage(d, ["event_type"], "user_id", 1.01)
+    return out.withColumns({c: F.round(c, 6) for c in ("per_molecule_top", "per_molecule_second")})
 
 
 @query("""WITH t AS (SELECT event_type, event_id % 16 AS umi, user_id, count(*) AS n_reads FROM events GROUP BY ALL)
@@ -152,12 +156,12 @@ def interval_anti(spark, sf_dir):
     return intervals.stab_join(_points(spark, sf_dir), _parts(spark, sf_dir).filter("p_type like 'PROMO%'"), "pos", "i_start", "i_end", "left_anti", 50)
 
 
-@query(f"""WITH {PARTS} SELECT s_suppkey, CASE WHEN EXISTS (SELECT 1 FROM p WHERE p_type LIKE 'PROMO%' AND s_suppkey BETWEEN i_start AND i_end) THEN 'promo'
-    WHEN EXISTS (SELECT 1 FROM p WHERE p_type LIKE 'SMALL%' AND s_suppkey BETWEEN i_start AND i_end) THEN 'small' END AS layer FROM supplier""")
+@query(f"""WITH {PARTS}, h AS (SELECT s_suppkey, count(*) FILTER (p_type LIKE 'PROMO%') AS a, count(*) FILTER (p_type LIKE 'SMALL%') AS b FROM supplier LEFT JOIN p ON s_suppkey BETWEEN i_start AND i_end GROUP BY ALL)
+    SELECT s_suppkey, CASE WHEN a > 0 THEN 'promo' WHEN b > 0 THEN 'small' END AS layer, CASE WHEN a > 0 THEN a ELSE b END AS n_hits FROM h""")
 def interval_cascade(spark, sf_dir):
     p = _parts(spark, sf_dir)
     layers = [("promo", p.filter("p_type like 'PROMO%'")), ("small", p.filter("p_type like 'SMALL%'"))]
-    return intervals.cascade(table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_suppkey").alias("pos")), layers, "s_suppkey", "pos", "i_start", "i_end", 50).select("s_suppkey", "layer")
+    return intervals.cascade(table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_suppkey").alias("pos")), layers, "s_suppkey", "pos", "i_start", "i_end", 50).select("s_suppkey", "layer", "n_hits")
 
 
 @query("""WITH e AS (SELECT user_id, ts, max(event_id) AS event_id FROM events GROUP BY ALL),

@@ -151,6 +151,12 @@ def block_consensus(spark, sf_dir):
     return variants.block_consensus(table(spark, sf_dir, "documents"), "source", "text", 3)
 
 
+@query("""WITH l AS (SELECT p_brand, i, substr(p_name, i, 1) AS c, count(*) AS n FROM part, (SELECT unnest(range(1, 7)) AS i) GROUP BY ALL), k AS (SELECT p_brand, i, arg_min(c, (-n, c)) AS c FROM l GROUP BY ALL), w AS (SELECT p_brand, string_agg(c, '' ORDER BY i) AS consensus FROM k GROUP BY ALL),
+    d AS (SELECT p_partkey, p_brand, substr(p_name, 1, 6) AS word, consensus, CAST(hamming(substr(p_name, 1, 6), consensus) AS INTEGER) AS n_changed FROM part JOIN w USING (p_brand)) SELECT p_partkey, p_brand, CASE WHEN n_changed <= 4 THEN consensus ELSE word END AS word, CASE WHEN n_changed <= 4 THEN n_changed ELSE 0 END AS n_changed FROM d""")
+def block_corrections(spark, sf_dir):
+    return variants.block_corrected(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name"), "p_brand", "p_name", 6, 4).select("p_partkey", "p_brand", "word", "n_changed")
+
+
 DAYS = "d AS (SELECT event_type, CAST(ts AS DATE) AS t, count(*) AS n FROM events GROUP BY ALL)"
 HOURS = "d AS (SELECT event_type, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS t, count(*) AS n FROM events GROUP BY ALL)"
 
@@ -173,6 +179,21 @@ def peak_maxima(spark, sf_dir):
     return series.peaks(_hours(spark, sf_dir), ["event_type"], "t", "n", 2)
 
 
+@query(f"""WITH {HOURS}, d2 AS (SELECT * FROM (SELECT event_type, t, lead(n) OVER (PARTITION BY event_type ORDER BY t) - n AS n FROM d) WHERE n IS NOT NULL), s AS (SELECT *, lead(n) OVER w - n AS slope FROM d2 WINDOW w AS (PARTITION BY event_type ORDER BY t)), z AS (SELECT *, lead(slope) OVER w AS nx, lag(slope) OVER w AS pv, lag(t) OVER w AS lt, lag(n) OVER w AS ln FROM s WHERE slope IS NOT NULL WINDOW w AS (PARTITION BY event_type ORDER BY t)),
+    m AS (SELECT *, coalesce(last_value(CASE WHEN slope < 0 AND nx < 0 THEN -1 WHEN slope >= 0 AND nx >= 0 THEN 1 END IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY t), 1) AS sg FROM z WHERE nx IS NOT NULL),
+    c AS (SELECT *, CASE WHEN lag(sg) OVER (PARTITION BY event_type ORDER BY t) <> sg THEN 1 ELSE 0 END AS f FROM m), r AS (SELECT *, sum(f) OVER (PARTITION BY event_type ORDER BY t) AS run FROM c),
+    g AS (SELECT event_type, run, any_value(sg) AS sg, count(*) AS steps, arg_min(CASE WHEN pv < 0 THEN lt ELSE t END, t) AS at_t, arg_min(CASE WHEN pv < 0 THEN ln ELSE n END, t) AS at_n FROM r GROUP BY ALL),
+    h AS (SELECT *, lag(steps) OVER (PARTITION BY event_type ORDER BY run) AS rise FROM g) SELECT event_type, at_t AS t, at_n AS slope FROM h WHERE sg = -1 AND rise >= 2 AND steps >= 2""")
+def inflection_points(spark, sf_dir):
+    return series.inflections(_hours(spark, sf_dir), ["event_type"], "t", "n", 2)
+
+
+@query(f"""WITH {HOURS}, s AS (SELECT * FROM (SELECT *, lead(n) OVER (PARTITION BY event_type ORDER BY t) - n AS slope FROM d) WHERE slope IS NOT NULL), r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY t) - row_number() OVER (PARTITION BY event_type, slope < 0 ORDER BY t) AS g FROM s),
+    k AS (SELECT event_type, slope < 0 AS down, min(t) AS t, arg_min(n, t) AS n, count(*) AS steps FROM r GROUP BY event_type, slope < 0, g), l AS (SELECT *, lag(steps) OVER (PARTITION BY event_type ORDER BY t) AS rise FROM k) SELECT event_type, t, n FROM l WHERE down AND rise >= 2 AND steps >= 2""")
+def run_peaks(spark, sf_dir):
+    return series.run_peaks(_hours(spark, sf_dir), ["event_type"], "t", "n", 2)
+
+
 @query("""WITH RECURSIVE d AS (SELECT event_type, user_id AS pos, count(*) AS n FROM events GROUP BY ALL), t AS (SELECT event_type, min(pos) AS pos FROM d GROUP BY ALL UNION ALL SELECT * FROM (SELECT t.event_type, min(d.pos) AS pos FROM t JOIN d ON d.event_type = t.event_type AND d.pos >= t.pos + 3 GROUP BY t.event_type, t.pos))
     SELECT event_type, pos, n FROM t JOIN d USING (event_type, pos) QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY n DESC, pos) <= 10""")
 def top_hotspots(spark, sf_dir):
