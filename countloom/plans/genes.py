@@ -20,17 +20,17 @@ def query(sql: str):
 
 
 #: Exons of a part: lengths and gaps by key and size, all on one line of positions.
-EXONS = "[{'s': p * 10, 'e': p * 10 + z % 5 + 3}, {'s': p * 10 + z % 5 + 4 + z % 17, 'e': p * 10 + z % 5 + 12 + z % 17}, {'s': p * 10 + 40 + z, 'e': p * 10 + 45 + z}]"
-GENES = f"p AS (SELECT p_partkey AS p, CAST(p_size AS BIGINT) AS z FROM part WHERE p_partkey % 4 = 0), g AS (SELECT p AS gene, z, CASE WHEN p % 8 = 0 THEN '+' ELSE '-' END AS strand, {EXONS} AS exons FROM p), b AS (SELECT *, exons[1].s AS lo, exons[3].e AS hi FROM g)"
+EXONS = "[{'s': p * 40, 'e': p * 40 + z % 5 + 3}, {'s': p * 40 + z % 5 + 4 + z % 17, 'e': p * 40 + z % 5 + 12 + z % 17}, {'s': p * 40 + 40 + z, 'e': p * 40 + 45 + z}]"
+GENES = f"p AS (SELECT p_partkey AS p, CAST(p_size AS BIGINT) AS z FROM part), g AS (SELECT p AS gene, z, CASE WHEN p % 2 = 0 THEN '+' ELSE '-' END AS strand, {EXONS} AS exons FROM p), b AS (SELECT *, exons[1].s AS lo, exons[3].e AS hi FROM g)"
 EACH = "x AS (SELECT gene, strand, i - 1 AS exon, exons[i].s AS s, exons[i].e AS e FROM g, (SELECT unnest(range(1, 4)) AS i))"
 
 
 def models(spark, sf_dir):
     p, z = F.col("p_partkey"), F.col("p_size").cast("long")
-    ends = [(p * 10, p * 10 + z % 5 + 3), (p * 10 + z % 5 + 4 + z % 17, p * 10 + z % 5 + 12 + z % 17), (p * 10 + 40 + z, p * 10 + 45 + z)]
+    ends = [(p * 40, p * 40 + z % 5 + 3), (p * 40 + z % 5 + 4 + z % 17, p * 40 + z % 5 + 12 + z % 17), (p * 40 + 40 + z, p * 40 + 45 + z)]
     exons = F.array(*[F.struct(s.alias("s"), e.alias("e")) for s, e in ends])
-    d = table(spark, sf_dir, "part").filter("p_partkey % 4 = 0")
-    return d.select(p.alias("gene"), z.alias("z"), F.when(p % 8 == 0, "+").otherwise("-").alias("strand"), exons.alias("exons"))
+    d = table(spark, sf_dir, "part")
+    return d.select(p.alias("gene"), z.alias("z"), F.when(p % 2 == 0, "+").otherwise("-").alias("strand"), exons.alias("exons"))
 
 
 def spans(spark, sf_dir):
@@ -114,13 +114,13 @@ def genome_positions(spark, sf_dir):
     return models(spark, sf_dir).select("gene", genes.genome_position(F.col("exons"), F.col("z"), F.col("strand") == "+").alias("pos"))
 
 
-HITS = "h AS (SELECT l_partkey - l_partkey % 4 AS gene, (l_partkey - l_partkey % 4) * 10 + l_orderkey % 60 AS pos, CAST(l_quantity AS BIGINT) AS n_mols, l_returnflag = 'R' AS is_unique, l_suppkey FROM lineitem)"
+HITS = "h AS (SELECT l_partkey AS gene, l_partkey * 40 + l_orderkey % 60 AS pos, CAST(l_quantity AS BIGINT) AS n_mols, l_returnflag = 'R' AS is_unique, l_suppkey FROM lineitem)"
 
 
 def hits(spark, sf_dir):
-    gene = F.col("l_partkey") - F.col("l_partkey") % 4
+    gene = F.col("l_partkey")
     d = table(spark, sf_dir, "lineitem")
-    return d.select(gene.alias("gene"), (gene * 10 + F.col("l_orderkey") % 60).alias("pos"), F.col("l_quantity").cast("long").alias("n_mols"), (F.col("l_returnflag") == "R").alias("is_unique"), "l_suppkey", "l_linenumber")
+    return d.select(gene.alias("gene"), (gene * 40 + F.col("l_orderkey") % 60).alias("pos"), F.col("l_quantity").cast("long").alias("n_mols"), (F.col("l_returnflag") == "R").alias("is_unique"), "l_suppkey", "l_linenumber")
 
 
 @query(f"""WITH {GENES}, {EACH}, {HITS} SELECT h.gene, CAST(x.exon + 1 AS INTEGER) AS exon, CAST(sum(n_mols) AS BIGINT) AS n_mols,
@@ -130,19 +130,19 @@ def exon_and_cap_hits(spark, sf_dir):
 
 
 def _junctions(spark, sf_dir):
-    d = hits(spark, sf_dir).filter("l_linenumber < 4")
+    d = hits(spark, sf_dir)
     return d.select("gene", "l_suppkey", "n_mols", F.least("l_linenumber", F.lit(2)).alias("from_exon"), (F.least("l_linenumber", F.lit(2)) + F.when(F.col("is_unique"), 1).otherwise(2)).alias("to_exon"))
 
 
 JUNCTION = "least(l_linenumber, 2) || '-' || (least(l_linenumber, 2) + CASE WHEN l_returnflag = 'R' THEN 1 ELSE 2 END)"
 
 
-@query(f"SELECT l_partkey - l_partkey % 4 AS gene, {JUNCTION} AS junction, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS n_mols FROM lineitem WHERE l_linenumber < 4 GROUP BY ALL")
+@query(f"SELECT l_partkey AS gene, {JUNCTION} AS junction, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS n_mols FROM lineitem GROUP BY ALL")
 def splice_counts(spark, sf_dir):
     return genes.splice_counts(_junctions(spark, sf_dir))
 
 
-@query(f"SELECT l_partkey - l_partkey % 4 AS gene, {JUNCTION} AS junction, l_suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS n_mols FROM lineitem WHERE l_linenumber < 4 GROUP BY ALL")
+@query(f"SELECT l_partkey AS gene, {JUNCTION} AS junction, l_suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS n_mols FROM lineitem GROUP BY ALL")
 def splice_counts_by_barcode(spark, sf_dir):
     return genes.splice_counts(_junctions(spark, sf_dir), ["l_suppkey"])
 
@@ -152,9 +152,9 @@ def locus_histogram(spark, sf_dir):
     return genes.locus_histogram(hits(spark, sf_dir).select("gene", "pos"), models(spark, sf_dir), 25, 20)
 
 
-@query(f"WITH {GENES}, {HITS}, c AS (SELECT gene, unnest(range(greatest(lo, pos - 12), least(hi, pos + 12) + 1)) AS pos FROM h JOIN b USING (gene) WHERE pos BETWEEN lo AND hi AND gene % 16 = 0) SELECT gene, pos, count(*) AS depth FROM c GROUP BY ALL")
+@query(f"WITH {GENES}, {HITS}, c AS (SELECT gene, unnest(range(greatest(lo, pos - 12), least(hi, pos + 12) + 1)) AS pos FROM h JOIN b USING (gene) WHERE pos BETWEEN lo AND hi) SELECT gene, pos, count(*) AS depth FROM c GROUP BY ALL")
 def painted_genes(spark, sf_dir):
-    d = hits(spark, sf_dir).filter("gene % 16 = 0").select("gene", F.col("pos").alias("mid"))
+    d = hits(spark, sf_dir).select("gene", F.col("pos").alias("mid"))
     return genes.painted(d, models(spark, sf_dir), 24)
 
 

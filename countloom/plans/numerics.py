@@ -68,12 +68,12 @@ def discrete_distributions(spark, sf_dir):
 T_TAIL = "0.5 - {t} / 12000 * list_sum(list_transform(range(0, 4001), lambda i: CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * exp(lgamma(({v} + 1) / 2) - lgamma({v} / 2)) / sqrt({v} * pi()) * (1 + ({t} * i / 4000) ** 2 / {v}) ** (-({v} + 1) / 2)))"
 
 
-@query(f"""WITH m AS (SELECT o_orderpriority, o_orderstatus AS s, avg(o_totalprice) AS m, var_samp(o_totalprice) / count(*) AS v, count(*) AS n FROM orders WHERE o_orderkey % 9 < 4 GROUP BY ALL),
+@query(f"""WITH m AS (SELECT o_orderpriority, o_orderstatus AS s, avg(o_totalprice) AS m, var_samp(o_totalprice) / count(*) AS v, count(*) AS n FROM orders GROUP BY ALL),
     w AS (SELECT o_orderpriority, (a.m - b.m) / sqrt(a.v + b.v) AS t, (a.v + b.v) ** 2 / (a.v ** 2 / (a.n - 1) + b.v ** 2 / (b.n - 1)) AS v FROM m a JOIN m b USING (o_orderpriority) WHERE a.s = 'F' AND b.s = 'O'),
     q AS (SELECT *, abs(t) AS u FROM w), r AS (SELECT *, {T_TAIL.format(t='u', v='v')} AS tail FROM q)
     SELECT o_orderpriority, round(t, 6) AS t, round(2 * tail, 5) AS p_two, round(CASE WHEN t > 0 THEN tail ELSE 1 - tail END, 5) AS p_right FROM r""")
 def welch_p(spark, sf_dir):
-    d = table(spark, sf_dir, "orders").filter("o_orderkey % 9 < 4")
+    d = table(spark, sf_dir, "orders")
     w = profiles.welch(d, ["o_orderpriority"], "o_totalprice", F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O")
     p = lambda tails: F.round(dist.p_value(F.col("t"), F.col("df"), tails), 5)
     return w.select("o_orderpriority", F.round("t", 6).alias("t"), p("two").alias("p_two"), p("right").alias("p_right"))

@@ -142,9 +142,9 @@ def code_profiles(spark, sf_dir):
     return reports.variant_profiles(_tags(spark, sf_dir), ["user_id", "event_type"], "umi", 2, 2)
 
 
-@query("WITH r AS (SELECT p_partkey AS region, p_partkey * 3 AS s, p_partkey * 3 + p_size AS e FROM part WHERE p_size > 30) SELECT region, count(*) AS n_fragments FROM r JOIN (SELECT l_partkey * 3 AS a, l_partkey * 3 + 4 AS b FROM lineitem) ON a >= s AND b <= e GROUP BY ALL")
+@query("WITH r AS (SELECT p_partkey AS region, p_partkey * 3 AS s, p_partkey * 3 + p_size AS e FROM part) SELECT region, count(*) AS n_fragments FROM r JOIN (SELECT l_partkey * 3 AS a, l_partkey * 3 + 4 AS b FROM lineitem) ON a >= s AND b <= e GROUP BY ALL")
 def fragments_per_region(spark, sf_dir):
-    r = table(spark, sf_dir, "part").filter("p_size > 30").select(F.col("p_partkey").alias("region"), (F.col("p_partkey") * 3).alias("s"), (F.col("p_partkey") * 3 + F.col("p_size")).alias("e"))
+    r = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("region"), (F.col("p_partkey") * 3).alias("s"), (F.col("p_partkey") * 3 + F.col("p_size")).alias("e"))
     f = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 3).alias("a"), (F.col("l_partkey") * 3 + 4).alias("b"))
     inside = intervals.stab_join(f, r, "a", "s", "e", bin_width=100).filter(F.col("b") <= F.col("e"))
     return inside.groupBy("region").agg(F.count("*").alias("n_fragments"))

@@ -64,11 +64,11 @@ def collapsed_rows(spark, sf_dir):
     return variants.collapsed(d, "o_custkey", "row", "o_orderstatus")
 
 
-REGIONS = "g AS (SELECT p_partkey AS o, p_partkey AS s, p_partkey + p_size AS e, p_brand AS name FROM part WHERE p_partkey % 5 = 0)"
+REGIONS = "g AS (SELECT p_partkey AS o, p_partkey AS s, p_partkey + p_size AS e, p_brand AS name FROM part)"
 
 
 def _regions(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter("p_partkey % 5 = 0")
+    p = table(spark, sf_dir, "part")
     return p.select(F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size")).alias("end"), F.col("p_brand").alias("name"), F.col("p_partkey").alias("order"))
 
 
@@ -129,11 +129,11 @@ def filtered_variants(spark, sf_dir):
     return variants.filtered_variants(d, ["site"], "cov", "ref", 50, 8, 15, 2, known)
 
 
-@query("""WITH n AS (SELECT o_custkey AS k, o_orderstatus AS effect, 'GENE=' || o_orderpriority[1:1] || ';X=1' AS extra FROM orders WHERE o_orderkey % 4 = 0),
+@query("""WITH n AS (SELECT o_custkey AS k, o_orderstatus AS effect, 'GENE=' || o_orderpriority[1:1] || ';X=1' AS extra FROM orders),
     g AS (SELECT k, count(*) AS n_notes, string_agg(effect, ':' ORDER BY effect) AS effect, string_agg(DISTINCT extra[6:6], ':' ORDER BY extra[6:6]) AS gene FROM n GROUP BY ALL)
     SELECT c_custkey AS k, coalesce(n_notes, 0) AS n_notes, coalesce(effect, '') AS effect, coalesce(gene, 'no gene') AS "GENE" FROM customer LEFT JOIN g ON c_custkey = k""")
 def variant_consequences(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 4 = 0")
+    o = table(spark, sf_dir, "orders")
     notes = o.select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("effect"), F.concat(F.lit("GENE="), F.substring("o_orderpriority", 1, 1), F.lit(";X=1")).alias("extra"))
     return variants.consequences(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), notes, "k", ["effect"], "extra", "GENE")
 
@@ -283,11 +283,11 @@ def path_safe_dates(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", text.path_safe(F.col("o_orderdate")).alias("name"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_discount, CAST(trunc(-10 * log10(l_discount + 0.0011)) AS INTEGER) AS q, round(10 ** (-trunc(-10 * log10(l_discount + 0.0011)) / 10), 6) AS p FROM lineitem WHERE l_orderkey % 7 = 0")
+@query("SELECT l_orderkey, l_linenumber, l_discount, CAST(trunc(-10 * log10(l_discount + 0.0011)) AS INTEGER) AS q, round(10 ** (-trunc(-10 * log10(l_discount + 0.0011)) / 10), 6) AS p FROM lineitem")
 def phred_scores(spark, sf_dir):
     from countloom.functions import sequence
 
-    d = table(spark, sf_dir, "lineitem").filter("l_orderkey % 7 = 0").select("l_orderkey", "l_linenumber", "l_discount", text.phred(F.col("l_discount") + 0.0011).alias("q"))
+    d = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", text.phred(F.col("l_discount") + 0.0011).alias("q"))
     return d.withColumn("p", F.round(sequence.phred_probability(F.col("q")), 6))
 
 
@@ -352,13 +352,13 @@ def transposed(spark, sf_dir):
     return rel.transposed(d, "row", "column").select("row", "column", "n")
 
 
-@query("""WITH g AS (SELECT user_id, ts AS s, ts + INTERVAL 6 HOUR AS e, event_id FROM events WHERE event_id % 7 = 0), x AS (SELECT user_id, s, max(event_id) AS event_id FROM g GROUP BY ALL),
+@query("""WITH g AS (SELECT user_id, ts AS s, ts + INTERVAL 6 HOUR AS e, event_id FROM events), x AS (SELECT user_id, s, max(event_id) AS event_id FROM g GROUP BY ALL),
     o AS (SELECT o_orderkey, o_custkey AS user_id, TIMESTAMP '2024-01-01' + to_hours(CAST(o_orderkey % 700 AS INTEGER)) AS moment FROM orders)
     SELECT o_orderkey, CASE WHEN moment <= x.s + INTERVAL 6 HOUR THEN x.event_id END AS inside FROM o ASOF LEFT JOIN x ON o.user_id = x.user_id AND x.s <= o.moment""")
 def as_of_within(spark, sf_dir):
     from countloom.operators import intervals
 
-    e = table(spark, sf_dir, "events").filter("event_id % 7 = 0").groupBy("user_id", F.col("ts").cast("timestamp").alias("since")).agg(F.max("event_id").alias("inside"))
+    e = table(spark, sf_dir, "events").groupBy("user_id", F.col("ts").cast("timestamp").alias("since")).agg(F.max("event_id").alias("inside"))
     at = F.expr("timestamp'2024-01-01' + make_dt_interval(0, cast(o_orderkey % 700 as int))")
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), at.alias("moment"))
     d = intervals.as_of(o, e, ["user_id"], "moment", "since", "inside")
