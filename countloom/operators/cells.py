@@ -134,9 +134,9 @@ def position_clusters(tags: DataFrame, place: list[str]) -> DataFrame:
 
 
 def level_bins(features: DataFrame, feature: str, mean: str, least: int) -> DataFrame:
-    """feature and bin: features in order of their mean, so many in each bin, the rest in the last. The window runs over one row a feature."""
-    w = Window.orderBy(mean, feature)
-    d = features.withColumn("_k", F.row_number().over(w) - 1).withColumn("_n", F.count("*").over(Window.partitionBy()))
+    """feature and bin: features in order of their mean, so many in each bin, the rest in the last. Places in the order are counted over ranges of it."""
+    d = running_totals(features.select(feature, mean, F.lit(1).cast("long").alias("_one")), [mean, feature], "_one", "_k")
+    d = d.join(F.broadcast(d.agg(F.count("*").alias("_n"))))
     last = F.greatest(F.floor(F.col("_n") / least) - 1, F.lit(0))
     return d.select(feature, mean, F.least(F.floor(F.col("_k") / least), last).cast("long").alias("bin"))
 

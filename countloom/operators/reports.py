@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import running_totals
+
 
 def effect_filter(d: DataFrame, effects: str, listed: list[str]) -> DataFrame:
     """Rows of which any effect (an array) is listed."""
@@ -37,9 +39,9 @@ def length_sections(hits: DataFrame, edges: list[int], sections: int) -> DataFra
 
 
 def density_by_level(genes: DataFrame, gene: str, level: str, density: str, per_bin: int) -> DataFrame:
-    """bin, n and the median density: genes in order of their level, about so many in each bin. The window runs over one row a gene."""
-    w = Window.orderBy(level, gene)
-    d = genes.withColumn("bin", F.floor((F.row_number().over(w) - 1) / per_bin)).groupBy("bin", density).agg(F.count("*").alias("_n"))
+    """bin, n and the median density: genes in order of their level, about so many in each bin. Places in the order are counted over ranges of it."""
+    d = running_totals(genes.select(gene, level, density, F.lit(1).cast("long").alias("_one")), [level, gene], "_one", "_k")
+    d = d.withColumn("bin", F.floor(F.col("_k") / per_bin)).groupBy("bin", density).agg(F.count("*").alias("_n"))
     v = Window.partitionBy("bin")
     d = d.withColumn("_upto", F.sum("_n").over(v.orderBy(density))).withColumn("_all", F.sum("_n").over(v))
     holds = lambda k: (F.col("_upto") >= k) & (F.col("_upto") - F.col("_n") < k)

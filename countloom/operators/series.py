@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import running_totals
+
 
 def derivative(d: DataFrame, keys: list[str], order: str, x: str) -> DataFrame:
     """Adds slope, the next value less this one; the last row of a key has none and is left out."""
@@ -81,11 +83,10 @@ def log_histogram(d: DataFrame, x: str, base: float = 2.0) -> DataFrame:
 
 
 def equal_count_histogram(d: DataFrame, x: str, bins: int) -> DataFrame:
-    """bin (from 0), n, low and high: bins of nearly equal counts that never part equal values. Values are counted before the window."""
+    """bin (from 0), n, low and high: bins of nearly equal counts that never part equal values. Values are counted, and added up over ranges of their order."""
     n = d.filter(F.col(x).isNotNull()).groupBy(x).agg(F.count("*").alias("_n"))
-    w = Window.orderBy(x)
-    n = n.withColumn("_before", F.sum("_n").over(w) - F.col("_n")).withColumn("_all", F.sum("_n").over(Window.partitionBy()))
-    n = n.withColumn("bin", F.floor(F.col("_before") * bins / F.col("_all")))
+    n = running_totals(n, [x], "_n", "_before")
+    n = n.join(F.broadcast(n.agg(F.sum("_n").alias("_all")))).withColumn("bin", F.floor(F.col("_before") * bins / F.col("_all")))
     return n.groupBy("bin").agg(F.sum("_n").alias("n"), F.min(x).alias("low"), F.max(x).alias("high"))
 
 

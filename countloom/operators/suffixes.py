@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import ranked, running_totals
+from .ranks import ranked
 from .storage import kept
 
 #: Letters of the first ranking, of a step of the search, and places of a contig that are spread at once.
@@ -53,46 +53,56 @@ def substituted(d: DataFrame, chunk: str, most: str, changes: int, letters: str)
     return found
 
 
-def interval_hits(reads: DataFrame, read: str, seq: str, suffixes: DataFrame, mismatches: int, letters: str = "ACGT") -> DataFrame:
-    """read, from, to and n_mismatches: the intervals of ranks whose suffixes start with the read, with the fewest mismatches, up to a number, that hit anything.
-
-    suffixes: prefix and rank, of prefixes as long as the longest read. Reads are joined level by level, one pass for each of their lengths, of which there should be few. Places with other
-    letters than the given ones are only hit where the read has the same. Null and empty reads hit nothing.
-    """
+def _searched(reads: DataFrame, read: str, seq: str, prefixes: DataFrame, mismatches: int, letters: str, found_at) -> DataFrame | None:
+    """The hits of reads with the fewest mismatches. prefixes has the column prefix; found_at(n) gives the table, by path, of what a whole path of n letters hits."""
     left = kept(reads.select(F.col(read).alias("read"), F.col(seq).alias("seq")).filter("seq != ''"))
     lengths = sorted(r[0] for r in left.select(F.length("seq")).distinct().collect())
-    ends = {n: [*range(STEP, n, STEP), n] for n in lengths}
-    counts = kept(suffixes.groupBy("prefix").agg(F.min("rank").alias("from"), F.max("rank").alias("to")))
-    level = {n: counts.filter(F.length("prefix") >= n).groupBy(F.left("prefix", F.lit(n)).alias("path")).agg(F.min("from").alias("from"), F.max("to").alias("to")) for n in sorted({e for x in ends.values() for e in x})}
-    level = {n: kept(d) for n, d in level.items()}
+    steps = sorted({e for n in lengths for e in range(STEP, n, STEP)})
+    level = {e: kept(prefixes.filter(F.length("prefix") >= e).select(F.left("prefix", F.lit(e)).alias("path")).distinct()) for e in steps}
+    ends = {n: found_at(n) for n in lengths}
     found = None
     for k in range(mismatches + 1):
         hits = None
         for n in lengths:
             d, before = left.filter(F.length("seq") == n).withColumn("path", F.lit("")).withColumn("n_mismatches", F.lit(0)), 0
-            for end in ends[n]:
+            for end in [*range(STEP, n, STEP), n]:
                 d = d.withColumn("_part", F.substring("seq", before + 1, end - before)).withColumn("_most", k - F.col("n_mismatches"))
                 d = substituted(d, "_part", "_most", k, letters)
                 d = d.select("read", "seq", F.concat("path", "_chunk").alias("path"), (F.col("n_mismatches") + F.col("_changes")).alias("n_mismatches"))
-                d = d.join(level[end], "path") if end == n else d.join(level[end].select("path"), "path", "left_semi")
+                if end == n:
+                    d = d.filter(F.col("n_mismatches") == k).join(ends[n], "path").drop("seq", "path")
+                elif k:
+                    d = d.join(level[end], "path", "left_semi")
                 before = end
-            d = d.filter(F.col("n_mismatches") == k)
             hits = d if hits is None else hits.unionByName(d)
         if hits is None:
             break
-        hits = kept(hits.select("read", "from", "to", "n_mismatches"))
-        left = kept(left.join(hits.select("read").distinct(), "read", "left_anti"))
+        hits = kept(hits)
         found = hits if found is None else found.unionByName(hits)
-    return found if found is not None else left.select("read", F.lit(0).cast("long").alias("from"), F.lit(0).cast("long").alias("to"), F.lit(0).alias("n_mismatches"))
+        if k < mismatches:
+            left = kept(left.join(hits.select("read").distinct(), "read", "left_anti"))
+    return found
+
+
+def interval_hits(reads: DataFrame, read: str, seq: str, suffixes: DataFrame, mismatches: int, letters: str = "ACGT") -> DataFrame:
+    """read, n_mismatches, from and to: the intervals of ranks whose suffixes start with the read, with the fewest mismatches, up to a number, that hit anything.
+
+    suffixes: prefix and rank (of suffix_order), with prefixes as long as the longest read. Reads are joined level by level, one pass for each of their lengths, of which there should be few. Places with
+    other letters than the given ones are only hit where the read has the same. Null and empty reads hit nothing.
+    """
+    counts = kept(suffixes.groupBy("prefix").agg(F.min("rank").alias("from"), F.max("rank").alias("to")))
+    at = lambda n: kept(counts.filter(F.length("prefix") >= n).groupBy(F.left("prefix", F.lit(n)).alias("path")).agg(F.min("from").alias("from"), F.max("to").alias("to")))
+    found = _searched(reads, read, seq, counts, mismatches, letters, at)
+    return found if found is not None else reads.select(F.col(read).alias("read"), F.lit(0).alias("n_mismatches"), F.lit(0).cast("long").alias("from"), F.lit(0).cast("long").alias("to")).limit(0)
 
 
 def mismatch_hits(reads: DataFrame, contigs: DataFrame, read: str, seq: str, contig: str, text: str, mismatches: int, letters: str = "ACGT") -> DataFrame:
-    """read, contig, pos and n_mismatches: the places of contigs where a read stands with the fewest mismatches, up to a number; matches never cross contigs. Reads and contigs are named once."""
+    """read, n_mismatches, contig and pos: the places of contigs where a read stands with the fewest mismatches, up to a number; matches never cross contigs. Reads and contigs are named once.
+
+    The search of interval_hits, with the places themselves in place of intervals, so that nothing needs ranks.
+    """
     longest = reads.agg(F.max(F.length(seq))).first()[0] or 1
-    d = places(contigs, contig, text, longest)
-    # Here ranks by the letters of the longest read are enough: suffixes that share them share a rank.
-    counts = kept(running_totals(d.groupBy("prefix").agg(F.count("*").alias("_n")), ["prefix"], "_n", "rank").drop("_n"))
-    hits = interval_hits(reads, read, seq, counts, mismatches, letters)
-    # An interval holds at least as many places as ranks, so spelling it out is no more than its hits.
-    inside = hits.withColumn("rank", F.explode(F.sequence("from", "to"))).join(counts, "rank").select("read", "n_mismatches", "prefix")
-    return inside.join(d, "prefix").select("read", "contig", "pos", "n_mismatches")
+    d = kept(places(contigs, contig, text, longest))
+    at = lambda n: d.filter(F.length("prefix") >= n).select(F.left("prefix", F.lit(n)).alias("path"), "contig", "pos")
+    found = _searched(reads, read, seq, d, mismatches, letters, at)
+    return found if found is not None else d.select(F.lit(None).cast(reads.schema[read].dataType).alias("read"), F.lit(0).alias("n_mismatches"), "contig", "pos").limit(0)

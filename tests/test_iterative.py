@@ -164,6 +164,23 @@ def test_mismatch_hits(spark):
     assert {x for x in want if x[0] == 103} <= got
 
 
+def test_interval_hits(spark):
+    """The suffixes in an interval are those that start with the read, up to its mismatches."""
+    texts = {1: "ACGTACGTTACGAACGT", 2: "TTACGTACG"}
+    d = spark.createDataFrame(list(texts.items()), "name int, t string")
+    order = suffixes.suffix_order(d, "name", "t").join(suffixes.places(d, "name", "t", 10), ["contig", "pos"])
+    reads = {1: "ACGT", 2: "ACGTACGT", 3: "TACGAACGTT", 4: "GGGGG", 5: "TTACGTACC"}
+    r = spark.createDataFrame(list(reads.items()), "id int, s string")
+    rank = {(x.contig, x.pos): x["rank"] for x in order.collect()}
+    got = {}
+    for h in suffixes.interval_hits(r, "id", "s", order.select("prefix", "rank"), 1).collect():
+        got.setdefault(h.read, set()).update((p, h.n_mismatches) for p, k in rank.items() if h["from"] <= k <= h["to"])
+    for i, s in reads.items():
+        near = [((c, p), sum(x != y for x, y in zip(s, t[p : p + len(s)], strict=True))) for c, t in texts.items() for p in range(len(t) - len(s) + 1)]
+        low = min((n for _, n in near), default=9)
+        assert got.get(i, set()) == {x for x in near if x[1] == low and low <= 1}
+
+
 @pytest.mark.parametrize("outer", [False, True])
 def test_posterior(spark, outer):
     """Mean and mode against sums over a grid, with labels of equal and of given frequencies."""
