@@ -6,8 +6,9 @@ tokens of a class or id) is no content. An article or main inside a part that is
 article where the page has no other content region with clusters. Each line has its text, how much of it is links, the number of its tags and the region it stands in.
 The text-to-tag ratio of the lines is smoothed by a Gaussian; lines above the threshold form clusters, and these choose the content,
 whatever tag holds them: the outermost articles and mains that hold clusters, each whole with all that is nested in it; and the body, where
-no article or main holds clusters or the body's own clusters have more text than theirs. Of the body the lines between its first and
-last cluster count, and the lines around these up to a run of links; runs of ``LINKS`` or more lines that are all links are menus without a mark.
+no article or main holds clusters or the body's own clusters have more text than theirs. Of the body all lines between its first and
+last cluster count, lists of links too, and the lines around these up to ``BESIDE`` or more lines that are all links (menus without a mark) or a copyright line. If marks by class or id
+leave nothing of a page, they don't count on it.
 All lines of the content, in page order, are the text.
 """
 
@@ -35,23 +36,28 @@ ENDS_OWN = {"li": ("li",), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")
 LISTS = frozenset("ul ol dl table".split())
 #: Tokens of a class or id that mark a part as no content, alone or as the first or last word of a token.
 MARKS = frozenset(
-    "nav navbar navigation footer sidebar aside widget ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent notice notices newsletter breadcrumb breadcrumbs comment comments disqus reply replies login signup pagination popup modal".split()
+    "nav navbar navigation footer sidebar aside widget ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent notice notices newsletter breadcrumb breadcrumbs comment comments commentlist commentform disqus reply replies respond login signup pagination popup modal cookiebar cookiebanner".split()
 )
+#: Of these, words that as the first of a token's several words mark it only before one of PARTS (comment-list, but not comments-open).
+AMBIGUOUS = frozenset("navigation notice notices modal comment comments reply replies respond popup login signup aside sponsor widget".split())
 #: Such tokens that also stand for content: alone, as the first token of several, or joined with one of the words of PARTS.
 WEAK = frozenset("share sharing social related recommended search subscribe promo alert menu pager copyright banner".split())
-PARTS = frozenset("bar bars box block button buttons links link list icons items item posts articles panel section container wrapper area tools main top bottom left right mobile site page".split())
+PARTS = frozenset("bar bars box block button buttons links link list icons items item posts articles panel section container wrapper area tools main top bottom left right mobile site page body content text author meta thread form title count inner wrap".split())
 #: The same for what heads a page; inside an article or main these are its title.
 HEADS = frozenset("header masthead".split())
 OUTSIDE_ROLES = frozenset(["navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"])
 _WORDS = re.compile(r"[a-z]+")
 #: Tokens that say what a page or its layout has, not what the element is.
 _ABOUT = re.compile(r"(has|have|no|not|non|with|without|hide|show)[-_]|.*[-_](with|without|has|no)[-_]|.*[-_](free|less)$")
-#: Lines in a row that are all links, from which on they are a menu.
-LINKS = 3
+#: Elements that hold running text; in an article or main, weak marks say nothing of them.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 b i em strong span a blockquote pre figcaption".split())
+#: Lines in a row that are all links, from which on they are a menu: of the body as a whole, and beside its clusters.
+LINKS, BESIDE = 3, 2
+_COPYRIGHT = re.compile(r"(©|\(c\)|copyright\b)", re.I)
 
 
-def marked(value: str, inside: bool) -> bool:
-    """Whether a class or id names a part that is no content; inside tells of an article or main around it."""
+def marked(value: str, inside: bool, running: bool = False) -> bool:
+    """Whether a class or id names a part that is no content; inside tells of an article or main around it, running of an element of running text."""
     for k, token in enumerate(value.lower().split()):
         if _ABOUT.match(token):
             continue
@@ -59,11 +65,11 @@ def marked(value: str, inside: bool) -> bool:
         if not words:
             continue
         first, last, alone = words[0], words[-1], len(words) == 1
-        if first in MARKS or last in MARKS:
+        if last in MARKS or (first in MARKS and (first not in AMBIGUOUS or last in PARTS)):
             return True
         if not inside and (first in HEADS or last in HEADS):
             return True
-        if (first in WEAK or last in WEAK) and (k == 0 if alone else first in PARTS or last in PARTS or first in WEAK and last in WEAK):
+        if not (inside and running) and (first in WEAK or last in WEAK) and (k == 0 if alone else first in PARTS or last in PARTS or first in WEAK and last in WEAK):
             return True
     return False
 
@@ -71,8 +77,9 @@ def marked(value: str, inside: bool) -> bool:
 class Lines(HTMLParser):
     """Collects lines (text, link characters, tags, region) from the parser's events."""
 
-    def __init__(self) -> None:
+    def __init__(self, marks: bool = True) -> None:
         super().__init__(convert_charrefs=True)
+        self.marks = marks  # whether classes and ids count
         self.lines: list[tuple[str, int, int, int]] = []
         self.tops: list[int] = [0]  # the outermost article or main around each region; region 0 is the body
         self.articles: list[bool] = [False]
@@ -120,7 +127,7 @@ class Lines(HTMLParser):
             firm = firm or (tag in OUTSIDE and not (tag == "header" and self.articles[region]))
             for name, value in attrs:
                 if value and name in ("class", "id"):
-                    outside = outside or marked(value, inside)
+                    outside = outside or (self.marks and marked(value, inside, tag in RUNNING))
                 elif name == "role" and value:
                     firm = firm or value.lower() in OUTSIDE_ROLES
                 elif name == "hidden":
@@ -188,18 +195,18 @@ def smoothed(x: np.ndarray, sigma: float) -> np.ndarray:
     return full / np.convolve(np.ones(len(x)), kernel)[reach : reach + len(x)]
 
 
-def between(chosen: np.ndarray, menu: np.ndarray) -> np.ndarray:
-    """Of the body's lines: those from the first to the last chosen one and on to the menus beside them, without the menus."""
-    at = np.flatnonzero(chosen & ~menu)
+def between(chosen: np.ndarray, menu: np.ndarray, beside: np.ndarray) -> np.ndarray:
+    """Of the body's lines: all from the first to the last chosen one, and those around them up to what stands beside content (menus, copyright lines)."""
+    at = np.flatnonzero(chosen & ~beside)  # smoothing also lifts the link next to a paragraph
     if not len(at):
         return ~menu
     first, last = at[0], at[-1]
-    while first > 0 and not menu[first - 1]:
+    while first > 0 and not beside[first - 1]:
         first -= 1
-    while last + 1 < len(menu) and not menu[last + 1]:
+    while last + 1 < len(menu) and not beside[last + 1]:
         last += 1
-    keep = ~menu
-    keep[:first] = keep[last + 1 :] = False
+    keep = np.zeros(len(menu), bool)
+    keep[first : last + 1] = True
     return keep
 
 
@@ -221,9 +228,9 @@ def weights(top: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> dict[int,
     return out
 
 
-def parsed(html: str) -> Lines:
+def parsed(html: str, marks: bool = True) -> Lines:
     """The page's lines. Behind the last angle bracket no tag can end: an open one there is left out, as in browsers, and other text stays."""
-    parser, end = Lines(), html.rfind(">") + 1
+    parser, end = Lines(marks), html.rfind(">") + 1
     tail = re.split(r"<(?=[A-Za-z/!?])", html[end:], maxsplit=1)[0]
     parser.feed(html[:end])
     parser.feed(tail.replace("<", "&lt;"))
@@ -233,9 +240,12 @@ def parsed(html: str) -> Lines:
 
 
 def main_text(html: str | None, sigma: float = 1.0) -> str:
-    if not html:
-        return ""
-    parser = parsed(html)
+    """The text of the page's content. Where marks by class or id leave nothing, they name what the page is rather than what to leave out, and don't count."""
+    text = _chosen_text(parsed(html), sigma) if html else ""
+    return text if text or not html else _chosen_text(parsed(html, False), sigma)
+
+
+def _chosen_text(parser: Lines, sigma: float) -> str:
     lines = parser.lines
     if not lines:
         return ""
@@ -254,16 +264,17 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     body = top == 0
     if sizes[chosen & body].sum() > sum(own.values()) or not own:
         full = np.array([len(x[0].replace(" ", "")) for x in lines])
-        menu = runs(np.array([x[1] for x in lines])[body] >= 0.9 * full[body], LINKS)
-        take[np.flatnonzero(body)[between(chosen[body], menu)]] = True
+        linked = np.array([x[1] for x in lines])[body] >= 0.9 * full[body]
+        rights = np.array([bool(_COPYRIGHT.match(x[0])) for x in lines])[body]
+        take[np.flatnonzero(body)[between(chosen[body] & ~rights, runs(linked, LINKS), runs(linked, BESIDE) | rights)]] = True
     return " ".join(x[0] for x, t in zip(lines, take.tolist(), strict=True) if t)
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """page_id, url, text and n_chars (code points) of each page.
 
-    Null and empty pages and pages without content give an empty text. Repeated rows each get a
-    row; an empty table gives an empty result; other columns are not read.
+    Null and empty pages and pages without content give an empty text. Very long pages are read whole, in time linear in their length. Repeated rows each get a
+    row; an empty table gives an empty result; other columns are not read. Of equally heavy regions all count.
     """
 
     def run(batches):
