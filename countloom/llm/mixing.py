@@ -49,14 +49,14 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
     """How many words of each document the mix takes.
 
-    Returns doc_id, size, source, source_size, target, taken. ``taken`` counts repeats, so it is at
+    Returns doc_id, size, source_size, target, taken, source. ``taken`` counts repeats, so it is at
     most ``most`` times size; the document at the cut gives the part that fills the budget. Null texts have
     size 0; the null source is a source of its own; documents with equal ids follow in the order of
     their size; an empty table gives an empty result. Columns other than doc_id, text and source
     are not read.
     """
     d = placed(docs, weights, most, seed, [])
-    return d.select("doc_id", "size", "source", "source_size", "target", "taken")
+    return d.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def placed(docs: DataFrame, weights: tuple[float, ...], most: int, seed: str, extra: list) -> DataFrame:

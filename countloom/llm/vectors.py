@@ -59,6 +59,8 @@ def tile(part: pa.Table, threshold: float) -> pa.Table:
     order = np.argsort(side, kind="stable")
     dim = part.column("dim")[0].as_py()
     v = part.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)[order]
+    # By powers of two, which round nothing, so that no square overflows or underflows.
+    v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, initial=0.0))[1][:, None])
     weight = part.column("weight").to_numpy()[order]
     n, first = len(order), int((side == 0).sum())
     same = part.column("i")[0].as_py() == part.column("j")[0].as_py()
