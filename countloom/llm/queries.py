@@ -75,24 +75,28 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality rules keep, as they are. Null and empty texts have no words and go; repeated rows are judged alike, very long texts as a whole; an empty table stays empty."""
     return quality.keep_good(docs)
 
 
 def stage_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that of the smallest doc_id (of equal rows one), as it is. Texts without words are near nothing and all stay; an empty table stays empty."""
     return minhash.drop_near_copies(docs)
 
 
 def stage_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masked texts, with n_chars counted again."""
+    """All documents with masked texts, and n_chars counted again where there is such a column. A null text stays null and counts no characters; repeated rows are masked alike, very long texts as a whole; an empty table stays empty."""
     masked = pii.mask_pii(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, once for each time that it takes them, the one at a source's cut whole. Texts without words are in no mix; the null source is a source of its own; an empty table stays empty."""
     return mixing.mixed(docs)
 
 
 def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source and lang with the pieces' ids of each document. A null or empty text has none; repeated rows each get theirs; very long texts are encoded whole; an empty table stays empty."""
     with short_batches(spark):
         return written(pieces.encode(docs, keep=["doc_id", "source", "lang"]), "pieces")
 
