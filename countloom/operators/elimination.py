@@ -149,6 +149,47 @@ def inverse(a: DataFrame, n: int, block: int = BLOCK) -> DataFrame:
     return eliminated(a, n, one, n, block)[0]
 
 
+def _triangles(batches, columns: list[str]):
+    """The triangle of a task's rows, batch by batch: no more rows than columns are held."""
+    r = np.zeros((0, len(columns)))
+    for b in batches:
+        a = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in columns], axis=1)
+        r = np.linalg.qr(np.vstack([r, a]), mode="r")
+    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(r), np.int32)), pa.array(r.tolist(), pa.list_(pa.float64()))], ["g", "x"])
+
+
+def _joined_triangles(t: pa.Table) -> pa.Table:
+    x = np.array(t.column("x").to_pylist()).reshape(t.num_rows, -1)
+    r = np.linalg.qr(x, mode="r") if len(x) else x
+    r = r * np.where(np.diag(r) < 0, -1.0, 1.0)[:, None] if len(r) else r
+    return pa.table({"row": pa.array(np.arange(len(r), dtype=np.int32)), "x": pa.array(r.tolist(), pa.list_(pa.float64()))})
+
+
+def triangle(d: DataFrame, columns: list[str]) -> DataFrame:
+    """row (from 0) and x: the triangular factor R of the tall matrix of d's columns, with a diagonal of no negative values. Every task makes its rows a triangle of its own, and the triangles make one; rows with a null are left out.
+
+    The last step holds a triangle for each partition of d, so there are to be few columns.
+    """
+    rows = d.select(*(F.col(c).cast("double").alias(c) for c in columns)).dropna()
+    parts = rows.mapInArrow(lambda b: _triangles(b, columns), "g int, x array<double>")
+    return parts.groupBy("g").applyInArrow(_joined_triangles, "row int, x array<double>")
+
+
+def fitted(d: DataFrame, xs: list[str], y: str) -> DataFrame:
+    """name and value of the least-squares coefficients of y on the columns and a constant, by the triangle of all of them; columns that depend on each other raise an error."""
+    names = ["constant", *xs]
+
+    def solve(t: pa.Table) -> pa.Table:
+        r = np.array(t.sort_by("row").column("x").to_pylist())[: len(names)]
+        a = r[:, : len(names)]
+        if len(r) < len(names) or (np.abs(np.diag(a)) <= 1e-12 * np.abs(np.diag(a)).max()).any():
+            raise ValueError("the columns depend on each other")
+        return pa.table({"name": names, "value": np.linalg.solve(a, r[:, -1])})
+
+    r = triangle(d.withColumn("constant", F.lit(1.0)), [*names, y])
+    return r.groupBy(F.lit(0).alias("_g")).applyInArrow(lambda t: solve(t.select(["row", "x"])), "name string, value double")
+
+
 def tridiagonal(d: DataFrame, keys: list[str], at: str, below: str, middle: str, above: str, right: str) -> DataFrame:
     """keys, at and x of below x[at - 1] + middle x[at] + above x[at + 1] = right, for the systems of each key; at counts from any number without gaps, and values beyond the ends don't count.
 

@@ -121,11 +121,13 @@ def annotated(d: DataFrame, notes: DataFrame, key: str, columns: list[str]) -> D
 
 
 def weighted_moments(d: DataFrame, keys: list[str], x: str, weight: str) -> DataFrame:
-    """Weighted mean, and the weighted variance scaled by n / (n - 1)."""
+    """Weighted mean, the weighted variance scaled by n / (n - 1), and the weighted skewness and excess kurtosis, from sums of powers; null where the values don't vary."""
     w, v = F.col(weight), F.col(x)
-    m = d.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(w).alias("w"), F.sum(w * v).alias("s"), F.sum(w * v * v).alias("q"))
-    mean = F.col("s") / F.col("w")
-    return m.select(*keys, mean.alias("mean"), ((F.col("q") / F.col("w") - mean * mean) * F.col("n") / (F.col("n") - 1)).alias("variance"))
+    m = d.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(w).alias("w"), *(F.sum(w * v**k).alias(f"s{k}") for k in (1, 2, 3, 4)))
+    a, b, c, e = (F.col(f"s{k}") / F.col("w") for k in (1, 2, 3, 4))
+    m2, m3, m4 = b - a * a, c - 3 * a * b + 2 * a**3, e - 4 * a * c + 6 * a * a * b - 3 * a**4
+    varies = m2 > 0
+    return m.select(*keys, a.alias("mean"), (m2 * F.col("n") / (F.col("n") - 1)).alias("variance"), F.when(varies, m3 / m2**1.5).alias("skewness"), F.when(varies, m4 / (m2 * m2) - 3).alias("kurtosis"))
 
 
 def with_efficiency(molecules: Column, codes: int, efficiency: float) -> Column:

@@ -119,7 +119,9 @@ def lims_rollup_list(spark, sf_dir):
 
 
 def having_expr(spark, sf_dir):
-    return _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")).filter("15 - n > 0")
+    listed = _t(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"), F.lit(True).alias("_listed"))
+    n = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    return n.join(listed, "o_custkey", "left").filter("10 - n > 0 or _listed").drop("_listed")
 
 
 def latest_by_group(spark, sf_dir):
@@ -162,7 +164,7 @@ def upsert_first_write(spark, sf_dir):
 
 QUERIES = [
     (lims_rollup_list, "SELECT c_custkey, n_name, coalesce(n_orders, 0) AS n_orders, total FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL) ON c_custkey = o_custkey"),
-    (having_expr, "SELECT o_custkey, count(*) AS n FROM orders GROUP BY ALL HAVING 15 - count(*) > 0"),
+    (having_expr, "SELECT o_custkey, count(*) AS n FROM orders GROUP BY ALL HAVING 10 - count(*) > 0 OR o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"),
     (latest_by_group, "SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY ALL"),
     (group_concat, "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS o_orderpriority FROM orders GROUP BY ALL"),
     (not_in_queue, "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 4 = 0)"),

@@ -108,15 +108,21 @@ def drawn_from_bins(d: DataFrame, bins: DataFrame, value: str, key: str, seed: s
     return e.withColumn("drawn", F.when(F.size("_fit") > 0, F.get(items, (pick % F.size(items)).cast("int")))).drop("_bins", "_fit")
 
 
-def exon_choices(genes: DataFrame, gene: str, exons: str, skip: int, longest: int) -> DataFrame:
-    """gene and chosen: the runs of exon numbers (from 1) that go upwards, leave out at most skip exons between neighbours, and have at most longest exons. Each pass adds one exon to all choices."""
-    n = genes.select(gene, F.size(exons).alias("_n"))
-    found = out = n.select(gene, "_n", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_last")).withColumn("chosen", F.array("_last"))
+def exon_choices(genes: DataFrame, gene: str, exons: str, skip: int, longest: int, least: int = 0, most: int | None = None) -> DataFrame:
+    """gene, chosen and length: the runs of exon numbers (from 1) that go upwards, leave out at most skip exons between neighbours, have at most longest exons, and together from least to most bases.
+
+    Each pass adds one exon to all choices that aren't too long already.
+    """
+    size = lambda i: F.element_at(F.col(exons), i)["e"] - F.element_at(F.col(exons), i)["s"] + 1
+    within = lambda d: d if most is None else d.filter(F.col("length") <= most)
+    n = genes.select(gene, exons, F.size(exons).alias("_n")).withColumn("_last", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    found = out = within(n.withColumn("chosen", F.array("_last")).withColumn("length", size(F.col("_last"))))
     for _ in range(longest - 1):
-        step = F.sequence(F.col("_last") + 1, F.least(F.col("_n"), F.col("_last") + 1 + skip))
-        found = found.filter("_last < _n").withColumn("_next", F.explode(step)).select(gene, "_n", F.col("_next").alias("_last"), F.concat("chosen", F.array("_next")).alias("chosen"))
+        step = F.explode(F.sequence(F.col("_last") + 1, F.least(F.col("_n"), F.col("_last") + 1 + skip)))
+        found = found.filter("_last < _n").withColumn("_last", step).withColumn("chosen", F.concat("chosen", F.array("_last"))).withColumn("length", F.col("length") + size(F.col("_last")))
+        found = within(found)
         out = out.unionByName(found)
-    return out.select(gene, F.array_join("chosen", "-").alias("chosen"))
+    return out.filter(F.col("length") >= least).select(gene, F.array_join("chosen", "-").alias("chosen"), "length")
 
 
 def merged_rpm(tables: dict[str, DataFrame], key: str, value: str, least: int) -> DataFrame:

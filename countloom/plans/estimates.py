@@ -134,6 +134,15 @@ def matrix_inverse(spark, sf_dir):
     return d.select("row", "column", (F.round("value", 6) + 0.0).alias("value"))
 
 
+@query("""WITH v AS (SELECT l_quantity AS x, l_discount * 100 AS z, l_extendedprice AS y FROM lineitem), m AS (SELECT avg(x) AS mx, avg(z) AS mz, avg(y) AS my, covar_pop(x, x) AS xx, covar_pop(z, z) AS zz, covar_pop(x, z) AS xz, covar_pop(x, y) AS xy, covar_pop(z, y) AS zy FROM v),
+    b AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM m)
+    SELECT 'x' AS name, round(bx, 4) AS value FROM b UNION ALL SELECT 'z', round(bz, 4) FROM b UNION ALL SELECT 'constant', round(my - bx * mx - bz * mz, 3) FROM b""")
+def triangle_fit(spark, sf_dir):
+    """Prices on quantities and discounts, by the triangle of all rows."""
+    d = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").alias("x"), (F.col("l_discount") * 100).alias("z"), F.col("l_extendedprice").alias("y"))
+    return elimination.fitted(d, ["x", "z"], "y").withColumn("value", F.when(F.col("name") == "constant", F.round("value", 3)).otherwise(F.round("value", 4)))
+
+
 @query("""WITH RECURSIVE e AS (SELECT c_nationkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS i, count(*) OVER (PARTITION BY c_nationkey) AS n, c_custkey, (c_custkey % 7)::DOUBLE AS a, 20.0::DOUBLE AS b, (c_custkey % 5)::DOUBLE AS c, CAST(c_acctbal AS DOUBLE) AS d FROM customer),
     f AS (SELECT k, i, n, c / b AS u, d / b AS v FROM e WHERE i = 1 UNION ALL SELECT e.k, e.i, e.n, e.c / (e.b - e.a * f.u), (e.d - e.a * f.v) / (e.b - e.a * f.u) FROM f JOIN e ON e.k = f.k AND e.i = f.i + 1),
     x AS (SELECT k, i, v AS x FROM f WHERE i = n UNION ALL SELECT f.k, f.i, f.v - f.u * x.x FROM x JOIN f ON f.k = x.k AND f.i = x.i - 1) SELECT k AS c_nationkey, CAST(i AS BIGINT) AS i, round(x, 6) AS x FROM x""")

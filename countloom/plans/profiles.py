@@ -131,10 +131,12 @@ def annotation_join(spark, sf_dir):
     return profiles.annotated(c.select("c_custkey"), notes, "c_custkey", ["segment"])
 
 
-@query("""WITH m AS (SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS w, sum(l_quantity * l_discount) AS s, sum(l_quantity * l_discount * l_discount) AS q FROM lineitem GROUP BY ALL)
-    SELECT l_returnflag, round(s / w, 6) AS mean, round((q / w - (s / w) ** 2) * n / (n - 1), 6) AS variance FROM m""")
+@query("""WITH m AS (SELECT l_returnflag, count(*) AS n, sum(l_quantity * l_discount) / sum(l_quantity) AS a FROM lineitem GROUP BY ALL),
+    c AS (SELECT l_returnflag, n, a, sum(l_quantity * (l_discount - a) ** 2) / sum(l_quantity) AS m2, sum(l_quantity * (l_discount - a) ** 3) / sum(l_quantity) AS m3, sum(l_quantity * (l_discount - a) ** 4) / sum(l_quantity) AS m4 FROM lineitem JOIN m USING (l_returnflag) GROUP BY ALL)
+    SELECT l_returnflag, round(a, 6) AS mean, round(m2 * n / (n - 1), 6) AS variance, round(m3 / m2 ** 1.5, 5) AS skewness, round(m4 / (m2 * m2) - 3, 5) AS kurtosis FROM c""")
 def weighted_moments(spark, sf_dir):
-    return rounded(profiles.weighted_moments(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_discount", "l_quantity"), "mean", "variance")
+    d = rounded(profiles.weighted_moments(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_discount", "l_quantity"), "mean", "variance")
+    return d.withColumns({c: F.round(c, 5) for c in ("skewness", "kurtosis")})
 
 
 @query(f"""{TAGS}, m AS (SELECT user_id, event_type, count(*) AS n_molecules FROM tags GROUP BY ALL)

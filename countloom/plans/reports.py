@@ -116,9 +116,10 @@ def drawn_from_bins(spark, sf_dir):
     return reports.drawn_from_bins(d, bins, "v", "p_partkey", "d").select("p_partkey", "drawn")
 
 
-@query(f"""WITH RECURSIVE {GENES}, k(gene, last, chosen) AS (SELECT gene, i, CAST(i AS VARCHAR) FROM g, (SELECT unnest([1, 2, 3]) AS i) UNION ALL SELECT gene, j, chosen || '-' || j FROM k, (SELECT unnest([1, 2, 3]) AS j) WHERE j > last AND j <= last + 2) SELECT gene, chosen FROM k""")
+@query(f"""WITH RECURSIVE {GENES}, x AS (SELECT gene, i, exons[i].e - exons[i].s + 1 AS n FROM g, (SELECT unnest([1, 2, 3]) AS i)), k(gene, last, chosen, length) AS (SELECT gene, i, CAST(i AS VARCHAR), n FROM x WHERE n <= 20
+    UNION ALL SELECT k.gene, i, chosen || '-' || i, length + n FROM k JOIN x ON x.gene = k.gene AND i > last AND i <= last + 2 WHERE length + n <= 20) SELECT gene, chosen, length FROM k WHERE length >= 6""")
 def exon_choices(spark, sf_dir):
-    return reports.exon_choices(gene_models(spark, sf_dir), "gene", "exons", 1, 3)
+    return reports.exon_choices(gene_models(spark, sf_dir), "gene", "exons", 1, 3, 6, 20)
 
 
 @query("""WITH a AS (SELECT l_partkey AS k, min(CAST(l_quantity AS BIGINT)) AS v FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL), b AS (SELECT l_partkey AS k, min(CAST(l_quantity AS BIGINT)) AS v FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)
