@@ -41,17 +41,18 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     return d.filter("id != ''")
 
 
-def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """file, record, read_id, seq and qual of each four-line record; records that are not well formed are left out.
-
-    A line's number is its place in its block of the file, plus the lines of the blocks before it, so files
-    are read in blocks and each record is put together after one shuffle.
-    """
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, value and line (from 0): a line's number is its place in its block of the file, plus the lines of the blocks before it, so files are read in blocks."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     blocks = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     blocks = blocks.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
-    lines = lines.join(blocks, ["file", "block"]).select("file", "value", (F.col("before") + F.col("at") - F.col("first")).alias("line"))
+    return lines.join(blocks, ["file", "block"]).select("file", "value", (F.col("before") + F.col("at") - F.col("first")).alias("line"))
+
+
+def fastq(spark: SparkSession, path: str) -> DataFrame:
+    """file, record, read_id, seq and qual of each four-line record; records that are not well formed are left out. Lines are numbered by block, and each record is put together after one shuffle."""
+    lines = numbered_lines(spark, path)
     part = lambda k: F.max(F.when(F.col("line") % 4 == k, F.rtrim("value")))
     d = lines.groupBy("file", F.floor(F.col("line") / 4).alias("record")).agg(part(0).alias("h"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual"))
     d = d.filter(F.col("h").startswith("@") & F.col("plus").startswith("+") & (F.length("seq") == F.length("qual")))
@@ -230,3 +231,80 @@ def barcodes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     part = lambda k: F.regexp_extract("value", r"^#(\w+)=(.*?)\s*$", k)
     keys = d.select(part(1).alias("key"), part(2).alias("value")).filter("key != ''")
     return keys, d.filter(~F.col("value").startswith("#")).filter(F.size(c) >= 2).select(c[0].alias("id"), c[1].alias("seq"))
+
+
+def gencode(spark: SparkSession, path: str, attributes: str | None = None) -> DataFrame:
+    """Gene models of a Gencode table of 16 columns (its first is a bin number), with the columns of ref_flat and type; a shorter line fails the job.
+
+    attributes: a table of gene id, name, type and status and transcript id, name and type, which names a transcript's gene and gives its type where it has it.
+    """
+    c = F.split(F.trim("value"), "\t")
+    numbers = lambda x: F.transform(F.filter(F.split(x, ","), lambda v: v != ""), lambda v: v.cast("long"))
+    exons = F.zip_with(numbers(c[9]), numbers(c[10]), lambda s, e: F.struct(s.alias("s"), (e - 1).alias("e")))
+    d = spark.read.text(path).filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    d = d.filter(F.when(F.size(c) < 16, F.raise_error(F.concat(F.lit("fewer than 16 columns: "), F.substring("value", 1, 80))).cast("boolean")).otherwise(True))
+    d = d.select(F.trim(c[12]).alias("gene"), F.trim(c[1]).alias("transcript"), F.regexp_replace(c[2], "^chr", "").alias("chr"), F.substring(c[3], 1, 1).alias("strand"), c[4].cast("long").alias("start"), (c[5].cast("long") - 1).alias("end"), exons.alias("exons"))
+    if attributes is None:
+        return d.withColumn("type", F.lit(""))
+    a = spark.read.text(attributes).select(F.split("value", "\t").alias("a")).filter(F.size("a") >= 7)
+    a = a.groupBy(F.trim(F.col("a")[4]).alias("transcript")).agg(F.max(F.struct(F.trim(F.col("a")[1]).alias("name"), F.trim(F.col("a")[6]).alias("kind"))).alias("_a"))
+    return d.join(a, "transcript", "left").select(F.coalesce("_a.name", "gene").alias("gene"), "transcript", "chr", "strand", "start", "end", "exons", F.coalesce("_a.kind", F.lit("")).alias("type"))
+
+
+def biomart(spark: SparkSession, path: str) -> DataFrame:
+    """Gene models of a BioMart table of an exon a line, with the columns of ref_flat and type. The header names the columns, in any order; a column that misses raises an error.
+
+    A transcript's exons are put in order, those that overlap are joined, and those of one base or none are left out. A gene without a name goes by its transcript.
+    """
+    wide = spark.read.csv(path, sep="\t", header=True, quote="")
+    found = lambda *fits: next((c for c in wide.columns if any(f(c.strip()) for f in fits)), None)
+    names = {
+        "transcript": found(lambda c: "transcript id" in c.lower()), "first": found(lambda c: c.startswith("Exon Chr Start")), "last": found(lambda c: c.startswith("Exon Chr End")), "chr": found(lambda c: c == "Chromosome Name"),
+        "strand": found(lambda c: c == "Strand"), "gene": found(lambda c: c in ("External Gene ID", "Associated Gene Name")), "type": found(lambda c: c in ("Transcript Biotype", "Gene Biotype")),
+    }
+    if missing := [k for k, c in names.items() if c is None]:
+        raise ValueError(f"no column for {', '.join(missing)}")
+    d = wide.select(*(F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(k) for k, c in names.items()))
+    exon = F.struct((F.col("first").cast("long") - 1).alias("s"), (F.col("last").cast("long") - 1).alias("e"))
+    g = d.groupBy("transcript").agg(F.max(F.struct("gene", "chr", "strand", "type")).alias("g"), F.array_sort(F.collect_list(F.when(F.col("last").cast("long") > F.col("first").cast("long"), exon))).alias("x")).filter(F.size("x") > 0)
+    kind = "array<struct<s:bigint,e:bigint>>"
+
+    def join(a, x):
+        last = F.element_at(a, -1)
+        both = F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e"))))
+        return F.when((F.size(a) > 0) & (x["s"] <= F.get(a, F.size(a) - 1)["e"]), both).otherwise(F.concat(a, F.array(x)))
+
+    exons = F.aggregate(F.slice("x", F.lit(2), F.greatest(F.size("x") - 1, F.lit(0))), F.slice("x", F.lit(1), F.lit(1)).cast(kind), join)
+    g = g.withColumn("exons", exons)
+    name = F.when(F.col("g.gene") != "", F.col("g.gene")).otherwise(F.col("transcript"))
+    strand = F.when(F.col("g.strand") == "1", "+").otherwise("-")
+    return g.select(name.alias("gene"), "transcript", F.col("g.chr").alias("chr"), strand.alias("strand"), F.col("exons")[0]["s"].alias("start"), F.element_at("exons", -1)["e"].alias("end"), "exons", F.col("g.type").alias("type"))
+
+
+def gene_models(spark: SparkSession, annotation: str, path: str, attributes: str | None = None) -> DataFrame:
+    """Gene models of an annotation: UCSC (refFlat), UALL (knownGene), GENC (Gencode), else BioMart; with the columns gene, transcript, chr, strand, start, end, exons and type."""
+    if annotation == "GENC":
+        return gencode(spark, path, attributes)
+    if annotation in ("UCSC", "UALL"):
+        return (ref_flat if annotation == "UCSC" else known_gene)(spark, path).withColumn("type", F.lit(""))
+    return biomart(spark, path)
+
+
+def fastq_resynchronised(spark: SparkSession, path: str) -> DataFrame:
+    """file, line, read_id, seq and qual of the records of FASTQ files in which lines may be missing or broken: a record is four lines of which the first begins with @, the third with +, and the others are equally long.
+
+    Every line is the possible start of a record; of starts that overlap the first one counts, in runs of starts less than four lines apart walked from their first. Lines are numbered as in ``fastq``, and each goes to the four records it may belong to.
+    """
+    lines = numbered_lines(spark, path)
+    part = F.explode(F.sequence(F.lit(0), F.lit(3)))
+    d = lines.withColumn("_k", part).withColumn("line", F.col("line") - F.col("_k")).filter("line >= 0")
+    of = lambda k: F.max(F.when(F.col("_k") == k, F.rtrim("value")))
+    d = d.groupBy("file", "line").agg(of(0).alias("h"), of(1).alias("seq"), of(2).alias("plus"), of(3).alias("qual"))
+    d = d.filter(F.col("h").startswith("@") & F.col("plus").startswith("+") & (F.length("seq") == F.length("qual")) & (F.length("seq") > 0))
+    # Starts that overlap are rare (a quality line that begins with @), so only they are gathered.
+    w = Window.partitionBy("file").orderBy("line")
+    d = d.withColumn("_run", F.sum(F.coalesce((F.col("line") - F.lag("line").over(w) >= 4).cast("int"), F.lit(1))).over(w))
+    runs = d.groupBy("file", "_run").agg(F.array_sort(F.collect_list("line")).alias("_l"))
+    walk = F.aggregate("_l", F.array().cast("array<bigint>"), lambda a, x: F.when((F.size(a) == 0) | (x - F.coalesce(F.get(a, F.size(a) - 1), F.lit(-9)) >= 4), F.concat(a, F.array(x))).otherwise(a))
+    kept = runs.select("file", F.explode(walk).alias("line"))
+    return d.join(kept, ["file", "line"]).select("file", "line", F.split(F.regexp_replace("h", "^@", ""), r"\s", 2)[0].alias("read_id"), "seq", "qual")
