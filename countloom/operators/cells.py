@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .counting import one_and_two_off
 from .ranks import running_totals
 from .storage import kept
 
@@ -128,9 +129,23 @@ def neighbours(cells: DataFrame, cell: str, x: str, y: str, rook: bool) -> DataF
     return a.join(b, ["x", "y"]).filter("first < second").select("first", "second")
 
 
-def position_clusters(tags: DataFrame, place: list[str]) -> DataFrame:
-    """Of the read counts of codes at a place: reads, molecules, and those with more than one read."""
-    return tags.groupBy(*place).agg(F.sum("n_reads").alias("n_reads"), F.count("*").alias("n_mols"), F.count_if(F.col("n_reads") > 1).alias("n_multi"))
+def five_prime(pos: Column, strand: Column, length: Column) -> Column:
+    """The place of a read's 5' end: on the - strand that is its last base."""
+    return F.when(strand == "-", pos + length - 1).otherwise(pos)
+
+
+def position_clusters(tags: DataFrame, place: list[str], umi: str, length: int) -> DataFrame:
+    """Of the read counts of codes (of so many bases) at a place: reads, molecules, those with more than one read, and those that are no mutation of another.
+
+    A code of one read is a mutation if a code one base off has more reads, or one too and a lower number. Each such code asks for the codes one base off, by equality.
+    """
+    masks = F.array(*(F.lit(m).cast("long") for m in one_and_two_off(length)[0]))
+    single = tags.filter("n_reads = 1").select(*place, F.col(umi).cast("long").alias("_code"), F.explode(masks).alias("_m"))
+    asks = single.select(*place, "_code", F.col("_code").bitwiseXOR(F.col("_m")).alias("_other"))
+    others = tags.select(*place, F.col(umi).cast("long").alias("_other"), F.col("n_reads").alias("_n"))
+    mutated = asks.join(others, [*place, "_other"]).filter("_n > 1 or _other < _code").select(*place, F.col("_code").alias("_c")).distinct().withColumn("_mutated", F.lit(True))
+    d = tags.withColumn("_c", F.col(umi).cast("long")).join(mutated, [*place, "_c"], "left")
+    return d.groupBy(*place).agg(F.sum("n_reads").alias("n_reads"), F.count("*").alias("n_mols"), F.count_if(F.col("n_reads") > 1).alias("n_multi"), F.count_if(F.col("_mutated").isNull()).alias("n_unmutated"))
 
 
 def level_bins(features: DataFrame, feature: str, mean: str, least: int) -> DataFrame:

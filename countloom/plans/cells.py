@@ -116,9 +116,14 @@ def cases_per_umi_count(spark, sf_dir):
     return cells.totals_and_cases(_tags(spark, sf_dir), F.lit(1), ["user_id", "event_type"])
 
 
-@query(f"WITH {TAGS} SELECT user_id, event_type, CAST(sum(n) AS BIGINT) AS n_reads, count(*) AS n_mols, count(*) FILTER (n > 1) AS n_multi FROM tags GROUP BY ALL")
+@query("""WITH t AS (SELECT event_type, CASE user_id % 2 WHEN 0 THEN '+' ELSE '-' END AS strand, event_id % 40 + CASE user_id % 2 WHEN 0 THEN 0 ELSE 9 + user_id % 3 END AS pos, event_id * 37 // 40 % 256 AS umi, count(*) AS n FROM events GROUP BY ALL),
+    m AS (SELECT a.event_type, a.strand, a.pos, a.umi FROM t a JOIN t b ON a.event_type = b.event_type AND a.strand = b.strand AND a.pos = b.pos AND bit_count(((xor(a.umi, b.umi)) | (xor(a.umi, b.umi) >> 1)) & 85) = 1 WHERE a.n = 1 AND (b.n > 1 OR b.umi < a.umi) GROUP BY ALL)
+    SELECT t.event_type, t.strand, t.pos, CAST(sum(n) AS BIGINT) AS n_reads, count(*) AS n_mols, count(*) FILTER (n > 1) AS n_multi, count(*) FILTER (m.umi IS NULL) AS n_unmutated FROM t LEFT JOIN m ON t.event_type = m.event_type AND t.strand = m.strand AND t.pos = m.pos AND t.umi = m.umi GROUP BY ALL""")
 def position_clusters(spark, sf_dir):
-    return cells.position_clusters(_tags(spark, sf_dir), ["user_id", "event_type"])
+    strand, length = F.when(F.col("user_id") % 2 == 0, "+").otherwise("-"), 10 + F.col("user_id") % 3
+    pos = cells.five_prime(F.col("event_id") % 40, strand, length)
+    d = table(spark, sf_dir, "events").groupBy("event_type", strand.alias("strand"), pos.alias("pos"), F.expr("event_id * 37 div 40 % 256").alias("umi")).agg(F.count("*").alias("n_reads"))
+    return cells.position_clusters(d, ["event_type", "strand", "pos"], "umi", 4)
 
 
 @query("""WITH n AS (SELECT l_suppkey, count(*) FILTER (l_linestatus = 'F') AS n_sense, count(*) FILTER (l_linestatus <> 'F') AS n_anti, max(l_suppkey % 4 * 250) AS len FROM lineitem GROUP BY ALL), k AS (SELECT *, CASE WHEN len > 0 THEN n_sense * 1000 / len ELSE 0 END AS s, CASE WHEN len > 0 THEN n_anti * 1000 / len ELSE 0 END AS a FROM n)
