@@ -122,13 +122,15 @@ def inverse(exons: Column, length: Column) -> Column:
 
 
 def exon_hits(hits: DataFrame, genes: DataFrame, cap: int) -> DataFrame:
-    """gene, exon (from 1), n_mols, and n_cap: those of unique hits nearer than cap to the gene's 5' end. hits: gene, pos, n_mols, is_unique."""
+    """gene, exon (from 1), n_mols, n_cap: those of unique hits nearer than cap to the gene's 5' end, and n_junction: those of hits that begin in the exon and end in a later one. hits: gene, pos, last (the last base), n_mols, is_unique."""
     d = hits.join(genes.select("gene", "strand", "exons"), "gene").withColumn("x", F.explode(F.transform("exons", lambda x, i: F.struct(x["s"].alias("s"), x["e"].alias("e"), (i + 1).alias("exon")))))
     start, end = span(F.col("exons"))
     first = F.when(F.col("strand") == "+", start).otherwise(end)
     near = F.col("is_unique") & (F.abs(F.col("pos") - first) < cap)
+    over = F.exists("exons", lambda y: (y["s"] > F.col("x.e")) & F.col("last").between(y["s"], y["e"]))
     d = d.filter(F.col("pos").between(F.col("x.s"), F.col("x.e")))
-    return d.groupBy("gene", F.col("x.exon").alias("exon")).agg(F.sum("n_mols").alias("n_mols"), F.sum(F.when(near, F.col("n_mols")).otherwise(0)).alias("n_cap"))
+    of = lambda c: F.sum(F.when(c, F.col("n_mols")).otherwise(0))
+    return d.groupBy("gene", F.col("x.exon").alias("exon")).agg(F.sum("n_mols").alias("n_mols"), of(near).alias("n_cap"), of(over).alias("n_junction"))
 
 
 def splice_counts(hits: DataFrame, by: list[str] = ()) -> DataFrame:

@@ -124,9 +124,10 @@ def hits(spark, sf_dir):
 
 
 @query(f"""WITH {GENES}, {EACH}, {HITS} SELECT h.gene, CAST(x.exon + 1 AS INTEGER) AS exon, CAST(sum(n_mols) AS BIGINT) AS n_mols,
-    CAST(sum(CASE WHEN is_unique AND abs(pos - CASE WHEN x.strand = '+' THEN lo ELSE hi END) < 20 THEN n_mols ELSE 0 END) AS BIGINT) AS n_cap FROM h JOIN x ON h.gene = x.gene AND pos BETWEEN x.s AND x.e JOIN b ON b.gene = h.gene GROUP BY ALL""")
+    CAST(sum(CASE WHEN is_unique AND abs(pos - CASE WHEN x.strand = '+' THEN lo ELSE hi END) < 20 THEN n_mols ELSE 0 END) AS BIGINT) AS n_cap,
+    CAST(sum(CASE WHEN len([y for y in b.exons if y.s > x.e AND pos + 24 BETWEEN y.s AND y.e]) > 0 THEN n_mols ELSE 0 END) AS BIGINT) AS n_junction FROM h JOIN x ON h.gene = x.gene AND pos BETWEEN x.s AND x.e JOIN b ON b.gene = h.gene GROUP BY ALL""")
 def exon_and_cap_hits(spark, sf_dir):
-    return genes.exon_hits(hits(spark, sf_dir), models(spark, sf_dir), 20)
+    return genes.exon_hits(hits(spark, sf_dir).withColumn("last", F.col("pos") + 24), models(spark, sf_dir), 20)
 
 
 def _junctions(spark, sf_dir):
