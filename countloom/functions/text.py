@@ -91,3 +91,28 @@ def path_safe(moment: Column) -> Column:
 def phred(p: Column) -> Column:
     """The quality of an error probability, cut to a whole number."""
     return (-10 * F.log10(p)).cast("int")
+
+
+def cut_places(seq: Column, site: str) -> Column:
+    """The places (from 0, in order) before which an enzyme cuts. site: a motif with ^ where its strand is cut, as G^AATTC; a site that is not its own reverse complement is also looked for on the other strand."""
+    at, motif = site.index("^"), site.replace("^", "")
+    pairs = dict(zip("ACGTRYKMBDHVSWN", "TGCAYRMKVHDBSWN", strict=True))
+    other = "".join(pairs[c] for c in reversed(motif))
+    n = len(motif)
+
+    def places(m: str, offset: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(seq) - n + 1, F.lit(1))), lambda i: F.substring(seq, i, F.lit(n)).rlike(f"^{motif_pattern(m)}$"))
+        return F.transform(starts, lambda i: i - 1 + offset)
+
+    both = places(motif, at) if other == motif else F.concat(places(motif, at), places(other, n - at))
+    return F.array_sort(F.array_distinct(F.filter(both, lambda p: (p > 0) & (p < F.length(seq)))))
+
+
+def digested(seq: Column, sites: dict[str, str]) -> Column:
+    """An array of (enzyme, start, piece) of a sequence cut by each enzyme of a table (name: site) by itself."""
+
+    def pieces(name: str, cuts: Column) -> Column:
+        starts, ends = F.concat(F.array(F.lit(0)), cuts), F.concat(cuts, F.array(F.length(seq)))
+        return F.zip_with(starts, ends, lambda s, e: F.struct(F.lit(name).alias("enzyme"), s.alias("start"), F.substring(seq, s + 1, e - s).alias("piece")))
+
+    return F.concat(*(pieces(name, cut_places(seq, site)) for name, site in sites.items()))

@@ -260,6 +260,14 @@ def cut_pieces(spark, sf_dir):
     return oligos(spark, sf_dir).select("p_partkey", F.size(text.cut_at(F.col("seq"), "GY")).cast("long").alias("n_pieces"))
 
 
+@query(f"""WITH o AS (SELECT p_partkey, {OLIGO} AS seq FROM part), e AS (SELECT * FROM (VALUES ('one', '^[GC][CT][AG]$', '^[CT][AG][GC]$', 3, 1), ('two', '^GC$', '^GC$', 2, 1)) AS v(enzyme, fwd, rev, n, cut)),
+    p AS (SELECT p_partkey, enzyme, seq, list_sort(list_distinct(list_concat([i - 1 + cut for i in range(1, length(seq) - n + 2) if regexp_matches(substr(seq, i, n), fwd)], [i - 1 + n - cut for i in range(1, length(seq) - n + 2) if regexp_matches(substr(seq, i, n), rev)]))) AS cuts FROM o, e),
+    b AS (SELECT p_partkey, enzyme, seq, list_concat([0], [c for c in cuts if c > 0 AND c < length(seq)]) AS s, list_concat([c for c in cuts if c > 0 AND c < length(seq)], [length(seq)]) AS t FROM p)
+    SELECT p_partkey, enzyme, CAST(s[k] AS INTEGER) AS start, substr(seq, CAST(s[k] + 1 AS BIGINT), CAST(t[k] - s[k] AS BIGINT)) AS piece FROM (SELECT *, unnest(range(1, len(s) + 1)) AS k FROM b)""")
+def digested_pieces(spark, sf_dir):
+    return oligos(spark, sf_dir).select("p_partkey", F.explode(text.digested(F.col("seq"), {"one": "S^YR", "two": "G^C"})).alias("x")).select("p_partkey", "x.*")
+
+
 @query(f"""WITH o AS (SELECT p_partkey, substr({OLIGO}, 1, 4) AS w FROM part) SELECT DISTINCT p_partkey, substr(w, 1, i) || b || substr(w, i + 2, 4) AS word FROM o, (SELECT unnest(range(0, 4)) AS i), (SELECT unnest(['A', 'C', 'G', 'T']) AS b) WHERE substr(w, i + 1, 1) <> b""")
 def single_substitutions(spark, sf_dir):
     return oligos(spark, sf_dir).select("p_partkey", F.explode(text.substitutions(F.substring("seq", 1, 4), 4)).alias("word"))
