@@ -63,3 +63,12 @@ def natural_spline(x: Column, xs: list[float], ys: list[float]) -> Column:
         last = i == len(xs) - 2
         out = F.when(x < xs[i + 1], y) if out is None and not last else y if out is None else out.otherwise(y) if last else out.when(x < xs[i + 1], y)
     return out
+
+
+def bicubic(x: Column, y: Column, xs: list[float], ys: list[float], zs: list[list[float]]) -> Column:
+    """The surface through the values zs[i][j] at (xs[i], ys[j]), at (x, y): natural splines along y, and one along x through what they give.
+
+    A spline is linear in its values, so the one along x is a sum of the splines that are 1 at one point and 0 at the others.
+    """
+    unit = lambda i: [1.0 if k == i else 0.0 for k in range(len(xs))]
+    return reduce(Column.__add__, [natural_spline(x, xs, unit(i)) * natural_spline(y, ys, row) for i, row in enumerate(zs)])

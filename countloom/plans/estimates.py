@@ -143,6 +143,24 @@ def triangle_fit(spark, sf_dir):
     return elimination.fitted(d, ["x", "z"], "y").withColumn("value", F.when(F.col("name") == "constant", F.round("value", 3)).otherwise(F.round("value", 4)))
 
 
+def _three(t: str, k: tuple, a: str, b: str, c: str) -> str:
+    """SQL of the natural spline through three points, whose one bend has a closed form."""
+    h, g = k[1] - k[0], k[2] - k[1]
+    bend = f"(3 * ((({c}) - ({b})) / {g} - (({b}) - ({a})) / {h}) / {h + g})"
+    p, q = f"(({k[1]} - {t}) / {h})", f"(({k[2]} - {t}) / {g})"
+    first = f"{p} * ({a}) + (1 - {p}) * ({b}) + ((1 - {p}) ** 3 - (1 - {p})) * {bend} * {h * h / 6}"
+    return f"(CASE WHEN {t} < {k[1]} THEN {first} ELSE {q} * ({b}) + (1 - {q}) * ({c}) + ({q} ** 3 - {q}) * {bend} * {g * g / 6} END)"
+
+
+XS, YS, ZS = (0.0, 20.0, 51.0), (0.0, 4.0, 10.0), ((1.0, 5.0, 2.0), (4.0, 0.0, 7.0), (3.0, 8.0, 6.0))
+
+
+@query(f"WITH v AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, p_partkey % 11 * 1.0::DOUBLE AS y FROM part), r AS (SELECT *, {', '.join(f'{_three(chr(121), YS, *map(str, z))} AS r{i}' for i, z in enumerate(ZS))} FROM v) SELECT p_partkey, round({_three('x', XS, 'r0', 'r1', 'r2')}, 6) AS z FROM r")
+def bicubic_values(spark, sf_dir):
+    z = algebra.bicubic(F.col("p_size").cast("double"), F.col("p_partkey") % 11 * F.lit(1.0), list(XS), list(YS), [list(r) for r in ZS])
+    return table(spark, sf_dir, "part").select("p_partkey", F.round(z, 6).alias("z"))
+
+
 @query("""WITH RECURSIVE e AS (SELECT c_nationkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS i, count(*) OVER (PARTITION BY c_nationkey) AS n, c_custkey, (c_custkey % 7)::DOUBLE AS a, 20.0::DOUBLE AS b, (c_custkey % 5)::DOUBLE AS c, CAST(c_acctbal AS DOUBLE) AS d FROM customer),
     f AS (SELECT k, i, n, c / b AS u, d / b AS v FROM e WHERE i = 1 UNION ALL SELECT e.k, e.i, e.n, e.c / (e.b - e.a * f.u), (e.d - e.a * f.v) / (e.b - e.a * f.u) FROM f JOIN e ON e.k = f.k AND e.i = f.i + 1),
     x AS (SELECT k, i, v AS x FROM f WHERE i = n UNION ALL SELECT f.k, f.i, f.v - f.u * x.x FROM x JOIN f ON f.k = x.k AND f.i = x.i - 1) SELECT k AS c_nationkey, CAST(i AS BIGINT) AS i, round(x, 6) AS x FROM x""")
