@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .counting import one_and_two_off
 from .ranks import running_totals
-from .storage import kept
+from .storage import kept, small_or_not
 
 
 def kept_cells(d: DataFrame, cell: str, value: str, part: float = 100.0) -> DataFrame:
@@ -39,9 +39,9 @@ def both_at_least(a: Column, b: Column, least: float, how: str = "both") -> tupl
 
 
 def spike_efficiency(d: DataFrame, cell: str, feature: str, value: str, added: DataFrame) -> DataFrame:
-    """cell and efficiency: its spike molecules over those added (feature, n_added); spikes without counts weigh too. The spikes are a small table."""
+    """cell and efficiency: its spike molecules over those added (feature, n_added); spikes without counts weigh too."""
     total = F.broadcast(added.agg(F.sum("n_added").alias("_all")))
-    found = d.join(F.broadcast(added.select(feature)), feature).groupBy(cell).agg(F.sum(value).alias("_n"))
+    found = d.join(small_or_not(added.select(feature)), feature).groupBy(cell).agg(F.sum(value).alias("_n"))
     return found.join(total).select(cell, (F.col("_n") / F.col("_all")).alias("efficiency"))
 
 
@@ -204,8 +204,9 @@ def drawn_correlations(d: DataFrame, feature: str, cell: str, count: str, pairs:
     numbered = running_totals(v.select("bin", feature, cell, "_mean", F.lit(1).cast("long").alias("_one")), ["bin", feature, cell], "_one", "_before")
     sizes = bins.groupBy("bin").agg(F.sum("n").alias("_size"))
     starts = sizes.select("bin", "_size", F.coalesce(F.sum("_size").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))  # a row for each bin
-    numbered = numbered.join(F.broadcast(starts), "bin").select("bin", (F.col("_before") - F.col("_start")).alias("_k"), F.col("_mean").alias("_value"))
-    rounds = v.join(F.broadcast(starts), "bin").withColumn("_t", F.explode(F.sequence(F.lit(1), F.lit(times))))
+    starts = small_or_not(starts)
+    numbered = numbered.join(starts, "bin").select("bin", (F.col("_before") - F.col("_start")).alias("_k"), F.col("_mean").alias("_value"))
+    rounds = v.join(starts, "bin").withColumn("_t", F.explode(F.sequence(F.lit(1), F.lit(times))))
     hashed = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("_t").cast("string"), F.col(feature).cast("string"), F.col(cell).cast("string"))), 1, 12), 16, 10).cast("long")
     drawn = kept(rounds.withColumn("_k", hashed % F.col("_size")).join(numbered, ["bin", "_k"]).select(F.col(feature).alias("_f"), F.col(cell).alias("_c"), "_t", "_value"))
     a = pairs.select("first", "second").join(drawn.select(F.col("_f").alias("first"), "_c", "_t", F.col("_value").alias("_a")), "first")

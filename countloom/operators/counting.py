@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from countloom.functions.sequence import code_distance
 
+from .storage import small_or_not
+
 
 def code_distances(counts: DataFrame, keys: list[str], umi: str, length: int) -> DataFrame:
     """distance, n_pairs and expected of the codes of a key: what codes drawn at random, base by base with the bases' shares, would show.
@@ -124,5 +126,5 @@ def upstream_matches(hits: DataFrame, genome: DataFrame, table: DataFrame, lengt
     """barcode, matched and n: how often the bases just before a unique hit (contig, pos, barcode) are themselves a barcode (table: match, index), and n_tests of each barcode."""
     d = hits.join(genome, "contig").filter(F.col("pos") >= length).select("barcode", F.substring("text", F.col("pos") - length + 1, F.lit(length)).alias("_word"))
     tests = d.groupBy("barcode").agg(F.count("*").alias("n_tests"))
-    found = d.join(F.broadcast(table.select(F.col("match").alias("_word"), F.col("index").alias("matched"))), "_word").groupBy("barcode", "matched").agg(F.count("*").alias("n"))
+    found = d.join(small_or_not(table.select(F.col("match").alias("_word"), F.col("index").alias("matched"))), "_word").groupBy("barcode", "matched").agg(F.count("*").alias("n"))
     return found.join(tests, "barcode")

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import small_or_not
+
 #: Sequences that tell artefacts, in the order of their tests.
 ARTEFACTS = (("P1", "AATGATACGGCGACC"), ("PHIX", "TAGTCACACAGTCCTTGACG"), ("RNA45S", "ACCTCAGATCAGACGTGGCGACCCGCTGAA"))
 #: Fixed value: the transposase's sequence.
@@ -97,13 +99,13 @@ def barcode_index(barcodes: DataFrame, code: str, index: str, length: int) -> Da
 
 def with_barcode(reads: DataFrame, code: str, table: DataFrame, index: str) -> DataFrame:
     """reads with the index of their barcode, -1 without one. The table of barcodes is small: one row for each barcode or mutant of it."""
-    t = F.broadcast(table.select(F.col("match").alias("_match"), index))
+    t = small_or_not(table.select(F.col("match").alias("_match"), index))
     return reads.join(t, F.col(code) == F.col("_match"), "left").withColumn(index, F.coalesce(index, F.lit(-1))).drop("_match")
 
 
 def index_status(reads: DataFrame, code: str, index: str, others: DataFrame, unused: Column) -> DataFrame:
     """reads with status: VALID, MIXIN_SAMPLE_BC for barcodes of other samples (others, one column) or unused ones, UNKNOWN_BC else."""
-    o = F.broadcast(others.select(F.col(others.columns[0]).alias("_other")).distinct())
+    o = small_or_not(others.select(F.col(others.columns[0]).alias("_other")).distinct())
     status = F.when(F.col(index) == -1, F.when(F.col("_other").isNotNull(), "MIXIN_SAMPLE_BC").otherwise("UNKNOWN_BC")).otherwise(F.when(unused, "MIXIN_SAMPLE_BC").otherwise("VALID"))
     return reads.join(o, F.col(code) == F.col("_other"), "left").withColumn("status", status).drop("_other")
 

@@ -176,12 +176,3 @@ def block_index(mappings: DataFrame, chromosome: str) -> DataFrame:
     """Where each chromosome's mappings begin in the file sorted by chromosome and position. The window runs over one row a chromosome."""
     n = mappings.groupBy(chromosome).agg(F.count("*").alias("n"))
     return n.withColumn("first", F.coalesce(F.sum("n").over(Window.orderBy(chromosome).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-
-
-def threshold_rule(rule: str, param: int) -> tuple[str, int]:
-    """The rule that a dense counter applies: it keeps no counts above one, so a low pass at 1 is the singleton rule at 0, and rules on fractions have no such form."""
-    if rule == "lowpass" and param == 1:
-        return "singleton", 0
-    if rule in ("fraction_of_max", "fraction_of_mean"):
-        raise ValueError(f"{rule} needs read counts")
-    return rule, param

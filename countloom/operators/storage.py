@@ -1,10 +1,11 @@
-"""Cutting the lineage of iterative operators."""
+"""Cutting the lineage of iterative operators, and broadcasts of a checked size."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def kept(d: DataFrame) -> DataFrame:
@@ -19,3 +20,8 @@ def kept(d: DataFrame) -> DataFrame:
             folder = "file://" + tempfile.mkdtemp(prefix="countloom-")
         context.setCheckpointDir(folder)
     return d.checkpoint()
+
+
+def small_or_not(d: DataFrame, most: int = 500_000) -> DataFrame:
+    """d marked for broadcast if it has no more rows than that, which a bounded count tells; else as it is, and Spark shuffles."""
+    return F.broadcast(d) if d.limit(most + 1).count() <= most else d

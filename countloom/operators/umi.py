@@ -29,6 +29,23 @@ def molecule_counts(counts: DataFrame, keys: list[str], rule: str = "none", para
     return d.groupBy(*keys).agg(F.sum("n_reads").alias("n_reads"), F.count("*").alias("n_umis"), F.count_if(F.col("n_reads") > F.col("limit")).alias("n_molecules"))
 
 
+def dense_rule(rule: str, param: int) -> tuple[str, int]:
+    """The rule that a dense counter applies, which only tells none, one and more reads of a code: a low pass at 1 is the singleton rule at 0, and rules that need counts raise an error."""
+    if (rule, param) == ("lowpass", 1):
+        rule, param = "singleton", 0
+    if rule != "none" and (rule, param) not in (("lowpass", 0), ("singleton", 0)):
+        raise ValueError(f"{rule} at {param} needs read counts")
+    return rule, param
+
+
+def dense_molecule_counts(reads: DataFrame, keys: list[str], umi: str, rule: str = "none", param: int = 1) -> DataFrame:
+    """As molecule_counts, from counters that stop at two reads of a code; n_reads counts all reads of a key."""
+    rule, param = dense_rule(rule, param)
+    counts = read_counts(reads, keys, umi).withColumn("_all", F.col("n_reads")).withColumn("n_reads", F.least("n_reads", F.lit(2)).cast("long"))
+    limit = 1 if rule == "singleton" else 0
+    return counts.groupBy(*keys).agg(F.sum("_all").alias("n_reads"), F.count("*").alias("n_umis"), F.count_if(F.col("n_reads") > limit).alias("n_molecules"))
+
+
 def drop_near_singletons(counts: DataFrame, keys: list[str], umi: str, length: int) -> DataFrame:
     """Leaves out codes of one read that lie one substitution from a code with more reads, or from a lower code.
 

@@ -68,6 +68,11 @@ _molecules("fraction_of_max", 3, "max(n) // 3")
 _molecules("fraction_of_mean", 2, "round_even(avg(n) / 2, 0)")
 
 
+@query(f"WITH {TAGS} SELECT user_id, event_type, CAST(sum(n) AS BIGINT) AS n_reads, count(*) AS n_umis, count(*) FILTER (n > 1) AS n_molecules FROM tags GROUP BY ALL")
+def umi_dense(spark, sf_dir):
+    return umi.dense_molecule_counts(reads(spark, sf_dir), CELL, "umi", "lowpass", 1)
+
+
 @query(f"""WITH {TAGS} SELECT a.* FROM (SELECT user_id, event_type, umi, n AS n_reads FROM tags) a WHERE NOT (n_reads = 1 AND EXISTS (
     SELECT 1 FROM tags b WHERE b.user_id = a.user_id AND b.event_type = a.event_type AND b.umi <> a.umi AND (b.n > 1 OR b.umi < a.umi)
       AND (CASE WHEN (a.umi & 3) <> (b.umi & 3) THEN 1 ELSE 0 END + CASE WHEN (a.umi >> 2) <> (b.umi >> 2) THEN 1 ELSE 0 END) = 1))""")

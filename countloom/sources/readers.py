@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from countloom.operators.storage import small_or_not
+
 
 def sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignments of a SAM file: 0-based positions, strand from flag 0x10, mapping count from XM:i. Headers, short lines and unaligned reads are left out."""
@@ -187,7 +189,7 @@ def lanes(d: DataFrame, pattern: str) -> DataFrame:
 def lifted(features: DataFrame, contigs: DataFrame, label: str) -> DataFrame:
     """features (contig, pos) on chromosomes: start + pos - 1 of the contigs (contig, chr, start, orientation, label) of a label that lie forward. The contigs are a small table."""
     c = contigs.filter((F.col("label") == label) & (F.col("orientation") == "+")).select("contig", "chr", F.col("start").alias("_start"))
-    return features.join(F.broadcast(c), "contig").withColumn("pos", F.col("_start") + F.col("pos") - 1).drop("_start")
+    return features.join(small_or_not(c), "contig").withColumn("pos", F.col("_start") + F.col("pos") - 1).drop("_start")
 
 
 def spatial_matrix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -197,7 +199,7 @@ def spatial_matrix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     place = lambda n: d.filter(F.upper(F.col("f")[0]) == n).select(F.posexplode("f").alias("i", "_v")).select("i", F.col("_v").try_cast("int").alias(n.lower()))
     cells = names.join(place("X"), "i").join(place("Y"), "i").select("i", "cell", "x", "y")
     rows = d.filter(~F.upper(F.col("f")[0]).isin("X", "Y") & (F.col("_k") > 0)).select(F.col("f")[0].alias("gene"), F.posexplode("f").alias("i", "value")).filter("i > 0")
-    counts = rows.join(F.broadcast(names), "i").select("gene", "cell", F.col("value").try_cast("double").alias("value"))
+    counts = rows.join(small_or_not(names), "i").select("gene", "cell", F.col("value").try_cast("double").alias("value"))
     return cells.drop("i"), counts
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from countloom.functions import distributions as dist
-from countloom.operators import clusters, counting, logodds, mappings, reads, series, simplex
+from countloom.operators import clusters, counting, logodds, mappings, reads, series, simplex, umi
 from countloom.sources import readers, writers
 
 
@@ -122,3 +122,13 @@ def test_equal_count_bins(spark):
             if part:
                 want[k, b] = (len(part), part[0], part[-1])
     assert {k: v for k, v in got.items() if k[0]} == {k: v for k, v in want.items() if k[0]}
+
+
+def test_dense_rules(spark):
+    """A low pass at 1 is the singleton rule at 0; rules on counts have no dense form."""
+    assert umi.dense_rule("lowpass", 1) == ("singleton", 0) and umi.dense_rule("none", 7) == ("none", 7)
+    for rule, param in (("lowpass", 2), ("singleton", 1), ("fraction_of_max", 3)):
+        with pytest.raises(ValueError):
+            umi.dense_rule(rule, param)
+    d = spark.createDataFrame([("a", 1)] * 5 + [("a", 2), ("b", 3)], "k string, u long")
+    assert sorted(tuple(r) for r in umi.dense_molecule_counts(d, ["k"], "u", "singleton", 0).collect()) == [("a", 6, 2, 1), ("b", 1, 1, 0)]
