@@ -310,3 +310,34 @@ def fastq_resynchronised(spark: SparkSession, path: str) -> DataFrame:
     walk = F.aggregate("_l", F.array().cast("array<bigint>"), lambda a, x: F.when((F.size(a) == 0) | (x - F.coalesce(F.get(a, F.size(a) - 1), F.lit(-9)) >= 4), F.concat(a, F.array(x))).otherwise(a))
     kept = runs.select("file", F.explode(walk).alias("line"))
     return d.join(kept, ["file", "line"]).select("file", "line", F.split(F.regexp_replace("h", "^@", ""), r"\s", 2)[0].alias("read_id"), "seq", "qual")
+
+
+def genbank(spark: SparkSession, path: str) -> DataFrame:
+    """locus, definition, organism, features and seq of the records of Genbank files: features are structs (kind, place, qualifiers), qualifiers a map, where of a repeated name the last counts. Files split between records."""
+    record = F.concat(F.lit("\n"), F.regexp_replace("value", r"\r", ""))
+    d = spark.read.option("lineSep", "\n//").text(path).select(record.alias("r")).filter(F.col("r").contains("\nLOCUS"))
+    line = lambda name: F.regexp_extract("r", rf"\n {{0,2}}{name} +([^\n]*)", 1)
+    definition = F.regexp_replace(F.regexp_extract("r", r"\nDEFINITION +([^\n]*(?:\n {12}[^\n]*)*)", 1), r"\n +", " ")
+    table = F.regexp_extract("r", r"\nFEATURES[^\n]*((?:\n {5}[^\n]*)*)", 1)
+    entries = F.regexp_extract_all(table, F.lit(r"\n {5}\S[^\n]*(?:\n {21}[^\n]*)*"), F.lit(0))
+    flat = lambda x: F.regexp_replace(x, r"\n {21}(?!/)", "")
+    pairs = lambda x: F.regexp_extract_all(flat(x), F.lit(r"\n {21}/([^\n]*)"), F.lit(1))
+    named = lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.when(p.contains("="), F.regexp_replace(F.regexp_extract(p, r"=(.*)$", 1), '^"|"$', "")).otherwise("").alias("v"))
+    last = lambda a: F.map_from_entries(F.filter(a, lambda x, i: ~F.exists(F.slice(a, i + 2, F.size(a)), lambda y: y["k"] == x["k"])))
+    feature = lambda x: F.struct(F.regexp_extract(x, r"\n {5}(\S+)", 1).alias("kind"), F.regexp_extract(flat(x), r"\n {5}\S+ +(\S+)", 1).alias("place"), last(F.transform(pairs(x), named)).alias("qualifiers"))
+    seq = F.upper(F.regexp_replace(F.regexp_extract("r", r"\nORIGIN[^\n]*\n([\s\S]*)", 1), r"[^A-Za-z]", ""))
+    return d.select(F.split(line("LOCUS"), r"\s+")[0].alias("locus"), definition.alias("definition"), line("ORGANISM").alias("organism"), F.transform(entries, feature).alias("features"), seq.alias("seq"))
+
+
+def chain(spark: SparkSession, path: str) -> DataFrame:
+    """Alignment chains, a row for each block: id, score, target, target_start and target_strand, query, query_start and query_strand, and size; places are from 0, on the strand itself. Files split between chains."""
+    d = spark.read.option("lineSep", "\nchain ").text(path).select(F.regexp_replace(F.regexp_replace("value", r"\r", ""), r"^(#[^\n]*\n)*(chain )?", "").alias("r")).filter(F.trim("r") != "")
+    lines = F.filter(F.split("r", "\n"), lambda x: (F.trim(x) != "") & ~x.startswith("#"))
+    d = d.select(lines.alias("_l")).filter(F.size("_l") > 0).select(F.split(F.get("_l", F.lit(0)), r"\s+").alias("h"), F.slice("_l", F.lit(2), F.size("_l")).alias("b"))
+    n = lambda c: c.cast("long")
+    block = lambda x: F.struct(n(F.split(F.trim(x), r"\s+")[0]).alias("size"), F.coalesce(n(F.get(F.split(F.trim(x), r"\s+"), F.lit(1))), F.lit(0)).alias("dt"), F.coalesce(n(F.get(F.split(F.trim(x), r"\s+"), F.lit(2))), F.lit(0)).alias("dq"))
+    h = F.col("h")
+    d = d.select(h[11].alias("id"), n(h[0]).alias("score"), h[1].alias("target"), h[3].alias("target_strand"), n(h[4]).alias("t"), h[6].alias("query"), h[8].alias("query_strand"), n(h[9]).alias("q"), F.transform("b", block).alias("blocks"))
+    d = d.select("*", F.posexplode("blocks").alias("k", "block"))
+    before = lambda gap: F.aggregate(F.slice("blocks", F.lit(1), F.col("k")), F.lit(0).cast("long"), lambda s, x: s + x["size"] + x[gap])
+    return d.select("id", "score", "target", "target_strand", (F.col("t") + before("dt")).alias("target_start"), "query", "query_strand", (F.col("q") + before("dq")).alias("query_start"), F.col("block.size").alias("size"))

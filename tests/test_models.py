@@ -43,3 +43,43 @@ def test_broken_fastq(spark, tmp_path):
     assert [x[1] for x in sorted(got["a.fq"])] == ["r1", "r3", "r4", "r6", "r7"]
     assert [x[1] for x in sorted(got["b.fq"])] == [f"r{k}" for k in range(50)]
     assert readers.fastq(spark, str(tmp_path / "b.fq")).count() == 50
+
+
+def test_genbank(spark, tmp_path):
+    text = """LOCUS       AB000001     24 bp    DNA     linear   PRI 01-JAN-2000
+DEFINITION  Some gene of
+            two lines.
+SOURCE      x
+  ORGANISM  Homo sapiens
+FEATURES             Location/Qualifiers
+     source          1..24
+                     /organism="Homo sapiens"
+     CDS             join(1..6,
+                     10..15)
+                     /gene="ABC"
+                     /note="first
+                     second"
+                     /pseudo
+ORIGIN
+        1 acgtacgtac gtacgtacgt
+       21 acgt
+//
+LOCUS       AB000002     4 bp
+DEFINITION  Short.
+ORIGIN
+        1 ttaa
+//
+"""
+    (tmp_path / "a.gb").write_text(text)
+    got = {r.locus: r for r in readers.genbank(spark, str(tmp_path / "a.gb")).collect()}
+    a = got["AB000001"]
+    assert (a.definition, a.organism, a.seq) == ("Some gene of two lines.", "Homo sapiens", "ACGT" * 6)
+    assert [(f.kind, f.place, f.qualifiers) for f in a.features] == [("source", "1..24", {"organism": "Homo sapiens"}), ("CDS", "join(1..6,10..15)", {"gene": "ABC", "note": "firstsecond", "pseudo": ""})]
+    assert got["AB000002"].seq == "TTAA" and got["AB000002"].features == []
+
+
+def test_chain(spark, tmp_path):
+    (tmp_path / "a.chain").write_text("##head\nchain 4900 chrY 58368225 + 25985403 25985638 chr5 151006098 - 43549808 43549970 2\n16 0 2\n60 4 0\n10\n\nchain 7 chr1 100 + 5 9 chr2 90 + 1 5 3\n4\n")
+    got = sorted(tuple(r) for r in readers.chain(spark, str(tmp_path / "a.chain")).collect())
+    t, q = 25985403, 43549808
+    assert got == [("2", 4900, "chrY", "+", t, "chr5", "-", q, 16), ("2", 4900, "chrY", "+", t + 16, "chr5", "-", q + 18, 60), ("2", 4900, "chrY", "+", t + 80, "chr5", "-", q + 78, 10), ("3", 7, "chr1", "+", 5, "chr2", "+", 1, 4)]
