@@ -110,7 +110,9 @@ def flanked(genes: DataFrame, keys: list[str], flank: int) -> DataFrame:
     """genes (start, end) with left and right: flanks of up to so many bases that stop before the neighbours of the same keys (as strand). The window holds a key's genes."""
     w = Window.partitionBy(*keys).orderBy("start", "end", "gene")
     before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min("start").over(w.rowsBetween(1, Window.unboundedFollowing))
+    # What follows is what comes before in the reverse order: a frame that grows is one pass, one that shrinks is read anew for each row.
+    back = Window.partitionBy(*keys).orderBy(F.desc("start"), F.desc("end"), F.desc("gene"))
+    after = F.min("start").over(back.rowsBetween(Window.unboundedPreceding, -1))
     left = F.least(F.col("start"), F.greatest(F.col("start") - flank, F.coalesce(before + 1, F.col("start") - flank)))
     right = F.greatest(F.col("end"), F.least(F.col("end") + flank, F.coalesce(after - 1, F.col("end") + flank)))
     return genes.withColumn("left", left).withColumn("right", right)
