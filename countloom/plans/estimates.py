@@ -9,7 +9,7 @@ from countloom.functions import sequence
 from countloom.operators import algebra, alignment, assembly, cells, elimination, logodds, posterior, qt, simplex
 
 from .cells import MATRIX, matrix
-from .profiles import TAGS, _tags, rounded, table
+from .profiles import TAGS, _tags, rounded, spread, table
 from .variants import oligos
 
 QUERIES = []
@@ -48,7 +48,7 @@ def distribution_samples(spark, sf_dir):
     exponential = dist.quantile(lambda x: dist.exponential_cdf(x, F.lit(0.2)), a, F.lit(0.0), F.lit(1.0))
     uniform = dist.quantile(lambda x: dist.uniform_cdf(x, 10.0, 30.0), a, F.lit(10.0), F.lit(30.0))
     poisson = dist.discrete_quantile(lambda k: dist.poisson_cdf(k, F.lit(4.0)), b, 63)
-    return table(spark, sf_dir, "customer").select("c_custkey", F.round(exponential, 5).alias("exponential"), F.round(uniform, 5).alias("uniform"), poisson.alias("poisson"))
+    return spread(table(spark, sf_dir, "customer").select("c_custkey")).select("c_custkey", F.round(exponential, 5).alias("exponential"), F.round(uniform, 5).alias("uniform"), poisson.alias("poisson"))
 
 
 NORMAL = "0.5 * (1 + 2 / sqrt(pi()) * list_sum(list_transform(range(0, 90), lambda k: (-1) ** k * ((x - {m}) / ({s} * sqrt(2.0))) ** (2 * k + 1) / exp(lgamma(k + 1)) / (2 * k + 1))))"
@@ -61,7 +61,7 @@ def mixture_values(spark, sf_dir):
     x, rate = F.col("p_size").cast("double"), F.lit(0.1)
     cdf = dist.mixture([(3, dist.normal_cdf(x, 20.0, 10.0)), (5, dist.normal_cdf(x, 30.0, 8.0)), (2, dist.exponential_cdf(x, rate))])
     pdf = dist.mixture([(3, dist.normal_pdf(x, 20.0, 10.0)), (5, dist.normal_pdf(x, 30.0, 8.0)), (2, dist.exponential_pdf(x, rate))])
-    return table(spark, sf_dir, "part").select("p_partkey", F.round(cdf, 6).alias("cdf"), F.round(pdf, 6).alias("pdf"))
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", F.round(cdf, 6).alias("cdf"), F.round(pdf, 6).alias("pdf"))
 
 
 #: The densities of equal-count bins of a class: o is the number of a bin among those of some width.

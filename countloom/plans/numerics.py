@@ -8,7 +8,7 @@ from countloom.functions import distance
 from countloom.functions import distributions as dist
 from countloom.operators import algebra, profiles
 
-from .profiles import rounded, table
+from .profiles import rounded, spread, table
 
 QUERIES = []
 
@@ -40,7 +40,7 @@ ERF = "2 / sqrt(pi()) * list_sum(list_transform(range(0, 60), lambda k: (-1) **
 @query(f"WITH v AS (SELECT c_custkey, (c_custkey % 41 - 20) / 8.0::DOUBLE AS x FROM customer), e AS (SELECT c_custkey, x, {ERF} AS e FROM v) SELECT c_custkey, round(e, 6) AS erf, round(0.5 * (1 + e), 6) AS normal FROM e")
 def error_function(spark, sf_dir):
     x = (F.col("c_custkey") % 41 - 20) / 8.0
-    return table(spark, sf_dir, "customer").select("c_custkey", F.round(dist.erf(x), 6).alias("erf"), F.round(dist.normal_cdf(x * 2**0.5), 6).alias("normal"))
+    return spread(table(spark, sf_dir, "customer").select("c_custkey")).select("c_custkey", F.round(dist.erf(x), 6).alias("erf"), F.round(dist.normal_cdf(x * 2**0.5), 6).alias("normal"))
 
 
 @query("""WITH v AS (SELECT p_partkey, (p_size - 25) / 5.0::DOUBLE AS t, CAST(p_size AS DOUBLE) AS x, p_partkey % 5 + 1 AS k FROM part)
@@ -48,7 +48,7 @@ def error_function(spark, sf_dir):
       round(1 - (k / (k + x)) ** k, 6) AS f, round(1 - exp(-x / 10) * list_sum(list_transform(range(0, k), lambda j: (x / 10) ** j / exp(lgamma(j + 1)))), 6) AS gamma, round(1 - exp(-0.05 * x), 6) AS expo, round(least(1.0, greatest(0.0, (x - 10) / 20)), 6) AS uniform FROM v""")
 def continuous_cdfs(spark, sf_dir):
     t, x, k = (F.col("p_size") - 25) / 5.0, F.col("p_size").cast("double"), F.col("p_partkey") % 5 + 1
-    d = table(spark, sf_dir, "part").select(
+    d = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select(
         "p_partkey", dist.t_cdf(t, F.lit(1.0)).alias("t1"), dist.t_cdf(t, F.lit(2.0)).alias("t2"), dist.chi_square_cdf(x, 2.0 * k).alias("chi2"), dist.f_cdf(x, F.lit(2.0), 2.0 * k).alias("f"),
         dist.gamma_cdf(x, 1.0 * k, F.lit(10.0)).alias("gamma"), dist.exponential_cdf(x, F.lit(0.05)).alias("expo"), dist.uniform_cdf(x, 10.0, 30.0).alias("uniform"),
     )
@@ -60,7 +60,7 @@ def continuous_cdfs(spark, sf_dir):
       round(exp(k * ln(m) - m - lgamma(k + 1)), 6) AS p_pdf, round(list_sum(list_transform(range(0, k + 1), lambda j: exp(j * ln(m) - m - lgamma(j + 1)))), 6) AS p_cdf FROM v""")
 def discrete_distributions(spark, sf_dir):
     n, k, p, m = F.col("p_size") % 30 + 10, F.col("p_partkey") % 12, (F.col("p_size") + 1) / 60.0, (F.col("p_size") + 1) / 4.0
-    d = table(spark, sf_dir, "part").select("p_partkey", dist.binomial_pdf(k, n, p).alias("b_pdf"), dist.binomial_cdf(k, n, p).alias("b_cdf"), dist.poisson_pdf(k, m).alias("p_pdf"), dist.poisson_cdf(k, m).alias("p_cdf"))
+    d = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", dist.binomial_pdf(k, n, p).alias("b_pdf"), dist.binomial_cdf(k, n, p).alias("b_cdf"), dist.poisson_pdf(k, m).alias("p_pdf"), dist.poisson_cdf(k, m).alias("p_cdf"))
     return rounded(d, "b_pdf", "b_cdf", "p_pdf", "p_cdf")
 
 

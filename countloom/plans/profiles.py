@@ -21,6 +21,11 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(d):
+    """d dealt to all cores, for work that is heavy for each row: a table of few bytes is read by one task, however many rows it has."""
+    return d.repartition(4 * d.sparkSession.sparkContext.defaultParallelism)
+
+
 def _tags(spark, sf_dir):
     reads = table(spark, sf_dir, "events").select("user_id", "event_type", (F.col("event_id") % 16).alias("umi"))
     return umi.read_counts(reads, ["user_id", "event_type"], "umi")
