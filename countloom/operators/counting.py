@@ -31,17 +31,29 @@ def one_and_two_off(length: int) -> tuple[list[int], list[int]]:
     return [m for x in one for m in x], [m | n for i, x in enumerate(one) for y in one[i + 1 :] for m in x for n in y]
 
 
+#: Codes of a place up to which they are all compared with each other.
+PAIRED = 1024
+
+
 def arrivals(reads: DataFrame, group: str, order: list[str], place: list[str], umi: str, length: int) -> DataFrame:
     """The first read of each code at a place, with _near1 and _near2: whether a code one base off, or up to two bases off, had come to the place before it.
 
-    Each arrival asks for the codes off by one or two bases, so the join is by equality and grows with the arrivals, not with their square.
+    The codes of a place are compared with each other where they meet, up to ``PAIRED`` of them; at places with more, each arrival asks for the codes off by one or two bases by equality,
+    so that work grows with the arrivals, not with their square. Asks are many rows to shuffle, pairs none.
     """
     first = reads.groupBy(group, *place, umi).agg(F.min(F.struct(*order)).alias("_at"))
+    spot = [group, *place]
+    first = first.withColumn("_n", F.count("*").over(Window.partitionBy(*spot)))
+    few = first.filter(F.col("_n") <= PAIRED)
+    pairs = few.join(few.select(*spot, F.col(umi).alias("_other"), F.col("_at").alias("_earlier")), spot).filter(F.col("_earlier") < F.col("_at"))
+    pairs = pairs.withColumn("_k", code_distance(F.col(umi), F.col("_other"))).filter(F.col("_k").between(1, 2)).select(*spot, umi, "_k")
     one, two = one_and_two_off(length)
     masks = F.array(*(F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k).alias("k")) for k, ms in ((1, one), (2, two)) for m in ms))
-    asks = first.withColumn("_m", F.explode(masks)).select(group, *place, F.col(umi).alias("_code"), F.col("_at").alias("_mine"), F.col(umi).cast("long").bitwiseXOR(F.col("_m.mask")).alias("_other"), F.col("_m.k").alias("_k"))
-    met = asks.join(first.select(group, *place, F.col(umi).cast("long").alias("_other"), "_at"), [group, *place, "_other"]).filter(F.col("_at") < F.col("_mine"))
-    met = met.groupBy(group, *place, F.col("_code").alias(umi)).agg((F.min("_k") == 1).alias("_near1"))
+    many = first.filter(F.col("_n") > PAIRED)
+    asks = many.withColumn("_m", F.explode(masks)).select(*spot, F.col(umi).alias("_code"), F.col("_at").alias("_mine"), F.col(umi).cast("long").bitwiseXOR(F.col("_m.mask")).alias("_other"), F.col("_m.k").alias("_k"))
+    asked = asks.join(many.select(*spot, F.col(umi).cast("long").alias("_other"), "_at"), [*spot, "_other"]).filter(F.col("_at") < F.col("_mine")).select(*spot, F.col("_code").alias(umi), "_k")
+    met = lambda d: d.groupBy(*spot, umi).agg((F.min("_k") == 1).alias("_near1"))
+    met = met(pairs).unionByName(met(asked))
     d = first.join(met, [group, *place, umi], "left")
     return d.select(group, *place, umi, "_at.*", F.coalesce("_near1", F.lit(False)).alias("_near1"), F.col("_near1").isNotNull().alias("_near2"))
 
