@@ -61,45 +61,34 @@ class Posterior:
                 likelihood = _summed(chances)
             else:
                 likelihood = self._for_labelled(m, max(1, round(expected)))
-            prior = math.lgamma(self.r + m) - math.lgamma(self.r) - math.lgamma(m + 1) + self.r * self.log_p + m * self.log_q
-            self.known[m] = likelihood + prior
+            self.known[m] = likelihood + self._prior(m)
         return self.known[m]
 
+    def _prior(self, m: int) -> float:
+        return math.lgamma(self.r + m) - math.lgamma(self.r) - math.lgamma(m + 1) + self.r * self.log_p + m * self.log_q
+
+    def mode(self) -> int:
+        """The most likely number, of equally likely ones the least.
+
+        The posterior may have several peaks (labels with like numbers of reads fit every multiple of their number), so all numbers are tried, up to where none can win: a likelihood is
+        at most 1, and past its own peak the prior only falls, so the search ends where the prior alone is below the best found.
+        """
+        best, top, m = 1, self(1), 1
+        while top == -np.inf or self._prior(m + 1) > top or self._prior(m + 1) >= self._prior(m):
+            m += 1
+            if self(m) > top:
+                best, top = m, self(m)
+        return best
+
     def mean(self) -> int:
-        """The rounded mean, from 1 past the mode to where the probability is below ``TAIL`` of the mode's."""
-        top, values = -np.inf, []
-        while True:
+        """The rounded mean, from 1 to the first number past the mode whose probability is below ``TAIL`` of the mode's."""
+        m = self.mode()
+        top, values = self(m), [self(i) for i in range(1, m + 1)]
+        while values[-1] >= top + math.log(TAIL):
             values.append(self(len(values) + 1))
-            top = max(top, values[-1])
-            if top > -np.inf and values[-1] < top + math.log(TAIL):
-                break
         p = np.exp(np.array(values) - top)
         return round(float((p * np.arange(1, len(p) + 1)).sum() / p.sum()))
 
-    def mode(self) -> int:
-        """The most likely number, of equally likely ones the least: bracketed by steps of growing Fibonacci numbers, then narrowed by Fibonacci search. Exact where the posterior has one peak."""
-        fib = [1, 2]
-        low, high, k = 1, 2, 0
-        while self(high) > self(low) or self(high) == -np.inf:
-            if high > 5 * fib[k]:
-                k += 1
-                fib.append(fib[-1] + fib[-2]) if len(fib) <= k + 1 else None
-            low, high = high, high + fib[k]
-        low = max(1, low - fib[k])  # the peak may lie before the last step
-        # Keep the peak in [low, high] while the two inner points move by Fibonacci numbers.
-        fib = [1, 1]
-        while fib[-1] < high - low:
-            fib.append(fib[-1] + fib[-2])
-        k = len(fib) - 1
-        while k > 2:
-            c, d = low + fib[k - 2], low + fib[k - 1]
-            if d > high or self(c) >= self(d):
-                high = min(high, d)
-            else:
-                low = c
-            k -= 1
-        return min(range(low, high + 1), key=lambda m: (-self(m), m))
-
 
 def _estimated(batches, mean: float, variance: float, outer: bool):
     for b in batches:
