@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -222,12 +223,86 @@ def drawn_correlations(d: DataFrame, feature: str, cell: str, count: str, pairs:
 def class_correlations(pairs: DataFrame, r: str, same: Column, bins: int) -> DataFrame:
     """bin, n and n_background, and their shares: how many pairs of one class, and how many others, have a correlation of that size; a correlation of 1 falls in the last bin."""
     k = F.least(F.floor(F.abs(F.col(r)) * bins), F.lit(bins - 1)).cast("long")
-    n = pairs.groupBy(k.alias("bin")).agg(F.count_if(same).alias("n"), F.count_if(~same).alias("n_background"))
+    return _with_shares(pairs.groupBy(k.alias("bin")).agg(F.count_if(same).alias("n"), F.count_if(~same).alias("n_background")))
+
+
+def _with_shares(n: DataFrame) -> DataFrame:
     total = F.broadcast(n.agg(F.sum("n").alias("_n"), F.sum("n_background").alias("_b")))
     share = lambda c, a: F.coalesce(F.try_divide(F.col(c), F.col(a)), F.lit(0.0))
     return n.join(total).select("bin", "n", "n_background", share("n", "_n").alias("share"), share("n_background", "_b").alias("share_background"))
 
 
+#: Blocks that features are dealt to at least, bytes of a block, and features of a side of what is multiplied at once.
+BLOCKS, BLOCK_BYTES, SIDE = 16, 16 << 20, 512
+
+
+def _dense(t: pa.Table, n_cells: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Parts of up to ``SIDE`` features (fewer where cells are many): their values with 0 for absent ones, what is present, and their classes."""
+    side, out = max(16, min(SIDE, (8 << 20) // max(1, n_cells))), []
+    for lo in range(0, t.num_rows, side):
+        part = t.slice(lo, side)
+        x = np.zeros((part.num_rows, n_cells))
+        m = np.zeros_like(x)
+        lists = part.column("values").combine_chunks()
+        row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+        at, v = (lists.flatten().field(k).to_numpy() for k in (0, 1))
+        x[row, at], m[row, at] = v, 1.0
+        out.append((x, m, part.column("class").to_numpy()))
+    return out
+
+
+def _correlations(x: np.ndarray, mx: np.ndarray, y: np.ndarray, my: np.ndarray) -> np.ndarray:
+    """Pearson's r of each row of x with each of y over the places that both have, by sums that are exact for whole numbers; nan without variation."""
+    if mx.all() and my.all():
+        n, sx, sy, sxx, syy = x.shape[1], x.sum(1)[:, None], y.sum(1)[None], (x * x).sum(1)[:, None], (y * y).sum(1)[None]
+    else:
+        n, sx, sy, sxx, syy = mx @ my.T, x @ my.T, mx @ y.T, (x * x) @ my.T, mx @ (y * y).T
+    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    ok = (vx > 1e-14 * n * sxx) & (vy > 1e-14 * n * syy)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(ok, (n * (x @ y.T) - sx * sy) / np.sqrt(vx * vy), np.nan)
+
+
+def _tile(t: pa.Table, n_cells: int, bins: int) -> pa.Table:
+    """Counts by bin of the pairs of two blocks' features, or of one block's own."""
+    own = t.column("i")[0].as_py() == t.column("j")[0].as_py()
+    code = t.column("class").combine_chunks().dictionary_encode().indices.fill_null(-1)
+    t = t.select(["side", "values"]).append_column("class", code)
+    sides = np.array(t.column("side").to_numpy())
+    a = _dense(t.filter(pa.array(sides == 0)), n_cells)
+    b = a if own else _dense(t.filter(pa.array(sides == 1)), n_cells)
+    counts = np.zeros(2 * bins, np.int64)
+    for p, (x, mx, kx) in enumerate(a):
+        for q, (y, my, ky) in enumerate(b):
+            if own and q < p:
+                continue
+            r = np.abs(_correlations(x, mx, y, my))
+            ok = ~np.isnan(r)
+            if own and p == q:
+                ok &= np.triu(np.ones_like(ok), 1)
+            at = np.minimum(np.floor(r[ok] * bins), bins - 1).astype(np.int64)
+            other = ~((kx[:, None] == ky[None]) & (kx[:, None] >= 0))[ok]
+            counts += np.bincount(at + bins * other, minlength=2 * bins)
+    return pa.table({"bin": np.arange(bins), "n": counts[:bins], "n_background": counts[bins:]})
+
+
+def correlation_classes(d: DataFrame, feature: str, cell: str, value: str, kind: Column, bins: int) -> DataFrame:
+    """What ``class_correlations`` gives for Pearson's r of all pairs of features over the cells that both have a row in; kind is a feature's class. A feature and a cell have one row at most; rows with a null are left out.
+
+    All pairs have the square of the features, by definition, but no row for a pair leaves a task: features are dealt to blocks, each two blocks make a tile, and a tile multiplies its blocks' values part by part and
+    gives a row for each bin. So what is shuffled is the matrix once for each block, blocks of bounded bytes, and a task holds two blocks and one part's products.
+    """
+    d = d.select(F.col(feature).alias("feature"), kind.alias("class"), F.col(cell).alias("_cell"), F.col(value).cast("double").alias("_v")).dropna(subset=["feature", "_cell", "_v"])
+    cells = kept(d.select("_cell").distinct().select("_cell", (F.row_number().over(Window.orderBy("_cell")) - 1).alias("_at")))  # a row for each cell
+    n_cells, n_rows = cells.count(), d.count()
+    blocks = max(BLOCKS, -(-n_rows * 16 // BLOCK_BYTES))
+    f = d.join(small_or_not(cells), "_cell").groupBy("feature", "class").agg(F.collect_list(F.struct("_at", "_v")).alias("values"))
+    f = f.withColumn("_b", F.pmod(F.xxhash64("feature"), F.lit(blocks))).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    f = f.select(F.least("_b", "_o").alias("i"), F.greatest("_b", "_o").alias("j"), (F.col("_b") > F.col("_o")).cast("int").alias("side"), F.col("class").cast("string").alias("class"), "values")
+    n = f.groupBy("i", "j").applyInArrow(lambda t: _tile(t, n_cells, bins), "bin long, n long, n_background long")
+    return _with_shares(n.groupBy("bin").agg(F.sum("n").alias("n"), F.sum("n_background").alias("n_background")).filter("n + n_background > 0"))
+
+
 def aligned_grids(a: DataFrame, b: DataFrame, features: DataFrame, reach: int) -> DataFrame:
     """dx, dy, score and n: the shift of grid b, each way from -reach up to but without reach, whose values times a's at the features (x, y) are greatest on average; of equal ones the least shift. Grids have x, y and value.
 

@@ -197,10 +197,7 @@ def drawn_correlations(spark, sf_dir):
     n AS (SELECT bin, count(*) FILTER (same) AS n, count(*) FILTER (NOT same) AS n_background FROM k GROUP BY ALL) SELECT bin, n, n_background, round(n / (SELECT sum(n) FROM n), 6) AS share, round(n_background / (SELECT sum(n_background) FROM n), 6) AS share_background FROM n""")
 def class_correlations(spark, sf_dir):
     """Pairs of suppliers by the rest of their keys as classes; all pairs by definition."""
-    m = matrix(spark, sf_dir)
-    a, b = m.select(F.col("feature").alias("a"), "cell", F.col("n").alias("x")), m.select(F.col("feature").alias("b"), "cell", F.col("n").alias("y"))
-    r = a.join(b, "cell").filter("a < b").groupBy("a", "b").agg(F.corr("x", "y").alias("r")).filter("r is not null and not isnan(r)")
-    return rounded(cells.class_correlations(r, "r", F.col("a") % 5 == F.col("b") % 5, 20), "share", "share_background")
+    return rounded(cells.correlation_classes(matrix(spark, sf_dir), "feature", "cell", "n", F.col("feature") % 5, 20), "share", "share_background")
 
 
 @query("""WITH g AS (SELECT CAST(p_partkey % 40 AS BIGINT) AS x, CAST(p_partkey // 40 AS BIGINT) AS y, CAST(p_size AS BIGINT) AS v FROM part), h AS (SELECT x - 2 AS x, y + 1 AS y, v FROM g), f AS (SELECT x, y, v FROM g WHERE v >= 40), o AS (SELECT unnest(range(-3, 3)) AS dx),
