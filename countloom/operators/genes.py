@@ -150,11 +150,21 @@ def locus_histogram(hits: DataFrame, genes: DataFrame, size: int, flank: int) ->
 
 
 def painted(hits: DataFrame, genes: DataFrame, length: int) -> DataFrame:
-    """gene, pos and depth: reads of so many bases about their middle, clipped to the gene. hits: gene, mid."""
+    """gene, pos and depth: reads of so many bases about their middle, clipped to the gene. hits: gene, mid.
+
+    A read is a step up at its first base and a step down after its last; equal steps are added before they are sorted, and the running sum of a gene's steps is the depth up to the next one.
+    So what is sorted and shuffled doesn't grow with the reads' length. The window holds the places of a gene at which the depth may change.
+    """
     start, end = span(F.col("exons"))
-    d = hits.join(genes.select("gene", start.alias("_s"), end.alias("_e")), "gene").filter(F.col("mid").between(F.col("_s"), F.col("_e")))
-    cover = F.sequence(F.greatest("_s", F.col("mid") - length // 2), F.least("_e", F.col("mid") + length // 2))
-    return d.select("gene", F.explode(cover).alias("pos")).groupBy("gene", "pos").agg(F.count("*").alias("depth"))
+    mids = hits.groupBy("gene", "mid").agg(F.count("*").alias("_n"))
+    d = mids.join(genes.select("gene", start.alias("_s"), end.alias("_e")), "gene").filter(F.col("mid").between(F.col("_s"), F.col("_e")))
+    up = F.struct(F.greatest("_s", F.col("mid") - length // 2).alias("pos"), F.col("_n").alias("step"))
+    down = F.struct((F.least("_e", F.col("mid") + length // 2) + 1).alias("pos"), (-F.col("_n")).alias("step"))
+    steps = d.select("gene", F.inline(F.array(up, down))).groupBy("gene", "pos").agg(F.sum("step").alias("step"))
+    w = Window.partitionBy("gene").orderBy("pos")
+    depth, after = F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lead("pos").over(w)
+    runs = steps.select("gene", "pos", depth.alias("depth"), after.alias("_after")).filter("depth > 0")
+    return runs.select("gene", F.explode(F.sequence(F.col("pos"), F.col("_after") - 1)).alias("pos"), "depth")
 
 
 def fragments(exons: Column, step: int) -> Column:
