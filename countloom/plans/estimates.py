@@ -231,4 +231,4 @@ def aligned_strings(spark, sf_dir):
     """Each part's oligonucleotide with its neighbour's reverse complement, letter by letter; no SQL."""
     d = oligos(spark, sf_dir)
     other = d.select((F.col("p_partkey") + 1).alias("p_partkey"), sequence.reverse_complement(F.col("seq")).alias("target"))
-    return alignment.local_alignments(d.join(other, "p_partkey"), "p_partkey", "seq", "target")
+    return alignment.local_alignments(spread(d.join(other, "p_partkey")), "p_partkey", "seq", "target")

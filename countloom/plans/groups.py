@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from countloom.functions import sequence
 from countloom.operators import alignment, cells, clusters, linkage, stats
 
-from .profiles import rounded, table
+from .profiles import rounded, spread, table
 from .variants import oligos
 
 QUERIES = []
@@ -79,7 +79,7 @@ def local_alignments(spark, sf_dir):
     """Each part's oligonucleotide against the reverse complement of its neighbour's; no SQL."""
     d = oligos(spark, sf_dir)
     other = d.select((F.col("p_partkey") + 1).alias("p_partkey"), sequence.reverse_complement(F.col("seq")).alias("target"))
-    return alignment.local_scores(d.join(other, "p_partkey"), "p_partkey", "seq", "target")
+    return alignment.local_scores(spread(d.join(other, "p_partkey")), "p_partkey", "seq", "target")
 
 
 QUERIES += [(local_alignments, None)]
