@@ -30,13 +30,14 @@ def spread(d: DataFrame, keys: list[str], name: str, columns: dict[str, str]) ->
 def closure(edges: DataFrame, child: str, parent: str, depth: int = 64) -> DataFrame:
     """Strict ancestors (child, ancestor) over edges, until a pass finds nothing new; cycles end too.
 
-    Only the pairs of the last pass join with the edges, and each pass is a checkpoint, so that neither its plan nor its work grows.
+    Only the pairs of the last pass join with the edges, and each pass is a checkpoint, so that neither its plan nor its work grows. The joins are shuffled: broadcasts would bring
+    a part of every pass to the driver.
     """
     up = kept(edges.select(F.col(child).alias("ancestor"), F.col(parent).alias("above")).distinct())
     known = new = up.select(F.col("ancestor").alias("child"), F.col("above").alias("ancestor"))
     for _ in range(depth):
-        found = new.join(up, "ancestor").select("child", F.col("above").alias("ancestor")).distinct()
-        new = kept(found.join(known, ["child", "ancestor"], "left_anti"))
+        found = new.hint("merge").join(up.hint("merge"), "ancestor").select("child", F.col("above").alias("ancestor")).distinct()
+        new = kept(found.hint("merge").join(known.hint("merge"), ["child", "ancestor"], "left_anti"))
         if new.isEmpty():
             break
         known = kept(known.unionByName(new))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from countloom.functions import distributions as dist
-from countloom.operators import cells, counting, elimination, genes, posterior
+from countloom.operators import cells, counting, elimination, genes, posterior, relational
 from countloom.plans import queries
 
 
@@ -110,3 +110,18 @@ def test_arrivals_by_pairs_and_asks(spark, monkeypatch, paired):
             before.append(r["u"])
     got = counting.arrivals(d, "g", ["id"], ["p"], "u", 3)
     assert {r["id"]: (r["_near1"], r["_near2"]) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("name", ["aligned_strings", "local_alignments"])
+def test_pairs_are_dealt(spark, name):
+    assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_closure_without_broadcasts(spark, monkeypatch):
+    """Every pass is shuffled, also where its tables are small enough to be broadcast."""
+    plans, kept = [], relational.kept
+    monkeypatch.setattr(relational, "kept", lambda d: (plans.append(d._jdf.queryExecution().executedPlan().toString()), kept(d))[1])
+    d = spark.createDataFrame([(2, 1), (3, 1), (4, 2), (5, 4), (1, 5)], "c int, p int")
+    got = {tuple(r) for r in relational.closure(d, "c", "p").collect()}
+    assert got == {(c, p) for c in (1, 2, 4, 5) for p in (1, 2, 4, 5)} | {(3, p) for p in (1, 2, 4, 5)}
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
