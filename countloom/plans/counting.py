@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from countloom.operators import counting, suffixes
 
-from .profiles import _tags, rounded, table
+from .profiles import _tags, rounded, spread, table
 from .reads import BARCODES, BASES, HEX, READS, barcodes, raw
 
 QUERIES = []
@@ -66,7 +66,7 @@ SHORT = "r AS (SELECT contig AS read, overlay_at || '' AS seq FROM (SELECT conti
 
 def _contigs(spark, sf_dir):
     t = f"translate(md5(cast(p_partkey as string)) || md5(p_name || cast(p_partkey as string)), '{HEX}', '{BASES}')"
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("contig"), F.expr(t).alias("text"))
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_name")).select(F.col("p_partkey").alias("contig"), F.expr(t).alias("text"))
 
 
 @query(f"""WITH {CONTIGS}, {SHORT}, w AS (SELECT contig, CAST(i - 1 AS INTEGER) AS pos, substr(text, i, 16) AS s FROM (SELECT contig, text, CAST(unnest(range(1, 50)) AS INTEGER) AS i FROM c)),

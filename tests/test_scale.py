@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from countloom.functions import distributions as dist
-from countloom.operators import cells, counting, elimination, genes, posterior, relational
+from countloom.operators import cells, counting, elimination, genes, posterior, relational, suffixes
 from countloom.plans import queries
 
 
@@ -125,3 +125,15 @@ def test_closure_without_broadcasts(spark, monkeypatch):
     got = {tuple(r) for r in relational.closure(d, "c", "p").collect()}
     assert got == {(c, p) for c in (1, 2, 4, 5) for p in (1, 2, 4, 5)} | {(3, p) for p in (1, 2, 4, 5)}
     assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_search_is_dealt(spark, monkeypatch):
+    """Places come from all cores, and the substitutions of reads, whose number Spark can't tell, are never broadcast whole."""
+    plans, kept = [], suffixes.kept
+    monkeypatch.setattr(suffixes, "kept", lambda d: (plans.append(d._jdf.queryExecution().executedPlan().toString()), kept(d))[1])
+    c = spark.createDataFrame([(1, "ACGTTGCAACCGGTTAACGT"), (2, "TTTTACGTTGCAACCG")], "name int, t string").coalesce(1)
+    r = spark.createDataFrame([(1, "ACGTTGCAACCG"), (2, "ACGTAGCAACCG"), (3, "CCCCCCCCCCCC")], "id int, s string")
+    assert suffixes.places(c, "name", "t", 4).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    got = sorted(map(tuple, suffixes.mismatch_hits(r, c, "id", "s", "name", "t", 1).select("read", "n_mismatches", "contig", "pos").collect()))
+    assert got == [(1, 0, 1, 0), (1, 0, 2, 4), (2, 1, 1, 0), (2, 1, 2, 4)]
+    assert sum("ShuffledHashJoin" in p for p in plans) == 2
