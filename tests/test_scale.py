@@ -137,3 +137,17 @@ def test_search_is_dealt(spark, monkeypatch):
     got = sorted(map(tuple, suffixes.mismatch_hits(r, c, "id", "s", "name", "t", 1).select("read", "n_mismatches", "contig", "pos").collect()))
     assert got == [(1, 0, 1, 0), (1, 0, 2, 4), (2, 1, 1, 0), (2, 1, 2, 4)]
     assert sum("ShuffledHashJoin" in p for p in plans) == 2
+
+
+@pytest.mark.parametrize(("heavy", "start"), [(10**9, 27), (10**9, 3), (2, 5)])
+def test_only_tied_suffixes_go_on(spark, monkeypatch, heavy, start):
+    """Texts as numbers, with groups sorted at once or counted first; without repeats there is no round of doubling."""
+    rounds, totals = [], suffixes.running_totals
+    monkeypatch.setattr(suffixes, "HEAVY", heavy)
+    monkeypatch.setattr(suffixes, "running_totals", lambda d, order, *a: (rounds.append(order), totals(d, order, *a))[1])
+    texts = {1: "ACGT" * 3 + "A" * 12, 2: "ACGT" * 3 + "A" * 12, 3: "T", 4: "GATTACA"} if start < 27 else {1: "ACGTTGCAAGGCCTTAACCGGATCTTGACA", 2: "TTGACA", 3: "C" * 20}
+    d = spark.createDataFrame(list(texts.items()), "name int, t string")
+    every = sorted(t[i:] for t in texts.values() for i in range(len(t)))
+    got = {(r.contig, r.pos): r["rank"] for r in suffixes.suffix_order(d, "name", "t", start).collect()}
+    assert got == {(n, i): every.index(t[i:]) for n, t in texts.items() for i in range(len(t))}
+    assert any("_ahead" in o for o in rounds) == (start < 27)
