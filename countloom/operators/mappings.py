@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from .intervals import stab_join
 from .profiles import transcript_position
+from .storage import written
+
+#: Mappings of a task, and pairs of genes.
+ROWS, PAIRS = 1_000_000, 2_000_000
 
 
 def _exons(genes: DataFrame) -> DataFrame:
@@ -36,12 +40,21 @@ def all_matches(mappings: DataFrame, genes: DataFrame, keys: list[str], bins: in
 
 
 def _judged(mappings: DataFrame, genes: DataFrame, repeats: DataFrame, read: str, k: str, bins: int) -> DataFrame:
-    """One row for each mapping: genes (null without), distance, is_repeat; and of its read: first, bad (its first mapping in a repeat outside transcripts, if there are several)."""
-    keys = [read, k]
-    sense = _sense(mappings, genes, keys, bins).groupBy(*keys).agg(F.min("distance").alias("distance"), F.collect_set("gene").alias("genes"))
+    """One row for each mapping: genes (null without), distance, is_repeat; and of its read: first, bad (its first mapping in a repeat outside transcripts, if there are several).
+
+    Genes and repeats are found once for each place and strand. The mappings pass by the places' tables without being sorted, and reads are dealt to as many tasks as the mappings ask for, so that no task's
+    memory grows with the table.
+    """
+    m = written(mappings)
+    at = written(m.select("pos", "strand").distinct())
+    sense = _sense(at, genes, [], bins).groupBy("pos", "strand").agg(F.min("distance").alias("distance"), F.collect_set("gene").alias("genes"))
     r = repeats.select(F.col("start").alias("_s"), F.col("end").alias("_e"))
-    in_repeat = stab_join(mappings.select(*keys, "pos"), r, "pos", "_s", "_e", "left_semi", bins).select(*keys).withColumn("is_repeat", F.lit(True))
-    d = mappings.join(sense, keys, "left").join(in_repeat, keys, "left")
+    in_repeat = stab_join(at, r, "pos", "_s", "_e", "left_semi", bins).withColumn("is_repeat", F.lit(True))
+    of = sense.join(in_repeat, ["pos", "strand"], "full")
+    parts = max(m.count() // ROWS, int(m.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place = F.struct("pos", "strand")  # equal also where a strand is null
+    of = of.select(place.alias("_place"), "distance", "genes", "is_repeat").repartition(parts, "_place").hint("shuffle_hash")
+    d = m.withColumn("_place", place).repartition(parts, "_place").join(of, "_place", "left").drop("_place").repartition(parts, read)
     w = Window.partitionBy(read)
     d = d.withColumn("_n", F.count("*").over(w)).withColumn("first", F.min(k).over(w))
     bad = F.col("is_repeat") & F.col("genes").isNull() & (F.col("_n") > 1)
@@ -67,11 +80,14 @@ def resolved(mappings: DataFrame, genes: DataFrame, repeats: DataFrame, read: st
 
 
 def shared_genes(mappings: DataFrame, genes: DataFrame, repeats: DataFrame, read: str, k: str, bins: int) -> DataFrame:
-    """gene, other and n_reads: the reads for which two genes compete. Pairs are made inside a read, whose genes are few."""
+    """gene, other and n_reads: the reads for which two genes compete. Pairs are made inside a read, whose genes are few; reads of the same genes are counted first, and pairs dealt to as many tasks as they ask for."""
     d = _judged(mappings, genes, repeats, read, k, bins).filter("bad is null and genes is not null")
-    of = d.groupBy(read).agg(F.array_distinct(F.flatten(F.collect_list("genes"))).alias("genes")).filter(F.size("genes") > 1)
-    pairs = of.select(F.explode("genes").alias("gene"), "genes").select("gene", F.explode("genes").alias("other")).filter("gene != other")
-    return pairs.groupBy("gene", "other").agg(F.count("*").alias("n_reads"))
+    of = d.groupBy(read).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("genes")))).alias("genes")).filter(F.size("genes") > 1)
+    sets = written(of.groupBy("genes").agg(F.count("*").alias("n_reads")))
+    n = sets.agg(F.sum(F.size("genes").cast("long") * (F.size("genes") - 1))).first()[0] or 0
+    parts = max(n // PAIRS, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pairs = sets.repartition(parts).select(F.explode("genes").alias("gene"), "genes", "n_reads").select("gene", F.explode("genes").alias("other"), "n_reads").filter("gene != other")
+    return pairs.repartition(parts, "gene", "other").groupBy("gene", "other").agg(F.sum("n_reads").alias("n_reads"))
 
 
 def other_features(mappings: DataFrame, genes: DataFrame, layers: dict[str, DataFrame], keys: list[str], bins: int) -> DataFrame:

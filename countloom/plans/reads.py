@@ -174,7 +174,9 @@ REPEATS = "r AS (SELECT p_partkey AS s, p_partkey + 2 AS e FROM part WHERE p_siz
 
 
 def _mappings(spark, sf_dir):
-    d = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("read_id"), F.col("l_linenumber").alias("k"))
+    lines = table(spark, sf_dir, "lineitem")
+    parts = max(lines.count() // mappings.ROWS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    d = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag").repartition(parts, "l_orderkey").groupBy(F.col("l_orderkey").alias("read_id"), F.col("l_linenumber").alias("k"))
     return d.agg(F.min("l_partkey").alias("pos"), F.when(F.min("l_returnflag") == "A", "-").otherwise("+").alias("strand"))
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from countloom.functions import distributions as dist
-from countloom.operators import cells, counting, elimination, genes, posterior, relational, suffixes
+from countloom.operators import cells, counting, elimination, genes, mappings, posterior, relational, suffixes
 from countloom.plans import queries
 
 
@@ -151,3 +151,14 @@ def test_only_tied_suffixes_go_on(spark, monkeypatch, heavy, start):
     got = {(r.contig, r.pos): r["rank"] for r in suffixes.suffix_order(d, "name", "t", start).collect()}
     assert got == {(n, i): every.index(t[i:]) for n, t in texts.items() for i in range(len(t))}
     assert any("_ahead" in o for o in rounds) == (start < 27)
+
+
+def test_shared_genes_in_many_tasks(spark, monkeypatch):
+    """Reads and pairs are dealt to as many tasks as there are rows for; a repeat counts also where a strand is null."""
+    monkeypatch.setattr(mappings, "ROWS", 2)
+    monkeypatch.setattr(mappings, "PAIRS", 1)
+    m = spark.createDataFrame([(1, 1, 5, "+"), (1, 2, 25, "+"), (2, 1, 5, "+"), (2, 2, 25, "+"), (3, 1, 6, "+"), (4, 1, 5, "+"), (4, 2, 25, "+"), (4, 3, 90, None), (5, 1, None, "+"), (5, 2, 6, "+"), (6, 1, 90, "+")], "r int, k int, pos int, strand string")
+    g = spark.createDataFrame([(1, "+", [(1, 9)]), (2, "+", [(20, 29)]), (3, "+", [(6, 6), (8, 8)])], "gene int, strand string, exons array<struct<s:int,e:int>>")
+    d = mappings.shared_genes(m, g, spark.createDataFrame([(85, 95)], "start int, end int"), "r", "k", 10)
+    assert sorted(map(tuple, d.collect())) == [(1, 2, 2), (1, 3, 2), (2, 1, 2), (3, 1, 2)]
+    assert "REPARTITION_BY_NUM" in d._jdf.queryExecution().executedPlan().toString()
